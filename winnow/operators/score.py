@@ -31,22 +31,33 @@ def _col(c: Column | str) -> Column:
     return lc(c) if isinstance(c, str) else c
 
 
-def _words(text: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(norm_title(text), " "), ""))
+def title_words(text: Column | str, normalised: bool = False) -> Column:
+    """Distinct words of a text after the title rules (TXT-3)."""
+    t = _col(text) if normalised else norm_title(_col(text))
+    return F.array_distinct(F.array_remove(F.split(t, " "), ""))
 
 
-def lexical_scores(text: Column | str, labels: Sequence[str]) -> Column:
-    """Per label: distinct label words present in the normalised text divided
-    by the number of distinct label words (0.0 for a label without words)."""
-    t = _words(_col(text))
+def lexical_scores(words: Column | str, labels: Sequence[str]) -> Column:
+    """Per label: distinct label words present in ``words`` (an array from
+    ``title_words``) divided by the number of distinct label words (0.0 for a
+    label without words)."""
+    t = _col(words)
     scores = []
     for label in labels:
-        lw = _words(F.lit(label))
+        lw = title_words(F.lit(label))
         hit = F.size(F.array_intersect(lw, t)).cast("double")
         scores.append(F.when(F.size(lw) > 0, hit / F.size(lw)).otherwise(F.lit(0.0)))
     return F.map_from_arrays(F.array(*[F.lit(l) for l in labels]), F.array(*scores))
 
 
+def with_lexical_scores(df: DataFrame, text_col: str, labels: Sequence[str], out: str = "scores",
+                        normalised: bool = False) -> DataFrame:
+    """Adds ``out``; the text is split once into a word array that every
+    label reuses (kept as its own projection, not re-derived per label)."""
+    return (df.withColumn("_words", title_words(text_col, normalised))
+            .withColumn(out, lexical_scores("_words", labels)).drop("_words"))
+
+
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 

@@ -23,24 +23,37 @@ def drop_reviews(flagged: DataFrame) -> DataFrame:
     return flagged.filter(~F.col("flag_review_conf"))
 
 
-def keep_first(df: DataFrame, key: str = "dedup_key", order: str = "row_id") -> DataFrame:
-    """DED-3: the first row of each key in ``order`` (concatenation order).
+def keep_first(df: DataFrame, key: str = "dedup_key", order: str = "row_id", where: Column | None = None) -> DataFrame:
+    """DED-3: the first row of each key in ``order`` (concatenation order),
+    among the rows satisfying ``where`` (keys without such a row drop out).
 
     A ``min_by`` aggregate, not a window and not ``dropDuplicates`` (which
     keeps an arbitrary row): each map task pre-reduces its rows to one
     candidate per key before the exchange, so a key holding a third of all
-    rows costs one row per task in the shuffle.
+    rows costs one row per task in the shuffle. ``where`` is folded into the
+    ordering (``min_by`` skips null orderings) instead of a filter, which the
+    optimiser would push below the projection and re-derive per reference.
     """
     others = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*[lc(c) for c in others]), lc(order))
-    return df.groupBy(lc(key)).agg(first.alias("_first")).select(
-        *[(F.col(f"_first.`{c}`") if c != key else lc(key)).alias(c) for c in df.columns])
+    ordering = lc(order) if where is None else F.when(where, lc(order))
+    first = F.min_by(F.struct(*[lc(c) for c in others]), ordering)
+    out = df.groupBy(lc(key)).agg(first.alias("_first"))
+    if where is not None:
+        out = out.filter(F.col("_first").isNotNull())
+    return out.select(*[(F.col(f"_first.`{c}`") if c != key else lc(key)).alias(c) for c in df.columns])
 
 
-def survivors(flagged: DataFrame) -> DataFrame:
+def survivors(flagged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """SCO-1 / template rows: reviews removed *before* keep-first, so a key
-    whose first row is a review survives through a later clean row."""
-    return keep_first(drop_reviews(flagged))
+    whose first row is a review survives through a later clean row.
+
+    ``columns`` prunes the carried columns before the aggregate (the
+    optimiser cannot prune fields inside the ``min_by`` struct)."""
+    kept = flagged
+    if columns is not None:
+        kept = kept.select(*[lc(c) for c in dict.fromkeys(["dedup_key", "row_id", "flag_review_conf", *columns])])
+    out = keep_first(kept, where=~F.col("flag_review_conf"))
+    return out if columns is None or "flag_review_conf" in columns else out.drop("flag_review_conf")
 
 
 def annotation_template(flagged: DataFrame, method_labels: Sequence[str], application_labels: Sequence[str],
@@ -48,7 +61,7 @@ def annotation_template(flagged: DataFrame, method_labels: Sequence[str], applic
     """SNK-2 / PRJ-2: survivors with every tag 0, ``Not Relevant`` 0 and a blank
     ``Cancer Type``, in a fixed column order. ``row_id`` and ``dedup_key`` are
     kept so annotations can be joined back by key."""
-    s = survivors(flagged)
+    s = survivors(flagged, TEMPLATE_RECORD_COLUMNS)
     tags = {l: F.lit(0) for l in [*method_labels, *application_labels, not_relevant]}
     return s.select(*[lc(c) for c in TEMPLATE_RECORD_COLUMNS],
                     *[v.alias(k) for k, v in tags.items()], F.lit("").alias(cancer_type))

@@ -54,11 +54,13 @@ def attach_key_counts(df: DataFrame, key: str, count_col: str, salt_by: str,
     max_salts = max(1, max_salts or d_salts)
 
     k = F.col(key)
-    stats = df.groupBy(k).agg(F.count(F.lit(1)).alias(count_col))
-    key_hash = F.xxhash64(k)
+    # One aggregate, grouped by (key, key hash): the hot-key list and the
+    # per-key counts both read it, so its exchange is computed once.
+    stats = (df.withColumn("_kh", F.xxhash64(k))
+             .groupBy(k, F.col("_kh")).agg(F.count(F.lit(1)).alias(count_col)))
     hot = (
         stats.filter(F.col(count_col) >= hot_rows)
-        .groupBy(key_hash.alias("_kh"))
+        .groupBy("_kh")
         .agg(F.max(count_col).alias("_hot_n"))
         .orderBy(F.desc("_hot_n"), "_kh")
         .limit(max_hot_keys)
@@ -68,15 +70,14 @@ def attach_key_counts(df: DataFrame, key: str, count_col: str, salt_by: str,
     hot_b = F.broadcast(hot)
 
     rows = (
-        df.withColumn("_kh", key_hash)
+        df.withColumn("_kh", F.xxhash64(k))
         .join(hot_b, "_kh", "left")
         .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
                     .otherwise(F.pmod(F.xxhash64(F.col(salt_by)), F.col("_salts")).cast("int")))
         .drop("_kh", "_salts")
     )
     counts = (
-        stats.withColumn("_kh", key_hash)
-        .join(hot_b, "_kh", "left")
+        stats.join(hot_b, "_kh", "left")
         .select(k, F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
                              .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))).alias("_salt"),
                 F.col(count_col))

@@ -50,8 +50,8 @@ def _screened(spark, d):
 
 def _candidates(spark, d):
     """SCO-1: reviews removed, first row per key."""
-    return screen.survivors(_keyed(spark, d)).select("row_id", "dedup_key", "title", "authors", "year", "doi",
-                                                     "source")
+    cols = ["row_id", "dedup_key", "title", "authors", "year", "doi", "source", "title_norm"]
+    return screen.survivors(_keyed(spark, d), cols).select(*cols)
 
 
 def _by_dimension(fn, df) -> DataFrame:
@@ -95,7 +95,7 @@ def q_flag_duplicates(spark, d):
 
 
 def q_keep_first(spark, d):
-    return _candidates(spark, d)
+    return _candidates(spark, d).drop("title_norm")
 
 
 def q_qa_missing(spark, d):
@@ -181,7 +181,7 @@ def q_value_coverage(spark, d):
 
 def _lex_scored(spark, d, labels=LEX_LABELS):
     c = _candidates(spark, d)
-    return c.withColumn("scores", score.lexical_scores("title", labels))
+    return score.with_lexical_scores(c, "title_norm", labels, normalised=True).drop("title_norm")
 
 
 def q_score_labels_lexical(spark, d):
