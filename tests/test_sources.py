@@ -1,0 +1,98 @@
+"""CSV exports, adapters, ordered union with dense ids, stored tables."""
+
+import os
+import tempfile
+
+import pytest
+
+from winnow.plans import workflow
+from winnow.sources import exports, tables
+
+PUBMED = ('﻿Title,Authors,Publication Year,DOI\n'
+          '"A ""quoted"" title",Smith,2021,10.1/a\n'
+          '"Two\nlines",Doe,NA,\n'
+          'Plain,N/A,2020.0,null\n')
+SCOPUS_NO_FULL = 'Title,Authors,Year,DOI\nS1,Lee,2019,10.1/A\nS2,Kim,nan,\n'
+SCOPUS_FULL = 'Title,Author full names,Authors,Year,DOI\nS3,,Short,2018,\nS4,Long Name,Short,2018,None\n'
+IEEE = 'Document Title,Title,Authors,Publication Year,DOI\nI1,ignored,Wu,2022,#N/A\n'
+
+
+@pytest.fixture(scope="module")
+def folder():
+    d = tempfile.mkdtemp(prefix="winnow-src-")
+    for name, text in [("pubmed.csv", PUBMED), ("scopus.csv", SCOPUS_NO_FULL), ("scopus_full.csv", SCOPUS_FULL),
+                       ("ieee.csv", IEEE)]:
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    return d
+
+
+def test_csv_quotes_newlines_bom_na(spark, folder):
+    df = exports.read_export(spark, f"{folder}/pubmed.csv")
+    assert df.columns == ["Title", "Authors", "Publication Year", "DOI"]
+    rows = df.collect()
+    assert [r["Title"] for r in rows] == ['A "quoted" title', "Two\nlines", "Plain"]
+    assert rows[1]["Publication Year"] is None and rows[1]["DOI"] is None
+    assert rows[2]["Authors"] is None and rows[2]["DOI"] is None
+
+
+def test_column_fallback_is_per_column(spark, folder):
+    no_full = exports.adapt_scopus(exports.read_export(spark, f"{folder}/scopus.csv"))
+    assert [r["authors"] for r in no_full.collect()] == ["Lee", "Kim"]
+    full = exports.adapt_scopus(exports.read_export(spark, f"{folder}/scopus_full.csv"))
+    assert [r["authors"] for r in full.collect()] == [None, "Long Name"]   # null stays null (N3)
+    ieee = exports.adapt_ieee(exports.read_export(spark, f"{folder}/ieee.csv"))
+    assert ieee.first()["title"] == "I1"
+    missing = exports.adapt_pubmed(spark.createDataFrame([("x",)], "Other string"))
+    assert missing.first()["title"] == "" and missing.first()["doi"] == ""
+
+
+def test_harmonise_order_and_dense_ids(spark, folder):
+    rec = workflow.load_exports(spark, f"{folder}/pubmed.csv", f"{folder}/scopus.csv", f"{folder}/ieee.csv")
+    rows = rec.orderBy("row_id").collect()
+    assert [r["row_id"] for r in rows] == list(range(6))
+    assert [r["source"] for r in rows] == ["PubMed"] * 3 + ["Scopus"] * 2 + ["IEEE"]
+    assert [r["title"] for r in rows][:3] == ['A "quoted" title', "Two\nlines", "Plain"]
+
+
+def test_dense_ids_across_partitions(spark):
+    df = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "v")
+    out = exports.assign_row_ids(df, order_by=["v"]).collect()
+    assert sorted(r["row_id"] for r in out) == list(range(1000))
+    assert all(r["row_id"] == r["v"] for r in out)
+
+
+def test_identification_checkpoint_and_tables(spark, folder):
+    out = tempfile.mkdtemp(prefix="winnow-out-")
+    args = (f"{folder}/pubmed.csv", f"{folder}/scopus.csv", f"{folder}/ieee.csv")
+    flagged = workflow.identification(spark, *args, out_dir=out, csv=True)
+    assert flagged.count() == 6
+    keys = {r["row_id"]: r["dedup_key"] for r in flagged.collect()}
+    assert keys[0] == keys[3] == "10.1/a"          # PubMed DOI == Scopus DOI after lower-casing
+    again = workflow.identification(spark, *args, out_dir=out)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, flagged.collect()))
+    exported = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(
+        f"{out}/flagged_csv")
+    assert "Title" in exported.columns and "DOI_norm" in exported.columns and exported.count() == 6
+    t = workflow.build_template(flagged, f"{out}/template", ["m1"], ["a1"])
+    assert t.count() == flagged.select("dedup_key").distinct().count()
+
+
+def test_resolve_first_and_stale_scores(spark, folder):
+    assert tables.resolve_first(spark, f"{folder}/s*.csv", "none").endswith("scopus.csv")
+    assert tables.resolve_first(spark, f"{folder}/zz*.csv", "none") == "none"
+    out = tempfile.mkdtemp(prefix="winnow-scores-") + "/scores"
+    tables.write_scores(spark.createDataFrame([(1, 0.5)], "row_id long, a double"), out)
+    assert tables.read_scores(spark, out, ["a"]).count() == 1
+    with pytest.raises(RuntimeError, match="Stale"):
+        tables.read_scores(spark, out, ["a", "b"])
+    with pytest.raises(Exception):
+        tables.write_scores(spark.createDataFrame([(1, 0.5)], "row_id long, a double"), out)
+
+
+def test_read_annotated_lenient_tags(spark):
+    d = tempfile.mkdtemp(prefix="winnow-ann-")
+    with open(f"{d}/ann.csv", "w", encoding="utf-8") as f:
+        f.write("Title,m1,Not Relevant,Cancer Type\nA,1,0,Lung\nB,1.0,,\nC,x,1,\n")
+    df = tables.read_annotated(spark, f"{d}/ann.csv", ["m1", "Not Relevant"])
+    assert [(r["m1"], r["Not Relevant"]) for r in df.collect()] == [(1, 0), (1, None), (None, 1)]

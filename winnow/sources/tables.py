@@ -1,0 +1,108 @@
+"""Stored tables: annotation files, checkpoints and written outputs
+(SRC-6..9, SNK-1, SNK-3..7).
+
+Parquet is the primary format (typed, column-pruned, predicate-pushdown).
+CSV exports are written as a folder of part files by all tasks in parallel;
+nothing is funnelled through one task or the driver. Spark's CSV writer has
+no byte-order-mark option, so exports carry none.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable, Sequence
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.constants import FLAGGED_HEADERS, RECORD_HEADERS
+from ..functions.nulls import lenient_int
+from .exports import read_export
+
+# FIXED VALUE: run-folder stamp format.
+RUN_STAMP = "run_%b-%d-%Y_%Hh%M"
+
+
+def resolve_first(spark: SparkSession, pattern: str, default: str) -> str:
+    """SRC-6: the first path, in sorted order, matching a glob; ``default``
+    when nothing matches. Listing goes through the cluster file system (the
+    ``binaryFile`` source with only ``path`` selected reads no content)."""
+    try:
+        paths = spark.read.format("binaryFile").load(pattern).select("path")
+        first = paths.orderBy("path").limit(1).collect()
+    except AnalysisException:
+        return default
+    return first[0]["path"] if first else default
+
+
+def read_annotated(spark: SparkSession, path: str | Sequence[str], tag_columns: Sequence[str]) -> DataFrame:
+    """SRC-7: the annotated table; tag cells are parsed leniently to integers
+    (``1``, ``1.0`` -> 1; blank or text -> null), other columns stay text."""
+    df = read_export(spark, path)
+    return df.withColumns({c: lenient_int(F.col(f"`{c}`")) for c in tag_columns if c in df.columns})
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
+        return True
+    except AnalysisException:
+        return False
+
+
+def fingerprint(*parts: object) -> str:
+    """A short stable id of the inputs a checkpoint was built from."""
+    return hashlib.sha1("\x1f".join(map(str, parts)).encode()).hexdigest()[:16]
+
+
+def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
+                  key: str | None = None) -> DataFrame:
+    """SRC-8: compute once, reload later. With ``key`` (see ``fingerprint``)
+    the table lives under ``path/fp=<key>``, so changed inputs rebuild."""
+    target = f"{path.rstrip('/')}/fp={key}" if key else path
+    if not table_exists(spark, target):
+        build().write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
+def read_scores(spark: SparkSession, path: str, labels: Sequence[str]) -> DataFrame:
+    """SRC-9: a stored score table; raises when a requested label column is
+    missing (stale checkpoint)."""
+    df = spark.read.parquet(path)
+    missing = [l for l in labels if l not in df.columns]
+    if missing:
+        raise RuntimeError(f"Stale score table (missing columns: {missing}) - delete '{path}' and re-run.")
+    return df
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+    """SNK-1 / SNK-5: Parquet table."""
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def write_scores(df: DataFrame, path: str) -> None:
+    """SNK-7: a score table is never overwritten silently."""
+    df.write.mode("errorifexists").parquet(path)
+
+
+def with_export_headers(df: DataFrame) -> DataFrame:
+    """Record / flag columns renamed to the export headers (Title, DOI_norm, ...)."""
+    names = {**RECORD_HEADERS, **FLAGGED_HEADERS}
+    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", headers: bool = True) -> None:
+    """SNK-1 / SNK-3 / SNK-6: CSV folder with a header row, UTF-8."""
+    out = with_export_headers(df) if headers else df
+    (out.write.mode(mode).option("header", True).option("escape", '"').option("encoding", "UTF-8")
+     .csv(path))
+
+
+def run_folder(base: str, now: datetime | None = None) -> str:
+    """SNK-4: ``<base>/run_<Mon-DD-YYYY_HHhMM>``; created by the first write."""
+    return f"{base.rstrip('/')}/{(now or datetime.now()).strftime(RUN_STAMP)}"
