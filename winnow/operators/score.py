@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import DEFAULT_BATCH_SIZE, SCORE_DECIMALS, TAG_THRESHOLD
 from ..functions.text import norm_title
@@ -103,7 +104,8 @@ def model_scores(df: DataFrame, text_col: str, labels: Sequence[str], factory: C
     worker, ``batch_size`` texts per call. Empty partitions yield nothing."""
     labels = list(labels)
     key = cache_key or f"{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', repr(factory))}"
-    schema = df.schema.add("_labels", "array<string>").add("_scores", "array<double>")
+    schema = T.StructType([*df.schema.fields, T.StructField("_labels", T.ArrayType(T.StringType())),
+                           T.StructField("_scores", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _MODELS.get(key)
