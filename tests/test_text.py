@@ -120,3 +120,40 @@ def test_title_properties(spark, values):
 def test_review_phrases_are_substrings(spark, phrase):
     df = _one_col(spark, [f"x{phrase}y"])
     assert df.select(is_review_title(norm_title("v"))).first()[0] is True
+
+
+def _stepwise_doi(c):
+    """The DOI rule spelled out one step at a time (strip, lower, two prefixes,
+    whitespace, trailing punctuation) - the form the two-pass version replaces."""
+    from pyspark.sql import functions as F
+    from winnow.functions.text import WS, strip_ws
+    x = F.lower(strip_ws(F.coalesce(c, F.lit(""))))
+    x = F.regexp_replace(x, f"^doi:{WS}*", "")
+    x = F.regexp_replace(x, r"^https?://(dx\.)?doi\.org/", "")
+    x = F.regexp_replace(x, f"{WS}+", "")
+    return F.regexp_replace(x, r"[.,;]+\z", "")
+
+
+def _stepwise_title(c):
+    from pyspark.sql import functions as F
+    from winnow.functions.text import WS, WS_CHARS, WORD_CHARS, strip_ws
+    x = F.regexp_replace(strip_ws(F.lower(F.coalesce(c, F.lit("")))), f"{WS}+", " ")
+    x = F.translate(x, "–—−", "---")
+    x = F.regexp_replace(x, f"[^{WORD_CHARS}{WS_CHARS}\\-]", "")
+    return strip_ws(F.regexp_replace(x, f"{WS}+", " "))
+
+
+_doiish = st.lists(st.sampled_from(["doi:", "DOI: ", "https://", "http://dx.", "doi.org/", "10.", "1/", "a", "B",
+                                    " ", "\t", " ", ".", ",", ";", "–", "x²", "İ", "\x1c"]), max_size=12).map("".join)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(_doiish, _text), min_size=1, max_size=30))
+def test_two_pass_forms_equal_stepwise(spark, values):
+    from pyspark.sql import functions as F
+    df = _one_col(spark, values)
+    v = F.col("v")
+    rows = df.select(norm_doi(v).alias("a"), _stepwise_doi(v).alias("b"),
+                     norm_title(v).alias("c"), _stepwise_title(v).alias("d")).collect()
+    for r in rows:
+        assert r["a"] == r["b"] and r["c"] == r["d"]

@@ -26,6 +26,8 @@ _STRIP = f"^{WS}+|{WS}+\\z"
 _NOT_TITLE_CHAR = f"[^{WORD_CHARS}{WS_CHARS}\\-]"
 _DASHES = "\u2013\u2014\u2212"  # en dash, em dash, minus sign
 _YEAR = r"(\p{Nd}{4})"
+_DOI_PREFIX = f"^{WS}*(doi:{WS}*)?(https?://(dx\\.)?doi\\.org/)?"
+_DOI_TAIL = f"[.,;{WS_CHARS}]+\\z|{WS}+"
 _REVIEW_RE = "|".join([*(f"\\Q{p}\\E" for p in REVIEW_PHRASES),
                        f"(^|{NOT_WORD}){REVIEW_WORD}({NOT_WORD}|\\z)"])
 
@@ -44,27 +46,38 @@ def collapse_ws(c: Column | str, repl: str = " ") -> Column:
 
 
 def norm_text(c: Column | str) -> Column:
-    """TXT-1: null to '', lower case, strip, collapse whitespace runs to one space."""
+    """TXT-1: null to '', lower case, strip, collapse whitespace runs to one
+    space. After the collapse the only whitespace left is U+0020, so the strip
+    is a plain ``trim``."""
     x = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
-    return collapse_ws(strip_ws(x))
+    return F.trim(collapse_ws(x))
 
 
 def norm_doi(c: Column | str) -> Column:
-    """TXT-2: null to ''; strip; lower; drop a leading ``doi:`` and a leading resolver
-    URL (in that order); drop all whitespace; drop trailing ``.``, ``,`` and ``;``."""
-    x = F.lower(strip_ws(F.coalesce(_col(c).cast("string"), F.lit(""))))
-    x = F.regexp_replace(x, f"^doi:{WS}*", "")
-    x = F.regexp_replace(x, r"^https?://(dx\.)?doi\.org/", "")
-    x = collapse_ws(x, "")
-    return F.regexp_replace(x, r"[.,;]+\z", "")
+    """TXT-2: null to ''; strip; lower; drop a leading ``doi:`` and then a
+    leading resolver URL; drop all whitespace; drop trailing ``.``, ``,``
+    and ``;``.
+
+    Two regex passes: (1) leading whitespace, optional ``doi:`` + whitespace,
+    optional resolver URL - the same as stripping and removing the two
+    prefixes in order; (2) every whitespace run, plus a trailing run of
+    ``.,;`` mixed with whitespace - the same as removing whitespace first and
+    then stripping the punctuation."""
+    x = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+    x = F.regexp_replace(x, _DOI_PREFIX, "")
+    return F.regexp_replace(x, _DOI_TAIL, "")
 
 
 def norm_title(c: Column | str) -> Column:
     """TXT-3: TXT-1, dashes to ``-``, keep only word characters, whitespace and
-    ``-``, then collapse and strip again."""
-    x = F.translate(norm_text(c), _DASHES, "---")
+    ``-``, then collapse and strip again.
+
+    Whitespace is never removed by the character filter, so the first
+    collapse/strip of TXT-1 is subsumed by the last one: lower, map dashes,
+    filter, collapse, trim - two regex passes."""
+    x = F.translate(F.lower(F.coalesce(_col(c).cast("string"), F.lit(""))), _DASHES, "---")
     x = F.regexp_replace(x, _NOT_TITLE_CHAR, "")
-    return strip_ws(collapse_ws(x))
+    return F.trim(collapse_ws(x))
 
 
 def extract_year(c: Column | str) -> Column:
@@ -91,7 +104,10 @@ def dedup_key(doi_norm: Column | str, title_norm: Column | str, year: Column | s
         F.when(d != "", d)
         .when((t != "") & (y != ""), F.concat(F.lit(KEY_TITLE_YEAR), t, F.lit(KEY_YEAR_SEP), y))
         .when(t != "", F.concat(F.lit(KEY_TITLE), t))
-        .otherwise(F.concat(F.lit(KEY_ROW), _col(row_id).cast("string")))
+        # a row id is never null; coalescing makes the key provably non-null, so
+        # joins on it need no inferred IS NOT NULL filter (which would make
+        # otherwise identical subplans unshareable)
+        .otherwise(F.concat(F.lit(KEY_ROW), F.coalesce(_col(row_id).cast("string"), F.lit(""))))
     )
 
 

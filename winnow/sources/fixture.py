@@ -57,9 +57,10 @@ def _flag(cond) -> F.Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("int")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """``records`` (row_id, title, authors, year_raw, doi, source, m1..m3,
-    a1..a4, not_relevant, cancer_type) over the whole ``documents`` table."""
+    a1..a4, not_relevant, cancer_type) over the whole ``documents`` table.
+    ``spread``: see ``spread_small_scan`` (for regex-heavy consumers)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     i = F.col("doc_id")
@@ -91,15 +92,31 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("cancer_type"),
     )
     tags = labels.select(F.col("doc_id").alias("row_id"), F.col("quality").alias("m1"), F.col("toxic").alias("m2"))
-    out = slim.join(tags, "row_id", "left")
+    out = (spread_small_scan(slim, "row_id") if spread else slim).join(tags, "row_id", "left")
     return out.select("row_id", "title", "authors", "year_raw", "doi", "source", "m1", "m2", "m3",
                       "a1", "a2", "a3", "a4", "not_relevant", "cancer_type")
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread rows over the shuffle partitions when the scan yields fewer
+    input partitions than the session has cores (a table stored as one big
+    row group is read by one task).
+
+    Large tables have far more splits than cores and pass through untouched;
+    the spread is on the join key, so a following sort-merge join on ``key``
+    reuses this partitioning instead of shuffling again."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical record columns (row_id, title, authors, year, doi, source);
     ``year`` is still the raw text."""
-    return records(spark, sf_dir).select("row_id", "title", "authors", F.col("year_raw").alias("year"), "doi", "source")
+    return records(spark, sf_dir, spread=True).select("row_id", "title", "authors", F.col("year_raw").alias("year"),
+                                                      "doi", "source")
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
