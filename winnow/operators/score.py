@@ -126,6 +126,12 @@ def model_scores(df: DataFrame, text_col: str, labels: Sequence[str], factory: C
     return out.withColumn("scores", F.map_from_arrays("_labels", "_scores")).drop("_labels", "_scores")
 
 
+def round_score(c: Column | str, decimals: int = SCORE_DECIMALS) -> Column:
+    """TXT-10: round half up to ``decimals`` places; ``+ 0.0`` turns a
+    rounded -0.0 into 0.0 so equal scores hash equally."""
+    return F.round(_col(c), decimals) + F.lit(0.0)
+
+
 def score_of(scores: Column | str, label: str) -> Column:
     """TXT-12: the label's score, 0.0 when the model gave none."""
     return F.coalesce(F.try_element_at(_col(scores), F.lit(label)), F.lit(0.0))
@@ -136,7 +142,7 @@ def scores_long(scored: DataFrame, id_cols: Sequence[str], labels: Sequence[str]
     """``(id..., label, score)``, one row per text and requested label."""
     entries = [F.struct(F.lit(l).alias("label"), score_of(scores, l).alias("score")) for l in labels]
     out = scored.select(*[lc(c) for c in id_cols], F.inline(F.array(*entries)))
-    return out.withColumn("score", F.round("score", decimals)) if decimals is not None else out
+    return out.withColumn("score", round_score("score", decimals)) if decimals is not None else out
 
 
 def threshold_tags(scored: DataFrame, labels: Sequence[str], threshold: float = TAG_THRESHOLD,
@@ -147,7 +153,7 @@ def threshold_tags(scored: DataFrame, labels: Sequence[str], threshold: float =
     for l in labels:
         s = score_of(scores, l)
         cols[l] = (s > F.lit(threshold)).cast("int")
-        cols[f"{l}_score"] = F.round(s, decimals)
+        cols[f"{l}_score"] = round_score(s, decimals)
     out = scored.withColumns(cols)
     return out if keep_scores else out.drop(scores)
 

@@ -196,7 +196,7 @@ def q_threshold_tags(spark, d):
 
 def q_top_labels(spark, d):
     t = score.top_labels(_lex_scored(spark, d), ["row_id"], k=3)
-    return t.withColumn("score", F.round("score", 4))
+    return t.withColumn("score", score.round_score("score", 4))
 
 
 def _merged(spark, d):

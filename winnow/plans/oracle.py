@@ -148,7 +148,7 @@ def _tags(labels, threshold, prefix="") -> str:
     for l in labels:
         s = _lex_score(l)
         cols.append(f"cast(({s}) > {threshold} as int) as {ident(prefix + l)}")
-        cols.append(f"round({s}, 4) as {ident(prefix + l + '_score')}")
+        cols.append(f"(round({s}, 4) + 0.0) as {ident(prefix + l + '_score')}")
     return ", ".join(cols)
 
 
@@ -229,7 +229,7 @@ def _top() -> str:
     for l in LEX_LABELS:
         rows.append(f"select row_id, {q(l)} as label, {_lex_score(l)} as score from lw")
     return LEXW + ", sc as (" + "\nunion all\n".join(rows) + """)
-select row_id, cast(rank as int) as rank, label, round(score, 4) as score from (
+select row_id, cast(rank as int) as rank, label, round(score, 4) + 0.0 as score from (
   select *, row_number() over (partition by row_id order by score desc, label) as rank from sc) where rank <= 3"""
 
 
@@ -238,7 +238,7 @@ def _cosine() -> str:
     return f"""with lv as (select label, arg_min(embedding, vec_id)::double[] as v from embeddings group by label)
 select e.vec_id, cast(lv.label as varchar) as label,
        round({dot}(e.embedding::double[], lv.v) /
-             (sqrt({dot}(e.embedding::double[], e.embedding::double[])) * sqrt({dot}(lv.v, lv.v))), 4) as score
+             (sqrt({dot}(e.embedding::double[], e.embedding::double[])) * sqrt({dot}(lv.v, lv.v))), 4) + 0.0 as score
 from embeddings e, lv"""
 
 
@@ -306,7 +306,7 @@ ORACLE_SQL: dict[str, str] = {
     "value_coverage": SCREEN + f"""select cast(count(*) filter (where coalesce({strip(f'cast({CT} as varchar)')} <> '', false)) as bigint)
       as n_with_value, cast(count(*) as bigint) as n_rows from screened""",
     "score_labels_lexical": LEXW + "\nunion all\n".join(
-        f"select row_id, {q(l)} as label, round({_lex_score(l)}, 4) as score from lw" for l in LEX_LABELS),
+        f"select row_id, {q(l)} as label, round({_lex_score(l)}, 4) + 0.0 as score from lw" for l in LEX_LABELS),
     "threshold_tags": LEXW + f"select row_id, dedup_key, {_tags(LEX_METHODS, 0.35)} from lw",
     "top_labels": _top(),
     "merge_dimensions": MERGED + "select * from merged",
