@@ -96,3 +96,23 @@ def test_screen_bands_and_sample(spark):
     plan = seeded_sample(ex, 30)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert seeded_sample(ex.limit(5), 30).count() == 5
+
+
+def test_tag_dimensions_equals_join(spark):
+    rows = [(i, f"k{i}", "the of and de la" if i % 3 else "to in der und die") for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, dedup_key string, title string")
+    m_labels, a_labels = ["the of and", "to in is"], ["der und die", "de la des"]
+    scored = score.with_lexical_scores(df, "title", m_labels + a_labels)
+    one = score.tag_dimensions(scored, {0.25: m_labels, 0.3: a_labels})
+    left = score.threshold_tags(score.with_lexical_scores(df, "title", m_labels), m_labels, 0.25)
+    right = score.threshold_tags(score.with_lexical_scores(df, "title", a_labels), a_labels, 0.3)
+    joined = score.merge_dimensions(left, right, a_labels)
+    cols = ["dedup_key", *[c for l in m_labels + a_labels for c in (l, f"{l}_score")]]
+    a = sorted(tuple(r) for r in one.select(*[F.col(f"`{c}`") for c in cols]).collect())
+    b = sorted(tuple(r) for r in joined.select(*[F.col(f"`{c}`") for c in cols]).collect())
+    assert a == b
+
+
+def test_inference_batches(spark):
+    assert score.inference_batches(spark.range(65), 32).first()["batches"] == 3
+    assert score.inference_batches(spark.range(0), 32).first()["batches"] == 0

@@ -309,6 +309,17 @@ def prisma_flow(keyed: DataFrame, annotated: DataFrame | None = None,
             box(12, "screening", "abstract_screening", F.col("_in")),
             *[box(o, st, b, null) for o, st, b in pending],
         ])
+        # Q3: the screen counts come from the annotated table, the rest from
+        # the keyed records; report how far the annotated table is from the
+        # template it should have been made from (0 when consistent).
+        flow = ident.unionByName(screen)
+        v = F.col("value")
+        check = flow.agg(
+            (F.sum(F.when(F.col("box").isin("title_screen_passed", "title_screen_excluded"), v))
+             - F.sum(F.when(F.col("box") == "template_rows", v))).alias("value")
+        ).select(F.lit(17).alias("ordinal"), F.lit("checks").alias("stage"),
+                 F.lit("annotated_minus_template").alias("box"), F.col("value").cast("long").alias("value"))
+        return flow.unionByName(check)
     else:
         screen = _long(s, [
             box(10, "screening", "title_screen_excluded", null),

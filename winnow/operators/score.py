@@ -158,6 +158,24 @@ def threshold_tags(scored: DataFrame, labels: Sequence[str], threshold: float =
     return out if keep_scores else out.drop(scores)
 
 
+def tag_dimensions(scored: DataFrame, dimensions: dict[float, Sequence[str]], scores: str = "scores",
+                   decimals: int = SCORE_DECIMALS) -> DataFrame:
+    """SCO-4 in one pass: texts scored once against every label (scores are
+    independent per label), then each dimension tagged at its own threshold
+    - the same columns as scoring each dimension separately and joining them
+    on the key, without the second scoring pass and the join."""
+    out = scored
+    for threshold, labels in dimensions.items():
+        out = threshold_tags(out, labels, threshold, scores=scores, decimals=decimals, keep_scores=True)
+    return out.drop(scores)
+
+
+def inference_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
+    """AGG-20: number of model calls, ``ceil(rows / batch_size)`` (informational;
+    with ``model_scores`` each partition is batched on its own)."""
+    return df.agg(F.ceil(F.count(F.lit(1)) / F.lit(batch_size)).cast("long").alias("batches"))
+
+
 def top_labels(scored: DataFrame, id_cols: Sequence[str], k: int = 3, scores: str = "scores") -> DataFrame:
     """SRT-4: the ``k`` best labels of every text, ``(id..., rank, label,
     score)``; ties broken by label."""

@@ -212,6 +212,7 @@ def _prisma() -> str:
         "select 14, 'eligibility', 'excluded_after_abstract', cast(null as bigint)",
         "select 15, 'eligibility', 'full_text_screening', cast(null as bigint)",
         "select 16, 'included', 'studies_included', cast(null as bigint)",
+        "select 17, 'checks', 'annotated_minus_template', cast((select count(*) from annot) - template_rows as bigint) from s",
     ]
     return key_summary() + f", {ANNOT}\n" + "\nunion all\n".join(sel)
 
