@@ -96,3 +96,16 @@ def test_read_annotated_lenient_tags(spark):
         f.write("Title,m1,Not Relevant,Cancer Type\nA,1,0,Lung\nB,1.0,,\nC,x,1,\n")
     df = tables.read_annotated(spark, f"{d}/ann.csv", ["m1", "Not Relevant"])
     assert [(r["m1"], r["Not Relevant"]) for r in df.collect()] == [(1, 0), (1, None), (None, 1)]
+
+
+def test_report_workflow_writes_every_table(spark):
+    from conftest import SF_SMALL
+    from winnow.operators.identify import identify
+    from winnow.sources.fixture import annotated, raw_records
+    out = tempfile.mkdtemp(prefix="winnow-report-")
+    flagged = identify(raw_records(spark, SF_SMALL))
+    res = workflow.report(annotated(spark, SF_SMALL), flagged, out_dir=tables.run_folder(out))
+    assert {"prisma_flow", "venn_regions", "cooccurrence", "screened_export"} <= set(res)
+    written = os.listdir(out)
+    assert len(written) == 1 and written[0].startswith("run_")
+    assert spark.read.parquet(f"{out}/{written[0]}/prisma_flow").count() == 18

@@ -31,6 +31,26 @@ def require(df: DataFrame, cols: Sequence[str], what: str = "Columns") -> None:
         raise ValueError(f"{what} missing from DataFrame: {missing}")
 
 
+Labels = Sequence[str] | dict[str, Sequence[str]]
+
+
+def _groups(labels: Labels) -> list[tuple[str | None, list[str]]]:
+    """A plain label list is one unnamed group; a dict maps a dimension name
+    (methods, applications, ...) to its labels, so every dimension is computed
+    in the same aggregate pass."""
+    if isinstance(labels, dict):
+        return [(d, list(ls)) for d, ls in labels.items()]
+    return [(None, list(labels))]
+
+
+def _all_labels(labels: Labels) -> list[str]:
+    return list(dict.fromkeys(l for _, ls in _groups(labels) for l in ls))
+
+
+def _dim(d: str | None) -> list[Column]:
+    return [] if d is None else [F.lit(d).alias("dimension")]
+
+
 def _long(row: DataFrame, entries: list[Column]) -> DataFrame:
     """One aggregated row -> many rows (``inline`` of an array of structs)."""
     return row.select(F.inline(F.array(*entries)))
@@ -106,22 +126,23 @@ def source_counts(df: DataFrame) -> DataFrame:
 # Label tables
 # ---------------------------------------------------------------------------
 
-def cooccurrence(df: DataFrame, labels: Sequence[str]) -> DataFrame:
+def cooccurrence(df: DataFrame, labels: Labels) -> DataFrame:
     """AGG-8: ``B^T B`` over ``fillna(0).astype(int)`` tags, as
-    ``(row_label, col_label, n)``; symmetric, diagonal = sum of squares.
-    One pass: one partial sum per unordered label pair."""
-    require(df, labels, "Theme columns")
-    v = [fill0_int(lc(l)) for l in labels]
-    k = len(labels)
-    sums = df.agg(*[F.coalesce(F.sum(v[i] * v[j]), F.lit(0)).cast("long").alias(f"_p{i}_{j}")
-                    for i in range(k) for j in range(i, k)])
-    entries = []
-    for i in range(k):
-        for j in range(k):
-            a, b = min(i, j), max(i, j)
-            entries.append(F.struct(F.lit(labels[i]).alias("row_label"), F.lit(labels[j]).alias("col_label"),
-                                    F.col(f"_p{a}_{b}").alias("n")))
-    return _long(sums, entries)
+    ``([dimension,] row_label, col_label, n)``; symmetric, diagonal = sum of
+    squares. One pass: one partial sum per unordered label pair of a group."""
+    require(df, _all_labels(labels), "Theme columns")
+    aggs, entries = [], []
+    for g, (d, ls) in enumerate(_groups(labels)):
+        v = [fill0_int(lc(l)) for l in ls]
+        k = len(ls)
+        aggs += [F.coalesce(F.sum(v[i] * v[j]), F.lit(0)).cast("long").alias(f"_p{g}_{i}_{j}")
+                 for i in range(k) for j in range(i, k)]
+        for i in range(k):
+            for j in range(k):
+                a, b = min(i, j), max(i, j)
+                entries.append(F.struct(*_dim(d), F.lit(ls[i]).alias("row_label"), F.lit(ls[j]).alias("col_label"),
+                                        F.col(f"_p{g}_{a}_{b}").alias("n")))
+    return _long(df.agg(*aggs), entries)
 
 
 def short_name(label: str) -> str:
@@ -157,48 +178,54 @@ def temporal_trends(df: DataFrame, labels: Sequence[str], year_col: str = "year"
         .orderBy("year", "label"))
 
 
-def category_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """AGG-11: label totals (nulls skipped), ascending."""
-    require(df, labels, "Label columns")
-    row = df.agg(*[sum0(lc(l)).alias(f"_s{i}") for i, l in enumerate(labels)])
-    return _long(row, [F.struct(F.lit(l).alias("label"), F.col(f"_s{i}").alias("n"))
-                       for i, l in enumerate(labels)]).orderBy("n", "label")
+def category_counts(df: DataFrame, labels: Labels) -> DataFrame:
+    """AGG-11: label totals (nulls skipped), ascending, ``([dimension,] label, n)``."""
+    require(df, _all_labels(labels), "Label columns")
+    pairs = [(d, l) for d, ls in _groups(labels) for l in ls]
+    row = df.agg(*[sum0(lc(l)).alias(f"_s{i}") for i, (_, l) in enumerate(pairs)])
+    out = _long(row, [F.struct(*_dim(d), F.lit(l).alias("label"), F.col(f"_s{i}").alias("n"))
+                      for i, (d, l) in enumerate(pairs)])
+    return out.orderBy(*(["dimension"] if isinstance(labels, dict) else []), "n", "label")
 
 
-def category_counts_by_source(df: DataFrame, labels: Sequence[str], sources: Sequence[str] = SOURCES) -> DataFrame:
-    """AGG-12: per label and listed source, ``(label, total, source,
-    source_ordinal, n)``. Unlisted sources count in ``total`` only. Without a
-    source column: one row per label with a null source and n = total."""
-    require(df, labels, "Label columns")
+def category_counts_by_source(df: DataFrame, labels: Labels, sources: Sequence[str] = SOURCES) -> DataFrame:
+    """AGG-12: per label and listed source, ``([dimension,] label, total,
+    source, source_ordinal, n)``. Unlisted sources count in ``total`` only.
+    Without a source column: one row per label with a null source and n =
+    total."""
+    require(df, _all_labels(labels), "Label columns")
+    pairs = [(d, l) for d, ls in _groups(labels) for l in ls]
     if "source" not in df.columns:
-        row = df.agg(*[sum0(lc(l)).alias(f"_t{i}") for i, l in enumerate(labels)])
-        return _long(row, [F.struct(F.lit(l).alias("label"), F.col(f"_t{i}").alias("total"),
+        row = df.agg(*[sum0(lc(l)).alias(f"_t{i}") for i, (_, l) in enumerate(pairs)])
+        return _long(row, [F.struct(*_dim(d), F.lit(l).alias("label"), F.col(f"_t{i}").alias("total"),
                                     F.lit(None).cast("string").alias("source"),
                                     F.lit(None).cast("int").alias("source_ordinal"), F.col(f"_t{i}").alias("n"))
-                           for i, l in enumerate(labels)])
+                           for i, (d, l) in enumerate(pairs)])
     src = F.col("source")
     aggs = []
-    for i, l in enumerate(labels):
+    for i, (_, l) in enumerate(pairs):
         aggs.append(sum0(lc(l)).alias(f"_t{i}"))
         aggs += [sum0(F.when(src == s, lc(l))).alias(f"_s{i}_{j}") for j, s in enumerate(sources)]
     row = df.agg(*aggs)
     return _long(row, [
-        F.struct(F.lit(l).alias("label"), F.col(f"_t{i}").alias("total"), F.lit(s).alias("source"),
+        F.struct(*_dim(d), F.lit(l).alias("label"), F.col(f"_t{i}").alias("total"), F.lit(s).alias("source"),
                  F.lit(j).alias("source_ordinal"), F.col(f"_s{i}_{j}").alias("n"))
-        for i, l in enumerate(labels) for j, s in enumerate(sources)
+        for i, (d, l) in enumerate(pairs) for j, s in enumerate(sources)
     ])
 
 
 def stack_offsets(by_source: DataFrame) -> DataFrame:
     """WIN-3: start of each source segment inside its label's stacked bar
     (running sum of the earlier sources). Runs on the small AGG-12 table."""
-    w = Window.partitionBy("label").orderBy("source_ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    part = ["dimension", "label"] if "dimension" in by_source.columns else ["label"]
+    w = Window.partitionBy(*part).orderBy("source_ordinal").rowsBetween(Window.unboundedPreceding, -1)
     return by_source.withColumn("offset", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long"))
 
 
-def distribution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
+def distribution(df: DataFrame, labels: Labels) -> DataFrame:
     """AGG-13: label totals above zero, largest first."""
-    return category_counts(df, labels).filter(F.col("n") > 0).orderBy(F.desc("n"), "label")
+    dims = ["dimension"] if isinstance(labels, dict) else []
+    return category_counts(df, labels).filter(F.col("n") > 0).orderBy(*dims, F.desc("n"), "label")
 
 
 def any_label_count(df: DataFrame, labels: Sequence[str]) -> Column:
@@ -206,6 +233,14 @@ def any_label_count(df: DataFrame, labels: Sequence[str]) -> Column:
     return count_if(any_nonzero([lc(l) for l in labels]))
 
 
+def any_label_counts(df: DataFrame, labels: Labels) -> DataFrame:
+    """AGG-14 per label group in one pass, ``([dimension,] n)``."""
+    groups = _groups(labels)
+    require(df, _all_labels(labels))
+    row = df.agg(*[any_label_count(df, ls).cast("long").alias(f"_a{g}") for g, (_, ls) in enumerate(groups)])
+    return _long(row, [F.struct(*_dim(d), F.col(f"_a{g}").alias("n")) for g, (d, _) in enumerate(groups)])
+
+
 def venn_regions(df: DataFrame, labels: Sequence[str], null_as_true: bool = True, strict: bool = True) -> DataFrame:
     """AGG-15: the 2^k - 1 exclusive overlap regions of k labels under
     ``astype(bool)`` (null counts as True), one pass. ``region`` is a 0/1 string

@@ -54,11 +54,7 @@ def _candidates(spark, d):
     return screen.survivors(_keyed(spark, d), cols).select(*cols)
 
 
-def _by_dimension(fn, df) -> DataFrame:
-    m = fn(df, METHOD_LABELS).withColumn("dimension", F.lit("methods"))
-    a = fn(df, APPLICATION_LABELS).withColumn("dimension", F.lit("applications"))
-    out = m.unionByName(a)
-    return out.select("dimension", *[c for c in out.columns if c != "dimension"])
+DIMENSIONS = {"methods": METHOD_LABELS, "applications": APPLICATION_LABELS}
 
 
 # --- sources & text ---------------------------------------------------------
@@ -126,7 +122,7 @@ def q_manual_screen_counts(spark, d):
 
 
 def q_cooccurrence(spark, d):
-    return _by_dimension(report.cooccurrence, _annotated(spark, d))
+    return report.cooccurrence(_annotated(spark, d), DIMENSIONS)
 
 
 def q_method_application_matrix(spark, d):
@@ -138,11 +134,11 @@ def q_temporal_trends(spark, d):
 
 
 def q_category_counts(spark, d):
-    return _by_dimension(report.category_counts, _annotated(spark, d))
+    return report.category_counts(_annotated(spark, d), DIMENSIONS)
 
 
 def q_category_counts_by_source(spark, d):
-    return _by_dimension(report.category_counts_by_source, _annotated(spark, d))
+    return report.category_counts_by_source(_annotated(spark, d), DIMENSIONS)
 
 
 def q_stack_offsets(spark, d):
@@ -150,15 +146,11 @@ def q_stack_offsets(spark, d):
 
 
 def q_distribution(spark, d):
-    return _by_dimension(report.distribution, _screened(spark, d))
+    return report.distribution(_screened(spark, d), DIMENSIONS)
 
 
 def q_any_label_count(spark, d):
-    s = _screened(spark, d)
-    m = s.agg(report.any_label_count(s, METHOD_LABELS).alias("n")).withColumn("dimension", F.lit("methods"))
-    a = s.agg(report.any_label_count(s, APPLICATION_LABELS).alias("n")).withColumn("dimension",
-                                                                                  F.lit("applications"))
-    return m.unionByName(a).select("dimension", F.col("n").cast("long").alias("n"))
+    return report.any_label_counts(_screened(spark, d), DIMENSIONS)
 
 
 def q_venn_regions(spark, d):

@@ -79,23 +79,17 @@ def report(annotated: DataFrame, flagged: DataFrame | None = None, out_dir: str
 
         screened = checkpoint(screened)
     labels = [*method_labels, *application_labels]
-    by_source = rep.category_counts_by_source(annotated, method_labels)
+    dims = {"methods": list(method_labels), "applications": list(application_labels)}
     out = {
         "temporal_trends": rep.temporal_trends(annotated, method_labels, min_year=min_year),
-        "category_counts_methods": rep.category_counts(annotated, method_labels),
-        "category_counts_applications": rep.category_counts(annotated, application_labels),
-        "category_counts_by_source_methods": rep.stack_offsets(by_source),
-        "category_counts_by_source_applications":
-            rep.stack_offsets(rep.category_counts_by_source(annotated, application_labels)),
-        "cooccurrence_methods": rep.cooccurrence(annotated, method_labels),
-        "cooccurrence_applications": rep.cooccurrence(annotated, application_labels),
+        "category_counts": rep.category_counts(annotated, dims),
+        "category_counts_by_source": rep.stack_offsets(rep.category_counts_by_source(annotated, dims)),
+        "cooccurrence": rep.cooccurrence(annotated, dims),
         "method_application_matrix": rep.method_application_matrix(annotated, method_labels, application_labels),
         "manual_screen_counts": screen.manual_screen_counts(annotated, method_labels, not_relevant),
         "venn_regions": rep.venn_regions(screened, method_labels, strict=len(method_labels) == 3),
-        "distribution_methods": rep.distribution(screened, method_labels),
-        "distribution_applications": rep.distribution(screened, application_labels),
-        "any_label_count": screened.agg(rep.any_label_count(screened, method_labels).alias("methods"),
-                                        rep.any_label_count(screened, application_labels).alias("applications")),
+        "distribution": rep.distribution(screened, dims),
+        "any_label_count": rep.any_label_counts(screened, dims),
         "multi_value_counts": rep.multi_value_counts(screened, category),
         "value_coverage": rep.value_coverage(screened, category),
         "screened_export": screen.screened_export(screened, labels),
