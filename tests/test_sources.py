@@ -109,3 +109,20 @@ def test_report_workflow_writes_every_table(spark):
     written = os.listdir(out)
     assert len(written) == 1 and written[0].startswith("run_")
     assert spark.read.parquet(f"{out}/{written[0]}/prisma_flow").count() == 18
+
+
+def test_multi_file_exports_in_path_then_row_order(spark):
+    d = tempfile.mkdtemp(prefix="winnow-multi-")
+    names = ["b.csv", "a.csv", "c.csv"]
+    sizes = [5, 40, 1]
+    for name, n in zip(names, sizes):
+        with open(f"{d}/{name}", "w", encoding="utf-8") as f:
+            f.write("Title,Authors,Publication Year,DOI\n")
+            for i in range(n):
+                f.write(f"{name}-{i},x,2020,\n")
+    empty = spark.createDataFrame([], "Title string")
+    rec = exports.harmonise(exports.read_export(spark, [f"{d}/{n}" for n in names]), empty, empty)
+    got = [r["title"] for r in rec.orderBy("row_id").collect()]
+    want = [f"{n}-{i}" for n in sorted(names) for i in range(dict(zip(names, sizes))[n])]
+    assert got == want
+    assert sorted(r["row_id"] for r in rec.collect()) == list(range(sum(sizes)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,12 +54,20 @@ def pick(df: DataFrame, name: str, default: Column | str | None = "") -> Column:
     return F.lit(default).cast("string")
 
 
+def _file_path(df: DataFrame) -> Column:
+    """The scanned file of each row for file-based frames, else ''."""
+    try:
+        df.select("_metadata.file_path").schema  # noqa: B018 - resolution check only
+        return F.col("_metadata.file_path")
+    except AnalysisException:
+        return F.lit("")
+
+
 def _adapt(df: DataFrame, source: str, title: Column, authors: Column, year: Column, doi: Column,
            order: Column | None) -> DataFrame:
     cols = [title.alias("title"), authors.alias("authors"), year.alias("year"), doi.alias("doi"),
             F.lit(source).alias("source"), F.lit(SOURCES.index(source)).alias("_source_ordinal")]
-    if order is not None:
-        cols.append(order.alias("_file_order"))
+    cols.append(order.alias("_file_order") if order is not None else _file_path(df).alias("_file"))
     return df.select(*cols)
 
 
@@ -87,48 +96,56 @@ def harmonise(pubmed: DataFrame, scopus: DataFrame, ieee: DataFrame, order_col:
     """SET-1 + DED-4: union in PubMed, Scopus, IEEE order with a fresh dense
     ``row_id`` 0..n-1 in that order.
 
-    Without ``order_col`` the order inside one export is its file order
-    (physical partition order of the scan). With ``order_col`` (a column of
-    each export) rows are ordered by it inside each export.
+    Without ``order_col`` the order inside one export is its files in path
+    order, each in row order (no sort: see ``assign_row_ids``). With
+    ``order_col`` (a column of each export) rows are ordered by it inside each
+    export, at the price of a distributed sort.
     """
     order = (lambda d: F.col(f"`{order_col}`")) if order_col else (lambda d: None)
     u = (adapt_pubmed(pubmed, order(pubmed))
          .unionByName(adapt_scopus(scopus, order(scopus)))
          .unionByName(adapt_ieee(ieee, order(ieee))))
-    keys = ["_source_ordinal", "_file_order"] if order_col else None
-    return assign_row_ids(u, order_by=keys).select(*RECORD_COLUMNS)
+    if order_col:
+        return assign_row_ids(u, order_by=["_source_ordinal", "_file_order"]).select(*RECORD_COLUMNS)
+    return assign_row_ids(u, segment_by=["_source_ordinal", "_file"]).select(*RECORD_COLUMNS)
 
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def assign_row_ids(df: DataFrame, order_by: Sequence[str] | None = None, col: str = "row_id") -> DataFrame:
-    """Dense ids 0..n-1 in ``order_by`` order (or physical order), without a
-    global single-partition window.
+def assign_row_ids(df: DataFrame, order_by: Sequence[str] | None = None, segment_by: Sequence[str] = (),
+                   col: str = "row_id") -> DataFrame:
+    """Dense ids 0..n-1 without a global single-partition window.
 
-    1. optional distributed sort (range partitioning),
-    2. ``monotonically_increasing_id`` (partition index in the high bits),
-    3. reliable checkpoint so both uses below see the same ids,
-    4. per-partition row counts -> prefix offsets (one row per partition:
-       bounded by the partition count, so the broadcast is small),
-    5. id = offset(partition) + row number inside the partition.
+    * ``order_by``: ids follow that order (a distributed range sort first).
+    * otherwise: ids follow ``segment_by`` (e.g. source, file) and then the
+      scan order inside each file - no sort of the rows at all.
+
+    Steps: ``monotonically_increasing_id`` (partition index in the high bits)
+    -> reliable checkpoint, so both uses below see the same ids -> one stats
+    row per segment (``segment_by`` values x partition: bounded by the number
+    of input splits, so it is broadcast) with its row count and first id ->
+    prefix offsets over the segments in (``segment_by``, first id) order ->
+    id = offset + position inside the segment. Rows of one file split are
+    contiguous inside a partition, and the splits of one file are laid out in
+    file order, so this is the concatenation order.
     """
     if order_by:
         df = df.orderBy(*order_by)
+        segment_by = ()
     tagged = checkpoint(df.withColumn("_mid", F.monotonically_increasing_id()))
+    seg = [*segment_by, "_part"]
     part = F.shiftright(F.col("_mid"), _ROW_BITS)
-    counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"),
-    )
-    local = F.col("_mid") - F.shiftleft(F.col("_part"), _ROW_BITS)
+    stats = tagged.withColumn("_part", part).groupBy(*seg).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.orderBy(*segment_by, "_first").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(*seg, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
     out = (tagged.withColumn("_part", part)
-           .join(F.broadcast(offsets), "_part")
-           .withColumn(col, (F.col("_offset") + local).cast("long")))
-    keep = [c for c in df.columns if c not in (col, "_file_order", "_source_ordinal")]
-    return out.select(col, *keep, *[c for c in ("_source_ordinal", "_file_order") if c in df.columns])
+           .join(F.broadcast(offsets), seg)
+           .withColumn(col, (F.col("_offset") + F.col("_mid") - F.col("_first")).cast("long")))
+    hidden = {col, "_file_order", "_source_ordinal", "_file"}
+    keep = [c for c in df.columns if c not in hidden]
+    return out.select(col, *keep, *[c for c in ("_source_ordinal", "_file_order", "_file") if c in df.columns])
 
 
 def split_by_source(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
