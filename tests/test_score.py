@@ -116,3 +116,16 @@ def test_tag_dimensions_equals_join(spark):
 def test_inference_batches(spark):
     assert score.inference_batches(spark.range(65), 32).first()["batches"] == 3
     assert score.inference_batches(spark.range(0), 32).first()["batches"] == 0
+
+
+def test_model_cache_separates_factories(spark):
+    def make(offset):
+        def factory():
+            def model(texts, labels):
+                return [{"labels": list(labels), "scores": [offset] * len(labels)} for _ in texts]
+            return model
+        return factory
+    df = spark.createDataFrame([(1, "t")], "row_id long, title string").coalesce(1)
+    a = score.model_scores(df, "title", ["x"], make(0.1)).first()["scores"]
+    b = score.model_scores(df, "title", ["x"], make(0.9)).first()["scores"]
+    assert a == {"x": 0.1} and b == {"x": 0.9}

@@ -18,7 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import hashlib
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,7 +106,9 @@ def model_scores(df: DataFrame, text_col: str, labels: Sequence[str], factory: C
     Runs in ``mapInPandas``: Arrow batches in, the model built once per Python
     worker, ``batch_size`` texts per call. Empty partitions yield nothing."""
     labels = list(labels)
-    key = cache_key or f"{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', repr(factory))}"
+    # the factory's pickled bytes identify it: two closures with the same
+    # name but different captured settings (model name, device) get two models
+    key = cache_key or hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
     schema = T.StructType([*df.schema.fields, T.StructField("_labels", T.ArrayType(T.StringType())),
                            T.StructField("_scores", T.ArrayType(T.DoubleType()))])
 
