@@ -51,6 +51,13 @@ def _dim(d: str | None) -> list[Column]:
     return [] if d is None else [F.lit(d).alias("dimension")]
 
 
+def _sorted_small(df: DataFrame, *cols) -> DataFrame:
+    """Total order for a table that is small by construction (labels, years,
+    sources, category values): one partition sorted in place, without the
+    sampling job and range exchange of a global ``orderBy``."""
+    return df.coalesce(1).sortWithinPartitions(*cols)
+
+
 def _long(row: DataFrame, entries: list[Column]) -> DataFrame:
     """One aggregated row -> many rows (``inline`` of an array of structs)."""
     return row.select(F.inline(F.array(*entries)))
@@ -118,8 +125,8 @@ def qa_missing(keyed: DataFrame) -> DataFrame:
 
 def source_counts(df: DataFrame) -> DataFrame:
     """AGG-1 / AGG-6: rows per source, largest first."""
-    return (df.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.asc_nulls_last("source")))
+    return _sorted_small(df.groupBy("source").agg(F.count(F.lit(1)).alias("n")),
+                         F.desc("n"), F.asc_nulls_last("source"))
 
 
 # ---------------------------------------------------------------------------
@@ -173,9 +180,9 @@ def temporal_trends(df: DataFrame, labels: Sequence[str], year_col: str = "year"
     yearly = (df.filter(y.isNotNull() & (y >= min_year))
               .groupBy(y.alias("year"))
               .agg(*[sum0(lc(l)).alias(f"_s{i}") for i, l in enumerate(labels)]))
-    return (yearly.select("year", F.inline(F.array(*[
-        F.struct(F.lit(l).alias("label"), F.col(f"_s{i}").alias("n")) for i, l in enumerate(labels)])))
-        .orderBy("year", "label"))
+    return _sorted_small(yearly.select("year", F.inline(F.array(*[
+        F.struct(F.lit(l).alias("label"), F.col(f"_s{i}").alias("n")) for i, l in enumerate(labels)]))),
+        "year", "label")
 
 
 def category_counts(df: DataFrame, labels: Labels) -> DataFrame:
@@ -185,7 +192,7 @@ def category_counts(df: DataFrame, labels: Labels) -> DataFrame:
     row = df.agg(*[sum0(lc(l)).alias(f"_s{i}") for i, (_, l) in enumerate(pairs)])
     out = _long(row, [F.struct(*_dim(d), F.lit(l).alias("label"), F.col(f"_s{i}").alias("n"))
                       for i, (d, l) in enumerate(pairs)])
-    return out.orderBy(*(["dimension"] if isinstance(labels, dict) else []), "n", "label")
+    return _sorted_small(out, *(["dimension"] if isinstance(labels, dict) else []), "n", "label")
 
 
 def category_counts_by_source(df: DataFrame, labels: Labels, sources: Sequence[str] = SOURCES) -> DataFrame:
@@ -225,7 +232,7 @@ def stack_offsets(by_source: DataFrame) -> DataFrame:
 def distribution(df: DataFrame, labels: Labels) -> DataFrame:
     """AGG-13: label totals above zero, largest first."""
     dims = ["dimension"] if isinstance(labels, dict) else []
-    return category_counts(df, labels).filter(F.col("n") > 0).orderBy(*dims, F.desc("n"), "label")
+    return _sorted_small(category_counts(df, labels).filter(F.col("n") > 0), *dims, F.desc("n"), "label")
 
 
 def any_label_count(df: DataFrame, labels: Sequence[str]) -> Column:
@@ -284,7 +291,7 @@ def multi_value_counts(df: DataFrame, column: str) -> DataFrame:
     values = (df.filter(nonblank(cell))
               .select(F.explode(split_multi_value(cell)).alias("value"))
               .filter(F.col("value") != ""))
-    return values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "value")
+    return _sorted_small(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "n", "value")
 
 
 def value_coverage(df: DataFrame, column: str) -> DataFrame:

@@ -171,8 +171,8 @@ def q_value_coverage(spark, d):
 
 # --- scoring ----------------------------------------------------------------
 
-def _lex_scored(spark, d, labels=LEX_LABELS):
-    c = _candidates(spark, d)
+def _lex_scored(spark, d, labels=LEX_LABELS, candidates=None):
+    c = _candidates(spark, d) if candidates is None else candidates
     return score.with_lexical_scores(c, "title_norm", labels, normalised=True).drop("title_norm")
 
 
@@ -193,9 +193,10 @@ def q_top_labels(spark, d):
 
 def _merged(spark, d):
     keep = ["row_id", "dedup_key", "title", "authors", "year", "doi", "source"]
-    m = score.threshold_tags(_lex_scored(spark, d, LEX_METHODS), LEX_METHODS, DIMENSION_TAG_THRESHOLD)
-    a = score.threshold_tags(_lex_scored(spark, d, LEX_APPLICATIONS), LEX_APPLICATIONS, DIMENSION_TAG_THRESHOLD)
-    m = m.select(*keep, *[report.lc(c) for l in LEX_METHODS for c in (l, f"{l}_score")])
+    c = _candidates(spark, d)  # one candidate set, scored per dimension
+    m = score.threshold_tags(_lex_scored(spark, d, LEX_METHODS, c), LEX_METHODS, DIMENSION_TAG_THRESHOLD)
+    a = score.threshold_tags(_lex_scored(spark, d, LEX_APPLICATIONS, c), LEX_APPLICATIONS, DIMENSION_TAG_THRESHOLD)
+    m = m.select(*keep, *[report.lc(col) for l in LEX_METHODS for col in (l, f"{l}_score")])
     return score.merge_dimensions(m, a, LEX_APPLICATIONS)
 
 
@@ -228,7 +229,7 @@ def q_excluded_sample(spark, d):
 
 
 def q_score_labels_cosine(spark, d):
-    emb = spark.read.parquet(f"{d}/embeddings.parquet")
+    emb = spark.read.schema(fixture.EMBEDDINGS_SCHEMA).parquet(f"{d}/embeddings.parquet")
     vecs = score.label_vectors(emb, "label", "embedding", "vec_id")
     scored = emb.select("vec_id", score.cosine_scores("embedding", vecs).alias("scores"))
     return score.scores_long(scored, ["vec_id"], list(vecs))

@@ -28,6 +28,11 @@ FIXTURE_TAGS = {
     "cancer_type": CANCER_TYPE,
 }
 
+# Declared schemas of the input tables (no footer read for inference).
+DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+LABELS_SCHEMA = "doc_id bigint, quality int, toxic int"
+EMBEDDINGS_SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
 RECORDS_SQL = """select d.doc_id as row_id,
  case when d.doc_id % 17 = 0 then null
       when d.doc_id % 13 = 0 then 'A Systematic Review of ' || substring(split_part(d.text, chr(10), 1), 1, 80)
@@ -53,50 +58,47 @@ RECORDS_SQL = """select d.doc_id as row_id,
 from documents d left join labels l on d.doc_id = l.doc_id"""
 
 
-def _flag(cond) -> F.Column:
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("int")
-
-
 def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """``records`` (row_id, title, authors, year_raw, doi, source, m1..m3,
     a1..a4, not_relevant, cancer_type) over the whole ``documents`` table.
     ``spread``: see ``spread_small_scan`` (for regex-heavy consumers)."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    i = F.col("doc_id")
-    head = F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 80)
-    h12 = F.substring(F.md5(F.col("text")), 1, 12)
-    n = F.col("n_chars")
-    slim = docs.select(
-        i.alias("row_id"),
-        F.when(i % 17 == 0, F.lit(None).cast("string"))
-        .when(i % 13 == 0, F.concat(F.lit("A Systematic Review of "), head))
-        .when(i % 19 == 0, F.concat(head, F.lit(" – peer-review")))
-        .when(i % 11 == 0, F.concat(F.lit("Proceedings:  "), head))
-        .otherwise(head).alias("title"),
-        F.concat(F.lit("Author "), F.col("source")).alias("authors"),
-        F.when(i % 10 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("c"), (F.lit(2018) + n % 8).cast("string"), F.lit(".0"))).alias("year_raw"),
-        F.when(i % 5 == 2, F.concat(F.lit("https://doi.org/10.1000/"), F.upper(h12), F.lit(".")))
-        .when(i % 5 == 3, F.concat(F.lit("doi: 10.1000/"), h12))
-        .when(i % 5 == 4, F.concat(F.lit(" http://dx.doi.org/10.1000/"), h12, F.lit(" ;"))).alias("doi"),
-        F.when(i % 3 == 0, "PubMed").when(i % 3 == 1, "Scopus").otherwise("IEEE").alias("source"),
-        _flag(n % 4 == 0).alias("m3"),
-        _flag(n % 2 == 0).alias("a1"),
-        _flag(n % 3 == 0).alias("a2"),
-        _flag(F.col("lang") == "en").alias("a3"),
-        _flag(F.col("lang") == "fr").alias("a4"),
-        _flag(i % 23 == 0).alias("not_relevant"),
-        F.when(i % 6 == 0, "Lung, Breast; Colon").when(i % 6 == 1, " Lung ")
-        .when(i % 6 == 3, "").when(i % 6 == 4, "Breast;;").when(i % 6 == 5, ",Glioma,Lung")
-        .alias("cancer_type"),
+    docs = spark.read.schema(DOCUMENTS_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.schema(LABELS_SCHEMA).parquet(f"{sf_dir}/labels.parquet")
+    # text-derived columns first (one SQL expression each), then the join
+    head = "substring(substring_index(text, '\\n', 1), 1, 80)"
+    h12 = "substring(md5(text), 1, 12)"
+    slim = docs.selectExpr(
+        "doc_id as row_id",
+        f"""case when doc_id % 17 = 0 then cast(null as string)
+                 when doc_id % 13 = 0 then concat('A Systematic Review of ', {head})
+                 when doc_id % 19 = 0 then concat({head}, ' – peer-review')
+                 when doc_id % 11 = 0 then concat('Proceedings:  ', {head})
+                 else {head} end as title""",
+        "concat('Author ', source) as authors",
+        "case when doc_id % 10 = 0 then cast(null as string) "
+        "else concat('c', cast(2018 + n_chars % 8 as string), '.0') end as year_raw",
+        f"""case doc_id % 5 when 2 then concat('https://doi.org/10.1000/', upper({h12}), '.')
+                            when 3 then concat('doi: 10.1000/', {h12})
+                            when 4 then concat(' http://dx.doi.org/10.1000/', {h12}, ' ;') end as doi""",
+        "case doc_id % 3 when 0 then 'PubMed' when 1 then 'Scopus' else 'IEEE' end as source",
+        "cast(case when n_chars % 4 = 0 then 1 else 0 end as int) as m3",
+        "cast(case when n_chars % 2 = 0 then 1 else 0 end as int) as a1",
+        "cast(case when n_chars % 3 = 0 then 1 else 0 end as int) as a2",
+        "cast(case when lang = 'en' then 1 else 0 end as int) as a3",
+        "cast(case when lang = 'fr' then 1 else 0 end as int) as a4",
+        "cast(case when doc_id % 23 = 0 then 1 else 0 end as int) as not_relevant",
+        """case doc_id % 6 when 0 then 'Lung, Breast; Colon' when 1 then ' Lung ' when 3 then ''
+                          when 4 then 'Breast;;' when 5 then ',Glioma,Lung' end as cancer_type""",
     )
-    tags = labels.select(F.col("doc_id").alias("row_id"), F.col("quality").alias("m1"), F.col("toxic").alias("m2"))
+    tags = labels.selectExpr("doc_id as row_id", "quality as m1", "toxic as m2")
     out = (spread_small_scan(slim, "row_id") if spread else slim).join(tags, "row_id", "left")
     return out.select("row_id", "title", "authors", "year_raw", "doi", "source", "m1", "m2", "m3",
                       "a1", "a2", "a3", "a4", "not_relevant", "cancer_type")
 
 
+_SPREAD: dict[tuple, bool] = {}
+
+
 def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread rows over the shuffle partitions when the scan yields fewer
     input partitions than the session has cores (a table stored as one big
@@ -104,10 +106,14 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
 
     Large tables have far more splits than cores and pass through untouched;
     the spread is on the join key, so a following sort-merge join on ``key``
-    reuses this partitioning instead of shuffling again."""
+    reuses this partitioning instead of shuffling again. The decision only
+    depends on the input files, so it is planned once per file list."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    sig = (tuple(df.inputFiles()), cores)
+    if sig not in _SPREAD:
+        _SPREAD[sig] = df.rdd.getNumPartitions() < cores
+    if not _SPREAD[sig]:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
