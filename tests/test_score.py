@@ -129,3 +129,10 @@ def test_model_cache_separates_factories(spark):
     a = score.model_scores(df, "title", ["x"], make(0.1)).first()["scores"]
     b = score.model_scores(df, "title", ["x"], make(0.9)).first()["scores"]
     assert a == {"x": 0.1} and b == {"x": 0.9}
+
+
+def test_label_vectors_bound(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)], i) for i in range(5)], "vec_id long, v array<float>, label int")
+    assert len(score.label_vectors(df, "label", "v", "vec_id", max_labels=5)) == 5
+    with pytest.raises(ValueError, match="max_labels"):
+        score.label_vectors(df, "label", "v", "vec_id", max_labels=4)

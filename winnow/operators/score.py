@@ -81,17 +81,17 @@ def cosine_scores(vec: Column | str, label_vectors: dict[str, Sequence[float]])
 
 
 def label_vectors(df: DataFrame, label_col: str, vec_col: str, order_col: str,
-                  labels: Sequence | None = None, max_labels: int = 10_000) -> dict[str, list[float]]:
+                  labels: Sequence | None = None, max_labels: int = 1_000) -> dict[str, list[float]]:
     """Reference vector per label: the vector of the smallest ``order_col``.
 
-    Computed by one ``min_by`` aggregate (one row per label) and brought to
-    the driver only after its size is checked against ``max_labels``."""
+    One ``min_by`` aggregate (one row per label); at most ``max_labels + 1``
+    rows ever reach the driver, and more than ``max_labels`` is an error (the
+    vectors become literals of the scoring expression)."""
     src = df if labels is None else df.filter(lc(label_col).isin(list(labels)))
     per_label = src.groupBy(lc(label_col).alias("label")).agg(F.min_by(lc(vec_col), lc(order_col)).alias("vec"))
-    n = per_label.count()
-    if n > max_labels:
-        raise ValueError(f"{n} labels exceed max_labels={max_labels}")
-    rows = per_label.orderBy("label").collect()
+    rows = per_label.orderBy("label").limit(max_labels + 1).collect()  # bounded: at most max_labels + 1 rows
+    if len(rows) > max_labels:
+        raise ValueError(f"more than max_labels={max_labels} labels")
     return {str(r["label"]): [float(x) for x in r["vec"]] for r in rows}
 
 
