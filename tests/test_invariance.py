@@ -61,3 +61,26 @@ def test_hot_title_key_end_to_end(spark):
     plan = flagged._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "BroadcastExchange" in plan
     assert flagged.filter(F.col("dup_group_size").isNull()).count() == 0
+
+
+def test_properties_on_fixture(spark):
+    from conftest import SF_MID
+    from winnow.functions.constants import METHOD_LABELS
+    from winnow.sources.fixture import annotated, raw_records
+
+    flagged = ident.identify(raw_records(spark, SF_MID))
+    inv = flagged.agg(F.sum(1.0 / F.col("dup_group_size")).alias("s"),
+                      F.countDistinct("dedup_key").alias("k")).first()
+    assert round(inv["s"], 6) == inv["k"]
+
+    ann = annotated(spark, SF_MID)
+    regions = report.venn_regions(ann, METHOD_LABELS, null_as_true=False).collect()
+    any_n = ann.agg(report.any_label_count(ann, METHOD_LABELS)).first()[0]
+    assert sum(r["n"] for r in regions) == any_n == regions[0]["total"]
+
+    co = {(r["row_label"], r["col_label"]): r["n"] for r in report.cooccurrence(ann, METHOD_LABELS).collect()}
+    tot = {r["label"]: r["n"] for r in report.category_counts(ann, METHOD_LABELS).collect()}
+    for a in METHOD_LABELS:
+        assert co[(a, a)] == tot[a]           # tags are 0/1 (or null) here
+        for b in METHOD_LABELS:
+            assert co[(a, b)] == co[(b, a)]

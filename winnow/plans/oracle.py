@@ -121,14 +121,6 @@ s as (
 """
 
 
-def _dims(body: str) -> str:
-    """``body`` formatted once per dimension with {labels} as (label, column) pairs."""
-    out = []
-    for dim, labels in (("methods", METHOD_LABELS), ("applications", APPLICATION_LABELS)):
-        out.append(body.format(dim=q(dim), **{"labels": labels}))
-    return "\nunion all\n".join(out)
-
-
 def _lex_words(label: str) -> list[str]:
     return sorted(set(w for w in label.lower().split() if w))
 
