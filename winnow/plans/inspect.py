@@ -62,9 +62,30 @@ def main(argv: list[str]) -> None:
         print(f"| {name} | {s['hash_exchanges']} | {s['range_exchanges']} | {s['single_partition_exchanges']} | "
               f"{s['broadcasts']} | {s['reused_exchanges']} | {joins} | {aggs} | {s['windows']} | {scans} |")
     print(SCALE_NOTES)
+    print("## Formatted final plans\n")
+    for name in FORMATTED:
+        df = QUERIES[name](spark, sf_dir)
+        df.collect()
+        print(f"### {name}\n\n```")
+        print(formatted(df).strip())
+        print("```\n")
     spark.stop()
 
 
+FORMATTED = ("identification_summary", "flag_duplicates", "keep_first", "merge_dimensions")
+
+
+def formatted(df: DataFrame) -> str:
+    """``explain("formatted")`` text of the DataFrame's own (executed) plan."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 SCALE_NOTES = """
 ## What changes at 100 TB
 
