@@ -136,3 +136,10 @@ def test_label_vectors_bound(spark):
     assert len(score.label_vectors(df, "label", "v", "vec_id", max_labels=5)) == 5
     with pytest.raises(ValueError, match="max_labels"):
         score.label_vectors(df, "label", "v", "vec_id", max_labels=4)
+
+
+def test_cosine_zero_vector_is_null(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "vec_id long, v array<float>")
+    out = df.select("vec_id", score.cosine_scores("v", {"a": [1.0, 0.0]}).alias("scores"))
+    got = {r["vec_id"]: r["scores"]["a"] for r in out.collect()}
+    assert got == {1: None, 2: 1.0}

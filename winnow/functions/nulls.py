@@ -47,8 +47,10 @@ def fill0_int(c: Column | str) -> Column:
 
 
 def lenient_int(c: Column | str) -> Column:
-    """N14 / TXT-6: ``to_numeric(errors='coerce')`` then truncate to int."""
-    return _col(c).cast("string").try_cast("double").cast("int")
+    """N14 / TXT-6: ``to_numeric(errors='coerce')`` then truncate to int;
+    text that is no number, or a number outside the int range, is null
+    (ANSI casts would raise)."""
+    return _col(c).cast("string").try_cast("double").try_cast("int")
 
 
 def sum0(c: Column | str) -> Column:

@@ -75,7 +75,7 @@ def cosine_scores(vec: Column | str, label_vectors: dict[str, Sequence[float]])
     for label, ref in label_vectors.items():
         r = F.array(*[F.lit(float(x)) for x in ref]).cast("array<double>")
         nr = F.sqrt(_dot(r, r))
-        scores.append(_dot(v, r) / (nv * nr))
+        scores.append(F.try_divide(_dot(v, r), nv * nr))  # a zero vector scores null, not an error
         labels.append(F.lit(label).cast("string"))
     return F.map_from_arrays(F.array(*labels), F.array(*scores))
 

@@ -231,7 +231,8 @@ def _cosine() -> str:
     return f"""with lv as (select label, arg_min(embedding, vec_id)::double[] as v from embeddings group by label)
 select e.vec_id, cast(lv.label as varchar) as label,
        round({dot}(e.embedding::double[], lv.v) /
-             (sqrt({dot}(e.embedding::double[], e.embedding::double[])) * sqrt({dot}(lv.v, lv.v))), 4) + 0.0 as score
+             nullif(sqrt({dot}(e.embedding::double[], e.embedding::double[])) * sqrt({dot}(lv.v, lv.v)), 0), 4) + 0.0
+         as score
 from embeddings e, lv"""
 
 
