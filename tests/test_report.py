@@ -127,3 +127,9 @@ def test_multi_value(spark, tags):
 def test_missing_columns_raise(spark, tags):
     with pytest.raises(ValueError, match="missing"):
         rep.category_counts(tags, ["nope"])
+
+
+def test_cooccurrence_long_form_equals_wide(spark, tags):
+    wide = sorted(tuple(r) for r in rep.cooccurrence(tags, {"d": L}).collect())
+    long = sorted(tuple(r) for r in rep.cooccurrence(tags, {"d": L}, wide_limit=1).collect())
+    assert wide == long

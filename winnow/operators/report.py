@@ -133,11 +133,18 @@ def source_counts(df: DataFrame) -> DataFrame:
 # Label tables
 # ---------------------------------------------------------------------------
 
-def cooccurrence(df: DataFrame, labels: Labels) -> DataFrame:
+WIDE_PAIR_LIMIT = 50
+
+
+def cooccurrence(df: DataFrame, labels: Labels, wide_limit: int = WIDE_PAIR_LIMIT) -> DataFrame:
     """AGG-8: ``B^T B`` over ``fillna(0).astype(int)`` tags, as
     ``([dimension,] row_label, col_label, n)``; symmetric, diagonal = sum of
-    squares. One pass: one partial sum per unordered label pair of a group."""
+    squares. One pass: one partial sum per unordered label pair of a group.
+    Groups above ``wide_limit`` labels use ``cooccurrence_long`` (the wide
+    aggregate has a column per label pair)."""
     require(df, _all_labels(labels), "Theme columns")
+    if max(len(ls) for _, ls in _groups(labels)) > wide_limit:
+        return cooccurrence_long(df, labels)
     aggs, entries = [], []
     for g, (d, ls) in enumerate(_groups(labels)):
         v = [fill0_int(lc(l)) for l in ls]
@@ -152,6 +159,38 @@ def cooccurrence(df: DataFrame, labels: Labels) -> DataFrame:
     return _long(df.agg(*aggs), entries)
 
 
+def cooccurrence_long(df: DataFrame, labels: Labels) -> DataFrame:
+    """AGG-8 for many labels: each row pairs only its own nonzero labels
+    (at most its positive labels squared), the pairs are counted with one
+    ``groupBy`` (partial aggregation), and pairs that never co-occur are
+    filled with 0 from the label list. Same table as ``cooccurrence``."""
+    groups = _groups(labels)
+    spark = df.sparkSession
+    frames = []
+    for d, ls in groups:
+        entries = F.array(*[F.struct(F.lit(l).alias("label"), fill0_int(lc(l)).alias("v")) for l in ls])
+        pos = F.filter(entries, lambda e: e["v"] != 0)
+        pairs = F.flatten(F.transform(pos, lambda a: F.transform(
+            pos, lambda b: F.struct(a["label"].alias("row_label"), b["label"].alias("col_label"),
+                                    (a["v"] * b["v"]).alias("p")))))
+        counted = (df.select(F.explode(pairs).alias("e"))
+                   .groupBy(F.col("e.row_label").alias("row_label"), F.col("e.col_label").alias("col_label"))
+                   .agg(F.sum("e.p").cast("long").alias("n")))
+        # every (row, col) pair of the label list, zero when absent: the grid
+        # is generated in Spark from the k label literals (two explodes), then
+        # joined by key - neither a cross join nor labels^2 rows from the driver
+        lits = F.array(*[F.lit(l) for l in ls])
+        grid = (spark.range(1).select(F.explode(lits).alias("row_label"))
+                .select("row_label", F.explode(lits).alias("col_label")))
+        out = (grid.join(counted, ["row_label", "col_label"], "left")
+               .select(*_dim(d), "row_label", "col_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+        frames.append(out)
+    res = frames[0]
+    for f in frames[1:]:
+        res = res.unionByName(f)
+    return res
+
+
 def short_name(label: str) -> str:
     """PRJ-4: display name, identity when unmapped."""
     return METHOD_SHORT.get(label, APPLICATION_SHORT.get(label, label))
