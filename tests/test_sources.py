@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from winnow.plans import workflow
 from winnow.sources import exports, tables
@@ -126,3 +127,25 @@ def test_multi_file_exports_in_path_then_row_order(spark):
     want = [f"{n}-{i}" for n in sorted(names) for i in range(dict(zip(names, sizes))[n])]
     assert got == want
     assert sorted(r["row_id"] for r in rec.collect()) == list(range(sum(sizes)))
+
+
+def test_command_line_two_phases(spark, folder):
+    import glob
+
+    from winnow.__main__ import main
+    out = tempfile.mkdtemp(prefix="winnow-cli-")
+    main(["identify", "--pubmed", f"{folder}/pubmed.csv", "--scopus", f"{folder}/scopus.csv",
+          "--ieee", f"{folder}/ieee.csv", "--out", out, "--methods", "m1", "m2", "m3", "--applications", "a1"],
+         spark=spark)
+    template = glob.glob(f"{out}/template/*.csv")
+    assert template
+    t = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/template")
+    assert {"Title", "m1", "Not Relevant", "Cancer Type", "dedup_key"} <= set(t.columns)
+    # a person tags the template: emulate by writing an annotated copy
+    ann = t.withColumn("m1", F.lit("1")).withColumn("Cancer Type", F.lit("Lung; Colon"))
+    ann.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{out}/annotated")
+    res = main(["report", "--annotated", f"{out}/annotated/*.csv", "--out", out,
+                "--methods", "m1", "m2", "m3", "--applications", "a1"], spark=spark)
+    assert {r["value"]: r["n"] for r in res["multi_value_counts"].collect()} == {"Lung": t.count(), "Colon": t.count()}
+    assert res["prisma_flow"].filter("box = 'title_screen_passed'").first()["value"] == t.count()
+    assert len(glob.glob(f"{out}/run_*/prisma_flow")) == 1
