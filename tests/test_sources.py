@@ -149,3 +149,18 @@ def test_command_line_two_phases(spark, folder):
     assert {r["value"]: r["n"] for r in res["multi_value_counts"].collect()} == {"Lung": t.count(), "Colon": t.count()}
     assert res["prisma_flow"].filter("box = 'title_screen_passed'").first()["value"] == t.count()
     assert len(glob.glob(f"{out}/run_*/prisma_flow")) == 1
+
+
+def test_read_or_build_rebuilds_for_new_inputs(spark):
+    out = tempfile.mkdtemp(prefix="winnow-rob-") + "/t"
+    calls = []
+
+    def build(n):
+        def f():
+            calls.append(n)
+            return spark.range(n)
+        return f
+    assert tables.read_or_build(spark, out, build(3), key=tables.fingerprint("a")).count() == 3
+    assert tables.read_or_build(spark, out, build(5), key=tables.fingerprint("a")).count() == 3   # reused
+    assert tables.read_or_build(spark, out, build(5), key=tables.fingerprint("b")).count() == 5   # new inputs
+    assert calls == [3, 5]

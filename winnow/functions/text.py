@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import KEY_ROW, KEY_TITLE, KEY_TITLE_YEAR, KEY_YEAR_SEP, REVIEW_PHRASES, REVIEW_WORD
+from .constants import (KEY_ROW, KEY_TITLE, KEY_TITLE_YEAR, KEY_YEAR_SEP, MULTI_VALUE_SPLIT, REVIEW_PHRASES,
+                        REVIEW_WORD)
 
 WS_CHARS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS = f"[{WS_CHARS}]"
@@ -111,7 +112,7 @@ def dedup_key(doi_norm: Column | str, title_norm: Column | str, year: Column | s
     )
 
 
-def split_multi_value(c: Column | str, pattern: str = "[,;]+") -> Column:
+def split_multi_value(c: Column | str, pattern: str = MULTI_VALUE_SPLIT) -> Column:
     """TXT-8 (array part): strip the cell, split on runs of separators, strip
     each piece. Blank pieces are kept; callers filter them after ``explode``."""
     return F.transform(F.split(strip_ws(_col(c)), pattern), lambda v: strip_ws(v))
