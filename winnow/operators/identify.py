@@ -48,6 +48,18 @@ def keyed(records: DataFrame) -> DataFrame:
     return flag_reviews(add_dedup_key(normalise(records)))
 
 
-def identify(records: DataFrame, **skew) -> DataFrame:
-    """PIP-1 core: the flagged table, one row per input record."""
-    return flag_duplicates(keyed(records), **skew).select(*FLAGGED_COLUMNS)
+def identify(records: DataFrame, reuse: str = "scan", **skew) -> DataFrame:
+    """PIP-1 core: the flagged table, one row per input record.
+
+    Group sizes read the keyed rows twice (key counts, then the rows).
+    ``reuse="scan"`` re-reads the input: right for a narrow stored table such
+    as the harmonised checkpoint. ``reuse="exchange"`` hash-partitions the
+    narrow keyed rows by ``row_id`` once and both reads share that exchange:
+    right when the input is costly to recompute (e.g. derived from full
+    document text), since one scan plus a reused shuffle beats two scans."""
+    k = keyed(records)
+    if reuse == "exchange":
+        k = k.repartition(F.col("row_id"))
+    elif reuse != "scan":
+        raise ValueError("reuse must be 'scan' or 'exchange'")
+    return flag_duplicates(k, **skew).select(*FLAGGED_COLUMNS)

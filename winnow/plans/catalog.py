@@ -87,7 +87,9 @@ def q_dedup_key(spark, d):
 
 
 def q_flag_duplicates(spark, d):
-    return ident.identify(_records(spark, d)).select("row_id", "dedup_key", "dup_group_size", "flag_duplicate")
+    # records are derived from full document text: scan once, share the exchange
+    return ident.identify(_records(spark, d), reuse="exchange").select("row_id", "dedup_key", "dup_group_size",
+                                                                       "flag_duplicate")
 
 
 def q_keep_first(spark, d):
