@@ -53,9 +53,12 @@ def _dim(d: str | None) -> list[Column]:
 
 def _sorted_small(df: DataFrame, *cols) -> DataFrame:
     """Total order for a table that is small by construction (labels, years,
-    sources, category values): one partition sorted in place, without the
-    sampling job and range exchange of a global ``orderBy``."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
+    sources, category values), without the sampling job of a global
+    ``orderBy``. ``repartition(1)``, not ``coalesce(1)``: a coalesce is narrow
+    and would pull the final aggregate (partial rows of every map task) into
+    one task; the exchange keeps that aggregate parallel and moves only its
+    small output."""
+    return df.repartition(1).sortWithinPartitions(*cols)
 
 
 def _long(row: DataFrame, entries: list[Column]) -> DataFrame:
