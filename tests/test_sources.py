@@ -164,3 +164,12 @@ def test_read_or_build_rebuilds_for_new_inputs(spark):
     assert tables.read_or_build(spark, out, build(5), key=tables.fingerprint("a")).count() == 3   # reused
     assert tables.read_or_build(spark, out, build(5), key=tables.fingerprint("b")).count() == 5   # new inputs
     assert calls == [3, 5]
+
+
+def test_crlf_export(spark):
+    d = tempfile.mkdtemp(prefix="winnow-crlf-")
+    with open(f"{d}/x.csv", "w", encoding="utf-8", newline="") as f:
+        f.write('Title,Authors,Publication Year,DOI\r\n"A\r\nB",X,2020,10.1/a\r\nC,Y,NA,10.1/b\r\n')
+    rows = exports.read_export(spark, f"{d}/x.csv").collect()
+    assert [r["DOI"] for r in rows] == ["10.1/a", "10.1/b"]
+    assert rows[0]["Title"] in ("A\r\nB", "A\nB") and rows[1]["Publication Year"] is None
