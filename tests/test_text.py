@@ -126,8 +126,8 @@ def _stepwise_doi(c):
     """The DOI rule spelled out one step at a time (strip, lower, two prefixes,
     whitespace, trailing punctuation) - the form the two-pass version replaces."""
     from pyspark.sql import functions as F
-    from winnow.functions.text import WS, strip_ws
-    x = F.lower(strip_ws(F.coalesce(c, F.lit(""))))
+    from winnow.functions.text import WS, lower, strip_ws
+    x = lower(strip_ws(F.coalesce(c, F.lit(""))))
     x = F.regexp_replace(x, f"^doi:{WS}*", "")
     x = F.regexp_replace(x, r"^https?://(dx\.)?doi\.org/", "")
     x = F.regexp_replace(x, f"{WS}+", "")
@@ -136,8 +136,8 @@ def _stepwise_doi(c):
 
 def _stepwise_title(c):
     from pyspark.sql import functions as F
-    from winnow.functions.text import WS, WS_CHARS, WORD_CHARS, strip_ws
-    x = F.regexp_replace(strip_ws(F.lower(F.coalesce(c, F.lit("")))), f"{WS}+", " ")
+    from winnow.functions.text import WS, WS_CHARS, WORD_CHARS, lower, strip_ws
+    x = F.regexp_replace(strip_ws(lower(F.coalesce(c, F.lit("")))), f"{WS}+", " ")
     x = F.translate(x, "–—−", "---")
     x = F.regexp_replace(x, f"[^{WORD_CHARS}{WS_CHARS}\\-]", "")
     return strip_ws(F.regexp_replace(x, f"{WS}+", " "))
@@ -157,3 +157,24 @@ def test_two_pass_forms_equal_stepwise(spark, values):
                      norm_title(v).alias("c"), _stepwise_title(v).alias("d")).collect()
     for r in rows:
         assert r["a"] == r["b"] and r["c"] == r["d"]
+
+
+def test_locale_independent_under_turkish_jvm():
+    """A JVM whose default locale is Turkish must produce the same keys."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from winnow.functions.text import norm_title, norm_doi
+spark = (SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')
+         .config('spark.driver.extraJavaOptions', '-Duser.language=tr -Duser.country=TR').getOrCreate())
+df = spark.createDataFrame([('TITLE IN İSTANBUL', 'DOI: 10.1/ABCI')], 'v string, d string')
+r = df.select(norm_title('v').alias('t'), norm_doi('d').alias('d')).first()
+print('RESULT', r['t'], r['d'])
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    line = [l for l in out.stdout.splitlines() if l.startswith("RESULT")]
+    assert line == ["RESULT title in istanbul 10.1/abci"], out.stdout + out.stderr[-2000:]

@@ -37,6 +37,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def lower(c: Column | str) -> Column:
+    """Locale-independent lower case. Spark's plain ``lower`` follows the JVM
+    default locale for non-ASCII text (under tr_TR, ``I`` becomes a dotless
+    ``ı``), so keys would depend on the cluster's locale; the ``UNICODE``
+    collation lower-cases by the root Unicode rules, as Python's ``str.lower``
+    does (dotted I, final sigma). Pure-ASCII text (characters == bytes) takes
+    Spark's byte-wise ASCII path, which is locale-free and much cheaper."""
+    x = _col(c)
+    return F.when(F.length(x) == F.octet_length(x), F.lower(x)).otherwise(
+        F.lower(F.collate(x, "UNICODE")).cast("string"))
+
+
 def strip_ws(c: Column | str) -> Column:
     """Remove leading and trailing Unicode whitespace (``trim`` only drops spaces)."""
     return F.regexp_replace(_col(c), _STRIP, "")
@@ -50,7 +62,7 @@ def norm_text(c: Column | str) -> Column:
     """TXT-1: null to '', lower case, strip, collapse whitespace runs to one
     space. After the collapse the only whitespace left is U+0020, so the strip
     is a plain ``trim``."""
-    x = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+    x = lower(F.coalesce(_col(c).cast("string"), F.lit("")))
     return F.trim(collapse_ws(x))
 
 
@@ -64,7 +76,7 @@ def norm_doi(c: Column | str) -> Column:
     prefixes in order; (2) every whitespace run, plus a trailing run of
     ``.,;`` mixed with whitespace - the same as removing whitespace first and
     then stripping the punctuation."""
-    x = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+    x = lower(F.coalesce(_col(c).cast("string"), F.lit("")))
     x = F.regexp_replace(x, _DOI_PREFIX, "")
     return F.regexp_replace(x, _DOI_TAIL, "")
 
@@ -76,7 +88,7 @@ def norm_title(c: Column | str) -> Column:
     Whitespace is never removed by the character filter, so the first
     collapse/strip of TXT-1 is subsumed by the last one: lower, map dashes,
     filter, collapse, trim - two regex passes."""
-    x = F.translate(F.lower(F.coalesce(_col(c).cast("string"), F.lit(""))), _DASHES, "---")
+    x = F.translate(lower(F.coalesce(_col(c).cast("string"), F.lit(""))), _DASHES, "---")
     x = F.regexp_replace(x, _NOT_TITLE_CHAR, "")
     return F.trim(collapse_ws(x))
 
