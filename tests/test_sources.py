@@ -173,3 +173,14 @@ def test_crlf_export(spark):
     rows = exports.read_export(spark, f"{d}/x.csv").collect()
     assert [r["DOI"] for r in rows] == ["10.1/a", "10.1/b"]
     assert rows[0]["Title"] in ("A\r\nB", "A\nB") and rows[1]["Publication Year"] is None
+
+
+def test_join_annotations_by_key(spark):
+    template = spark.createDataFrame([("k1", "T1", 0, 0), ("k2", "T2", 0, 0), ("k3", "T3", 0, 0)],
+                                     "dedup_key string, title string, m1 int, `Not Relevant` int")
+    ann = spark.createDataFrame([("k1", 1, 0, "Lung"), ("k3", None, 1, None)],
+                                "dedup_key string, m1 int, `Not Relevant` int, `Cancer Type` string")
+    out = {r["dedup_key"]: r for r in workflow.join_annotations(template, ann, ["m1"]).collect()}
+    assert out["k1"]["m1"] == 1 and out["k1"]["Cancer Type"] == "Lung"
+    assert out["k2"]["m1"] is None and out["k3"]["Not Relevant"] == 1
+    assert set(out["k1"].asDict()) == {"dedup_key", "title", "m1", "Not Relevant", "Cancer Type"}
