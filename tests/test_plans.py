@@ -54,3 +54,9 @@ def test_survivors_plan(spark):
     df = QUERIES["keep_first"](spark, SF_SMALL)
     plan = plan_of(df)
     assert "partial_min_by" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["score_screen", "max_score_bands", "excluded_sample"])
+def test_screen_filters_do_not_rederive_scores(spark, name):
+    opt = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert opt.count("map_from_arrays(") == 1

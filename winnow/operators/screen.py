@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.constants import (BORDERLINE_LOW, CANCER_TYPE, NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE,
@@ -106,8 +106,15 @@ def score_screen_condition(score_cols: Sequence[str], threshold: float = SCREEN_
     return reduce(lambda a, b: a | b, [F.coalesce(lc(c) > F.lit(threshold), F.lit(False)) for c in score_cols])
 
 
-def score_screen(scored: DataFrame, score_cols: Sequence[str], threshold: float = SCREEN_THRESHOLD) -> DataFrame:
-    return scored.withColumn("title_screen_pass", score_screen_condition(score_cols, threshold))
+def score_screen(scored: DataFrame, score_cols: Sequence[str], threshold: float = SCREEN_THRESHOLD,
+                 observation: Observation | None = None) -> DataFrame:
+    """FLT-4 as a column. The scored rows are first observed (their count is
+    a metric, readable from ``observation``): a metrics node is one the
+    optimiser does not push filters through, so later screens and bands on
+    the scores filter the scored rows instead of re-deriving every score
+    inside the pushed-down condition, once per reference."""
+    observed = scored.observe(observation or Observation(), F.count(F.lit(1)).alias("scored_rows"))
+    return observed.withColumn("title_screen_pass", score_screen_condition(score_cols, threshold))
 
 
 def excluded_with_max(screened: DataFrame, score_cols: Sequence[str]) -> DataFrame:
