@@ -17,3 +17,20 @@ def test_stream_equals_batch(spark):
     streamed = spark.read.parquet(f"{sink}/out")
     batch = key_records(spark.read.parquet(f"{src}/in"))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_csv_stream(spark):
+    import os
+
+    src = tempfile.mkdtemp(prefix="winnow-stream-csv-")
+    os.makedirs(f"{src}/in")
+    with open(f"{src}/in/a.csv", "w", encoding="utf-8") as f:
+        f.write('row_id,title,authors,year,doi,source\n'
+                '1,"A Review: of ""X""",A,2020.0,doi: 10.1/A,PubMed\n'
+                '2,"Two\nlines",B,,,IEEE\n')
+    schema = "row_id long, title string, authors string, year string, doi string, source string"
+    sink = tempfile.mkdtemp(prefix="winnow-stream-csv-out-")
+    q = start_keying(spark, f"{src}/in", schema, f"{sink}/out", f"{sink}/ckpt", source_format="csv")
+    q.awaitTermination(120)
+    got = {r["row_id"]: (r["dedup_key"], r["flag_review_conf"]) for r in spark.read.parquet(f"{sink}/out").collect()}
+    assert got == {1: ("10.1/a", True), 2: ("T:two lines", False)}

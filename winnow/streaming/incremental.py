@@ -27,7 +27,7 @@ def key_records(records: DataFrame) -> DataFrame:
     return keyed(records).select(*KEYED_STREAM_COLUMNS)
 
 
-def start_keying(spark: SparkSession, source_dir: str, schema: StructType, sink_dir: str,
+def start_keying(spark: SparkSession, source_dir: str, schema: StructType | str, sink_dir: str,
                  checkpoint_location: str, source_format: str = "parquet",
                  trigger_once: bool = True) -> StreamingQuery:
     """Key every new record file under ``source_dir`` into a Parquet table at
