@@ -219,7 +219,7 @@ def temporal_trends(df: DataFrame, labels: Sequence[str], year_col: str = "year"
     year, truncated), ``(year, label, n)``; absent years stay absent."""
     require(df, labels)
     y = lenient_int(lc(year_col))
-    yearly = (df.filter(y.isNotNull() & (y >= min_year))
+    yearly = (df.filter(y >= min_year)  # a null year fails the comparison (dropna)
               .groupBy(y.alias("year"))
               .agg(*[sum0(lc(l)).alias(f"_s{i}") for i, l in enumerate(labels)]))
     return _sorted_small(yearly.select("year", F.inline(F.array(*[
