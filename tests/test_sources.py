@@ -149,6 +149,9 @@ def test_command_line_two_phases(spark, folder):
     assert {r["value"]: r["n"] for r in res["multi_value_counts"].collect()} == {"Lung": t.count(), "Colon": t.count()}
     assert res["prisma_flow"].filter("box = 'title_screen_passed'").first()["value"] == t.count()
     assert len(glob.glob(f"{out}/run_*/prisma_flow")) == 1
+    split = res["category_counts_by_source"].filter("label = 'm1'").collect()
+    assert {r["source"] for r in split} == {"PubMed", "Scopus", "IEEE"}
+    assert sum(r["n"] for r in split) == t.count()
 
 
 def test_read_or_build_rebuilds_for_new_inputs(spark):

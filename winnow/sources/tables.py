@@ -38,9 +38,11 @@ def resolve_first(spark: SparkSession, pattern: str, default: str) -> str:
 
 
 def read_annotated(spark: SparkSession, path: str | Sequence[str], tag_columns: Sequence[str]) -> DataFrame:
-    """SRC-7: the annotated table; tag cells are parsed leniently to integers
-    (``1``, ``1.0`` -> 1; blank or text -> null), other columns stay text."""
-    df = read_export(spark, path)
+    """SRC-7: the annotated table. Export headers (Title, Year, Source, ...)
+    map back to the operators' column names; tag cells are parsed leniently
+    to integers (``1``, ``1.0`` -> 1; blank or text -> null); other columns
+    stay text."""
+    df = from_export_headers(read_export(spark, path))
     return df.withColumns({c: lenient_int(F.col(f"`{c}`")) for c in tag_columns if c in df.columns})
 
 
@@ -96,6 +98,13 @@ def with_export_headers(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
 
 
+def from_export_headers(df: DataFrame) -> DataFrame:
+    """Inverse of ``with_export_headers``: Title, DOI_norm, ... back to the
+    column names the operators use (a CSV round trip keeps the headers)."""
+    back = {v: k for k, v in {**RECORD_HEADERS, **FLAGGED_HEADERS}.items()}
+    return df.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", headers: bool = True) -> None:
     """SNK-1 / SNK-3 / SNK-6: CSV folder with a header row, UTF-8."""
     out = with_export_headers(df) if headers else df
