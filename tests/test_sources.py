@@ -210,3 +210,16 @@ def test_csv_path_agrees_with_registered_query(spark):
     keys_q = sorted(r["dedup_key"] for r in ident.keyed(raw_records(spark, SF_MID)).collect()
                     if not r["dedup_key"].startswith("ROW:"))
     assert keys_csv == keys_q
+
+
+def test_flagged_csv_round_trip(spark, folder):
+    from winnow.operators import report
+    out = tempfile.mkdtemp(prefix="winnow-fcsv-")
+    args = (f"{folder}/pubmed.csv", f"{folder}/scopus.csv", f"{folder}/ieee.csv")
+    flagged = workflow.identification(spark, *args, out_dir=out, csv=True)
+    back = tables.read_flagged_csv(spark, f"{out}/flagged_csv")
+    assert dict(back.dtypes)["flag_review_conf"] == "boolean" and dict(back.dtypes)["dup_group_size"] == "bigint"
+    a = {r["metric"]: r["value"] for r in report.identification_summary(flagged).collect()}
+    b = {r["metric"]: r["value"] for r in report.identification_summary(back).collect()}
+    assert a == b
+    assert report.qa_missing(flagged).collect() == report.qa_missing(back).collect()

@@ -46,6 +46,20 @@ def read_annotated(spark: SparkSession, path: str | Sequence[str], tag_columns:
     return df.withColumns({c: lenient_int(F.col(f"`{c}`")) for c in tag_columns if c in df.columns})
 
 
+def read_flagged_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """A flagged table exported as CSV, typed again: headers mapped back,
+    ``dup_group_size`` to long, the two flags to boolean, the year kept as
+    text (a CSV round trip would otherwise leave everything text, and the
+    keys must not change)."""
+    df = from_export_headers(read_export(spark, path))
+    typed = {"dup_group_size": F.col("dup_group_size").try_cast("long")}
+    # normalised fields are never null ('' when missing); the CSV reader turns '' into null
+    typed |= {c: F.coalesce(F.col(c), F.lit("")) for c in ("doi_norm", "title_norm", "year")}
+    for flag in ("flag_duplicate", "flag_review_conf"):
+        typed[flag] = F.lower(F.col(flag)) == F.lit("true")
+    return df.withColumns({k: v for k, v in typed.items() if k in df.columns})
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
