@@ -223,3 +223,15 @@ def test_flagged_csv_round_trip(spark, folder):
     b = {r["metric"]: r["value"] for r in report.identification_summary(back).collect()}
     assert a == b
     assert report.qa_missing(flagged).collect() == report.qa_missing(back).collect()
+
+
+def test_flagged_csv_keeps_keep_first_order(spark, folder):
+    from winnow.operators.screen import survivors
+    out = tempfile.mkdtemp(prefix="winnow-fcsv2-")
+    args = (f"{folder}/pubmed.csv", f"{folder}/scopus.csv", f"{folder}/ieee.csv")
+    flagged = workflow.identification(spark, *args, out_dir=out, csv=True)
+    back = tables.read_flagged_csv(spark, f"{out}/flagged_csv")
+    assert dict(back.dtypes)["row_id"] == "bigint"
+    a = sorted(r["row_id"] for r in survivors(flagged).collect())
+    b = sorted(r["row_id"] for r in survivors(back).collect())
+    assert a == b

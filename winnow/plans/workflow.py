@@ -40,7 +40,7 @@ def identification(spark: SparkSession, pubmed: str | Sequence[str], scopus: str
     flagged = tables.read_or_build(
         spark, path, lambda: ident.identify(load_exports(spark, pubmed, scopus, ieee), **skew), key=key)
     if csv:
-        tables.write_csv(flagged.drop("row_id"), f"{out_dir.rstrip('/')}/flagged_csv")
+        tables.write_csv(flagged, f"{out_dir.rstrip('/')}/flagged_csv")  # row_id kept: keep-first order
     return flagged
 
 

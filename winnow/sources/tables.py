@@ -48,11 +48,11 @@ def read_annotated(spark: SparkSession, path: str | Sequence[str], tag_columns:
 
 def read_flagged_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """A flagged table exported as CSV, typed again: headers mapped back,
-    ``dup_group_size`` to long, the two flags to boolean, the year kept as
+    ``row_id`` and ``dup_group_size`` to long, the two flags to boolean, the year kept as
     text (a CSV round trip would otherwise leave everything text, and the
     keys must not change)."""
     df = from_export_headers(read_export(spark, path))
-    typed = {"dup_group_size": F.col("dup_group_size").try_cast("long")}
+    typed = {c: F.col(c).try_cast("long") for c in ("row_id", "dup_group_size")}
     # normalised fields are never null ('' when missing); the CSV reader turns '' into null
     typed |= {c: F.coalesce(F.col(c), F.lit("")) for c in ("doi_norm", "title_norm", "year")}
     for flag in ("flag_duplicate", "flag_review_conf"):
