@@ -3,6 +3,8 @@ reliable checkpoint folder taken from the session."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,25 +38,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder of the session.
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder for written tables and checkpoints.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; it is used
-    as is. Only a local-mode session without one (tests, benches) gets a fresh
-    temporary folder; on a cluster a missing setting is an error, because a
-    machine-local folder does not survive the loss of an executor.
+    The cluster names it in ``spark.checkpoint.dir``. Only a ``local[...]``
+    session without one (tests, benches), where driver and tasks are one
+    process, gets a temporary folder; elsewhere a missing setting is an error,
+    because a machine-local folder does not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="winnow-ckpt-"))
+    own = getattr(sc, "_winnow_shared", None)
+    if own is None:
+        own = sc._winnow_shared = tempfile.mkdtemp(prefix="winnow-shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of the session, set below ``shared_dir`` if unset."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(spark))
     return sc.getCheckpointDir()
 
 
