@@ -2,7 +2,8 @@
 
 Each stage reads all that its predecessor kept, and its decisions take effect:
 ``run`` writes a stage's rows as Parquet in the shared folder and rereads them
-as the next one's documents.
+as the next one's documents. Null, empty and repeated rows, clashing columns and
+empty tables go through every stage as the operators' docstrings state.
 """
 
 from __future__ import annotations
@@ -10,22 +11,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from winnow.llm import secret_scan
+from winnow.llm import decontaminate, ngram_join, packing, secret_scan, toxicity
 from winnow.llm.common import stage, table
 
 
-def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go."""
+    return toxicity.reject(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of links stays: that of the least id."""
+    return ngram_join.keep_one(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which a benchmark item leaks go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
     out = secret_scan.redact(docs)
-    return out.withColumn("n_chars", secret_scan.F.length("text").cast("long"))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all pieces in sequences of 2048 tokens."""
+    return packing.packed(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("secret_scan", secrets),
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("secret_scan", hide_secrets),
+    ("packing", pack),
 ]
 
-# Gibbs-free, but the learnt and the sequential stages can't be stated in SQL.
+# The learnt scores and the placing can't be stated in SQL.
 ORACLE_SQL = None
 
 

@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,21 @@ def text_chunks(rows, text: str, size: int = 8 << 20) -> Iterator:
         yield rows.iloc[start:]
 
 
+def batch_slices(batches, text: str, size: int = 8 << 20) -> Iterator:
+    """Slices of Arrow record batches of about ``size`` bytes of text (one row
+    at least); columns pass through unchanged."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        start = total = 0
+        for i, n in enumerate(lengths):
+            if i > start and total + n > size:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += int(n)
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import secret_scan, sharding, url_filter
+from . import decontaminate, ngram_join, packing, secret_scan, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_minimax_shards": sharding.op1_minimax_shards,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_url_filter": url_filter.op3_url_filter,
+    "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {"op3_url_filter": url_filter.ORACLE}

@@ -14,9 +14,12 @@ import numpy as np
 
 _RNG = np.random.Generator(np.random.PCG64(20_240_501))
 _BYTE = _RNG.integers(1, 2**64 - 1, 256, dtype=np.uint64)
-_BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
+EXACT = _BYTE.copy()  # a number for every byte
+_BYTE[65:91] = _BYTE[97:123]  # the same with A-Z as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+NOT_LETTER = np.ones(256, bool)  # every byte but A-Z, a-z and those of non-ASCII characters
+NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _MIX = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -46,16 +49,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS, _INVERSES
 
 
-def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end (exclusive) of every word of a byte array."""
+def word_bounds(buf: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end (exclusive) of every maximal run of bytes outside ``gap``."""
     space = np.empty(len(buf) + 2, bool)
     space[0] = space[-1] = True
-    np.take(_SPACE, buf, out=space[1:-1])
+    np.take(gap, buf, out=space[1:-1])
     turn = np.flatnonzero(space[1:] != space[:-1])
     return turn[0::2], turn[1::2]
 
 
-def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
     """64-bit hash of each byte span [start, end); spans in rising order."""
     out = np.empty(len(start), np.uint64)
     i = 0
@@ -66,20 +69,25 @@ def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
         hi = int(end[j - 1])
         p, q = _powers(hi - lo + 1)
         run = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(_BYTE[buf[lo:hi]] * p[: hi - lo], out=run[1:])
+        np.cumsum(table[buf[lo:hi]] * p[: hi - lo], out=run[1:])
         s, e = start[i:j] - lo, end[i:j] - lo
         out[i:j] = (run[e] - run[s]) * q[s]
         i = j
     return mix64(out + (end - start).astype(np.uint64))
 
 
+def joined(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the texts, each closed by a newline; end of each text)."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    return buf, np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
+
+
 def batch_words(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(buffer, word start, word end, word hash, first word of each text) of a
     batch of texts (str or None); text i has words[first[i]:first[i + 1]]."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    buf, ends = joined(texts)
     start, end = word_bounds(buf)
-    ends = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
     first = np.concatenate([[0], np.searchsorted(start, ends, "left")])
     return buf, start, end, hash_spans(buf, start, end), first
 
