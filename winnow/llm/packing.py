@@ -63,12 +63,12 @@ class Encoder:
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids end)."""
         buf, ends = W.joined(texts)
-        start, end, text_of = _stretches(buf, ends)
+        start, end, text_of, beside = _stretches(buf, ends)
         if not len(start):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         key = W.hash_spans(buf, start, end, W.EXACT)
         _, index, inverse = np.unique(key, return_index=True, return_inverse=True)
-        alone = ~_SPACE[buf[start[index]]] | ~_closes(buf, end[index])
+        alone = ~beside[index]
         raw, ids, place, size = buf.tobytes(), [], np.zeros(len(index), np.int64), np.zeros(len(index), np.int64)
         many = np.flatnonzero(~alone)
         if len(many):
@@ -92,24 +92,30 @@ class Encoder:
         return out, last
 
 
-def _closes(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether the character before each offset is certainly no white space: an
-    ASCII non-blank, or a two-byte character from U+00C0 on."""
-    last, lead = buf[at - 1], buf[np.maximum(at - 2, 0)]
-    return ((last < 128) & ~_SPACE[last]) | ((last >= 128) & (lead >= 0xC3) & (lead <= 0xDF))
+def _closes(buf: np.ndarray) -> np.ndarray:
+    """At each offset, whether the character before it is certainly no white
+    space: an ASCII non-blank, or a two-byte character from U+00C0 on."""
+    out = np.zeros(len(buf) + 1, bool)
+    out[1:] = (buf < 128) & ~_SPACE[buf]
+    out[2:] |= (buf[1:] >= 128) & (buf[:-1] >= 0xC3) & (buf[:-1] <= 0xDF)
+    return out
 
 
-def _stretches(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text of each stretch: blanks and the non-blanks after them."""
+def _stretches(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of each stretch (blanks and the non-blanks after
+    them), and whether it can be encoded beside others: it begins with a blank
+    and its last character certainly closes it."""
     begin = np.concatenate([[0], ends[:-1]])
-    cut = np.flatnonzero(_SPACE[buf])
-    cut = cut[cut > 0]
-    cut = cut[_closes(buf, cut)]
-    start = np.union1d(cut, begin)
-    text_of = np.searchsorted(ends, start, "right")
-    end = np.minimum(np.r_[start[1:], len(buf)], ends[text_of] - 1)
-    real = (end > start) & (start < ends[text_of] - 1)
-    return start[real], end[real], text_of[real]
+    blank, closes = _SPACE[buf], _closes(buf)
+    flag = blank & closes[:-1]
+    flag[begin] = True
+    start = np.flatnonzero(flag)
+    count = np.diff(np.searchsorted(start, np.append(begin, len(buf))))
+    text_of = np.repeat(np.arange(len(ends)), count)
+    end = np.minimum(np.append(start[1:], len(buf)), ends[text_of] - 1)
+    real = end > start
+    start, end = start[real], end[real]
+    return start, end, text_of[real], blank[start] & closes[end]
 
 
 def encoder(name: str) -> Encoder:
@@ -130,7 +136,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", capacity
         from winnow.llm.packing import encoder  # the worker's own, loaded once
 
         code = encoder(vocabulary)
-        for part in batch_slices(batches, "_text"):
+        for part in batch_slices(batches, "_text", 24 << 20):
             ids, last = code.encode(part.column("_text").to_pylist())
             out, at = [[] for _ in range(6)], 0
             for row, end in enumerate(last.tolist()):

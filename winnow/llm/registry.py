@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngram_join, packing, secret_scan, sharding, toxicity, url_filter
+from . import decontaminate, language_model, ngram_join, packing, secret_scan, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_minimax_shards": sharding.op1_minimax_shards,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
+    "op9_pitman_yor_lm": language_model.op9_pitman_yor_lm,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 

@@ -23,7 +23,7 @@ NOT_LETTER[65:91] = NOT_LETTER[97:123] = NOT_LETTER[128:] = False
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _MIX = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-CHUNK = 1 << 22  # bytes worked on at once: bounds the memory of one long batch
+CHUNK = 1 << 16  # bytes worked on at once: the temporaries stay in the cache
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
