@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_model, ngram_join, packing, secret_scan, sharding, toxicity, url_filter
+from . import decontaminate, html_extraction, language_model, neighbours, ngram_join, packing, secret_scan, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_minimax_shards": sharding.op1_minimax_shards,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_html_extraction": html_extraction.op6_html_extraction,
     "op7_ngram_jaccard_join": ngram_join.op7_ngram_jaccard_join,
+    "op8_random_projection_forest": neighbours.op8_random_projection_forest,
     "op9_pitman_yor_lm": language_model.op9_pitman_yor_lm,
     "op10_toxicity": toxicity.op10_toxicity,
 }
