@@ -129,7 +129,25 @@ def test_missing_columns_raise(spark, tags):
         rep.category_counts(tags, ["nope"])
 
 
-def test_cooccurrence_long_form_equals_wide(spark, tags):
-    wide = sorted(tuple(r) for r in rep.cooccurrence(tags, {"d": L}).collect())
-    long = sorted(tuple(r) for r in rep.cooccurrence(tags, {"d": L}, wide_limit=1).collect())
-    assert wide == long
+def test_venn_of_eleven_labels(spark):
+    labels = [f"l{i}" for i in range(11)]
+    rows = [tuple(int((r * 37 + 11) >> i & 1) for i in range(11)) for r in range(300)]
+    df = spark.createDataFrame(rows, ", ".join(f"{l} int" for l in labels))
+    got = {r["region"]: (r["n"], r["total"]) for r in rep.venn_regions(df, labels, strict=False).collect()}
+    want = {}
+    for row in rows:
+        want["".join(map(str, row))] = want.get("".join(map(str, row)), 0) + 1
+    total = sum(n for k, n in want.items() if "1" in k)
+    assert len(got) == 2**11 - 1 and all(got[k] == (want.get(k, 0), total) for k in got)
+
+
+def test_summary_of_a_bare_table(spark):
+    df = spark.createDataFrame([("k1", "PubMed"), ("k1", "IEEE"), ("k2", "Scopus")], "dedup_key string, source string")
+    got = {r["metric"]: r["value"] for r in rep.identification_summary(df).collect()}
+    assert got["total_raw"] == 3 and got["dedup_papers"] == 2 and got["duplicates_removed"] == 1 and got["kept"] == 2
+
+
+def test_label_rank_carries_the_order_of_totals(spark, tags):
+    order = [r["label"] for r in rep.category_counts(tags, L).collect()]
+    by = {r["label"]: r["label_rank"] for r in rep.category_counts_by_source(tags, L).collect()}
+    assert sorted(by, key=by.get) == order

@@ -23,9 +23,9 @@ def test_cosine(spark):
     vecs = score.label_vectors(spark.createDataFrame([(0, [1.0, 0.0], 5), (1, [0.0, 1.0], 5), (2, [9.0, 9.0], 6)],
                                                      "vec_id long, v array<float>, label int"),
                                "label", "v", "vec_id")
-    assert vecs == {"5": [1.0, 0.0], "6": [9.0, 9.0]}
-    out = df.select("vec_id", score.cosine_scores("v", vecs).alias("scores"))
-    got = {(r["vec_id"], r["label"]): r["score"] for r in score.scores_long(out, ["vec_id"], list(vecs)).collect()}
+    assert {r["label"]: r["vec"] for r in vecs.collect()} == {"5": [1.0, 0.0], "6": [9.0, 9.0]}
+    out = score.cosine_scores(df, "v", vecs)
+    got = {(r["vec_id"], r["label"]): r["score"] for r in score.map_scores_long(out, ["vec_id"]).collect()}
     assert got[(1, "5")] == 1.0 and got[(2, "5")] == round(1 / math.sqrt(2), 4) and got[(2, "6")] == 1.0
 
 
@@ -103,7 +103,7 @@ def test_tag_dimensions_equals_join(spark):
     df = spark.createDataFrame(rows, "row_id long, dedup_key string, title string")
     m_labels, a_labels = ["the of and", "to in is"], ["der und die", "de la des"]
     scored = score.with_lexical_scores(df, "title", m_labels + a_labels)
-    one = score.tag_dimensions(scored, {0.25: m_labels, 0.3: a_labels})
+    one = score.tag_dimensions(scored, [(0.25, m_labels), (0.3, a_labels)])
     left = score.threshold_tags(score.with_lexical_scores(df, "title", m_labels), m_labels, 0.25)
     right = score.threshold_tags(score.with_lexical_scores(df, "title", a_labels), a_labels, 0.3)
     joined = score.merge_dimensions(left, right, a_labels)
@@ -131,15 +131,32 @@ def test_model_cache_separates_factories(spark):
     assert a == {"x": 0.1} and b == {"x": 0.9}
 
 
-def test_label_vectors_bound(spark):
-    df = spark.createDataFrame([(i, [1.0, float(i)], i) for i in range(5)], "vec_id long, v array<float>, label int")
-    assert len(score.label_vectors(df, "label", "v", "vec_id", max_labels=5)) == 5
-    with pytest.raises(ValueError, match="max_labels"):
-        score.label_vectors(df, "label", "v", "vec_id", max_labels=4)
+def test_model_is_built_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def factory():
+        import os
+        import uuid
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda texts, labels: [{"labels": labels, "scores": [1.0] * len(labels)} for _ in texts]
+
+    df = spark.createDataFrame([(i, "t") for i in range(160)], "row_id long, title string").repartition(16)
+    assert score.model_scores(df, "title", ["x"], factory).count() == 160
+    assert score.model_scores(df, "title", ["x"], factory).agg(F.count("scores")).first()[0] == 160
+    import os
+    built = os.listdir(folder)
+    assert built and len(built) == len({b.split("-")[0] for b in built})
+
+
+def test_cosine_takes_any_number_of_labels(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)], i) for i in range(1500)], "vec_id long, v array<float>, label int")
+    out = score.cosine_scores(df.filter("vec_id < 2"), "v", score.label_vectors(df, "label", "v", "vec_id"))
+    assert [r["n"] for r in out.select(F.size("scores").alias("n")).collect()] == [1500, 1500]
 
 
 def test_cosine_zero_vector_is_null(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "vec_id long, v array<float>")
-    out = df.select("vec_id", score.cosine_scores("v", {"a": [1.0, 0.0]}).alias("scores"))
+    one = spark.createDataFrame([(0, [1.0, 0.0], "a")], "vec_id long, v array<float>, label string")
+    out = score.cosine_scores(df, "v", score.label_vectors(one, "label", "v", "vec_id"))
     got = {r["vec_id"]: r["scores"]["a"] for r in out.collect()}
     assert got == {1: None, 2: 1.0}

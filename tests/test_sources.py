@@ -235,3 +235,88 @@ def test_flagged_csv_keeps_keep_first_order(spark, folder):
     a = sorted(r["row_id"] for r in survivors(flagged).collect())
     b = sorted(r["row_id"] for r in survivors(back).collect())
     assert a == b
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_files_with_other_column_order(spark, tmp_path):
+    a, b = f"{tmp_path}/in/a.csv", f"{tmp_path}/in/b.csv"
+    _write(a, "Title,Authors,Publication Year,DOI\nT1,A1,2020,10.1/a\n")
+    _write(b, "DOI,Title,Authors,Publication Year\n10.1/b,T2,A2,2021\n")
+    rows = exports.adapt_pubmed(exports.read_export(spark, [a, b])).orderBy("title").collect()
+    assert [(r["title"], r["authors"], r["doi"]) for r in rows] == [("T1", "A1", "10.1/a"), ("T2", "A2", "10.1/b")]
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        exports.read_export(spark, f"{tmp_path}/in").collect()
+
+
+def test_surplus_cell_is_an_error_and_short_rows_are_not(spark, tmp_path):
+    _write(f"{tmp_path}/x/s.csv", 'Title,Authors,DOI\nT1,A1\n"T,2",A2,10.1/b\n')
+    got = exports.read_export(spark, f"{tmp_path}/x/s.csv").collect()
+    assert [(r["Title"], r["DOI"]) for r in got] == [("T1", None), ("T,2", "10.1/b")]
+    _write(f"{tmp_path}/x/l.csv", "Title,Authors,DOI\nT1,A1,10.1/a,EXTRA\n")
+    with pytest.raises(Exception, match="more than 3 cells"):
+        exports.read_export(spark, f"{tmp_path}/x/l.csv").collect()
+
+
+def test_part_file_folder_is_one_match(spark, tmp_path):
+    df = spark.range(100).selectExpr("id as row_id", "cast(id as string) as Title", "'1' as m1")
+    df.repartition(4).write.option("header", True).csv(f"{tmp_path}/annotated_x")
+    path = tables.resolve_first(spark, f"{tmp_path}/annotated*", "none")
+    assert tables.read_annotated(spark, path, ["m1"]).count() == 100
+
+
+def test_tags_keep_fractions_and_reject_suffixes(spark, tmp_path):
+    _write(f"{tmp_path}/t.csv", "Title,m1\nA,1.7\nB,0.5\nC,2021d\nD,2022f\nE,1e0\nF, 1 \nG,.5\n")
+    got = {r["title"]: r["m1"] for r in tables.read_annotated(spark, f"{tmp_path}/t.csv", ["m1"]).collect()}
+    assert got == {"A": 1.7, "B": 0.5, "C": None, "D": None, "E": 1.0, "F": 1.0, "G": 0.5}
+
+
+def test_changed_inputs_rebuild(spark, folder, tmp_path):
+    src = f"{tmp_path}/p.csv"
+    _write(src, PUBMED)
+    args = (src, f"{folder}/scopus.csv", f"{folder}/ieee.csv")
+    assert workflow.identification(spark, *args, out_dir=str(tmp_path)).count() == 6
+    _write(src, PUBMED + "More,B,2019,10.1/z\n")
+    assert workflow.identification(spark, *args, out_dir=str(tmp_path)).count() == 7
+    with pytest.raises(Exception):
+        _write(f"{tmp_path}/bad/x.parquet", "no parquet")
+        tables.table_exists(spark, f"{tmp_path}/bad")
+
+
+def test_score_and_validation_jobs(spark, tmp_path):
+    from winnow.operators import score
+    from winnow.operators.identify import identify
+    from winnow.plans.catalog import LEX_APPLICATIONS, LEX_METHODS
+    from winnow.sources.fixture import raw_records
+    from conftest import SF_SMALL
+    flagged, out, calls = identify(raw_records(spark, SF_SMALL)), str(tmp_path), []
+
+    def scorer(candidates, labels):
+        calls.append(labels)
+        return score.with_lexical_scores(candidates, "title", labels).select("row_id", "scores")
+
+    rows = workflow.score_screen(flagged, scorer, out, LEX_METHODS, LEX_APPLICATIONS)["merged_tags"].count()
+    again = workflow.score_screen(flagged, scorer, out, LEX_METHODS, LEX_APPLICATIONS)
+    assert len(calls) == 1 and rows == again["merged_tags"].count() > 0
+    c = again["screen_counts"].first()
+    assert c["included"] + c["excluded"] == c["total"] == again["merged_tags"].count() and again["screened"].count() == c["included"]
+    with pytest.raises(RuntimeError, match="Stale"):
+        workflow.score_screen(flagged, scorer, out, [*LEX_METHODS, "new label"], LEX_APPLICATIONS)
+    sheets = workflow.validation(again["merged_tags"], out, LEX_METHODS, low=0.6)
+    for name, df in sheets.items():
+        rows = df.collect()
+        keys = [(-r["max_score"], r["row_id"]) for r in rows]
+        assert keys == sorted(keys) and {"Your_Decision", "Notes"} <= set(df.columns)
+        assert all((r["max_score"] >= 0.6) == (name == "borderline_sheet") for r in rows)
+        assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/{name}").count() == len(rows)
+
+
+def test_rows_are_numbered_without_a_sort_of_all(spark):
+    rows = [(i * 7919 % 100_003, i % 3) for i in range(5000)]
+    df = spark.createDataFrame(rows, "o long, s int").repartition(5)
+    got = {(r["s"], r["o"]): r["row_id"] for r in exports.number_rows(df, "s", "o").collect()}
+    assert [got[k] for k in sorted(got)] == list(range(5000))

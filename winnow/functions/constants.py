@@ -52,20 +52,6 @@ APPLICATION_LABELS = (
     "Tumor Board Simulation and Workflow Integration",
 )
 
-# Short display names; a label not listed keeps its own name.
-METHOD_SHORT = {
-    "Multimodal Foundation Models": "Foundation\nModels",
-    "Knowledge-Grounded Models": "Knowledge-\nGrounded",
-    "Agentic AI and Multi-Agent Systems": "Agentic AI /\nMulti-Agent",
-}
-APPLICATION_SHORT = {
-    "Tumor Diagnosis and Classification": "Diagnosis &\nClassification",
-    "Drug Repositioning and Biomarker Discovery": "Drug Repos. &\nBiomarkers",
-    "Treatment Optimization": "Treatment\nOptimization",
-    "Prognosis and Survival Prediction": "Prognosis &\nSurvival",
-    "Tumor Board Simulation and Workflow Integration": "Tumor Board &\nWorkflow",
-}
-
 # Annotation columns added to the template.
 NOT_RELEVANT = "Not Relevant"
 CANCER_TYPE = "Cancer Type"

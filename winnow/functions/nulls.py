@@ -50,7 +50,15 @@ def lenient_int(c: Column | str) -> Column:
     """N14 / TXT-6: ``to_numeric(errors='coerce')`` then truncate to int;
     text that is no number, or a number outside the int range, is null
     (ANSI casts would raise)."""
-    return _col(c).cast("string").try_cast("double").try_cast("int")
+    return lenient_double(c).try_cast("int")
+
+
+def lenient_double(c: Column | str) -> Column:
+    """A number in plain or scientific notation, else null. The pattern comes
+    first: the cast alone also takes ``2021d`` and ``2022f``."""
+    text = _col(c).cast("string")
+    plain = text.rlike(r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z")
+    return F.when(plain, F.trim(text).try_cast("double"))
 
 
 def sum0(c: Column | str) -> Column:

@@ -35,10 +35,10 @@ def flag_reviews(df: DataFrame) -> DataFrame:
     return df.withColumn("flag_review_conf", is_review_title("title_norm"))
 
 
-def flag_duplicates(df: DataFrame, key: str = "dedup_key", **skew) -> DataFrame:
+def flag_duplicates(df: DataFrame, key: str = "dedup_key") -> DataFrame:
     """DED-2: group size per key on every row, ``flag_duplicate`` = size > 1."""
     cols = df.columns
-    out = attach_key_counts(df, key, "dup_group_size", salt_by="row_id", **skew)
+    out = attach_key_counts(df, key, "dup_group_size")
     return out.select(*cols, "dup_group_size").withColumn("flag_duplicate", F.col("dup_group_size") > 1)
 
 
@@ -48,7 +48,7 @@ def keyed(records: DataFrame) -> DataFrame:
     return flag_reviews(add_dedup_key(normalise(records)))
 
 
-def identify(records: DataFrame, reuse: str = "scan", **skew) -> DataFrame:
+def identify(records: DataFrame, reuse: str = "scan") -> DataFrame:
     """PIP-1 core: the flagged table, one row per input record.
 
     Group sizes read the keyed rows twice (key counts, then the rows).
@@ -62,4 +62,4 @@ def identify(records: DataFrame, reuse: str = "scan", **skew) -> DataFrame:
         k = k.repartition(F.col("row_id"))
     elif reuse != "scan":
         raise ValueError("reuse must be 'scan' or 'exchange'")
-    return flag_duplicates(k, **skew).select(*FLAGGED_COLUMNS)
+    return flag_duplicates(k).select(*FLAGGED_COLUMNS)

@@ -14,9 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.constants import APPLICATION_SHORT, METHOD_SHORT, SOURCES, TREND_MIN_YEAR
+from ..functions.constants import SOURCES, TREND_MIN_YEAR
 from ..functions.nulls import any_nonzero, count_if, fill0_int, is_one, lenient_int, nonblank, sum0, truthy
 from ..functions.text import split_multi_value
+from .skew import key_digest
 
 
 def lc(name: str) -> Column:
@@ -74,34 +75,27 @@ SUMMARY_METRICS = ("pubmed", "scopus", "ieee", "total_raw", "duplicates_removed"
                    "excluded_rev_conf", "kept")
 
 
-def key_level(keyed: DataFrame, key: str = "dedup_key") -> DataFrame:
-    """Rows -> one row per key: size, any review flag, per-source and
-    missing-field counts. The only exchange of the identification metrics."""
-    has_flag = "flag_review_conf" in keyed.columns
-    review = F.col("flag_review_conf") if has_flag else F.lit(False)
-    return keyed.groupBy(key).agg(
+def key_level(keyed: DataFrame, key: str = "dedup_key", extra: Sequence[Column] = ()) -> DataFrame:
+    """Rows -> one row per key (by digest): size, any review flag, per-source
+    counts and ``extra`` aggregates. The only exchange of the identification
+    metrics; a table of key and source is enough."""
+    review = F.col("flag_review_conf") if "flag_review_conf" in keyed.columns else F.lit(False)
+    return keyed.groupBy(key_digest(key).alias("_kd")).agg(
         F.count(F.lit(1)).alias("n"),
         F.max(review.cast("int")).alias("any_review"),
         F.min(review.cast("int")).alias("all_review"),
         *[count_if(F.col("source") == s).alias(f"n_{s.lower()}") for s in SOURCES],
-        count_if(F.col("doi_norm") == "").alias("n_missing_doi"),
-        count_if(F.col("title_norm") == "").alias("n_missing_title"),
-        count_if(F.col("year") == "").alias("n_missing_year"),
+        *extra,
     )
 
 
 def _summary_row(keyed: DataFrame) -> DataFrame:
-    k = key_level(keyed)
-    return k.agg(
+    return key_level(keyed).agg(
         *[F.coalesce(F.sum(f"n_{s.lower()}"), F.lit(0)).alias(s.lower()) for s in SOURCES],
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_raw"),
         F.count(F.lit(1)).alias("dedup_papers"),
         count_if(F.col("any_review") == 1).alias("excluded_rev_conf"),
         count_if(F.col("all_review") == 0).alias("template_rows"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows"),
-        F.coalesce(F.sum("n_missing_doi"), F.lit(0)).alias("missing_doi"),
-        F.coalesce(F.sum("n_missing_title"), F.lit(0)).alias("missing_title"),
-        F.coalesce(F.sum("n_missing_year"), F.lit(0)).alias("missing_year"),
     ).withColumns({
         "duplicates_removed": F.col("total_raw") - F.col("dedup_papers"),
         "kept": F.col("dedup_papers") - F.col("excluded_rev_conf"),
@@ -111,7 +105,7 @@ def _summary_row(keyed: DataFrame) -> DataFrame:
 def identification_summary(keyed: DataFrame) -> DataFrame:
     """AGG-7 (AGG-1..4): the eight identification counts as
     ``(ordinal, metric, value)``. ``excluded`` is 0 without a review flag."""
-    require(keyed, ["dedup_key"], "dedup_key is missing; columns")
+    require(keyed, ["dedup_key", "source"], "dedup_key is missing; columns")
     row = _summary_row(keyed)
     return _long(row, [
         F.struct(F.lit(i).alias("ordinal"), F.lit(m).alias("metric"), F.col(m).cast("long").alias("value"))
@@ -121,9 +115,11 @@ def identification_summary(keyed: DataFrame) -> DataFrame:
 
 def qa_missing(keyed: DataFrame) -> DataFrame:
     """AGG-5: missing DOI / title / year and rows in duplicate groups, one row."""
-    return _summary_row(keyed).select(
-        *[F.col(c).cast("long").alias(c) for c in ("missing_doi", "missing_title", "missing_year", "duplicate_rows")]
-    )
+    blanks = {"missing_doi": "doi_norm", "missing_title": "title_norm", "missing_year": "year"}
+    keys = key_level(keyed, extra=[count_if(F.col(c) == "").alias(name) for name, c in blanks.items()])
+    return keys.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name) for name in blanks],
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
 def source_counts(df: DataFrame) -> DataFrame:
@@ -136,37 +132,13 @@ def source_counts(df: DataFrame) -> DataFrame:
 # Label tables
 # ---------------------------------------------------------------------------
 
-WIDE_PAIR_LIMIT = 50
-
-
-def cooccurrence(df: DataFrame, labels: Labels, wide_limit: int = WIDE_PAIR_LIMIT) -> DataFrame:
+def cooccurrence(df: DataFrame, labels: Labels) -> DataFrame:
     """AGG-8: ``B^T B`` over ``fillna(0).astype(int)`` tags, as
     ``([dimension,] row_label, col_label, n)``; symmetric, diagonal = sum of
-    squares. One pass: one partial sum per unordered label pair of a group.
-    Groups above ``wide_limit`` labels use ``cooccurrence_long`` (the wide
-    aggregate has a column per label pair)."""
+    squares. Each row pairs only its own nonzero labels, the pairs are counted
+    with one ``groupBy`` (partial aggregation), and pairs that never co-occur
+    are filled with 0 from the label list: one plan for any number of labels."""
     require(df, _all_labels(labels), "Theme columns")
-    if max(len(ls) for _, ls in _groups(labels)) > wide_limit:
-        return cooccurrence_long(df, labels)
-    aggs, entries = [], []
-    for g, (d, ls) in enumerate(_groups(labels)):
-        v = [fill0_int(lc(l)) for l in ls]
-        k = len(ls)
-        aggs += [F.coalesce(F.sum(v[i] * v[j]), F.lit(0)).cast("long").alias(f"_p{g}_{i}_{j}")
-                 for i in range(k) for j in range(i, k)]
-        for i in range(k):
-            for j in range(k):
-                a, b = min(i, j), max(i, j)
-                entries.append(F.struct(*_dim(d), F.lit(ls[i]).alias("row_label"), F.lit(ls[j]).alias("col_label"),
-                                        F.col(f"_p{g}_{a}_{b}").alias("n")))
-    return _long(df.agg(*aggs), entries)
-
-
-def cooccurrence_long(df: DataFrame, labels: Labels) -> DataFrame:
-    """AGG-8 for many labels: each row pairs only its own nonzero labels
-    (at most its positive labels squared), the pairs are counted with one
-    ``groupBy`` (partial aggregation), and pairs that never co-occur are
-    filled with 0 from the label list. Same table as ``cooccurrence``."""
     groups = _groups(labels)
     spark = df.sparkSession
     frames = []
@@ -194,20 +166,18 @@ def cooccurrence_long(df: DataFrame, labels: Labels) -> DataFrame:
     return res
 
 
-def short_name(label: str) -> str:
-    """PRJ-4: display name, identity when unmapped."""
-    return METHOD_SHORT.get(label, APPLICATION_SHORT.get(label, label))
-
-
-def method_application_matrix(df: DataFrame, methods: Sequence[str], applications: Sequence[str]) -> DataFrame:
+def method_application_matrix(df: DataFrame, methods: Sequence[str], applications: Sequence[str],
+                              short: dict[str, str] | None = None) -> DataFrame:
     """AGG-9: papers with method = 1 AND application = 1 (a 2 is not counted),
-    ``(method, application, method_short, application_short, n)``, one pass."""
+    ``(method, application, method_short, application_short, n)``, one pass.
+    ``short`` maps labels to display names (PRJ-4); others keep their own."""
+    short = short or {}
     require(df, [*methods, *applications])
     cells = [(m, a) for m in methods for a in applications]
     row = df.agg(*[count_if(is_one(lc(m)) & is_one(lc(a))).alias(f"_c{i}") for i, (m, a) in enumerate(cells)])
     return _long(row, [
         F.struct(F.lit(m).alias("method"), F.lit(a).alias("application"),
-                 F.lit(short_name(m)).alias("method_short"), F.lit(short_name(a)).alias("application_short"),
+                 F.lit(short.get(m, m)).alias("method_short"), F.lit(short.get(a, a)).alias("application_short"),
                  F.col(f"_c{i}").cast("long").alias("n"))
         for i, (m, a) in enumerate(cells)
     ])
@@ -238,29 +208,32 @@ def category_counts(df: DataFrame, labels: Labels) -> DataFrame:
 
 
 def category_counts_by_source(df: DataFrame, labels: Labels, sources: Sequence[str] = SOURCES) -> DataFrame:
-    """AGG-12: per label and listed source, ``([dimension,] label, total,
-    source, source_ordinal, n)``. Unlisted sources count in ``total`` only.
-    Without a source column: one row per label with a null source and n =
-    total."""
+    """AGG-12: per label and listed source, ``([dimension,] label, label_rank,
+    total, source, source_ordinal, n)``; ``label_rank`` is the label's place in
+    the AGG-11 order (ascending total, then label). Unlisted sources count in
+    ``total`` only. Without a source column: one row per label with a null
+    source and n = total."""
     require(df, _all_labels(labels), "Label columns")
     pairs = [(d, l) for d, ls in _groups(labels) for l in ls]
-    if "source" not in df.columns:
-        row = df.agg(*[sum0(lc(l)).alias(f"_t{i}") for i, (_, l) in enumerate(pairs)])
-        return _long(row, [F.struct(*_dim(d), F.lit(l).alias("label"), F.col(f"_t{i}").alias("total"),
-                                    F.lit(None).cast("string").alias("source"),
-                                    F.lit(None).cast("int").alias("source_ordinal"), F.col(f"_t{i}").alias("n"))
-                           for i, (d, l) in enumerate(pairs)])
-    src = F.col("source")
+    sources = list(sources) if "source" in df.columns else [None]
     aggs = []
     for i, (_, l) in enumerate(pairs):
         aggs.append(sum0(lc(l)).alias(f"_t{i}"))
-        aggs += [sum0(F.when(src == s, lc(l))).alias(f"_s{i}_{j}") for j, s in enumerate(sources)]
-    row = df.agg(*aggs)
-    return _long(row, [
-        F.struct(*_dim(d), F.lit(l).alias("label"), F.col(f"_t{i}").alias("total"), F.lit(s).alias("source"),
-                 F.lit(j).alias("source_ordinal"), F.col(f"_s{i}_{j}").alias("n"))
+        aggs += [sum0(lc(l) if s is None else F.when(F.col("source") == s, lc(l))).alias(f"_s{i}_{j}") for j, s in enumerate(sources)]
+
+    def rank(i: int) -> Column:
+        d, l = pairs[i]
+        ahead = [((F.col(f"_t{k}") < F.col(f"_t{i}")) | ((F.col(f"_t{k}") == F.col(f"_t{i}")) & F.lit(o < l))).cast("int")
+                 for k, (e, o) in enumerate(pairs) if e == d and k != i]
+        return sum(ahead, F.lit(0))
+
+    out = _long(df.agg(*aggs), [
+        F.struct(*_dim(d), F.lit(l).alias("label"), rank(i).alias("label_rank"), F.col(f"_t{i}").alias("total"),
+                 F.lit(s).cast("string").alias("source"), F.lit(None if s is None else j).cast("int").alias("source_ordinal"),
+                 F.col(f"_s{i}_{j}").alias("n"))
         for i, (d, l) in enumerate(pairs) for j, s in enumerate(sources)
     ])
+    return _sorted_small(out, *(["dimension"] if isinstance(labels, dict) else []), "label_rank", "source_ordinal")
 
 
 def stack_offsets(by_source: DataFrame) -> DataFrame:
@@ -292,35 +265,36 @@ def any_label_counts(df: DataFrame, labels: Labels) -> DataFrame:
 
 def venn_regions(df: DataFrame, labels: Sequence[str], null_as_true: bool = True, strict: bool = True) -> DataFrame:
     """AGG-15: the 2^k - 1 exclusive overlap regions of k labels under
-    ``astype(bool)`` (null counts as True), one pass. ``region`` is a 0/1 string
-    in label order, ``members`` the included labels; ``total`` excludes rows in
-    no label. ``strict`` keeps the three-label contract."""
+    ``astype(bool)`` (null counts as True). ``region`` is a 0/1 string in label
+    order, ``members`` the included labels; ``total`` excludes rows in no
+    label. ``strict`` keeps the three-label contract.
+
+    Rows are counted by their bit mask (partial aggregation, at most 2^k
+    groups); the list of regions is made in Spark from the k labels and takes
+    its counts from a map of the masks that occur. Order: number of labels,
+    then label order."""
     if strict and len(labels) != 3:
-        raise ValueError("venn_regions requires exactly 3 method labels.")
-    if not 1 <= len(labels) <= 10:
-        raise ValueError("venn_regions supports 1 to 10 labels")
+        raise ValueError(f"three labels are needed, not {len(labels)}; pass strict=False for another number")
     require(df, labels)
-    flags = [truthy(lc(l), null_as_true) for l in labels]
     k = len(labels)
-    masks = list(range(1, 2 ** k))
-    # order: by number of labels, then label order (only_a, only_b, ..., a&b, ..., all)
-    masks.sort(key=lambda m: (bin(m).count("1"), [-(m >> i & 1) for i in range(k)]))
-
-    def cond(m: int) -> Column:
-        c = F.lit(True)
-        for i, f in enumerate(flags):
-            c = c & (f if m >> i & 1 else ~f)
-        return c
-
-    row = df.agg(*[count_if(cond(m)).alias(f"_r{m}") for m in masks])
-    row = row.withColumn("_total", sum((F.col(f"_r{m}") for m in masks), F.lit(0)))
-    return _long(row, [
-        F.struct(F.lit(o).alias("ordinal"),
-                 F.lit("".join("1" if m >> i & 1 else "0" for i in range(k))).alias("region"),
-                 F.lit(" & ".join(l for i, l in enumerate(labels) if m >> i & 1)).alias("members"),
-                 F.col(f"_r{m}").cast("long").alias("n"), F.col("_total").cast("long").alias("total"))
-        for o, m in enumerate(masks)
-    ])
+    mask = sum((F.when(truthy(lc(l), null_as_true), F.lit(1 << i)).otherwise(0) for i, l in enumerate(labels)), F.lit(0))
+    counted = df.groupBy(mask.cast("int").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    row = counted.agg(F.map_from_entries(F.collect_list(F.struct("_m", "_n"))).alias("_by"),
+                      F.coalesce(F.sum(F.when(F.col("_m") > 0, F.col("_n"))), F.lit(0)).alias("total"))
+
+    def bit(m: Column, i: int) -> Column:
+        return F.shiftright(m, i).bitwiseAND(F.lit(1))
+
+    def region(m: Column) -> Column:
+        return F.concat(*[bit(m, i).cast("string") for i in range(k)])
+
+    order = F.array_sort(F.transform(F.sequence(F.lit(1), F.lit((1 << k) - 1)), lambda m: F.struct(
+        F.bit_count(m).alias("b"), F.translate(region(m), "01", "10").alias("r"), m.alias("m"))))
+    out = row.select("_by", "total", F.posexplode(order).alias("ordinal", "_o"))
+    m = F.col("_o.m")
+    members = F.concat_ws(" & ", *[F.when(bit(m, i) == 1, F.lit(l)) for i, l in enumerate(labels)])
+    return out.select("ordinal", region(m).alias("region"), members.alias("members"),
+                      F.coalesce(F.try_element_at("_by", m), F.lit(0)).cast("long").alias("n"), F.col("total").cast("long").alias("total"))
 
 
 def multi_value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -333,7 +307,7 @@ def multi_value_counts(df: DataFrame, column: str) -> DataFrame:
     values = (df.filter(nonblank(cell))
               .select(F.explode(split_multi_value(cell)).alias("value"))
               .filter(F.col("value") != ""))
-    return _sorted_small(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "n", "value")
+    return values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "value")
 
 
 def value_coverage(df: DataFrame, column: str) -> DataFrame:
@@ -353,62 +327,34 @@ def prisma_flow(keyed: DataFrame, annotated: DataFrame | None = None,
 
     Identification counts come from the keyed records (one key-level
     aggregate); title-screen counts from the annotated table (one aggregate)
-    when given; later stages are pending (null). The two sources are unioned
-    in long form, never joined. Also emits ``after_dedup`` and the survivor
-    count ``template_rows`` next to ``for_screening`` (they differ when a key
-    mixes flagged and unflagged rows)."""
-    s = _summary_row(keyed)
-    ident = _long(s, [
-        F.struct(F.lit(o).alias("ordinal"), F.lit(stage).alias("stage"), F.lit(box).alias("box"),
-                 F.col(c).cast("long").alias("value"))
-        for o, stage, box, c in [
-            (0, "identification", "pubmed", "pubmed"),
-            (1, "identification", "scopus", "scopus"),
-            (2, "identification", "ieee", "ieee"),
-            (3, "identification", "total_raw", "total_raw"),
-            (4, "identification", "duplicates_removed", "duplicates_removed"),
-            (5, "identification", "reviews_conf_excluded", "excluded_rev_conf"),
-            (6, "identification", "after_dedup", "dedup_papers"),
-            (7, "identification", "for_screening", "kept"),
-            (8, "identification", "template_rows", "template_rows"),
-            (9, "screening", "title_screening", "kept"),
-        ]
-    ])
-    pending = [(13, "eligibility", "assessed_for_eligibility"), (14, "eligibility", "excluded_after_abstract"),
-               (15, "eligibility", "full_text_screening"), (16, "included", "studies_included")]
-
-    def box(o: int, stage: str, name: str, value: Column) -> Column:
-        return F.struct(F.lit(o).alias("ordinal"), F.lit(stage).alias("stage"), F.lit(name).alias("box"),
-                        value.cast("long").alias("value"))
-
-    null = F.lit(None).cast("long")
-    if annotated is not None and method_labels:
-        from .screen import manual_screen_condition
-
-        row = annotated.agg(F.count(F.lit(1)).alias("_all"),
-                            count_if(manual_screen_condition(method_labels, not_relevant)).alias("_in"))
-        screen = _long(row, [
-            box(10, "screening", "title_screen_excluded", F.col("_all") - F.col("_in")),
-            box(11, "screening", "title_screen_passed", F.col("_in")),
-            box(12, "screening", "abstract_screening", F.col("_in")),
-            *[box(o, st, b, null) for o, st, b in pending],
-        ])
-        # Q3: the screen counts come from the annotated table, the rest from
-        # the keyed records; report how far the annotated table is from the
-        # template it should have been made from (0 when consistent).
-        flow = ident.unionByName(screen)
-        v = F.col("value")
-        check = flow.agg(
-            (F.sum(F.when(F.col("box").isin("title_screen_passed", "title_screen_excluded"), v))
-             - F.sum(F.when(F.col("box") == "template_rows", v))).alias("value")
-        ).select(F.lit(17).alias("ordinal"), F.lit("checks").alias("stage"),
-                 F.lit("annotated_minus_template").alias("box"), F.col("value").cast("long").alias("value"))
-        return flow.unionByName(check)
+    when given; later stages are pending (null). The two one-row aggregates
+    meet in one row, from which all boxes are read. Also emits ``after_dedup``
+    and the survivor count ``template_rows`` next to ``for_screening`` (they
+    differ when a key mixes flagged and unflagged rows)."""
+    from .screen import manual_screen_condition
+
+    screened = annotated is not None and bool(method_labels)
+    row = _summary_row(keyed)
+    if screened:
+        other = annotated.agg(F.count(F.lit(1)).alias("_all"),
+                              count_if(manual_screen_condition(method_labels, not_relevant)).alias("_in"))
+        row = row.unionByName(other, allowMissingColumns=True)
+        row = row.agg(*[F.max(c).alias(c) for c in row.columns])
     else:
-        screen = _long(s, [
-            box(10, "screening", "title_screen_excluded", null),
-            box(11, "screening", "title_screen_passed", null),
-            box(12, "screening", "abstract_screening", F.col("kept")),
-            *[box(o, st, b, null) for o, st, b in pending],
-        ])
-    return ident.unionByName(screen)
+        row = row.withColumns({"_all": F.lit(None).cast("long"), "_in": F.lit(None).cast("long")})
+    boxes = [
+        ("identification", "pubmed", F.col("pubmed")), ("identification", "scopus", F.col("scopus")),
+        ("identification", "ieee", F.col("ieee")), ("identification", "total_raw", F.col("total_raw")),
+        ("identification", "duplicates_removed", F.col("duplicates_removed")),
+        ("identification", "reviews_conf_excluded", F.col("excluded_rev_conf")),
+        ("identification", "after_dedup", F.col("dedup_papers")), ("identification", "for_screening", F.col("kept")),
+        ("identification", "template_rows", F.col("template_rows")), ("screening", "title_screening", F.col("kept")),
+        ("screening", "title_screen_excluded", F.col("_all") - F.col("_in")), ("screening", "title_screen_passed", F.col("_in")),
+        ("screening", "abstract_screening", F.col("_in") if screened else F.col("kept")),
+        *[(st, b, F.lit(None)) for st, b in (("eligibility", "assessed_for_eligibility"), ("eligibility", "excluded_after_abstract"),
+                                             ("eligibility", "full_text_screening"), ("included", "studies_included"))],
+    ]
+    if screened:  # Q3: how far the annotated table is from the template it should have been made from
+        boxes.append(("checks", "annotated_minus_template", F.col("_all") - F.col("template_rows")))
+    return _long(row, [F.struct(F.lit(o).alias("ordinal"), F.lit(st).alias("stage"), F.lit(b).alias("box"), v.cast("long").alias("value"))
+                       for o, (st, b, v) in enumerate(boxes)])

@@ -5,7 +5,7 @@ Two scorers are plain Column expressions and stay inside whole-stage codegen:
 
 * ``lexical_scores`` - share of a label's distinct words found in the text;
 * ``cosine_scores``  - cosine between a vector column and one reference
-  vector per label.
+  vector per label (a small table).
 
 A user model (for example a zero-shot classifier) goes through
 ``model_scores``: ``mapInPandas`` with Arrow batches, the model built once per
@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from ..functions.constants import DEFAULT_BATCH_SIZE, SCORE_DECIMALS, TAG_THRESHOLD
 from ..functions.text import norm_title
+from ..session import ship_package
 from .report import lc
 
 
@@ -66,68 +67,77 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def cosine_scores(vec: Column | str, label_vectors: dict[str, Sequence[float]]) -> Column:
-    """Per label: cosine(vec, label vector), both cast to double first. The
-    label vectors are literals (a bounded parameter), so no join is needed."""
-    v = _col(vec).cast("array<double>")
-    nv = F.sqrt(_dot(v, v))
-    labels, scores = [], []
-    for label, ref in label_vectors.items():
-        r = F.array(*[F.lit(float(x)) for x in ref]).cast("array<double>")
-        nr = F.sqrt(_dot(r, r))
-        scores.append(F.try_divide(_dot(v, r), nv * nr))  # a zero vector scores null, not an error
-        labels.append(F.lit(label).cast("string"))
-    return F.map_from_arrays(F.array(*labels), F.array(*scores))
-
-
 def label_vectors(df: DataFrame, label_col: str, vec_col: str, order_col: str,
-                  labels: Sequence | None = None, max_labels: int = 1_000) -> dict[str, list[float]]:
-    """Reference vector per label: the vector of the smallest ``order_col``.
-
-    One ``min_by`` aggregate (one row per label); at most ``max_labels + 1``
-    rows ever reach the driver, and more than ``max_labels`` is an error (the
-    vectors become literals of the scoring expression)."""
+                  labels: Sequence | None = None) -> DataFrame:
+    """``(label, vec, norm)``: the reference vector of each label, that of the
+    smallest ``order_col``, as doubles, with its length."""
     src = df if labels is None else df.filter(lc(label_col).isin(list(labels)))
-    per_label = src.groupBy(lc(label_col).alias("label")).agg(F.min_by(lc(vec_col), lc(order_col)).alias("vec"))
-    rows = per_label.orderBy("label").limit(max_labels + 1).collect()  # bounded: at most max_labels + 1 rows
-    if len(rows) > max_labels:
-        raise ValueError(f"more than max_labels={max_labels} labels")
-    return {str(r["label"]): [float(x) for x in r["vec"]] for r in rows}
+    vec = F.min_by(lc(vec_col), lc(order_col)).cast("array<double>")
+    return (src.groupBy(lc(label_col).cast("string").alias("label")).agg(vec.alias("vec"))
+            .withColumn("norm", F.sqrt(_dot(F.col("vec"), F.col("vec")))))
+
+
+def cosine_scores(df: DataFrame, vec_col: str, vectors: DataFrame, out: str = "scores") -> DataFrame:
+    """Adds ``out``, a map from every label of ``vectors`` (see
+    ``label_vectors``) to its cosine with the row's vector; null for a zero
+    vector. The label table enters as a scalar subquery, so its vectors are
+    not part of the plan's text; a row's length is computed once."""
+    table = vectors.agg(F.array_sort(F.collect_list(F.struct("label", "vec", "norm")))).scalar()
+    rows = df.withColumns({"_v": lc(vec_col).cast("array<double>"), "_refs": table})
+    rows = rows.withColumn("_norm", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
+    scored = F.transform("_refs", lambda r: F.struct(
+        r["label"], F.try_divide(_dot(F.col("_v"), r["vec"]), F.col("_norm") * r["norm"])))
+    return rows.withColumn(out, F.map_from_entries(scored)).drop("_v", "_refs", "_norm")
+
+
+def map_scores_long(scored: DataFrame, id_cols: Sequence[str], scores: str = "scores",
+                    decimals: int | None = SCORE_DECIMALS) -> DataFrame:
+    """``(id..., label, score)`` of every entry of the score map."""
+    out = scored.select(*[lc(c) for c in id_cols], F.explode(scores).alias("label", "score"))
+    return out.withColumn("score", round_score("score", decimals)) if decimals is not None else out
 
 
-_MODELS: dict[str, object] = {}
+_MODELS: dict[str, object] = {}  # of this Python worker
 
 
 def model_scores(df: DataFrame, text_col: str, labels: Sequence[str], factory: Callable[[], Callable],
-                 batch_size: int = DEFAULT_BATCH_SIZE, cache_key: str | None = None) -> DataFrame:
+                 batch_size: int = DEFAULT_BATCH_SIZE, cache_key: str | None = None,
+                 id_cols: Sequence[str] = ("row_id",)) -> DataFrame:
     """SCO-2 with a user model: ``model(texts, labels)`` returns one
-    ``{'labels': [...], 'scores': [...]}`` per text. Adds a ``scores`` map.
+    ``{'labels': [...], 'scores': [...]}`` per text. Gives ``id_cols`` and a
+    ``scores`` map; only these columns and the text go through Arrow.
 
-    Runs in ``mapInPandas``: Arrow batches in, the model built once per Python
-    worker, ``batch_size`` texts per call. Empty partitions yield nothing."""
+    Runs in ``mapInPandas``: ``batch_size`` texts per call, the model built once
+    per Python worker. The cache lives in this module as the worker imports
+    it (a closure's own dictionary would be new in every task), so the package
+    must be importable there. Empty partitions yield nothing."""
     labels = list(labels)
     # the factory's pickled bytes identify it: two closures with the same
     # name but different captured settings (model name, device) get two models
     key = cache_key or hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
-    schema = T.StructType([*df.schema.fields, T.StructField("_labels", T.ArrayType(T.StringType())),
+    ship_package(df.sparkSession)
+    rows = df.select(*[lc(c) for c in id_cols], lc(text_col).alias("_text"))
+    schema = T.StructType([*rows.drop("_text").schema.fields, T.StructField("_labels", T.ArrayType(T.StringType())),
                            T.StructField("_scores", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _MODELS.get(key)
+        from winnow.operators import score as own
+
+        model = own._MODELS.get(key)
         if model is None:
-            model = _MODELS[key] = factory()
+            model = own._MODELS[key] = factory()
         for pdf in batches:
             if pdf.empty:
                 continue
-            texts = ["" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v) for v in pdf[text_col]]
+            texts = ["" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v) for v in pdf["_text"]]
             out_l, out_s = [], []
             for i in range(0, len(texts), batch_size):
                 for r in model(texts[i:i + batch_size], labels):
                     out_l.append([str(x) for x in r["labels"]])
                     out_s.append([float(x) for x in r["scores"]])
-            yield pdf.assign(_labels=out_l, _scores=out_s)
+            yield pdf.drop(columns="_text").assign(_labels=out_l, _scores=out_s)
 
-    out = df.mapInPandas(run, schema)
+    out = rows.mapInPandas(run, schema)
     return out.withColumn("scores", F.map_from_arrays("_labels", "_scores")).drop("_labels", "_scores")
 
 
@@ -163,14 +173,14 @@ def threshold_tags(scored: DataFrame, labels: Sequence[str], threshold: float =
     return out if keep_scores else out.drop(scores)
 
 
-def tag_dimensions(scored: DataFrame, dimensions: dict[float, Sequence[str]], scores: str = "scores",
+def tag_dimensions(scored: DataFrame, dimensions: Sequence[tuple[float, Sequence[str]]], scores: str = "scores",
                    decimals: int = SCORE_DECIMALS) -> DataFrame:
     """SCO-4 in one pass: texts scored once against every label (scores are
     independent per label), then each dimension tagged at its own threshold
     - the same columns as scoring each dimension separately and joining them
     on the key, without the second scoring pass and the join."""
     out = scored
-    for threshold, labels in dimensions.items():
+    for threshold, labels in dimensions:
         out = threshold_tags(out, labels, threshold, scores=scores, decimals=decimals, keep_scores=True)
     return out.drop(scores)
 

@@ -6,13 +6,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import (BORDERLINE_LOW, CANCER_TYPE, NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE,
                                    SCREEN_THRESHOLD)
 from ..functions.nulls import any_is_one, count_if, not_one
 from .report import lc, require
+from .skew import key_digest
 
 TEMPLATE_RECORD_COLUMNS = ("row_id", "dedup_key", "title", "authors", "year", "doi", "source")
 EXPORT_RECORD_COLUMNS = ("title", "authors", "year", "doi", "source")
@@ -27,33 +28,22 @@ def keep_first(df: DataFrame, key: str = "dedup_key", order: str = "row_id", whe
     """DED-3: the first row of each key in ``order`` (concatenation order),
     among the rows satisfying ``where`` (keys without such a row drop out).
 
-    A ``min_by`` aggregate, not a window and not ``dropDuplicates`` (which
-    keeps an arbitrary row): each map task pre-reduces its rows to one
-    candidate per key before the exchange, so a key holding a third of all
-    rows costs one row per task in the shuffle. ``where`` is folded into the
-    ordering (``min_by`` skips null orderings) instead of a filter, which the
-    optimiser would push below the projection and re-derive per reference.
+    The least ``order`` per key is a hash aggregate over (key digest, long),
+    pre-reduced by every map task, so a key holding a third of all rows costs
+    one row per task; the rows are then semi-joined on the unique ``order``.
+    Neither step sorts rows by their text keys. Not ``dropDuplicates``, which
+    keeps an arbitrary row.
     """
-    others = [c for c in df.columns if c != key]
-    ordering = lc(order) if where is None else F.when(where, lc(order))
-    first = F.min_by(F.struct(*[lc(c) for c in others]), ordering)
-    out = df.groupBy(lc(key)).agg(first.alias("_first"))
-    if where is not None:
-        out = out.filter(F.col("_first").isNotNull())
-    return out.select(*[(F.col(f"_first.`{c}`") if c != key else lc(key)).alias(c) for c in df.columns])
+    rows = df if where is None else df.filter(where)
+    first = rows.groupBy(key_digest(lc(key)).alias("_kd")).agg(F.min(lc(order)).alias("_first"))
+    return df.join(first.select("_first"), lc(order) == F.col("_first"), "left_semi")
 
 
 def survivors(flagged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """SCO-1 / template rows: reviews removed *before* keep-first, so a key
-    whose first row is a review survives through a later clean row.
-
-    ``columns`` prunes the carried columns before the aggregate (the
-    optimiser cannot prune fields inside the ``min_by`` struct)."""
-    kept = flagged
-    if columns is not None:
-        kept = kept.select(*[lc(c) for c in dict.fromkeys(["dedup_key", "row_id", "flag_review_conf", *columns])])
-    out = keep_first(kept, where=~F.col("flag_review_conf"))
-    return out if columns is None or "flag_review_conf" in columns else out.drop("flag_review_conf")
+    whose first row is a review survives through a later clean row."""
+    out = keep_first(flagged, where=~F.col("flag_review_conf"))
+    return out if columns is None else out.select(*[lc(c) for c in columns])
 
 
 def annotation_template(flagged: DataFrame, method_labels: Sequence[str], application_labels: Sequence[str],
@@ -106,15 +96,9 @@ def score_screen_condition(score_cols: Sequence[str], threshold: float = SCREEN_
     return reduce(lambda a, b: a | b, [F.coalesce(lc(c) > F.lit(threshold), F.lit(False)) for c in score_cols])
 
 
-def score_screen(scored: DataFrame, score_cols: Sequence[str], threshold: float = SCREEN_THRESHOLD,
-                 observation: Observation | None = None) -> DataFrame:
-    """FLT-4 as a column. The scored rows are first observed (their count is
-    a metric, readable from ``observation``): a metrics node is one the
-    optimiser does not push filters through, so later screens and bands on
-    the scores filter the scored rows instead of re-deriving every score
-    inside the pushed-down condition, once per reference."""
-    observed = scored.observe(observation or Observation(), F.count(F.lit(1)).alias("scored_rows"))
-    return observed.withColumn("title_screen_pass", score_screen_condition(score_cols, threshold))
+def score_screen(scored: DataFrame, score_cols: Sequence[str], threshold: float = SCREEN_THRESHOLD) -> DataFrame:
+    """FLT-4 as a column."""
+    return scored.withColumn("title_screen_pass", score_screen_condition(score_cols, threshold))
 
 
 def excluded_with_max(screened: DataFrame, score_cols: Sequence[str]) -> DataFrame:
@@ -138,6 +122,19 @@ def review_sheet(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[lc(c) for c in cols], F.lit("").alias("Your_Decision"), F.lit("").alias("Notes"))
 
 
+def borderline_sheet(excluded: DataFrame, cols: Sequence[str], low: float = BORDERLINE_LOW, high: float | None = None) -> DataFrame:
+    """SNK-6 / FLT-6: the borderline rows for a reviewer, highest maximum first."""
+    rows = score_bands(excluded, low, high).filter(F.col("band") == "borderline")
+    return review_sheet(rows, cols).orderBy(F.desc("max_score"), "row_id")
+
+
+def sample_sheet(excluded: DataFrame, cols: Sequence[str], low: float = BORDERLINE_LOW, n: int = SAMPLE_SIZE,
+                 seed: int = SAMPLE_SEED) -> DataFrame:
+    """SNK-6 / SRT-3: the seeded sample of the rows under the band, highest maximum first."""
+    rows = seeded_sample(excluded.filter(F.col("max_score") < F.lit(low)), n, seed)
+    return review_sheet(rows, cols).orderBy(F.desc("max_score"), "row_id")
+
+
 def seeded_sample(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED, id_col: str = "row_id") -> DataFrame:
     """SRT-3: exactly ``min(n, rows)`` rows, repeatable, without replacement:
     bottom-n by ``md5('<seed>:' || id)`` (planned as a distributed top-n)."""

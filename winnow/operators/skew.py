@@ -1,85 +1,28 @@
 """Per-key counts attached to every row, safe for hot keys.
 
 A window ``count(*) over (partition by key)`` sends every row of a key to one
-task; a single generic title can hold a third of all rows. Here instead:
-
-1. ``groupBy(key).count()`` - partial (map-side) aggregation, skew-proof;
-2. the hottest keys (count >= ``hot_rows``, at most ``max_hot_keys`` of them,
-   ranked by count) are broadcast as 64-bit key hashes with a salt count
-   ``ceil(count / hot_rows)`` - a proven size bound of ``max_hot_keys`` rows;
-3. a row of a hot key gets salt ``hash(row_id) mod salts``; the key's count
-   row is replicated once per salt; the equi-join runs on (key, salt), so a
-   hot key is spread over up to ``max_salts`` tasks. Cold keys use salt 0.
-
-Hash collisions only salt a cold key too; results stay exact because both
-sides take the salt count from the same broadcast row.
+task; a single generic title can hold a third of all rows. Here instead the
+counts come from a ``groupBy`` (map-side partial aggregation) and are joined
+back on a 256-bit digest of the key: the count side has one row per key, so a
+hot key is a skewed left side, which adaptive execution splits over as many
+tasks as it needs. There is no list of hot keys and no limit on them. Digests
+keep long text keys out of the shuffle and the sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_MAX_SALTS = 4096
-
-
-def _conf_int(spark: SparkSession, key: str, default: int) -> int:
-    try:
-        return int(spark.conf.get(key, str(default)))
-    except Exception:  # noqa: BLE001 - unreadable conf falls back to the default
-        return default
-
-
-def skew_settings(spark: SparkSession) -> tuple[int, int, int]:
-    return (
-        _conf_int(spark, "winnow.skew.hotKeyRows", DEFAULT_HOT_ROWS),
-        _conf_int(spark, "winnow.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS),
-        _conf_int(spark, "winnow.skew.maxSalts", DEFAULT_MAX_SALTS),
-    )
-
-
-def attach_key_counts(df: DataFrame, key: str, count_col: str, salt_by: str,
-                      hot_rows: int | None = None, max_hot_keys: int | None = None,
-                      max_salts: int | None = None) -> DataFrame:
-    """Add ``count_col`` = number of rows of ``df`` sharing ``key``.
 
-    ``salt_by`` is a column with well-spread values (a row id) used to split
-    the rows of a hot key. Rows with a null key get a null count.
-    """
-    d_hot, d_keys, d_salts = skew_settings(df.sparkSession)
-    hot_rows = max(1, hot_rows or d_hot)
-    max_hot_keys = max(1, max_hot_keys or d_keys)
-    max_salts = max(1, max_salts or d_salts)
+def key_digest(key: Column | str) -> Column:
+    """256-bit digest of a text key; null for a null key."""
+    return F.unhex(F.sha2(F.col(key) if isinstance(key, str) else key, 256))
 
-    k = F.col(key)
-    # One aggregate, grouped by (key, key hash): the hot-key list and the
-    # per-key counts both read it, so its exchange is computed once.
-    stats = (df.withColumn("_kh", F.xxhash64(k))
-             .groupBy(k, F.col("_kh")).agg(F.count(F.lit(1)).alias(count_col)))
-    hot = (
-        stats.filter(F.col(count_col) >= hot_rows)
-        .groupBy("_kh")
-        .agg(F.max(count_col).alias("_hot_n"))
-        .orderBy(F.desc("_hot_n"), "_kh")
-        .limit(max_hot_keys)
-        .select("_kh", F.least(F.lit(max_salts), F.ceil(F.col("_hot_n") / F.lit(hot_rows))).cast("int")
-                .alias("_salts"))
-    )
-    hot_b = F.broadcast(hot)
 
-    rows = (
-        df.withColumn("_kh", F.xxhash64(k))
-        .join(hot_b, "_kh", "left")
-        .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                    .otherwise(F.pmod(F.xxhash64(F.col(salt_by)), F.col("_salts")).cast("int")))
-        .drop("_kh", "_salts")
-    )
-    counts = (
-        stats.join(hot_b, "_kh", "left")
-        .select(k, F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
-                             .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))).alias("_salt"),
-                F.col(count_col))
-    )
-    return rows.join(counts, [key, "_salt"], "left").drop("_salt")
+def attach_key_counts(df: DataFrame, key: str, count_col: str) -> DataFrame:
+    """Add ``count_col`` = number of rows of ``df`` sharing ``key``. Rows with a
+    null key get a null count."""
+    rows = df.withColumn("_kd", key_digest(key))
+    counts = rows.groupBy("_kd").agg(F.count(F.lit(1)).alias(count_col)).filter(F.col("_kd").isNotNull())
+    return rows.join(counts, "_kd", "left").drop("_kd")

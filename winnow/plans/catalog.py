@@ -1,8 +1,9 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
-All of them read the driver's tables (``documents`` + ``labels`` through the
-``records`` view, or ``embeddings``) in full; none caps, samples or subsets
-rows except ``excluded_sample``, whose contract is a sample.
+All of them read the driver's tables (``documents``, with ``labels`` where tags
+are used, through the ``records`` view, or ``embeddings``) in full: whole first
+lines, whole digests, all rows. Only ``excluded_sample`` and ``sample_sheet``
+give some rows, for their contract is a sample.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import (APPLICATION_LABELS, CANCER_TYPE, DIMENSION_TAG_THRESHOLD, METHOD_LABELS,
                                    NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE, SCREEN_THRESHOLD, TAG_THRESHOLD)
-from ..functions.text import extract_year, is_review_title, norm_doi, norm_title
+from ..functions.text import extract_year, is_review_title, norm_doi, norm_text, norm_title
 from ..operators import identify as ident
 from ..operators import report, score, screen
 from ..sources import exports, fixture
@@ -32,6 +33,10 @@ LABELS = METHOD_LABELS + APPLICATION_LABELS
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Display names of the fixture's labels (others keep their own name).
+SHORT = {label: " ".join(w[0] for w in label.split() if w[0].isupper()) for label in LABELS}
+
+
 def _records(spark, d):
     return fixture.raw_records(spark, d)
 
@@ -60,8 +65,16 @@ DIMENSIONS = {"methods": METHOD_LABELS, "applications": APPLICATION_LABELS}
 # --- sources & text ---------------------------------------------------------
 
 def q_harmonise_sources(spark, d):
-    pub, sco, iee = exports.split_by_source(_records(spark, d))
-    return exports.harmonise(pub, sco, iee, order_col="row_id")
+    return exports.harmonised(_records(spark, d))
+
+
+def q_missing_tokens(spark, d):
+    cells = _records(spark, d).select("row_id", fixture.missing_cell().alias("authors"))
+    return exports.na_to_null(cells.withColumn("row_id", F.col("row_id").cast("string"))).withColumn("row_id", F.col("row_id").cast("long"))
+
+
+def q_norm_text(spark, d):
+    return _records(spark, d).select("row_id", norm_text("title").alias("title"))
 
 
 def q_norm_title(spark, d):
@@ -128,7 +141,7 @@ def q_cooccurrence(spark, d):
 
 
 def q_method_application_matrix(spark, d):
-    return report.method_application_matrix(_annotated(spark, d), METHOD_LABELS, APPLICATION_LABELS)
+    return report.method_application_matrix(_annotated(spark, d), METHOD_LABELS, APPLICATION_LABELS, SHORT)
 
 
 def q_temporal_trends(spark, d):
@@ -159,6 +172,10 @@ def q_venn_regions(spark, d):
     return report.venn_regions(_screened(spark, d), METHOD_LABELS)
 
 
+def q_venn_regions_all(spark, d):
+    return report.venn_regions(_screened(spark, d), LABELS, strict=False)
+
+
 def q_prisma_flow(spark, d):
     return report.prisma_flow(_keyed(spark, d), _annotated(spark, d), METHOD_LABELS, NOT_RELEVANT)
 
@@ -206,16 +223,36 @@ def q_merge_dimensions(spark, d):
     return _merged(spark, d)
 
 
+def q_two_dimension_tags(spark, d):
+    """SCO-4: one scoring pass over all labels, each dimension tagged from it."""
+    one = score.tag_dimensions(_lex_scored(spark, d), [(DIMENSION_TAG_THRESHOLD, LEX_METHODS),
+                                                       (DIMENSION_TAG_THRESHOLD, LEX_APPLICATIONS)])
+    cols = ["row_id", "dedup_key", "title", "authors", "year", "doi", "source", *[c for l in LEX_LABELS for c in (l, f"{l}_score")]]
+    return one.select(*[report.lc(c) for c in cols])
+
+
+def stub_model():
+    """A deterministic model: a label's score follows from the text's length."""
+    def model(texts, labels):
+        return [{"labels": labels, "scores": [((len(t) + i) % 10) / 10 for i in range(len(labels))]} for t in texts]
+    return model
+
+
+def q_score_labels_model(spark, d):
+    scored = score.model_scores(_candidates(spark, d), "title", LEX_METHODS, stub_model, cache_key="stub")
+    return score.scores_long(scored, ["row_id"], LEX_METHODS)
+
+
 METHOD_SCORE_COLS = [f"{l}_score" for l in LEX_METHODS]
 
 
 def q_score_screen(spark, d):
-    s = screen.score_screen(_merged(spark, d), METHOD_SCORE_COLS, SCREEN_THRESHOLD)
+    s = screen.score_screen(q_two_dimension_tags(spark, d), METHOD_SCORE_COLS, SCREEN_THRESHOLD)
     return s.select("row_id", "dedup_key", "title_screen_pass")
 
 
 def _excluded(spark, d):
-    s = screen.score_screen(_merged(spark, d), METHOD_SCORE_COLS, SCREEN_THRESHOLD)
+    s = screen.score_screen(q_two_dimension_tags(spark, d), METHOD_SCORE_COLS, SCREEN_THRESHOLD)
     return screen.excluded_with_max(s, METHOD_SCORE_COLS)
 
 
@@ -226,19 +263,30 @@ def q_max_score_bands(spark, d):
 def q_excluded_sample(spark, d):
     deep = _excluded(spark, d).filter(F.col("max_score") < F.lit(BAND_LOW))
     picked = screen.seeded_sample(deep, SAMPLE_SIZE, SAMPLE_SEED)
-    cols = ["row_id", "title", "authors", "year", "doi", "source", *METHOD_SCORE_COLS, "max_score"]
-    return screen.review_sheet(picked, cols)
+    return screen.review_sheet(picked, SHEET_COLS)
+
+
+SHEET_COLS = ["row_id", "title", "authors", "year", "doi", "source", *METHOD_SCORE_COLS, "max_score"]
+
+
+def q_borderline_sheet(spark, d):
+    return screen.borderline_sheet(_excluded(spark, d), SHEET_COLS, low=BAND_LOW)
+
+
+def q_sample_sheet(spark, d):
+    return screen.sample_sheet(_excluded(spark, d), SHEET_COLS, low=BAND_LOW)
 
 
 def q_score_labels_cosine(spark, d):
     emb = spark.read.schema(fixture.EMBEDDINGS_SCHEMA).parquet(f"{d}/embeddings.parquet")
     vecs = score.label_vectors(emb, "label", "embedding", "vec_id")
-    scored = emb.select("vec_id", score.cosine_scores("embedding", vecs).alias("scores"))
-    return score.scores_long(scored, ["vec_id"], list(vecs))
+    return score.map_scores_long(score.cosine_scores(emb, "embedding", vecs), ["vec_id"])
 
 
 QUERIES: dict[str, Query] = {
     "harmonise_sources": q_harmonise_sources,
+    "missing_tokens": q_missing_tokens,
+    "norm_text": q_norm_text,
     "norm_title": q_norm_title,
     "norm_doi": q_norm_doi,
     "extract_year": q_extract_year,
@@ -261,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "distribution": q_distribution,
     "any_label_count": q_any_label_count,
     "venn_regions": q_venn_regions,
+    "venn_regions_all": q_venn_regions_all,
     "prisma_flow": q_prisma_flow,
     "multi_value_counts": q_multi_value_counts,
     "value_coverage": q_value_coverage,
@@ -268,9 +317,13 @@ QUERIES: dict[str, Query] = {
     "threshold_tags": q_threshold_tags,
     "top_labels": q_top_labels,
     "merge_dimensions": q_merge_dimensions,
+    "two_dimension_tags": q_two_dimension_tags,
+    "score_labels_model": q_score_labels_model,
     "score_screen": q_score_screen,
     "max_score_bands": q_max_score_bands,
     "excluded_sample": q_excluded_sample,
+    "borderline_sheet": q_borderline_sheet,
+    "sample_sheet": q_sample_sheet,
     "score_labels_cosine": q_score_labels_cosine,
 }
 

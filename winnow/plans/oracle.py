@@ -7,10 +7,9 @@ Views ``documents``, ``labels``, ``embeddings`` are registered by the caller.
 
 from __future__ import annotations
 
-from ..functions.constants import APPLICATION_LABELS, METHOD_LABELS, REVIEW_PHRASES
-from ..operators.report import short_name
-from ..sources.fixture import FIXTURE_TAGS, RECORDS_SQL
-from .catalog import BAND_LOW, LEX_APPLICATIONS, LEX_LABELS, LEX_METHODS
+from ..functions.constants import APPLICATION_LABELS, METHOD_LABELS, NA_TOKENS, REVIEW_PHRASES
+from ..sources.fixture import FIXTURE_TAGS, MISSING_CELL_SQL, RECORDS_SQL
+from .catalog import BAND_LOW, LEX_APPLICATIONS, LEX_LABELS, LEX_METHODS, SHORT
 
 WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WS_IN = WS[1:-1]
@@ -170,6 +169,19 @@ def _venn() -> str:
         "cast(n as bigint) as n, cast(sum(n) over () as bigint) as total from r"
 
 
+def _venn_all() -> str:
+    mask = " + ".join(f"case when coalesce({ident(l)} <> 0, true) then {1 << i} else 0 end" for i, l in enumerate(LABELS))
+    k = len(LABELS)
+    bits = " || ".join(f"cast((m >> {i}) & 1 as varchar)" for i in range(k))
+    members = "array_to_string(list_filter([" + ", ".join(
+        f"case when (m >> {i}) & 1 = 1 then {q(l)} end" for i, l in enumerate(LABELS)) + "], lambda x: x is not null), ' & ')"
+    return SCREEN + f""", c as (select {mask} as m, count(*) as n from screened group by 1),
+r as (select cast(i as int) as m from range(1, {1 << k}) t(i)),
+s as (select {bits} as region, {members} as members, bit_count(m) as b, coalesce(c.n, 0) as n from r left join c using (m))
+select cast(row_number() over (order by b, region desc) - 1 as int) as ordinal, region, members,
+  cast(n as bigint) as n, cast(sum(n) over () as bigint) as total from s"""
+
+
 def _by_source() -> str:
     parts = []
     for dim, labels in (("methods", METHOD_LABELS), ("applications", APPLICATION_LABELS)):
@@ -179,7 +191,9 @@ def _by_source() -> str:
                     f"select {q(dim)} as dimension, {q(l)} as label, "
                     f"cast(coalesce(sum({ident(l)}), 0) as bigint) as total, {q(s)} as source, {j} as source_ordinal, "
                     f"cast(coalesce(sum({ident(l)}) filter (where source = {q(s)}), 0) as bigint) as n from annot")
-    return "\nunion all\n".join(parts)
+    rows = "\nunion all\n".join(parts)
+    return f"""select dimension, label, cast(row_number() over (partition by dimension, source order by total, label) - 1 as int) as label_rank,
+      total, source, source_ordinal, n from ({rows})"""
 
 
 def _prisma() -> str:
@@ -240,6 +254,9 @@ ORACLE_SQL: dict[str, str] = {
     "harmonise_sources": with_(RECORDS) + """select cast(row_number() over (
       order by case source when 'PubMed' then 0 when 'Scopus' then 1 else 2 end, row_id) - 1 as bigint) as row_id,
     title, authors, year_raw as year, doi, source from records""",
+    "missing_tokens": with_(RECORDS) + f"""select row_id, case when cell in ({', '.join(q(t) for t in NA_TOKENS)}) then null else cell end
+      as authors from (select row_id, {MISSING_CELL_SQL} as cell from records)""",
+    "norm_text": with_(RECORDS) + f"select row_id, {norm_text('title')} as title from records",
     "norm_title": with_(RECORDS) + f"select row_id, {norm_title('title')} as title_norm from records",
     "norm_doi": with_(RECORDS) + f"select row_id, {norm_doi('doi')} as doi_norm from records",
     "extract_year": with_(RECORDS) + f"select row_id, {year('year_raw')} as year from records",
@@ -271,8 +288,8 @@ ORACLE_SQL: dict[str, str] = {
         for dim, labels in (("methods", METHOD_LABELS), ("applications", APPLICATION_LABELS))
         for a in labels for b in labels),
     "method_application_matrix": REPORT + "\nunion all\n".join(
-        f"select {q(m)} as method, {q(a)} as application, {q(short_name(m))} as method_short, "
-        f"{q(short_name(a))} as application_short, "
+        f"select {q(m)} as method, {q(a)} as application, {q(SHORT[m])} as method_short, "
+        f"{q(SHORT[a])} as application_short, "
         f"cast(count(*) filter (where {is_one(ident(m))} and {is_one(ident(a))}) as bigint) as n from annot"
         for m in METHOD_LABELS for a in APPLICATION_LABELS),
     "temporal_trends": REPORT + ", y as (select cast(try_cast(year as double) as int) as yi, * from annot)\n"
@@ -295,6 +312,7 @@ ORACLE_SQL: dict[str, str] = {
         + " or ".join(f"coalesce({ident(l)} <> 0, false)" for l in labels) + ") as bigint) as n from screened"
         for dim, labels in (("methods", METHOD_LABELS), ("applications", APPLICATION_LABELS))),
     "venn_regions": _venn(),
+    "venn_regions_all": _venn_all(),
     "prisma_flow": _prisma(),
     "multi_value_counts": _multi_value(),
     "value_coverage": SCREEN + f"""select cast(count(*) filter (where coalesce({strip(f'cast({CT} as varchar)')} <> '', false)) as bigint)
@@ -304,6 +322,15 @@ ORACLE_SQL: dict[str, str] = {
     "threshold_tags": LEXW + f"select row_id, dedup_key, {_tags(LEX_METHODS, 0.35)} from lw",
     "top_labels": _top(),
     "merge_dimensions": MERGED + "select * from merged",
+    "two_dimension_tags": MERGED + "select * from merged",
+    "score_labels_model": with_(RECORDS, NORMED, KEYED, SURV) + "\nunion all\n".join(
+        f"select row_id, {q(l)} as label, round(((length(coalesce(title, '')) + {i}) % 10) / 10.0, 4) + 0.0 as score from surv"
+        for i, l in enumerate(LEX_METHODS)),
+    "borderline_sheet": EXCLUDED + f"""select row_id, title, authors, year, doi, source, {', '.join(SCORE_COLS)}, max_score,
+      '' as "Your_Decision", '' as "Notes" from ex where max_score >= {BAND_LOW}""",
+    "sample_sheet": EXCLUDED + f"""select row_id, title, authors, year, doi, source, {', '.join(SCORE_COLS)}, max_score,
+      '' as "Your_Decision", '' as "Notes"
+    from ex where max_score < {BAND_LOW} order by md5('42:' || cast(row_id as varchar)), row_id limit 30""",
     "score_screen": MERGED + f"select row_id, dedup_key, {PASS} as title_screen_pass from merged",
     "max_score_bands": EXCLUDED + f"""select row_id, max_score,
       case when max_score >= {BAND_LOW} then 'borderline' when max_score < {BAND_LOW} then 'deep' end as band from ex""",

@@ -12,15 +12,17 @@ nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import APPLICATION_LABELS, CANCER_TYPE, METHOD_LABELS, NOT_RELEVANT
+from ..functions.constants import (APPLICATION_LABELS, BORDERLINE_LOW, CANCER_TYPE, DIMENSION_TAG_THRESHOLD, METHOD_LABELS,
+                                   NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE, SCREEN_THRESHOLD)
+from ..functions.nulls import count_if
 from ..operators import identify as ident
 from ..operators import report as rep
-from ..operators import screen
+from ..operators import score, screen
 from ..sources import exports, tables
 
 
@@ -32,13 +34,13 @@ def load_exports(spark: SparkSession, pubmed: str | Sequence[str], scopus: str |
 
 
 def identification(spark: SparkSession, pubmed: str | Sequence[str], scopus: str | Sequence[str],
-                   ieee: str | Sequence[str], out_dir: str, csv: bool = False, **skew) -> DataFrame:
+                   ieee: str | Sequence[str], out_dir: str, csv: bool = False) -> DataFrame:
     """PIP-1: flagged table, written to ``out_dir/flagged`` (Parquet) and read
     back, so later steps start from the stored table (SRC-8)."""
-    key = tables.fingerprint(pubmed, scopus, ieee)
+    key = tables.input_fingerprint(spark, pubmed, scopus, ieee)
     path = f"{out_dir.rstrip('/')}/flagged"
     flagged = tables.read_or_build(
-        spark, path, lambda: ident.identify(load_exports(spark, pubmed, scopus, ieee), **skew), key=key)
+        spark, path, lambda: ident.identify(load_exports(spark, pubmed, scopus, ieee)), key=key)
     if csv:
         tables.write_csv(flagged, f"{out_dir.rstrip('/')}/flagged_csv")  # row_id kept: keep-first order
     return flagged
@@ -67,17 +69,16 @@ def build_template(flagged: DataFrame, out_path: str | None = None,
 def report(annotated: DataFrame, flagged: DataFrame | None = None, out_dir: str | None = None,
            method_labels: Sequence[str] = METHOD_LABELS, application_labels: Sequence[str] = APPLICATION_LABELS,
            not_relevant: str = NOT_RELEVANT, category: str = CANCER_TYPE, min_year: int = 2021,
-           checkpoint_screened: bool = False) -> dict[str, DataFrame]:
+           short: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """PIP-2 (phase 2): screen the annotated table and build every report table.
 
-    The screened subset feeds seven tables; with ``checkpoint_screened`` it is
-    materialised once in the reliable checkpoint folder. Tables are written
-    under ``out_dir`` (Parquet, one folder each) when given."""
+    With ``out_dir`` the annotated table is first written there as Parquet, so
+    its CSV is read once and every table starts from columns; the tables are
+    written beside it (one folder each)."""
+    if out_dir:
+        tables.write_table(annotated, f"{out_dir.rstrip('/')}/annotated")
+        annotated = annotated.sparkSession.read.parquet(f"{out_dir.rstrip('/')}/annotated")
     screened = screen.manual_screen(annotated, method_labels, not_relevant)
-    if checkpoint_screened:
-        from ..session import checkpoint
-
-        screened = checkpoint(screened)
     labels = [*method_labels, *application_labels]
     dims = {"methods": list(method_labels), "applications": list(application_labels)}
     out = {
@@ -85,7 +86,7 @@ def report(annotated: DataFrame, flagged: DataFrame | None = None, out_dir: str
         "category_counts": rep.category_counts(annotated, dims),
         "category_counts_by_source": rep.stack_offsets(rep.category_counts_by_source(annotated, dims)),
         "cooccurrence": rep.cooccurrence(annotated, dims),
-        "method_application_matrix": rep.method_application_matrix(annotated, method_labels, application_labels),
+        "method_application_matrix": rep.method_application_matrix(annotated, method_labels, application_labels, short),
         "manual_screen_counts": screen.manual_screen_counts(annotated, method_labels, not_relevant),
         "venn_regions": rep.venn_regions(screened, method_labels, strict=len(method_labels) == 3),
         "distribution": rep.distribution(screened, dims),
@@ -102,6 +103,55 @@ def report(annotated: DataFrame, flagged: DataFrame | None = None, out_dir: str
     return out
 
 
+CANDIDATE_COLUMNS = ("row_id", "dedup_key", "title", "authors", "year", "doi", "source")
+
+
+def score_screen(flagged: DataFrame, scorer: Callable[[DataFrame, Sequence[str]], DataFrame], out_dir: str,
+                 method_labels: Sequence[str] = METHOD_LABELS, application_labels: Sequence[str] = APPLICATION_LABELS,
+                 tag_threshold: float = DIMENSION_TAG_THRESHOLD, screen_threshold: float = SCREEN_THRESHOLD) -> dict[str, DataFrame]:
+    """SCO-1..4, SNK-5, SNK-7, SRC-9: candidates, scores, tags, screen.
+
+    ``scorer(candidates, labels)`` gives ``row_id`` and a ``scores`` map (for
+    example ``score.model_scores`` with a user model). Scores are stored once
+    under ``out_dir/scores``, a column for each label; a later run reads them
+    back, and labels they lack raise. Tags of both dimensions come from the one
+    scoring pass. Written: ``merged_tags``, ``screened`` and ``screen_counts``."""
+    spark, out = flagged.sparkSession, out_dir.rstrip("/")
+    labels = [*method_labels, *application_labels]
+    candidates = screen.survivors(flagged, CANDIDATE_COLUMNS)
+    path = f"{out}/scores"
+    if not tables.table_exists(spark, path):
+        scored = scorer(candidates, labels)
+        tables.write_scores(scored.select("row_id", *[score.score_of("scores", l).alias(l) for l in labels]), path)
+    stored = tables.read_scores(spark, path, labels)
+    as_map = F.create_map(*[x for l in labels for x in (F.lit(l), F.col(f"`{l}`"))])
+    rows = candidates.join(stored.select("row_id", as_map.alias("scores")), "row_id", "left")
+    tagged = score.tag_dimensions(rows, [(tag_threshold, method_labels), (tag_threshold, application_labels)])
+    tables.write_table(screen.score_screen(tagged, [f"{l}_score" for l in method_labels], screen_threshold), f"{out}/merged_tags")
+    merged = spark.read.parquet(f"{out}/merged_tags")
+    passed = merged.filter("title_screen_pass")
+    counts = merged.agg(count_if(F.col("title_screen_pass")).alias("included"), count_if(~F.col("title_screen_pass")).alias("excluded"),
+                        F.count(F.lit(1)).alias("total"))
+    written = {"merged_tags": merged, "screened": passed, "screen_counts": counts}
+    for name in ("screened", "screen_counts"):
+        tables.write_table(written[name], f"{out}/{name}")
+    return written
+
+
+def validation(merged: DataFrame, out_dir: str, method_labels: Sequence[str] = METHOD_LABELS, low: float = BORDERLINE_LOW,
+               n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> dict[str, DataFrame]:
+    """SNK-6, FLT-6, SRT-1, SRT-3: the two sheets for a reviewer from
+    ``merged_tags``, highest maximum first, written as CSV."""
+    scores = [f"{l}_score" for l in method_labels]
+    excluded = screen.excluded_with_max(merged, scores)
+    cols = ["row_id", *screen.EXPORT_RECORD_COLUMNS, *scores, "max_score"]
+    sheets = {"borderline_sheet": screen.borderline_sheet(excluded, cols, low),
+              "sample_sheet": screen.sample_sheet(excluded, cols, low, n, seed)}
+    for name, df in sheets.items():
+        tables.write_csv(df, f"{out_dir.rstrip('/')}/{name}")
+    return sheets
+
+
 def join_annotations(template_rows: DataFrame, annotations: DataFrame, labels: Sequence[str],
                      extra: Sequence[str] = (NOT_RELEVANT, CANCER_TYPE)) -> DataFrame:
     """Attach a person's tags to survivors by ``dedup_key`` (one row per key

@@ -4,8 +4,11 @@ reliable checkpoint folder taken from the session."""
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +74,28 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers. Workers started in the
+    repository or with it on PYTHONPATH have it; else a zip of the package goes
+    to the shared folder and from there to every worker."""
+    root = os.path.dirname(PACKAGE)
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root in {os.path.realpath(p) for p in known if p} or getattr(spark, "_winnow_shipped", False):
+        return
+    shared = shared_dir(spark).removeprefix("file://")
+    if "://" in shared:  # not a mounted folder: submit the package with --py-files
+        return
+    local = f"{shared}/winnow-{uuid.uuid4().hex}.zip"
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with zipfile.ZipFile(local, "w") as z:
+        for folder, _, names in os.walk(PACKAGE):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    spark.sparkContext.addPyFile(local)
+    spark._winnow_shipped = True

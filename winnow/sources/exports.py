@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import IEEE_COLUMNS, NA_TOKENS, PUBMED_COLUMNS, SCOPUS_COLUMNS, SOURCES
 from ..session import checkpoint
@@ -15,25 +16,51 @@ from ..session import checkpoint
 RECORD_COLUMNS = ("row_id", "title", "authors", "year", "doi", "source")
 
 
+_BAD = "_bad_record"
+
+
 def read_export(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
                 na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """SRC-1: CSV with a header, every column a nullable string.
 
+    Listed paths with one header are one scan; with different headers, each is
+    read by its own and the results are united by column name (a column that a
+    path lacks is null there). Files below one path (a folder, a glob) must have
+    one header; another one is an error. A short row ends in nulls; a row with
+    more cells than the header is an error.
+
     ``multiLine`` keeps quoted newlines inside one record (each file is then
     read by one task; exports are many moderate files, so the scan still
     spreads over the cluster). Cells equal to a missing-value token become null.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .csv(list(paths) if not isinstance(paths, str) else paths)
-    )
+    listed = [paths] if isinstance(paths, str) else sorted(paths)
+    headers = [_reader(spark, multi_line).csv(p).columns for p in listed]
+    if all(h == headers[0] for h in headers):
+        return na_to_null(_checked(spark, listed, headers[0], multi_line), na_tokens)
+    df = _checked(spark, listed[:1], headers[0], multi_line)
+    for p, h in zip(listed[1:], headers[1:]):
+        df = df.unionByName(_checked(spark, [p], h, multi_line), allowMissingColumns=True)
     return na_to_null(df, na_tokens)
 
 
+def _reader(spark: SparkSession, multi_line: bool):
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+            .option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
+
+
+def _checked(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> DataFrame:
+    """Files of one header; a surplus cell raises when its row is read."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
+    df = (_reader(spark, multi_line).schema(schema).option("enforceSchema", False)
+          .option("columnNameOfCorruptRecord", _BAD).csv(paths))
+    wider = ", ".join(f"_{i} string" for i in range(len(columns) + 1))
+    surplus = F.from_csv(F.col(_BAD), wider, {"escape": '"', "multiLine": "true"})[f"_{len(columns)}"]
+    message = F.concat(F.lit(f"more than {len(columns)} cells in a row: "), F.col(_BAD))
+    first, *rest = columns
+    kept = F.when(surplus.isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col(f"`{first}`"))
+    return df.select(kept.alias(first), *[F.col(f"`{c}`") for c in rest])
+
+
 def na_to_null(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """N4: Spark knows one ``nullValue``; map every missing-value token to null."""
     tokens = list(na_tokens)
@@ -98,24 +125,56 @@ def harmonise(pubmed: DataFrame, scopus: DataFrame, ieee: DataFrame, order_col:
 
     Without ``order_col`` the order inside one export is its files in path
     order, each in row order (no sort: see ``assign_row_ids``). With
-    ``order_col`` (a column of each export) rows are ordered by it inside each
-    export, at the price of a distributed sort.
+    ``order_col`` (an integer column, unique in each export) rows are numbered
+    by it, lazily (see ``number_rows``).
     """
     order = (lambda d: F.col(f"`{order_col}`")) if order_col else (lambda d: None)
     u = (adapt_pubmed(pubmed, order(pubmed))
          .unionByName(adapt_scopus(scopus, order(scopus)))
          .unionByName(adapt_ieee(ieee, order(ieee))))
     if order_col:
-        return assign_row_ids(u, order_by=["_source_ordinal", "_file_order"]).select(*RECORD_COLUMNS)
+        return number_rows(u, "_source_ordinal", "_file_order").select(*RECORD_COLUMNS)
     return assign_row_ids(u, segment_by=["_source_ordinal", "_file"]).select(*RECORD_COLUMNS)
 
 
+CELL_BITS = 14  # rows are numbered in cells of 2**14 consecutive order values
+
+
+def harmonised(records: DataFrame) -> DataFrame:
+    """``harmonise`` of one table that holds the rows of all exports, told
+    apart by ``source``: one scan, numbered by source and old ``row_id``."""
+    ordinal = F.coalesce(*[F.when(F.col("source") == s, F.lit(i)) for i, s in enumerate(SOURCES)])
+    rows = records.select("title", "authors", "year", "doi", "source", ordinal.alias("_source_ordinal"),
+                          F.col("row_id").alias("_file_order"))
+    return number_rows(rows, "_source_ordinal", "_file_order").select(*RECORD_COLUMNS)
+
+
+def number_rows(df: DataFrame, segment: str, order: str, col: str = "row_id") -> DataFrame:
+    """Dense ids 0..n-1 by (``segment``, ``order``), both integer columns, with
+    no sort of the whole table and no job while the query is built.
+
+    Rows are numbered within cells of consecutive ``order`` values; a cell's
+    offset is the sum of the cells before it in its segment, plus the rows of
+    the segments before. Cells are counted from the two narrow columns."""
+    cell = F.shiftright(F.col(order), CELL_BITS)
+    cells = df.select(segment, cell.alias("_cell")).groupBy(segment, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.groupBy(segment).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.map_from_entries(F.collect_list(F.struct(segment, "_n"))).alias("m")).scalar()  # one entry a segment
+    earlier = F.aggregate(F.map_entries("_sizes"), F.lit(0).cast("long"),
+                          lambda a, e: a + F.when(e["key"] < F.col(segment), e["value"]).otherwise(F.lit(0)))
+    before = F.sum("_n").over(Window.partitionBy(segment).orderBy("_cell")) - F.col("_n")
+    offsets = cells.withColumn("_sizes", sizes).select(segment, "_cell", (before + F.coalesce(earlier, F.lit(0))).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(segment, "_cell").orderBy(order)) - 1
+    rows = df.withColumn("_cell", cell).withColumn("_own", own).join(offsets, [segment, "_cell"])
+    return rows.withColumn(col, (F.col("_own") + F.col("_before")).cast("long")).drop("_cell", "_own", "_before")
+
+
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
 def assign_row_ids(df: DataFrame, order_by: Sequence[str] | None = None, segment_by: Sequence[str] = (),
                    col: str = "row_id") -> DataFrame:
-    """Dense ids 0..n-1 without a global single-partition window.
+    """Dense ids 0..n-1 of rows that only their place in the files orders.
 
     * ``order_by``: ids follow that order (a distributed range sort first).
     * otherwise: ids follow ``segment_by`` (e.g. source, file) and then the
@@ -123,26 +182,29 @@ def assign_row_ids(df: DataFrame, order_by: Sequence[str] | None = None, segment
 
     Steps: ``monotonically_increasing_id`` (partition index in the high bits)
     -> reliable checkpoint, so both uses below see the same ids -> one stats
-    row per segment (``segment_by`` values x partition: bounded by the number
-    of input splits, so it is broadcast) with its row count and first id ->
-    prefix offsets over the segments in (``segment_by``, first id) order ->
-    id = offset + position inside the segment. Rows of one file split are
-    contiguous inside a partition, and the splits of one file are laid out in
-    file order, so this is the concatenation order.
+    row per segment (``segment_by`` values x partition) with its row count and
+    first id -> offsets in two levels (inside the first segment column, then
+    over its values) -> id = offset + position inside the segment. Rows of one
+    file split are contiguous inside a partition, and the splits of one file
+    are laid out in file order, so this is the concatenation order.
     """
     if order_by:
         df = df.orderBy(*order_by)
         segment_by = ()
     tagged = checkpoint(df.withColumn("_mid", F.monotonically_increasing_id()))
-    seg = [*segment_by, "_part"]
     part = F.shiftright(F.col("_mid"), _ROW_BITS)
-    stats = tagged.withColumn("_part", part).groupBy(*seg).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.orderBy(*segment_by, "_first").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(*seg, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    out = (tagged.withColumn("_part", part)
-           .join(F.broadcast(offsets), seg)
-           .withColumn(col, (F.col("_offset") + F.col("_mid") - F.col("_first")).cast("long")))
+    # without a segment column, a thousand partitions make one
+    top = F.col(segment_by[0]).cast("long") if segment_by else F.floor(part / 1000)
+    tagged = tagged.withColumns({"_part": part, "_top": top})
+    seg = ["_top", *segment_by[1:], "_part"]
+    stats = tagged.groupBy(*seg).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    sizes = stats.groupBy("_top").agg(F.sum("_n").alias("_n")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_top", "_n"))).alias("m")).scalar()
+    earlier = F.aggregate(F.map_entries("_sizes"), F.lit(0).cast("long"),
+                          lambda a, e: a + F.when(e["key"] < F.col("_top"), e["value"]).otherwise(F.lit(0)))
+    w = Window.partitionBy("_top").orderBy(*segment_by[1:], "_first").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.withColumn("_sizes", sizes).select(*seg, "_first", (F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.coalesce(earlier, F.lit(0))).alias("_offset"))
+    out = tagged.join(offsets, seg).withColumn(col, (F.col("_offset") + F.col("_mid") - F.col("_first")).cast("long"))
     hidden = {col, "_file_order", "_source_ordinal", "_file"}
     keep = [c for c in df.columns if c not in hidden]
     return out.select(col, *keep, *[c for c in ("_source_ordinal", "_file_order", "_file") if c in df.columns])

@@ -9,7 +9,7 @@ full document text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import APPLICATION_LABELS, CANCER_TYPE, METHOD_LABELS, NOT_RELEVANT
@@ -35,16 +35,16 @@ EMBEDDINGS_SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
 RECORDS_SQL = """select d.doc_id as row_id,
  case when d.doc_id % 17 = 0 then null
-      when d.doc_id % 13 = 0 then 'A Systematic Review of ' || substring(split_part(d.text, chr(10), 1), 1, 80)
-      when d.doc_id % 19 = 0 then substring(split_part(d.text, chr(10), 1), 1, 80) || ' – peer-review'
-      when d.doc_id % 11 = 0 then 'Proceedings:  ' || substring(split_part(d.text, chr(10), 1), 1, 80)
-      else substring(split_part(d.text, chr(10), 1), 1, 80) end as title,
+      when d.doc_id % 13 = 0 then 'A Systematic Review of ' || split_part(d.text, chr(10), 1)
+      when d.doc_id % 19 = 0 then split_part(d.text, chr(10), 1) || ' – peer-review'
+      when d.doc_id % 11 = 0 then 'Proceedings:  ' || split_part(d.text, chr(10), 1)
+      else split_part(d.text, chr(10), 1) end as title,
  'Author ' || d.source as authors,
  case when d.doc_id % 10 = 0 then null else 'c' || cast(2018 + d.n_chars % 8 as string) || '.0' end as year_raw,
  case d.doc_id % 5 when 0 then null when 1 then null
-      when 2 then 'https://doi.org/10.1000/' || upper(substring(md5(d.text), 1, 12)) || '.'
-      when 3 then 'doi: 10.1000/' || substring(md5(d.text), 1, 12)
-      else ' http://dx.doi.org/10.1000/' || substring(md5(d.text), 1, 12) || ' ;' end as doi,
+      when 2 then 'https://doi.org/10.1000/' || upper(md5(d.text)) || '.'
+      when 3 then 'doi: 10.1000/' || md5(d.text)
+      else ' http://dx.doi.org/10.1000/' || md5(d.text) || ' ;' end as doi,
  case d.doc_id % 3 when 0 then 'PubMed' when 1 then 'Scopus' else 'IEEE' end as source,
  l.quality as m1, l.toxic as m2,
  cast(case when d.n_chars % 4 = 0 then 1 else 0 end as int) as m3,
@@ -58,71 +58,61 @@ RECORDS_SQL = """select d.doc_id as row_id,
 from documents d left join labels l on d.doc_id = l.doc_id"""
 
 
-def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+RECORD_EXPRS = (
+    "doc_id as row_id",
+    """case when doc_id % 17 = 0 then cast(null as string)
+             when doc_id % 13 = 0 then concat('A Systematic Review of ', substring_index(text, '\\n', 1))
+             when doc_id % 19 = 0 then concat(substring_index(text, '\\n', 1), ' – peer-review')
+             when doc_id % 11 = 0 then concat('Proceedings:  ', substring_index(text, '\\n', 1))
+             else substring_index(text, '\\n', 1) end as title""",
+    "concat('Author ', source) as authors",
+    "case when doc_id % 10 = 0 then cast(null as string) else concat('c', cast(2018 + n_chars % 8 as string), '.0') end as year_raw",
+    """case doc_id % 5 when 2 then concat('https://doi.org/10.1000/', upper(md5(text)), '.')
+                        when 3 then concat('doi: 10.1000/', md5(text))
+                        when 4 then concat(' http://dx.doi.org/10.1000/', md5(text), ' ;') end as doi""",
+    "case doc_id % 3 when 0 then 'PubMed' when 1 then 'Scopus' else 'IEEE' end as source",
+)
+TAG_EXPRS = (
+    "cast(case when n_chars % 4 = 0 then 1 else 0 end as int) as m3",
+    "cast(case when n_chars % 2 = 0 then 1 else 0 end as int) as a1",
+    "cast(case when n_chars % 3 = 0 then 1 else 0 end as int) as a2",
+    "cast(case when lang = 'en' then 1 else 0 end as int) as a3",
+    "cast(case when lang = 'fr' then 1 else 0 end as int) as a4",
+    "cast(case when doc_id % 23 = 0 then 1 else 0 end as int) as not_relevant",
+    """case doc_id % 6 when 0 then 'Lung, Breast; Colon' when 1 then ' Lung ' when 3 then ''
+                      when 4 then 'Breast;;' when 5 then ',Glioma,Lung' end as cancer_type""",
+)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(DOCUMENTS_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``records`` (row_id, title, authors, year_raw, doi, source, m1..m3,
-    a1..a4, not_relevant, cancer_type) over the whole ``documents`` table.
-    ``spread``: see ``spread_small_scan`` (for regex-heavy consumers)."""
-    docs = spark.read.schema(DOCUMENTS_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
+    a1..a4, not_relevant, cancer_type) over the whole ``documents`` table. A
+    title is the whole first line, the DOI holds the whole digest."""
     labels = spark.read.schema(LABELS_SCHEMA).parquet(f"{sf_dir}/labels.parquet")
     # text-derived columns first (one SQL expression each), then the join
-    head = "substring(substring_index(text, '\\n', 1), 1, 80)"
-    h12 = "substring(md5(text), 1, 12)"
-    slim = docs.selectExpr(
-        "doc_id as row_id",
-        f"""case when doc_id % 17 = 0 then cast(null as string)
-                 when doc_id % 13 = 0 then concat('A Systematic Review of ', {head})
-                 when doc_id % 19 = 0 then concat({head}, ' – peer-review')
-                 when doc_id % 11 = 0 then concat('Proceedings:  ', {head})
-                 else {head} end as title""",
-        "concat('Author ', source) as authors",
-        "case when doc_id % 10 = 0 then cast(null as string) "
-        "else concat('c', cast(2018 + n_chars % 8 as string), '.0') end as year_raw",
-        f"""case doc_id % 5 when 2 then concat('https://doi.org/10.1000/', upper({h12}), '.')
-                            when 3 then concat('doi: 10.1000/', {h12})
-                            when 4 then concat(' http://dx.doi.org/10.1000/', {h12}, ' ;') end as doi""",
-        "case doc_id % 3 when 0 then 'PubMed' when 1 then 'Scopus' else 'IEEE' end as source",
-        "cast(case when n_chars % 4 = 0 then 1 else 0 end as int) as m3",
-        "cast(case when n_chars % 2 = 0 then 1 else 0 end as int) as a1",
-        "cast(case when n_chars % 3 = 0 then 1 else 0 end as int) as a2",
-        "cast(case when lang = 'en' then 1 else 0 end as int) as a3",
-        "cast(case when lang = 'fr' then 1 else 0 end as int) as a4",
-        "cast(case when doc_id % 23 = 0 then 1 else 0 end as int) as not_relevant",
-        """case doc_id % 6 when 0 then 'Lung, Breast; Colon' when 1 then ' Lung ' when 3 then ''
-                          when 4 then 'Breast;;' when 5 then ',Glioma,Lung' end as cancer_type""",
-    )
+    slim = _documents(spark, sf_dir).selectExpr(*RECORD_EXPRS, *TAG_EXPRS)
     tags = labels.selectExpr("doc_id as row_id", "quality as m1", "toxic as m2")
-    out = (spread_small_scan(slim, "row_id") if spread else slim).join(tags, "row_id", "left")
-    return out.select("row_id", "title", "authors", "year_raw", "doi", "source", "m1", "m2", "m3",
-                      "a1", "a2", "a3", "a4", "not_relevant", "cancer_type")
-
+    return slim.join(tags, "row_id", "left").select("row_id", "title", "authors", "year_raw", "doi", "source", "m1", "m2",
+                                                    "m3", "a1", "a2", "a3", "a4", "not_relevant", "cancer_type")
 
-_SPREAD: dict[tuple, bool] = {}
 
+MISSING_CELL_SQL = "case row_id % 7 when 0 then 'NA' when 1 then 'n/a' when 2 then 'null' when 3 then '' when 4 then 'nan ' else authors end"
 
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread rows over the shuffle partitions when the scan yields fewer
-    input partitions than the session has cores (a table stored as one big
-    row group is read by one task).
 
-    Large tables have far more splits than cores and pass through untouched;
-    the spread is on the join key, so a following sort-merge join on ``key``
-    reuses this partitioning instead of shuffling again. The decision only
-    depends on the input files, so it is planned once per file list."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    sig = (tuple(df.inputFiles()), cores)
-    if sig not in _SPREAD:
-        _SPREAD[sig] = df.rdd.getNumPartitions() < cores
-    if not _SPREAD[sig]:
-        return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+def missing_cell() -> Column:
+    """A cell that holds missing-value tokens in some rows."""
+    return F.expr(MISSING_CELL_SQL)
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical record columns (row_id, title, authors, year, doi, source);
-    ``year`` is still the raw text."""
-    return records(spark, sf_dir, spread=True).select("row_id", "title", "authors", F.col("year_raw").alias("year"),
-                                                      "doi", "source")
+    ``year`` is still the raw text. From ``documents`` alone: tags are joined
+    only where they are used (``records``)."""
+    return _documents(spark, sf_dir).selectExpr(*RECORD_EXPRS).withColumnRenamed("year_raw", "year")
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import FLAGGED_HEADERS, RECORD_HEADERS
-from ..functions.nulls import lenient_int
+from ..functions.nulls import lenient_double
 from .exports import read_export
 
 # FIXED VALUE: run-folder stamp format.
@@ -27,23 +27,22 @@ RUN_STAMP = "run_%b-%d-%Y_%Hh%M"
 
 def resolve_first(spark: SparkSession, pattern: str, default: str) -> str:
     """SRC-6: the first path, in sorted order, matching a glob; ``default``
-    when nothing matches. Listing goes through the cluster file system (the
-    ``binaryFile`` source with only ``path`` selected reads no content)."""
-    try:
-        paths = spark.read.format("binaryFile").load(pattern).select("path")
-        first = paths.orderBy("path").limit(1).collect()
-    except AnalysisException:
-        return default
-    return first[0]["path"] if first else default
+    when nothing matches. A match is a path as it stands: a folder of part
+    files is one match and is read whole."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    names = sorted(s.getPath().toString() for s in found or [])
+    return names[0] if names else default
 
 
 def read_annotated(spark: SparkSession, path: str | Sequence[str], tag_columns: Sequence[str]) -> DataFrame:
     """SRC-7: the annotated table. Export headers (Title, Year, Source, ...)
     map back to the operators' column names; tag cells are parsed leniently
-    to integers (``1``, ``1.0`` -> 1; blank or text -> null); other columns
-    stay text."""
+    to doubles (``1``, ``1.0`` -> 1.0; ``1.7`` stays 1.7 and is no 1; blank or
+    text -> null) and are truncated only by the tables that do so (N11); other
+    columns stay text."""
     df = from_export_headers(read_export(spark, path))
-    return df.withColumns({c: lenient_int(F.col(f"`{c}`")) for c in tag_columns if c in df.columns})
+    return df.withColumns({c: lenient_double(F.col(f"`{c}`")) for c in tag_columns if c in df.columns})
 
 
 def read_flagged_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -61,18 +60,35 @@ def read_flagged_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``; any trouble but a missing path is raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
         return True
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
+RULES_VERSION = 2  # of the identification rules: stored tables of other versions are not reused
+
+
 def fingerprint(*parts: object) -> str:
     """A short stable id of the inputs a checkpoint was built from."""
     return hashlib.sha1("\x1f".join(map(str, parts)).encode()).hexdigest()[:16]
 
 
+def input_fingerprint(spark: SparkSession, *inputs: str | Sequence[str]) -> str:
+    """Fingerprint of input files: path, length and time of change of each, as
+    Spark lists them (no content is read), and the version of the rules."""
+    parts = [RULES_VERSION]
+    for paths in inputs:
+        files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
+        parts.append(files.select("path", "length", "modificationTime")
+                     .agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+    return fingerprint(*map(tuple, parts[1:]), parts[0])
+
+
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                   key: str | None = None) -> DataFrame:
     """SRC-8: compute once, reload later. With ``key`` (see ``fingerprint``)
@@ -89,7 +105,7 @@ def read_scores(spark: SparkSession, path: str, labels: Sequence[str]) -> DataFr
     df = spark.read.parquet(path)
     missing = [l for l in labels if l not in df.columns]
     if missing:
-        raise RuntimeError(f"Stale score table (missing columns: {missing}) - delete '{path}' and re-run.")
+        raise RuntimeError(f"Stale scores in {path}: no column for {missing}")
     return df
 
 
