@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-import zipfile
 from collections.abc import Iterator
 
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, ship_package  # noqa: F401
 
-PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 BROADCAST_BYTES = 64 << 20  # no operator broadcasts more than this, and only after counting
 
 
@@ -33,25 +30,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers. Workers started in the
-    repository or with it on PYTHONPATH have it; else a zip of the package goes
-    to the shared folder and from there to every worker."""
-    root = os.path.dirname(PACKAGE)
-    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if root in {os.path.realpath(p) for p in known if p} or getattr(spark, "_winnow_shipped", False):
-        return
-    local = f"{shared_dir(spark).removeprefix('file://')}/winnow-{uuid.uuid4().hex}.zip"
-    os.makedirs(os.path.dirname(local), exist_ok=True)
-    with zipfile.ZipFile(local, "w") as z:
-        for folder, _, names in os.walk(PACKAGE):
-            for n in names:
-                if n.endswith(".py"):
-                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
-    spark.sparkContext.addPyFile(local)
-    spark._winnow_shipped = True
-
-
 def text_chunks(rows, text: str, size: int = 8 << 20) -> Iterator:
     """Slices of a pandas frame of about ``size`` characters of text (one row at
     least), so that vector work on a batch stays within a fixed memory."""
