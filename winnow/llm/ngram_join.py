@@ -12,20 +12,20 @@ are verified with shared partial overlaps and pruned by remaining length.
    equal sets are one set from here on.
 2. *Shared tokens*: a second scan sends each batch's tokens, packed as binary
    blocks, to token ranges; there the sets of every token are counted. Only
-   tokens of two sets or more come back. Very frequent tokens (estimated in the
+   tokens of two sets or more come back, packed again, to buckets of sets. Very frequent tokens (estimated in the
    first scan) don't travel: their place in the order is last, and every set
    knows that they are shared. A set whose shared tokens are fewer than 0.8 n
    has no link and leaves.
 3. *Contraction*: in every prefix-token group, members are verified against a
-   few hubs chosen by hash, in a fixed number of rounds; sets already connected
-   need no more tests. Work is linear in the group's size.
+   few hubs, the most central sets first, in a fixed number of rounds; sets
+   already connected need no more tests. Work is linear in the group's size.
 4. *Exhaustion*: whatever pairs of different components still meet in a token
    group are all verified. So no link between components is lost, and none but
    such pairs, which are few, are ever listed.
 
 Nothing is capped: hub rounds only spare work. A hub's members are dealt to
 cells of ``CELL`` sets, each with its own tree. Memory is bounded by a batch, a
-token range or a cell. Sets are compared by 64-bit hashes cut to 48 bits within
+token range, a bucket or a cell. Sets are compared by 64-bit hashes cut to 48 bits within
 a range, so two different shingles of one pair are mistaken with odds of about
 1e-9 a pair.
 
@@ -52,7 +52,7 @@ from .prefix_tree import PrefixTree
 
 SHINGLE, PERCENT = 5, 80
 HEAVY = 0.002  # a token in more than this share of rows is very frequent
-RANGE_TOKENS = 2_000_000  # tokens that one range counts at a time
+RANGE_TOKENS, LEAST_RANGES = 3_000_000, 16  # tokens that one range counts at a time; ranges of a small table
 CELL = 512  # sets in one tree
 HUBS, ROUNDS = 3, 2  # hubs that a set is tested against in a round; rounds before exhaustion
 LOW = np.uint64((1 << 48) - 1)
@@ -91,41 +91,48 @@ def _members(n: int):
     return run
 
 
-BLOCK = "range int, sids binary, sizes binary, counts binary, tokens binary, heavy boolean"
+BLOCK = "range int, kind int, sids binary, counts binary, tokens binary"
+PLAIN, FREQUENT, SIZE = 0, 1, 2  # kinds of blocks: tokens, very frequent tokens, sizes of sets
+
+
+def _cuts(values: np.ndarray):
+    """Bounds of the runs of equal values."""
+    if len(values):
+        a = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]).tolist()
+        yield from zip(a, [*a[1:], len(values)])
 
 
 def _blocks(n: int, ranges: int, heavy: np.ndarray):
-    """Packed tokens of a batch's different sets, a row for each range."""
+    """Packed tokens of a batch's different sets: tokens by range; frequent
+    tokens and set sizes by the set's own bucket."""
+    names = ["range", "kind", "sids", "counts", "tokens"]
 
     def run(batches):
         for part in batch_slices(batches, "_text"):
             sets = {set_id(s): s for s in token_sets(part.column("_text").to_pylist(), n) if len(s)}
+            if not sets:
+                continue
             rows = []
-            sids, sizes, plain = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int32), []
-            for sid, size, s in zip(sids, sizes, sets.values()):
-                if len(heavy):
-                    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
-                    often = heavy[at] == s
-                    if often.any():
-                        rows.append((int(sid % ranges), sid.tobytes(), size.tobytes(), b"", s[often].tobytes(), True))
-                        s = s[~often]
-                plain.append(s)
-            if plain:
-                token = np.concatenate(plain)
-                owner = np.repeat(np.arange(len(plain)), [len(s) for s in plain])
-                where = ((token >> np.uint64(48)) % np.uint64(ranges)).astype(np.int64)
+            sids, size = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int32)
+            bucket = sids % ranges
+            order = np.argsort(bucket, kind="stable")
+            for a, b in _cuts(bucket[order]):
+                rows.append((int(bucket[order[a]]), SIZE, sids[order[a:b]].tobytes(), size[order[a:b]].tobytes(), b""))
+            token, owner = np.concatenate(list(sets.values())), np.repeat(np.arange(len(sids), dtype=np.int32), size)
+            often = np.zeros(len(token), bool)
+            if len(heavy):
+                often = heavy[np.minimum(np.searchsorted(heavy, token), len(heavy) - 1)] == token
+            for kind, mine in ((PLAIN, ~often), (FREQUENT, often)):
+                t, own = token[mine], owner[mine]
+                where = ((t >> np.uint64(48)) % np.uint64(ranges)).astype(np.int32) if kind == PLAIN else bucket[own]
                 order = np.argsort(where, kind="stable")
-                token, owner, where = token[order], owner[order], where[order]
-                cuts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(where) else []
-                for a, b in zip(cuts, [*cuts[1:], len(where)]):
-                    own, count = np.unique(owner[a:b], return_counts=True)
-                    six = token[a:b].copy().view(np.uint8).reshape(-1, 8)[:, :6]
-                    rows.append((int(where[a]), sids[own].tobytes(), sizes[own].tobytes(),
-                                 count.astype(np.int32).tobytes(), np.ascontiguousarray(six).tobytes(), False))
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("range", "sids", "sizes", "counts", "tokens", "heavy"), r)) for r in rows],
-                schema=pa.schema([("range", pa.int32()), ("sids", pa.binary()), ("sizes", pa.binary()),
-                                  ("counts", pa.binary()), ("tokens", pa.binary()), ("heavy", pa.bool_())]))
+                t, own, where = t[order], own[order], where[order]
+                for a, b in _cuts(where):
+                    who, count = np.unique(own[a:b], return_counts=True)
+                    raw = t[a:b].copy().view(np.uint8).reshape(-1, 8)[:, : 6 if kind == PLAIN else 8]
+                    rows.append((int(where[a]), kind, sids[who].tobytes(), count.astype(np.int32).tobytes(), np.ascontiguousarray(raw).tobytes()))
+            types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names)
 
     return run
 
@@ -135,75 +142,88 @@ def _key(df: np.ndarray, token: np.ndarray) -> np.ndarray:
     return (np.minimum(df, MAX_DF).astype(np.int64) << 49) | (token & np.uint64((1 << 49) - 1)).astype(np.int64)
 
 
-def _shared(heavy: np.ndarray, heavy_df: np.ndarray):
-    """Per set of a range: its tokens that other sets have too, as keys."""
+SHARED = ["bucket", "kind", "sids", "counts", "keys"]
+
+
+def _shared(ranges: int, heavy: np.ndarray, heavy_df: np.ndarray):
+    """For the sets of a range, packed by bucket: their tokens that other sets
+    have too, as keys."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        out = [[], [], []]
-        often = group[group["heavy"]]
-        for sid, size, token in zip(often["sids"], often["sizes"], often["tokens"]):
-            t = np.frombuffer(token, np.uint64)
-            out[0].append(int.from_bytes(sid, "little", signed=True))
-            out[1].append(int.from_bytes(size, "little"))
-            out[2].append(_key(heavy_df[np.searchsorted(heavy, t)], t).tobytes())
-        rest = group[~group["heavy"]]
+        r, out = int(group["range"].iloc[0]), []
+        for kind, sids, counts, tokens in zip(group["kind"], group["sids"], group["counts"], group["tokens"]):
+            if kind == SIZE:
+                out.append((r, SIZE, sids, counts, b""))
+            elif kind == FREQUENT:
+                t = np.frombuffer(tokens, np.uint64)
+                out.append((r, PLAIN, sids, counts, _key(heavy_df[np.searchsorted(heavy, t)], t).tobytes()))
+        rest = group[group["kind"] == PLAIN]
         if len(rest):
-            r = np.uint64(int(rest["range"].iloc[0]) % (1 << 15))
             sid = np.concatenate([np.frombuffer(x, np.int64) for x in rest["sids"]])
-            size = np.concatenate([np.frombuffer(x, np.int32) for x in rest["sizes"]])
             count = np.concatenate([np.frombuffer(x, np.int32) for x in rest["counts"]])
             wide = np.zeros((int(count.sum()), 8), np.uint8)
             wide[:, :6] = np.frombuffer(b"".join(rest["tokens"]), np.uint8).reshape(-1, 6)
             token = wide.view(np.uint64).ravel()
-            owner = np.repeat(np.arange(len(sid)), count)
             ids, number = np.unique(sid, return_inverse=True)  # a set seen in several batches counts once
-            sizes = np.zeros(len(ids), np.int64)
-            sizes[number] = size
-            order = np.lexsort((number[owner], token))
-            token, own = token[order], number[owner][order]
+            own = np.repeat(number.astype(np.int32), count)
+            order = np.lexsort((own, token))
+            token, own = token[order], own[order]
             new = np.r_[True, (token[1:] != token[:-1]) | (own[1:] != own[:-1])]
             token, own = token[new], own[new]
             start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             df = np.diff(np.r_[start, len(token)])
             df = np.repeat(df, df)
             token, own, df = token[df > 1], own[df > 1], df[df > 1]
-            key = _key(df, token ^ (W.mix64(np.array([r]))[0] & ~LOW))
-            order = np.argsort(own, kind="stable")
-            key, own = key[order], own[order]
-            cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else []
-            for a, b in zip(cut, [*cut[1:], len(own)]):
-                out[0].append(int(ids[own[a]]))
-                out[1].append(int(sizes[own[a]]))
-                out[2].append(key[a:b].tobytes())
-        return pd.DataFrame({"sid": np.array(out[0], np.int64), "n": np.array(out[1], np.int64), "keys": out[2]})
+            salt = W.mix64(np.array([r % (1 << 15)], np.uint64))[0] & ~LOW
+            key, bucket = _key(df, token ^ salt), ids[own] % ranges
+            order = np.lexsort((own, bucket))
+            key, own, bucket = key[order], own[order], bucket[order]
+            for a, b in _cuts(bucket):
+                who, many = np.unique(own[a:b], return_counts=True)
+                out.append((int(bucket[a]), PLAIN, ids[who].tobytes(), many.astype(np.int32).tobytes(), key[a:b].tobytes()))
+        return pd.DataFrame(out, columns=SHARED)
 
     return run
 
 
 def _survivors(percent: int):
-    """Sets with enough shared tokens: keys in order, and how many of them
-    belong to the prefix."""
+    """Sets of a bucket with enough shared tokens: keys in order, how many of
+    them belong to the prefix, and how central the set is (mean log frequency of
+    its tokens): in a family of copies, the text that most others resemble."""
+    columns = ["sid", "n", "prefix", "central", "keys"]
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for sid, n, parts in zip(frame["sid"], frame["n"], frame["parts"]):
-                keys = np.unique(np.frombuffer(b"".join(parts), np.int64))
-                least = -(-percent * n // 100)
-                if len(keys) >= least:
-                    out.append((sid, n, max(0, (n - least + 1) - (n - len(keys))), keys.tobytes()))
-            yield pd.DataFrame(out, columns=["sid", "n", "prefix", "keys"])
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        sizes, rest = group[group["kind"] == SIZE], group[group["kind"] == PLAIN]
+        if not len(rest):
+            return pd.DataFrame([], columns=columns)
+        known, first = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in sizes["sids"]]), return_index=True)
+        size = np.concatenate([np.frombuffer(x, np.int32) for x in sizes["counts"]])[first]
+        sid = np.concatenate([np.frombuffer(x, np.int64) for x in rest["sids"]])
+        count = np.concatenate([np.frombuffer(x, np.int32) for x in rest["counts"]])
+        key, own = np.concatenate([np.frombuffer(x, np.int64) for x in rest["keys"]]), np.repeat(sid, count)
+        order = np.argsort(own, kind="stable")
+        key, own, out = key[order], own[order], []
+        for a, b in _cuts(own):
+            n = int(size[np.searchsorted(known, own[a])])
+            least = -(-percent * n // 100)
+            if b - a < least:
+                continue
+            keys = np.unique(key[a:b])
+            if len(keys) >= least:
+                central = float(np.log2((keys >> 49).astype(float)).sum() / n)
+                out.append((int(own[a]), n, max(0, (n - least + 1) - (n - len(keys))), central, keys.tobytes()))
+        return pd.DataFrame(out, columns=columns)
 
     return run
 
 
 def _postings(frames):
     for frame in frames:
-        for sid, n, prefix, raw in zip(frame["sid"], frame["n"], frame["prefix"], frame["keys"]):
+        for sid, n, prefix, central, raw in zip(frame["sid"], frame["n"], frame["prefix"], frame["central"], frame["keys"]):
             if prefix:
                 keys = np.frombuffer(raw, np.int64)
                 unique = n - len(keys)
-                yield pd.DataFrame({"token": keys[:prefix], "sid": sid, "n": n,
+                yield pd.DataFrame({"token": keys[:prefix], "sid": sid, "n": n, "central": central,
                                     "pos": np.arange(unique, unique + prefix, dtype=np.int64)})
 
 
@@ -289,12 +309,15 @@ def _similar_size(percent: int, a: str, b: str):
 
 def set_components(sets: DataFrame, percent: int) -> DataFrame:
     """(sid, comp) of the surviving sets."""
-    posts = stage(sets.select("sid", "n", "prefix", "keys").mapInPandas(_postings, "token long, sid long, n long, pos long"),
+    posts = stage(sets.select("sid", "n", "prefix", "central", "keys")
+                  .mapInPandas(_postings, "token long, sid long, n long, central double, pos long"),
                   "ngram-postings")
     comps = stage(posts.select("sid").distinct().withColumn("comp", F.col("sid")), "ngram-comps")
     for turn in range(ROUNDS):
         rows = posts.join(comps, "sid")
-        h = F.xxhash64(F.lit(turn), "sid")
+        # the most central set, in later rounds with some chance for others
+        chance = F.pmod(F.xxhash64(F.lit(turn), "sid"), F.lit(1 << 20)) / (1 << 20)
+        h = F.struct((chance * turn - F.col("central")).alias("rank"), "sid")
         hubs = (rows.groupBy("token")
                 .agg(F.min_by("sid", h).alias("hub"), F.min_by("n", h).alias("hub_n"), F.min_by("comp", h).alias("hub_comp"),
                      F.min("comp").alias("_low"), F.max("comp").alias("_high"))
@@ -333,15 +356,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     often = sorted(((r["token"] % 2**64, r["c"]) for r in often))
     heavy = np.array([t for t, _ in often], np.uint64)
     heavy_df = np.array([max(c, 2) for _, c in often], np.int64)
-    ranges = max(4 * shuffle_parts(spark) if total["tokens"] else 1, math.ceil((total["tokens"] or 0) / RANGE_TOKENS))
+    ranges = max(LEAST_RANGES, math.ceil((total["tokens"] or 0) / RANGE_TOKENS))
     blocks = rows.select("_text").mapInArrow(_blocks(n, ranges, heavy), BLOCK)
-    shared = blocks.groupBy("range").applyInPandas(_shared(heavy, heavy_df), "sid long, n long, keys binary")
-    sets = stage(shared.groupBy("sid").agg(F.max("n").alias("n"), F.collect_list("keys").alias("parts"))
-                 .mapInPandas(_survivors(percent), "sid long, n long, prefix long, keys binary"), "ngram-sets")
+    shared = blocks.groupBy("range").applyInPandas(
+        _shared(ranges, heavy, heavy_df), "bucket int, kind int, sids binary, counts binary, keys binary")
+    sets = stage(shared.groupBy("bucket").applyInPandas(
+        _survivors(percent), "sid long, n long, prefix long, central double, keys binary"), "ngram-sets")
+    first = stage(members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_first")), "ngram-first")
     comps = set_components(sets, percent)
-    first = members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_first"))
     of_set = first.join(comps, "sid", "left").select("sid", "_first", F.coalesce("comp", "sid").alias("_comp"))
-    of_set = stage(of_set, "ngram-first")
+    of_set = stage(of_set, "ngram-comps")
     of_comp = of_set.groupBy("_comp").agg(F.min("_first").alias("_least"))
     label = of_set.join(of_comp, "_comp").select("sid", "_least")
     return (members.join(label, "sid", "left")
