@@ -40,6 +40,7 @@ from .common import ship_package, shuffle_parts, stage, table
 TREES, LEAF, SAMPLE = 10, 256, 65_536
 VISIT, LEAST = 0.9, 4096
 BLOCK = 4096
+VISIT_ROWS = 4096  # visits that a task hands on at a time
 K, EVERY = 20, 20
 
 
@@ -223,8 +224,8 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
             if not len(frame):
                 continue
             at = shared.value.leaves(_matrix(frame, longest))
-            yield pd.concat([pd.DataFrame({"tree": t, "leaf": at[:, t], "key": frame["key"], "ids": frame["ids"], "v": frame["v"]})
-                             for t in range(at.shape[1])])
+            for t in range(at.shape[1]):
+                yield pd.DataFrame({"tree": t, "leaf": at[:, t], "key": frame["key"], "ids": frame["ids"], "v": frame["v"]})
 
     placed = different.mapInPandas(put, "tree int, leaf long, key long, ids array<long>, v array<double>")
     counts = stage(placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")), "ann-leaves")
@@ -235,6 +236,8 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
     wanted = max(LEAST, int(visit * n))
     plan = spark.sparkContext.broadcast((sizes, blocks))
 
+    cells_of = ["tree", "leaf", "block", "ids", "v"]
+
     def look(frames):
         sizes, blocks = plan.value
         for frame in frames:
@@ -246,7 +249,10 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
             for own, q, v in zip(frame["vec_id"], x, raw):
                 for t, leaf_no in shared.value.visits(q, sizes, wanted):
                     out += [(t, leaf_no, b, [own], v) for b in range(blocks[t][leaf_no])]
-            yield pd.DataFrame(out, columns=["tree", "leaf", "block", "ids", "v"])
+                if len(out) >= VISIT_ROWS:  # every visit carries the query's vector
+                    yield pd.DataFrame(out, columns=cells_of)
+                    out = []
+            yield pd.DataFrame(out, columns=cells_of)
 
     def blocked(frames):
         blocks = plan.value[1]
@@ -254,11 +260,11 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
             if not len(frame):
                 continue
             many = np.array([blocks[t][i] for t, i in zip(frame["tree"], frame["leaf"])])
-            yield frame.assign(block=(frame["key"].to_numpy() % many).astype(np.int32))[["tree", "leaf", "block", "ids", "v"]]
+            yield frame.assign(block=(frame["key"].to_numpy() % many).astype(np.int32))[cells_of]
 
     cells = "tree int, leaf long, block int, ids array<long>, v array<double>"
     members = placed.mapInPandas(blocked, cells).withColumn("kind", F.lit(0))
-    queries = rows.filter(is_query).dropDuplicates(["vec_id"]).mapInPandas(look, cells).withColumn("kind", F.lit(1))
+    queries = rows.filter(is_query).dropDuplicates(["vec_id"]).repartition(shuffle_parts(spark), "vec_id").mapInPandas(look, cells).withColumn("kind", F.lit(1))
     cell = ["tree", "leaf", "block"]
     dealt = members.unionByName(queries).repartition(2 * shuffle_parts(spark), *cell).sortWithinPartitions(*cell, "kind")
     found = dealt.mapInPandas(_rank_cells(k), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
