@@ -167,20 +167,31 @@ def _rank_cells(k: int):
         def score(batch):
             if not rows or not batch:
                 return
-            x, q = np.array(rows), np.array([b[1] for b in batch])
-            products = np.einsum("ij,kj->ik", q, x)
-            out_q, out_i, out_s = [], [], []
-            for (own, _), p in zip(batch, products):
-                top = np.argpartition(-p, min(k, len(p) - 1))[: k + 1] if len(p) > k + 1 else np.arange(len(p))
-                least = p[top].min()
-                for e in np.flatnonzero(p >= least):
-                    ids = [i for i in names[e] if i != own][:k]
-                    out_q += [own] * len(ids)
-                    out_i += ids
-                    out_s += [p[e]] * len(ids)
+            x, q = np.array(rows), np.array([v for _, v in batch])
+            own = np.array([i for i, _ in batch], np.int64)
+            many = np.array([len(n) for n in names])
+            flat, lead = np.concatenate(names), np.cumsum(many) - many
+            near = q @ x.T
+            # the k + 1 best entries of each query, with all that rounding can't tell from the last
+            kth = np.partition(near, len(rows) - k - 1, axis=1)[:, len(rows) - k - 1] if len(rows) > k + 1 else np.full(len(q), -np.inf)
+            who, entry = np.nonzero(near >= (kth - 1e-9 * (1 + np.abs(kth)))[:, None]) if len(rows) > k + 1 else np.nonzero(near == near)
+            exact = np.einsum("ij,ij->i", q[who], x[entry])
+            n = many[entry]
+            at = np.repeat(lead[entry] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            ids, query, value = flat[at], np.repeat(own[who], n), np.repeat(exact, n)
+            other = ids != query
+            waiting.append((query[other], ids[other], value[other]))
+            if sum(len(w[0]) for w in waiting) > 500_000:
+                settle()
+
+        waiting = []
+
+        def settle():
             nonlocal best
-            got = np.array(out_q, np.int64), np.array(out_i, np.int64), np.array(out_s)
-            best = _best(*(got if best is None else [np.concatenate(z) for z in zip(best, got)]), k)[:3]
+            if waiting:
+                parts = ([best] if best is not None else []) + waiting
+                best = _best(*[np.concatenate(z) for z in zip(*parts)], k)[:3]
+                waiting.clear()
 
         for frame in frames:
             batch = []
@@ -189,11 +200,12 @@ def _rank_cells(k: int):
                     score(batch)
                     cell, names, rows, batch = (tree, leaf, block), [], [], []
                 if kind == 0:
-                    names.append(list(ids))
+                    names.append(np.asarray(ids, np.int64))
                     rows.append(v)
                 else:
                     batch.append((int(ids[0]), v))
             score(batch)
+        settle()
         if best is not None and len(best[0]):
             yield pd.DataFrame({"query_id": best[0], "vec_id": best[1], "score": best[2]})
 
