@@ -62,56 +62,36 @@ def main(argv: list[str]) -> None:
         print(f"| {name} | {s['hash_exchanges']} | {s['range_exchanges']} | {s['single_partition_exchanges']} | "
               f"{s['broadcasts']} | {s['reused_exchanges']} | {joins} | {aggs} | {s['windows']} | {scans} |")
     print(SCALE_NOTES)
-    print("## Formatted final plans\n")
-    for name in FORMATTED:
-        df = QUERIES[name](spark, sf_dir)
-        df.collect()
-        print(f"### {name}\n\n```")
-        print(formatted(df).strip())
-        print("```\n")
     spark.stop()
 
 
-FORMATTED = ("identification_summary", "flag_duplicates", "keep_first", "merge_dimensions")
-
-
-def formatted(df: DataFrame) -> str:
-    """``explain("formatted")`` text of the DataFrame's own (executed) plan."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
-
-
 SCALE_NOTES = """
 ## What changes at 100 TB
 
-* `labels` is then far above the broadcast limit: the fixture join becomes a
-  sort-merge join on `row_id` (unique on both sides, no hot key). Only ~200
-  bytes per record cross it, because first line and md5 are computed before
-  the join.
-* `flag_duplicates`: `groupBy(dedup_key, hash)` with partial aggregation (a hot
-  key sends one partial row per map task), the hot-key hash list (at most
-  `winnow.skew.maxHotKeys` rows) broadcast, and the `(dedup_key, salt)` join
-  shuffled. A key holding a third of the rows is spread over
-  `ceil(n / hotKeyRows)` (at most `maxSalts`) reducers. Records are scanned
-  twice: once for the key counts and once for the rows.
-* Survivors (`keep_first`, template, scoring inputs): `min_by` sort-aggregate,
-  partial before the exchange, so hot keys collapse map-side. The two scored
-  dimensions share that exchange (`reused` column).
+* `labels` is then far above the broadcast limit: where tags are used, the
+  fixture join becomes a sort-merge join on `row_id` (unique on both sides, no
+  hot key). Text-derived columns are computed before it, so no document text
+  crosses it. Queries without tags read `documents` alone.
+* `flag_duplicates`: one `groupBy` on the key's 256-bit digest with partial
+  aggregation, joined back on the digest. The count side has one row a key, so
+  a hot key is a skewed left side that adaptive execution splits. In this
+  query both reads share one exchange of the narrow keyed rows (`reused`).
+* Survivors (`keep_first`, template, scoring inputs): the least `row_id` per
+  digest is a hash aggregate (a hot key costs one row a map task), then a
+  semi-join on the unique `row_id`. No sort aggregate, no long text key in a
+  shuffle or sort. The records are scanned twice.
 * Report tables: one partial aggregate per map task and a single final row;
-  `temporal_trends` and `multi_value_counts` group by a handful of years and
-  values.
-* `harmonise_sources` carries a distributed sort (range exchange) only
-  because its exports are ordered by an explicit column. Real CSV exports use
-  file order without a sort; dense ids then cost one checkpoint and a
-  per-partition offset table (one row per partition, broadcast).
-* `excluded_sample` is a per-task top-30 merged on the driver (30 rows per
-  task). `score_labels_cosine` is a projection with literal label vectors
-  (bounded by `max_labels`) and no join.
+  `venn_regions` groups by the bit mask (at most 2^k groups);
+  `temporal_trends` groups by a handful of years. `multi_value_counts` ends
+  in a range sort, for its values are free text.
+* `prisma_flow`: two one-row aggregates meet in one row, from which all boxes
+  and the check are read.
+* `harmonise_sources`: one scan; rows are numbered in cells of consecutive old
+  ids, cells are counted from two narrow columns. Nothing runs while the query
+  is built. CSV exports use file order: one checkpoint and a table of one row
+  a file and split, with offsets in two levels.
+* `excluded_sample`, `sample_sheet`: a per-task top-30 merged on the driver.
+  `score_labels_cosine` takes its label table as a scalar subquery.
 """
 
 
