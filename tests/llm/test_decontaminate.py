@@ -44,3 +44,12 @@ def test_empty(spark):
     assert D.leaks(empty(spark), bench(spark, [QUESTION])).count() == 0
     assert D.leaks(documents(spark, TEXTS), bench(spark, [])).count() == 0
     assert D.clean(documents(spark, TEXTS), bench(spark, [])).count() == len(TEXTS)
+
+
+def test_changed_numbers_and_every_place(spark):
+    item = "In the yard there are 3 boxes and on the old table lie 4 apples for the children to eat"
+    twice = "The farmer sold 5 sheep to his brother and then 5 goats to the old miller and kept 2 horses"
+    texts = [item.replace("3", "5").replace("4", "5"), twice.replace("5 sheep", "7 sheep").replace("5 goats", "9 goats"),
+             MIXED + " " + MIXED + " " + words(31, 200) + ". " + CHANGED]
+    got = {(r["doc_id"], r["item_id"]): r for r in D.leaks(documents(spark, texts), bench(spark, [item, twice, QUESTION])).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2)} and {r["kind"] for r in got.values()} == {"changed"}

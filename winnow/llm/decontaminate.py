@@ -7,7 +7,9 @@ windows of the documents are looked up in the hash table of the benchmark's.
 An item leaks into a document if the windows found near one place of it cover
 at least ``COVER`` of the item's windows *and* its slots are consistent: along
 the matched alignment every value of the item (a name, number or unit) goes to
-one value of the document and back, in at least ``CONSISTENT`` of the slots. So
+one value of the document and back, in at least ``CONSISTENT`` of the slots.
+Numbers may repeat or differ by chance: where ``FULL`` of the windows match,
+only names and units are asked. Every place of a document is judged. So
 a question with other names and numbers is caught, while texts that only share
 a form, with values mixed at random, are not. ``kind`` tells ``same`` values from
 ``changed`` ones.
@@ -39,6 +41,7 @@ from .common import batch_slices, ship_package, table
 
 WINDOW, LITERALS = 5, 3
 COVER, CONSISTENT = 0.4, 0.8
+FULL = 0.8  # share of an item's windows that needs no one-to-one numbers
 BLOCK_WINDOWS = 2_000_000
 
 # Units, in lower case.
@@ -163,25 +166,32 @@ class Index:
         item = int(rows[0, 1])
         span = max(len(self.code[item]), 1)
         shift = (rows[:, 3] - rows[:, 2]) // span  # rows of one copy fall into one or two neighbouring bins
-        bins, where, count = np.unique(shift, return_inverse=True, return_counts=True)
-        pair = count + np.where(np.isin(bins + 1, bins), count[np.minimum(np.searchsorted(bins, bins + 1), len(bins) - 1)], 0)
-        best = bins[int(np.argmax(pair))]
-        near = rows[(shift == best) | (shift == best + 1)]
-        covered = len(np.unique(near[:, 2]))
+        order = np.argsort(shift, kind="stable")
+        rows, shift = rows[order], shift[order]
+        best = None
+        for b in np.unique(shift):
+            near = rows[np.searchsorted(shift, b) : np.searchsorted(shift, b + 1, "right")]
+            covered = len(np.unique(near[:, 2]))
+            if covered / self.total[item] >= COVER and (best is None or covered > best[0]):
+                best = self._consistent(item, near, covered, value) or best
+        return best
+
+    def _consistent(self, item: int, near: np.ndarray, covered: int, value: np.ndarray) -> tuple | None:
         share = covered / self.total[item]
-        if share < COVER:
-            return None
         pairs = {}
         for _, _, place, at, n in near:
             for k in range(n):
                 if self.code[item][place + k] <= 3:
                     pairs[place + k] = (int(self.code[item][place + k]), int(self.value[item][place + k]), int(value[at + k]))
         forth, back = {}, {}
-        good = 0
+        good = asked = 0
         for kind, ours, theirs in pairs.values():
+            if share >= FULL and kind == NUM:
+                continue
+            asked += 1
             if forth.setdefault((kind, ours), theirs) == theirs and back.setdefault((kind, theirs), ours) == ours:
                 good += 1
-        consistent = good / len(pairs) if pairs else 1.0
+        consistent = good / asked if asked else 1.0
         if consistent < CONSISTENT:
             return None
         same = all(ours == theirs for _, ours, theirs in pairs.values())
