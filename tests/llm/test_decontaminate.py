@@ -53,3 +53,11 @@ def test_changed_numbers_and_every_place(spark):
              MIXED + " " + MIXED + " " + words(31, 200) + ". " + CHANGED]
     got = {(r["doc_id"], r["item_id"]): r for r in D.leaks(documents(spark, texts), bench(spark, [item, twice, QUESTION])).collect()}
     assert set(got) == {(0, 0), (1, 1), (2, 2)} and {r["kind"] for r in got.values()} == {"changed"}
+
+
+def test_items_of_numbers_and_names(spark):
+    items = ["Compute 12 + 34 - 56", "Anna Smith met Peter Jones in Paris", " ".join(str(i * i) for i in range(30)), "12 34"]
+    texts = [words(41, 50) + ". " + x + " " + words(42, 50) for x in items]
+    texts += [texts[0].replace("34", "35"), texts[1].replace("Smith", "Brown"), " ".join(str(i * i) for i in range(25))]
+    got = {(r["doc_id"], r["item_id"], r["kind"]) for r in D.leaks(documents(spark, texts), bench(spark, items)).collect()}
+    assert got == {(i, i, "same") for i in range(3)}

@@ -20,9 +20,10 @@ documents. Each document is judged whole within its own task, so nothing is
 shuffled and no frequent window can gather rows anywhere.
 
 Edge cases: null and empty texts match nothing; an item of fewer than
-``WINDOW`` tokens is one window of its own length, and one of fewer than
-``LITERALS`` plain words has no window and never matches; windows of fewer than
-``LITERALS`` plain words are left out; repeated items are reported each;
+``WINDOW`` tokens is one window of its own length; windows of fewer than
+``LITERALS`` plain words are left out, and an item that has no other (numbers
+and names throughout) is looked up by windows of ``RAW`` of its words as they
+are, all of which must be found; one of fewer than ``LITERALS`` words never matches; repeated items are reported each;
 repeated documents each; an empty benchmark finds nothing; other columns are
 ignored by ``leaks`` and kept by ``clean``.
 """
@@ -41,6 +42,7 @@ from .common import batch_slices, ship_package, table
 
 WINDOW, LITERALS = 5, 3
 COVER, CONSISTENT = 0.4, 0.8
+RAW = 10  # words of a window of an item without template windows
 FULL = 0.8  # share of an item's windows that needs no one-to-one numbers
 BLOCK_WINDOWS = 2_000_000
 
@@ -51,6 +53,7 @@ UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "yard", "yards
          "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "cent", "cents", "euro", "euros",
          "percent", "degree", "degrees", "mph", "kmh", "watt", "watts", "volt", "volts", "byte", "bytes", "kb", "mb", "gb")
 
+SALT = np.uint64(0x5BF03635)
 NUM, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
 _GAP = W.NOT_LETTER.copy()
 _GAP[48:58] = False
@@ -114,18 +117,24 @@ class Index:
 
     def __init__(self, ids: list, texts: list):
         code, value, first = templates(texts)
-        self.ids, self.code, self.value, self.total = ids, [], [], []
+        self.ids, self.code, self.value, self.total, self.raw = ids, [], [], [], []
         keys, owner, place, self.lengths = [], [], [], set()
         for i in range(len(ids)):
             c, v = code[first[i] : first[i + 1]], value[first[i] : first[i + 1]]
             n = min(WINDOW, len(c))
             h, plain = windows(c, n) if n else (np.empty(0, np.uint64), np.empty(0, np.int64))
             good = np.flatnonzero(plain >= LITERALS)
+            raw = not len(good) and len(c) >= LITERALS
+            if raw:
+                n = min(RAW, len(c))
+                h = windows(v, n)[0] ^ SALT
+                good = np.arange(len(h))
+            self.raw.append(raw)
             self.code.append(c)
             self.value.append(v)
             self.total.append(len(good))
             if len(good):
-                self.lengths.add(n)
+                self.lengths.add((n, raw))
                 keys.append(h[good])
                 owner.append(np.full(len(good), i))
                 place.append(good)
@@ -140,8 +149,8 @@ class Index:
         consistent share, kind) of every leak into the texts."""
         code, value, first = templates(texts)
         found = []
-        for n in sorted(self.lengths):
-            h, _ = windows(code, n)
+        for n, raw in sorted(self.lengths):
+            h = windows(value, n)[0] ^ SALT if raw else windows(code, n)[0]
             low = np.searchsorted(self.keys, h, "left")
             hit = np.flatnonzero(self.keys[np.minimum(low, len(self.keys) - 1)] == h)
             doc = np.searchsorted(first, hit, "right") - 1
@@ -172,7 +181,7 @@ class Index:
         for b in np.unique(shift):
             near = rows[np.searchsorted(shift, b) : np.searchsorted(shift, b + 1, "right")]
             covered = len(np.unique(near[:, 2]))
-            if covered / self.total[item] >= COVER and (best is None or covered > best[0]):
+            if covered / self.total[item] >= (1 if self.raw[item] else COVER) and (best is None or covered > best[0]):
                 best = self._consistent(item, near, covered, value) or best
         return best
 
