@@ -5,10 +5,12 @@ Base kinds are patterns: ``assign`` (a keyword, a sign and a value), ``access``
 ``entropy``: over every candidate string (a long run of key characters) slides
 a window whose character counts are updated by the entering and the leaving
 character only; a window is hot when its Shannon entropy reaches the threshold
-of the candidate's character class. The span runs from the first hot window to
-the end of the last. Candidates on the allow-list (ids in the 8-4-4-4-12 form,
-alphabet and digit sequences, single repeated characters, words of examples,
-and what the caller adds) are suppressed; base spans never are.
+of the candidate's character class; the last class fits every candidate. The span
+runs from the first hot window to the end of the last. A candidate that is on the
+allow-list as a whole (ids in the 8-4-4-4-12 form, single repeated characters) is
+suppressed; of others the parts between ``/ = _ -`` that the list matches (alphabet
+and digit sequences, words of examples, what the caller adds) are in no window.
+Base spans are never suppressed.
 
 Offsets are code points, end exclusive. Positions come from splitting the text
 by the pattern: pieces and matches alternate, so running lengths are offsets.
@@ -46,6 +48,8 @@ CLASSES = (
     ("upper", r"\A[A-Z0-9]+\z", 3.4),
     ("lower", r"\A[a-z0-9]+\z", 3.6),
     ("mixed", r"\A(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])(?=[^0-9]*[0-9]).*\z", 3.7),
+    ("signs", r"\A(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z]).*\z", 3.8),
+    ("other", r"\A.*\z", 4.0),
 )
 ALLOW = (
     r"\A[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\z",
@@ -54,6 +58,8 @@ ALLOW = (
     r"\A(.)\1*\z",
 )
 
+SEPARATOR = "(?<=[/=_-])|(?=[/=_-])"
+
 SPANS = "array<struct<start:int,ord:int,end:int,kind:string>>"
 
 
@@ -83,7 +89,7 @@ def _hot(s: Column, least: Column) -> Column:
     """(first, last) of the hot windows of string ``s``: offset of the first
     one's start and of the last one's end; nulls when none is hot. The counts
     and their sum of n*log2(n) change by the two moved characters only."""
-    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("sum"),
+    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("blank"),
                     F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
 
     def step(acc: Column, i: Column) -> Column:
@@ -99,25 +105,38 @@ def _moved(acc: Column, i: Column, enter: Column, leave: Column, least: Column)
     n_in, n_out = F.element_at(acc["counts"], enter + 1), F.element_at(acc["counts"], leave + 1)
     same = enter == leave
     change = F.when(same, F.lit(0.0)).otherwise(
-        _plogp(n_in + 1) - _plogp(n_in) + F.when(leave > 0, _plogp(n_out - 1) - _plogp(n_out)).otherwise(F.lit(0.0)))
+        F.when(enter > 0, _plogp(n_in + 1) - _plogp(n_in)).otherwise(F.lit(0.0)) + F.when(leave > 0, _plogp(n_out - 1) - _plogp(n_out)).otherwise(F.lit(0.0)))
     total = acc["sum"] + change
-    counts = F.transform(acc["counts"], lambda n, k: n + (k == enter).cast("int") - ((k == leave) & (leave > 0)).cast("int"))
-    hot = (i >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= least)
-    return F.struct(counts.alias("counts"), total.alias("sum"),
+    counts = F.transform(acc["counts"], lambda n, k: n + ((k == enter) & (enter > 0)).cast("int") - ((k == leave) & (leave > 0)).cast("int"))
+    blank = F.when(enter > 0, acc["blank"]).otherwise(i)  # the last character outside ALPHABET
+    hot = (i - blank >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= least)
+    return F.struct(counts.alias("counts"), total.alias("sum"), blank.alias("blank"),
                     F.coalesce(acc["first"], F.when(hot, i - WINDOW)).alias("first"),
                     F.when(hot, i).otherwise(acc["last"]).alias("last"))
 
 
+def _blanked(s: Column, allow: Sequence[str]) -> Column:
+    """``s`` with blanks for the parts between separators that the allow-list matches."""
+
+    def part(x: Column) -> Column:
+        hit = F.lit(False)
+        for p in allow:
+            hit = hit | ((F.length(x) > 1) & x.rlike(p))
+        return F.when(hit, F.repeat(F.lit(" "), F.length(x))).otherwise(x)
+
+    return F.array_join(F.transform(F.split(s, SEPARATOR), part), "")
+
+
 def _entropy(text: str, allow: Sequence[str]) -> Column:
     runs = _offsets(text, CANDIDATE, "entropy", len(BASE), 0, WINDOW)
 
     def narrowed(x: Column) -> Column:
         s = F.substring(F.col(text), x["start"] + 1, x["end"] - x["start"])
         least = F.coalesce(*[F.when(s.rlike(p), F.lit(t)) for _, p, t in CLASSES])
-        allowed = F.lit(False)
+        whole, some = F.lit(False), F.lit(False)
         for p in allow:
-            allowed = allowed | s.rlike(p)
-        hot = F.when(least.isNotNull() & ~allowed, _hot(s, least))
+            whole, some = whole | s.rlike(rf"\A(?:{p})\z"), some | s.rlike(p)
+        hot = F.when(~whole, _hot(F.when(some, _blanked(s, allow)).otherwise(s), least))
         return F.struct((x["start"] + hot["first"]).alias("start"), x["ord"].alias("ord"),
                         (x["start"] + hot["last"]).alias("end"), x["kind"].alias("kind"))
 
