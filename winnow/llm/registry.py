@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extraction, language_model, neighbours, ngram_join, packing, secret_scan, sharding, toxicity, url_filter
+from . import (conversation_repair, decontaminate, html_extraction, language_model, neighbours, ngram_join, packing, secret_scan,
+               sharding, toxicity, url_filter)
 
 QUERIES = {
     "op1_minimax_shards": sharding.op1_minimax_shards,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_random_projection_forest": neighbours.op8_random_projection_forest,
     "op9_pitman_yor_lm": language_model.op9_pitman_yor_lm,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 
 ORACLE_SQL = {"op3_url_filter": url_filter.ORACLE}
