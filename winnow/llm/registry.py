@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (conversation_repair, decontaminate, html_extraction, language_model, neighbours, ngram_join, packing, secret_scan,
-               sharding, toxicity, url_filter)
+from . import (conversation_repair, decontaminate, hamming_join, html_extraction, language_model, neighbours, ngram_join, packing,
+               secret_scan, sharding, toxicity, url_filter, whitening)
 
 QUERIES = {
     "op1_minimax_shards": sharding.op1_minimax_shards,
@@ -16,7 +16,9 @@ QUERIES = {
     "op8_random_projection_forest": neighbours.op8_random_projection_forest,
     "op9_pitman_yor_lm": language_model.op9_pitman_yor_lm,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_hamming_minhash": hamming_join.op11_hamming_minhash,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 ORACLE_SQL = {"op3_url_filter": url_filter.ORACLE}
