@@ -36,7 +36,7 @@ def test_group_sizes_and_survivors(spark):
     assert sizes[1] == (2, True) and sizes[8] == (2, True) and sizes[6] == (2, True)
     assert sizes[4] == (1, False) and sizes[5] == (1, False) and sizes[0] == (1, False)
     surv = {r["row_id"] for r in survivors(flagged).collect()}
-    # key 10.9/r: first row is a review, the later clean row survives (Q2)
+    # key 10.9/r: first row is flagged, the later clean row survives (Q2)
     assert surv == {0, 1, 2, 3, 4, 5, 7}
 
 

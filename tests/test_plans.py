@@ -54,6 +54,7 @@ def test_survivors_plan(spark):
 
 TAGGED = {"manual_screen", "manual_screen_counts", "cooccurrence", "method_application_matrix", "temporal_trends", "category_counts",
           "category_counts_by_source", "stack_offsets", "distribution", "any_label_count", "venn_regions", "venn_regions_all",
+          "stored_annotations", "venn_occurring", "inclusive_overlaps", "cooccurrence_bitmaps",
           "multi_value_counts", "value_coverage", "prisma_flow"}
 
 
@@ -65,7 +66,8 @@ def test_labels_are_read_only_for_tags(spark, name):
 def test_building_queries_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "")
-    for name in QUERIES:
+    stored = {"stored_identification", "identification_in_batches", "stored_annotations", "stored_scores"}  # they write and read again
+    for name in set(QUERIES) - stored:
         QUERIES[name](spark, SF_SMALL)
     assert not tracker.getJobIdsForGroup("building")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
@@ -80,3 +82,11 @@ def test_labels_are_unique(spark):
 def test_screen_has_no_optimiser_fence(spark):
     for name in ("score_screen", "max_score_bands", "excluded_sample"):
         assert "CollectMetrics" not in plan_of(QUERIES[name](spark, SF_SMALL))
+
+
+def test_scores_are_evaluated_once(spark):
+    """Filters, bands and sheets above the scores copy none of their expressions."""
+    base = QUERIES["keep_first"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace")
+    for name in ("two_dimension_tags", "score_screen", "max_score_bands", "excluded_sample", "borderline_sheet", "sample_sheet"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_intersect") <= 7 and plan.count("regexp_replace") <= base, name

@@ -1,9 +1,12 @@
 """Null policy of the report tables (N7..N14) on every tag combination."""
 
+import collections
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnow.operators import report as rep
 from winnow.operators.screen import manual_screen, manual_screen_counts
@@ -151,3 +154,77 @@ def test_label_rank_carries_the_order_of_totals(spark, tags):
     order = [r["label"] for r in rep.category_counts(tags, L).collect()]
     by = {r["label"]: r["label_rank"] for r in rep.category_counts_by_source(tags, L).collect()}
     assert sorted(by, key=by.get) == order
+
+
+def many_labels(spark, k, n=300, values=(0, 0, 0, 1, 1, None)):
+    rng = random.Random(k)
+    labels = [f"label {i}" for i in range(k)]
+    rows = [tuple(rng.choice(values) for _ in labels) for _ in range(n)]
+    fields = [T.StructField(l, T.IntegerType()) for l in labels]
+    return labels, rows, spark.createDataFrame(rows, T.StructType(fields)).repartition(5)
+
+
+def test_bitmaps_equal_pairs_at_200_labels(spark):
+    labels, rows, df = many_labels(spark, 200, 120)
+    dims = {"a": labels[:150], "b": labels[150:]}
+    pairs = {tuple(r) for r in rep.cooccurrence(df, dims).collect()}
+    assert {tuple(r) for r in rep.cooccurrence_bitmaps(df, dims).collect()} == pairs and len(pairs) == 150**2 + 50**2
+    both = sum(1 for r in rows if r[0] == 1 and r[7] == 1)
+    assert ("a", "label 0", "label 7", both) in pairs
+
+
+def test_bitmaps_weigh_other_values(spark):
+    labels, rows, df = many_labels(spark, 4, 400, (0, 1, 2, 5, -3, None, 2**20))
+    want = {(a, b): sum((r[i] or 0) * (r[j] or 0) for r in rows) for i, a in enumerate(labels) for j, b in enumerate(labels)}
+    for form in (rep.cooccurrence, rep.cooccurrence_bitmaps):
+        assert {(r["row_label"], r["col_label"]): r["n"] for r in form(df, labels).collect()} == want
+    empty = rep.cooccurrence_bitmaps(df.limit(0), labels).collect()
+    assert len(empty) == 16 and {r["n"] for r in empty} == {0}
+
+
+@pytest.mark.parametrize("form", [rep.cooccurrence, rep.cooccurrence_bitmaps])
+def test_all_dimensions_in_one_scan(spark, tmp_path, form):
+    labels, _, df = many_labels(spark, 6, 50)
+    df.write.parquet(f"{tmp_path}/t")
+    out = form(spark.read.parquet(f"{tmp_path}/t"), {"a": labels[:3], "b": labels[3:]})
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+def test_regions_of_forty_labels(spark):
+    labels, rows, df = many_labels(spark, 40, 200, (0,) * 12 + (1,))
+    regions = collections.Counter("".join(str(int(bool(v))) for v in r) for r in rows)
+    regions.pop("0" * 40, None)
+    got = rep.venn_regions(df, labels, strict=False, occurring=True).collect()
+    assert {r["region"]: r["n"] for r in got} == regions
+    assert {r["total"] for r in got} == {sum(regions.values())}
+    assert all(r["members"] == " & ".join(l for l, c in zip(labels, r["region"]) if c == "1") and r["n_labels"] == r["region"].count("1") for r in got)
+    with pytest.raises(ValueError, match="occurring"):
+        rep.venn_regions(df, labels, strict=False)
+
+
+@pytest.mark.parametrize("k, order", [(11, None), (40, 3), (40, 1), (3, None)])
+def test_inclusive_overlaps(spark, k, order):
+    labels, rows, df = many_labels(spark, k, 150, (0,) * 9 + (1, 2, None)[: 2])
+    want = collections.Counter()
+    for r in rows:
+        held = [i for i, v in enumerate(r) if v]
+        for size in range(1, min(len(held), order or k) + 1):
+            want.update(itertools.combinations(held, size))
+    got = rep.inclusive_overlaps(df, labels, order).collect()
+    assert {tuple(i for i, c in enumerate(r["region"]) if c == "1"): r["n"] for r in got} == want and len(got) == len(want)
+
+
+def test_ordinals_of_all_regions(spark):
+    labels, _, df = many_labels(spark, 9, 40)
+    got = sorted(rep.venn_regions(df, labels, strict=False).collect())
+    order = sorted((f"{m:09b}" for m in range(1, 512)), key=lambda r: (r.count("1"), r.translate(str.maketrans("01", "10"))))
+    assert [(r["ordinal"], r["region"]) for r in got] == list(enumerate(order))
+
+
+def test_counts_by_source_without_listed_rows(spark):
+    df = spark.createDataFrame([(1, 2, "Other"), (1, None, None)], "x int, y int, source string")
+    got = rep.category_counts_by_source(df, ["x", "y"]).collect()
+    assert [(r["label"], r["label_rank"], r["total"], r["source"], r["n"]) for r in got] == [
+        (l, i, 2, s, 0) for i, l in enumerate("xy") for s in rep.SOURCES]
+    assert {(r["label"], r["source"], r["n"]) for r in rep.category_counts_by_source(df.drop("source"), ["x", "y"]).collect()} == {("x", None, 2), ("y", None, 2)}
+    assert rep.category_counts_by_source(df.limit(0), ["x"]).count() == 3

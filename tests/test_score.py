@@ -160,3 +160,53 @@ def test_cosine_zero_vector_is_null(spark):
     out = score.cosine_scores(df, "v", score.label_vectors(one, "label", "v", "vec_id"))
     got = {r["vec_id"]: r["scores"]["a"] for r in out.collect()}
     assert got == {1: None, 2: 1.0}
+
+
+def test_model_calls_are_full_across_arrow_batches(spark, tmp_path):
+    """Every call but a partition's last has ``batch_size`` texts, however Arrow cuts the rows."""
+    log = str(tmp_path)
+
+    def factory():
+        def model(texts, labels):
+            import os
+            import uuid
+            open(os.path.join(log, f"{len(texts)}-{uuid.uuid4().hex}"), "w").close()
+            return [{"labels": labels, "scores": [float(len(t))] * len(labels)} for t in texts]
+        return model
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(0, 100, 1, 3).selectExpr("id as row_id", "repeat('x', cast(id as int)) as title")
+        rows = score.model_scores(df, "title", ["a"], factory, batch_size=16, id_cols=("row_id", "title")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["row_id"]: r["scores"]["a"] for r in rows} == {i: float(i) for i in range(100)} and all(r["title"] == "x" * r["row_id"] for r in rows)
+    calls = sorted(int(n.split("-")[0]) for n in __import__("os").listdir(log))
+    assert len(calls) == 9 and calls == [1, 1, 2] + [16] * 6  # partitions of 33, 33 and 34 rows
+    assert score.model_calls(df, 16).first()["batches"] == 9 and score.inference_batches(df, 16).first()["batches"] == 7
+
+
+def test_indexed_top_labels_equal_the_map_form(spark):
+    import random
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(60)]
+    labels = sorted({" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(3000)} | {"!!", "w1 w1", "zz none"})
+    titles = [" ".join(rng.sample(words, rng.randrange(1, 7))) for _ in range(30)] + [None, "", "nothing here", "w59", "zz"]
+    df = spark.createDataFrame(list(enumerate(titles)), "row_id long, title string")
+    table = spark.createDataFrame([(l,) for l in labels], "label string")
+    for some in (labels[:150], labels[:2]):
+        want = score.top_labels(score.with_lexical_scores(df, "title", some), ["row_id"], 3).collect()
+        got = score.top_labels_indexed(df, ["row_id"], "title", spark.createDataFrame([(l,) for l in some], "label string"), 3).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    every = score.top_labels_indexed(df, ["row_id"], "title", table, 5).collect()
+    assert len(every) == 5 * len(titles) and {r["score"] for r in every if r["row_id"] == 30} == {0.0}
+    best = {r["row_id"]: r["label"] for r in every if r["rank"] == 1}
+    assert best[33] == "w59" if "w59" in labels else True
+
+
+def test_scores_are_generated_once(spark):
+    df = spark.createDataFrame([(1, "the cat"), (2, None)], "row_id long, title string")
+    s = score.with_lexical_scores(df, "title", ["the cat", "dog"])
+    tagged = score.threshold_tags(s, ["the cat", "dog"], 0.4).filter("`the cat_score` > 0.1 or dog_score > 0.1").filter("`the cat` = 1")
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect") == 2 and [r["row_id"] for r in tagged.collect()] == [1]

@@ -320,3 +320,34 @@ def test_rows_are_numbered_without_a_sort_of_all(spark):
     df = spark.createDataFrame(rows, "o long, s int").repartition(5)
     got = {(r["s"], r["o"]): r["row_id"] for r in exports.number_rows(df, "s", "o").collect()}
     assert [got[k] for k in sorted(got)] == list(range(5000))
+
+
+def test_exports_carry_a_byte_order_mark(spark, folder, tmp_path):
+    df = spark.createDataFrame([(i, f"Tïtle {i}") for i in range(6)], "row_id long, title string").repartition(3)
+    tables.write_csv(df, f"{tmp_path}/marked")
+    tables.write_csv(df, f"{tmp_path}/plain", mark=False)
+    for name, start in (("marked", b"\xef\xbb\xbfrow_id,Title\n"), ("plain", b"row_id,Title\n")):
+        parts = [p for p in os.listdir(f"{tmp_path}/{name}") if p.endswith(".csv")]
+        assert len(parts) >= 3 and all(open(f"{tmp_path}/{name}/{p}", "rb").read().startswith(start) for p in parts)
+        back = tables.read_flagged_csv(spark, f"{tmp_path}/{name}")
+        assert back.columns == ["row_id", "title"] and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_rows_with_surplus_cells_are_set_aside(spark, folder, tmp_path):
+    _write(f"{tmp_path}/q/a.csv", 'Title,Authors,Publication Year,DOI\nT1,A1,2020,10.1/a,EXTRA\nT2,A2\n"T\n3",A3,2021,10.1/c\n')
+    _write(f"{tmp_path}/q/b.csv", 'Title,Authors,Publication Year,DOI\nT4,A4,2020,10.1/d\n"T,5",A5,2020,10.1/e,"x,y",z\n')
+    good, bad = exports.read_export_parts(spark, f"{tmp_path}/q")
+    assert sorted(r["Title"] for r in good.collect()) == ["T\n3", "T2", "T4"]
+    rows = sorted((r["file"].rsplit("/", 1)[1], r["cells"], r["text"]) for r in bad.collect())
+    assert rows == [("a.csv", 4, "T1,A1,2020,10.1/a,EXTRA"), ("b.csv", 4, '"T,5",A5,2020,10.1/e,"x,y",z')]
+    args = (f"{tmp_path}/q", f"{folder}/scopus.csv", f"{folder}/ieee.csv")
+    flagged = workflow.identification(spark, *args, out_dir=f"{tmp_path}/out", quarantine=True)
+    aside = spark.read.parquet(f"{tmp_path}/out/quarantine").collect()
+    assert flagged.filter("source = 'PubMed'").count() == 3 and [r["source"] for r in aside] == ["PubMed"] * 2
+    with pytest.raises(Exception, match="more than 4 cells"):
+        workflow.identification(spark, *args, out_dir=f"{tmp_path}/strict")
+
+
+def test_a_failed_write_is_built_again(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/t/fp=a/_temporary")
+    assert tables.read_or_build(spark, f"{tmp_path}/t", lambda: spark.range(3), key="a").count() == 3

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from winnow.functions.text import extract_year, is_review_title, norm_doi, norm_text, norm_title, split_multi_value
+from winnow.functions.text import extract_year, is_secondary_title, norm_doi, norm_text, norm_title, split_multi_value
 
 NBSP = " "
 
@@ -60,10 +60,10 @@ def _one_col(spark, values):
 
 def test_titles(spark):
     df = _one_col(spark, [t for t, _, _ in TITLES])
-    rows = df.select("i", norm_title("v").alias("t")).withColumn("r", is_review_title("t")).orderBy("i").collect()
-    for (raw, want, review), row in zip(TITLES, rows):
+    rows = df.select("i", norm_title("v").alias("t")).withColumn("r", is_secondary_title("t")).orderBy("i").collect()
+    for (raw, want, marked), row in zip(TITLES, rows):
         assert row["t"] == want, (raw, row["t"])
-        assert row["r"] is review, (raw, row["r"])
+        assert row["r"] is marked, (raw, row["r"])
 
 
 def test_dois(spark):
@@ -117,9 +117,9 @@ def test_title_properties(spark, values):
 
 
 @pytest.mark.parametrize("phrase", ["systematic review", "meta analysis", "workshop", "congress"])
-def test_review_phrases_are_substrings(spark, phrase):
+def test_secondary_phrases_are_substrings(spark, phrase):
     df = _one_col(spark, [f"x{phrase}y"])
-    assert df.select(is_review_title(norm_title("v"))).first()[0] is True
+    assert df.select(is_secondary_title(norm_title("v"))).first()[0] is True
 
 
 def _stepwise_doi(c):

@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--annotated", nargs="+", required=True, help="files or folders (all are read); of a glob, the first match")
     r.add_argument("--out", required=True)
     r.add_argument("--flagged", help="flagged table of the identification run (default: the one under --out)")
-    c = sub.add_parser("screen", help="flagged table -> scores, tags, screen, sheets for a reviewer")
+    c = sub.add_parser("screen", help="flagged table -> scores, tags, screen, sheets for a reader")
     c.add_argument("--flagged", help="flagged table (default: the one under --out)")
     c.add_argument("--scorer", default="lexical", help="lexical, or module:function giving a model factory")
     c.add_argument("--out", required=True)

@@ -13,9 +13,9 @@ from __future__ import annotations
 # Bibliographic sources, in concatenation (keep-first) order.
 SOURCES = ("PubMed", "Scopus", "IEEE")
 
-# Phrases that mark a review / conference paper when found anywhere in the
-# normalised title (plain substring test), plus the whole word "review".
-REVIEW_PHRASES = (
+# Phrases that mark a secondary or conference paper when found anywhere in the
+# normalised title (plain substring test), plus one whole word.
+SECONDARY_PHRASES = (
     "systematic review",
     "scoping review",
     "literature review",
@@ -31,7 +31,7 @@ REVIEW_PHRASES = (
     "congress",
     "conference",
 )
-REVIEW_WORD = "review"
+SECONDARY_WORD = "review"
 
 # Prefixes of the tiered duplicate key.
 KEY_TITLE_YEAR = "TY:"
@@ -39,7 +39,7 @@ KEY_YEAR_SEP = "|Y:"
 KEY_TITLE = "T:"
 KEY_ROW = "ROW:"
 
-# Default label lists of the review (methods first, then applications).
+# Default label lists (methods first, then applications).
 METHOD_LABELS = (
     "Multimodal Foundation Models",
     "Knowledge-Grounded Models",
@@ -88,6 +88,9 @@ TREND_MIN_YEAR = 2021
 DEFAULT_BATCH_SIZE = 32
 MULTI_VALUE_SPLIT = "[,;]+"
 
+# Blank columns of a sheet for a reader.
+READER_COLUMNS = ("Your_Decision", "Notes")
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES — end
 # ---------------------------------------------------------------------------

@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import (KEY_ROW, KEY_TITLE, KEY_TITLE_YEAR, KEY_YEAR_SEP, MULTI_VALUE_SPLIT, REVIEW_PHRASES,
-                        REVIEW_WORD)
+from .constants import (KEY_ROW, KEY_TITLE, KEY_TITLE_YEAR, KEY_YEAR_SEP, MULTI_VALUE_SPLIT, SECONDARY_PHRASES,
+                        SECONDARY_WORD)
 
 WS_CHARS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS = f"[{WS_CHARS}]"
@@ -29,8 +29,8 @@ _DASHES = "\u2013\u2014\u2212"  # en dash, em dash, minus sign
 _YEAR = r"(\p{Nd}{4})"
 _DOI_PREFIX = f"^{WS}*(doi:{WS}*)?(https?://(dx\\.)?doi\\.org/)?"
 _DOI_TAIL = f"[.,;{WS_CHARS}]+\\z|{WS}+"
-_REVIEW_RE = "|".join([*(f"\\Q{p}\\E" for p in REVIEW_PHRASES),
-                       f"(^|{NOT_WORD}){REVIEW_WORD}({NOT_WORD}|\\z)"])
+_SECONDARY_RE = "|".join([*(f"\\Q{p}\\E" for p in SECONDARY_PHRASES),
+                       f"(^|{NOT_WORD}){SECONDARY_WORD}({NOT_WORD}|\\z)"])
 
 
 def _col(c: Column | str) -> Column:
@@ -98,14 +98,14 @@ def extract_year(c: Column | str) -> Column:
     return F.regexp_extract(F.coalesce(_col(c).cast("string"), F.lit("")), _YEAR, 1)
 
 
-def is_review_title(title_norm: Column | str) -> Column:
+def is_secondary_title(title_norm: Column | str) -> Column:
     """TXT-5 on an already normalised title: any phrase as a substring, or the
-    whole word ``review``. Never null (the normalised title is never null).
+    whole word of the constants. Never null (the normalised title is never null).
 
     One ``rlike`` over quoted phrases, so the title is referenced once: if the
     optimiser inlines the title expression (e.g. into a pushed-down filter),
     it is inlined once, not once per phrase."""
-    return _col(title_norm).rlike(_REVIEW_RE)
+    return _col(title_norm).rlike(_SECONDARY_RE)
 
 
 def dedup_key(doi_norm: Column | str, title_norm: Column | str, year: Column | str,

@@ -1,4 +1,4 @@
-"""Identification: normalise, tiered duplicate key, group sizes, review flag
+"""Identification: normalise, tiered duplicate key, group sizes, flag of secondary papers
 (TXT-1..5, DED-1, DED-2, PIP-1 core). Nothing is deleted: every input row
 comes out once, with its flags."""
 
@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import dedup_key, extract_year, is_review_title, norm_doi, norm_title
+from ..functions.text import dedup_key, extract_year, is_secondary_title, norm_doi, norm_title
 from .skew import attach_key_counts
 
 FLAGGED_COLUMNS = (
@@ -30,9 +30,9 @@ def add_dedup_key(df: DataFrame) -> DataFrame:
     return df.withColumn("dedup_key", dedup_key("doi_norm", "title_norm", "year", "row_id"))
 
 
-def flag_reviews(df: DataFrame) -> DataFrame:
+def flag_secondary(df: DataFrame) -> DataFrame:
     """TXT-5 on the stored normalised title (normalised once, not twice)."""
-    return df.withColumn("flag_review_conf", is_review_title("title_norm"))
+    return df.withColumn("flag_review_conf", is_secondary_title("title_norm"))
 
 
 def flag_duplicates(df: DataFrame, key: str = "dedup_key") -> DataFrame:
@@ -43,9 +43,9 @@ def flag_duplicates(df: DataFrame, key: str = "dedup_key") -> DataFrame:
 
 
 def keyed(records: DataFrame) -> DataFrame:
-    """Row-local part of identification (no shuffle): normalise, key, review
+    """Row-local part of identification (no shuffle): normalise, key,
     flag. Enough for every key-level aggregate."""
-    return flag_reviews(add_dedup_key(normalise(records)))
+    return flag_secondary(add_dedup_key(normalise(records)))
 
 
 def identify(records: DataFrame, reuse: str = "scan") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Count tables of the review report (AGG-1..18, WIN-3).
+"""Count tables of the screening report (AGG-1..18, WIN-3).
 
 Every aggregate is algebraic, so Spark runs a partial (map-side) aggregate
 before any exchange. Key-level metrics go through one ``groupBy(dedup_key)``
@@ -9,9 +9,10 @@ number of labels is a parameter, not a schema.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import SOURCES, TREND_MIN_YEAR
@@ -76,14 +77,14 @@ SUMMARY_METRICS = ("pubmed", "scopus", "ieee", "total_raw", "duplicates_removed"
 
 
 def key_level(keyed: DataFrame, key: str = "dedup_key", extra: Sequence[Column] = ()) -> DataFrame:
-    """Rows -> one row per key (by digest): size, any review flag, per-source
+    """Rows -> one row per key (by digest): size, any flag, per-source
     counts and ``extra`` aggregates. The only exchange of the identification
     metrics; a table of key and source is enough."""
-    review = F.col("flag_review_conf") if "flag_review_conf" in keyed.columns else F.lit(False)
+    mark = F.col("flag_review_conf") if "flag_review_conf" in keyed.columns else F.lit(False)
     return keyed.groupBy(key_digest(key).alias("_kd")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max(review.cast("int")).alias("any_review"),
-        F.min(review.cast("int")).alias("all_review"),
+        F.max(mark.cast("int")).alias("any_flagged"),
+        F.min(mark.cast("int")).alias("all_flagged"),
         *[count_if(F.col("source") == s).alias(f"n_{s.lower()}") for s in SOURCES],
         *extra,
     )
@@ -94,8 +95,8 @@ def _summary_row(keyed: DataFrame) -> DataFrame:
         *[F.coalesce(F.sum(f"n_{s.lower()}"), F.lit(0)).alias(s.lower()) for s in SOURCES],
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_raw"),
         F.count(F.lit(1)).alias("dedup_papers"),
-        count_if(F.col("any_review") == 1).alias("excluded_rev_conf"),
-        count_if(F.col("all_review") == 0).alias("template_rows"),
+        count_if(F.col("any_flagged") == 1).alias("excluded_rev_conf"),
+        count_if(F.col("all_flagged") == 0).alias("template_rows"),
     ).withColumns({
         "duplicates_removed": F.col("total_raw") - F.col("dedup_papers"),
         "kept": F.col("dedup_papers") - F.col("excluded_rev_conf"),
@@ -104,7 +105,7 @@ def _summary_row(keyed: DataFrame) -> DataFrame:
 
 def identification_summary(keyed: DataFrame) -> DataFrame:
     """AGG-7 (AGG-1..4): the eight identification counts as
-    ``(ordinal, metric, value)``. ``excluded`` is 0 without a review flag."""
+    ``(ordinal, metric, value)``. ``excluded`` is 0 without a flag column."""
     require(keyed, ["dedup_key", "source"], "dedup_key is missing; columns")
     row = _summary_row(keyed)
     return _long(row, [
@@ -132,38 +133,84 @@ def source_counts(df: DataFrame) -> DataFrame:
 # Label tables
 # ---------------------------------------------------------------------------
 
+def _tags(groups: list[tuple[str | None, list[str]]]) -> Column:
+    """Array of a row's nonzero tags, (dimension number, label number, value)."""
+    entries = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(i).alias("i"), fill0_int(lc(l)).alias("v"))
+                        for g, (_, ls) in enumerate(groups) for i, l in enumerate(ls)])
+    return F.filter(entries, lambda e: e["v"] != 0)
+
+
+def _label_grid(spark: SparkSession, groups: list[tuple[str | None, list[str]]], counted: DataFrame) -> DataFrame:
+    """Every (row, col) pair of each label list with its count ``n`` of
+    ``counted`` (g, i, j, n), zero when absent. The grid is generated in Spark
+    from the label literals (two explodes) and joined by key - neither a cross
+    join nor labels^2 rows from the driver."""
+    lists = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(d).cast("string").alias("dimension"), F.array(*[F.lit(l) for l in ls]).alias("ls"))
+                      for g, (d, ls) in enumerate(groups)])
+    grid = (spark.range(1).select(F.inline(lists)).select("*", F.posexplode("ls").alias("i", "row_label"))
+            .select("*", F.posexplode("ls").alias("j", "col_label")))
+    dims = [] if groups[0][0] is None else ["dimension"]
+    return (grid.join(counted, ["g", "i", "j"], "left")
+            .select(*dims, "row_label", "col_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+
+
 def cooccurrence(df: DataFrame, labels: Labels) -> DataFrame:
     """AGG-8: ``B^T B`` over ``fillna(0).astype(int)`` tags, as
     ``([dimension,] row_label, col_label, n)``; symmetric, diagonal = sum of
-    squares. Each row pairs only its own nonzero labels, the pairs are counted
-    with one ``groupBy`` (partial aggregation), and pairs that never co-occur
-    are filled with 0 from the label list: one plan for any number of labels."""
+    squares. Each row pairs only its own nonzero labels of a dimension, the pairs
+    of all dimensions are counted in one scan with one ``groupBy`` (partial
+    aggregation), and pairs that never co-occur are filled with 0 from the label
+    list. The work is that of the pairs that rows hold; for rows with many tags
+    see ``cooccurrence_bitmaps``."""
+    require(df, _all_labels(labels), "Theme columns")
+    groups = _groups(labels)
+    pairs = F.flatten(F.transform("_tags", lambda a: F.transform(
+        F.filter("_tags", lambda b: b["g"] == a["g"]),
+        lambda b: F.struct(a["g"].alias("g"), a["i"].alias("i"), b["i"].alias("j"), (a["v"].cast("long") * b["v"]).alias("p")))))
+    counted = (df.select(_tags(groups).alias("_tags")).select(F.inline(pairs))
+               .groupBy("g", "i", "j").agg(F.sum("p").cast("long").alias("n")))
+    return _label_grid(df.sparkSession, groups, counted)
+
+
+INT_BITS = 32  # of a tag's value
+
+
+def cooccurrence_bitmaps(df: DataFrame, labels: Labels) -> DataFrame:
+    """AGG-8 for many labels and rows with many tags: the same table from bitmaps.
+
+    Rows are numbered and dealt to buckets of 32,768; each label has one bitmap a
+    bucket, built by partial aggregation in the one scan of all dimensions. In a
+    bucket the bitmaps of every two labels are intersected and counted where they
+    are, so the number of pairs depends on the labels, not on the rows' tags, and
+    only counts travel. A value other than 0 and 1 has a bitmap for each bit of
+    its two's complement; bits p and q of a pair weigh 2^p 2^q."""
     require(df, _all_labels(labels), "Theme columns")
     groups = _groups(labels)
-    spark = df.sparkSession
-    frames = []
-    for d, ls in groups:
-        entries = F.array(*[F.struct(F.lit(l).alias("label"), fill0_int(lc(l)).alias("v")) for l in ls])
-        pos = F.filter(entries, lambda e: e["v"] != 0)
-        pairs = F.flatten(F.transform(pos, lambda a: F.transform(
-            pos, lambda b: F.struct(a["label"].alias("row_label"), b["label"].alias("col_label"),
-                                    (a["v"] * b["v"]).alias("p")))))
-        counted = (df.select(F.explode(pairs).alias("e"))
-                   .groupBy(F.col("e.row_label").alias("row_label"), F.col("e.col_label").alias("col_label"))
-                   .agg(F.sum("e.p").cast("long").alias("n")))
-        # every (row, col) pair of the label list, zero when absent: the grid
-        # is generated in Spark from the k label literals (two explodes), then
-        # joined by key - neither a cross join nor labels^2 rows from the driver
-        lits = F.array(*[F.lit(l) for l in ls])
-        grid = (spark.range(1).select(F.explode(lits).alias("row_label"))
-                .select("row_label", F.explode(lits).alias("col_label")))
-        out = (grid.join(counted, ["row_label", "col_label"], "left")
-               .select(*_dim(d), "row_label", "col_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
-        frames.append(out)
-    res = frames[0]
-    for f in frames[1:]:
-        res = res.unionByName(f)
-    return res
+    bits = F.flatten(F.transform("_tags", lambda e: F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(INT_BITS - 1)), lambda p: F.getbit(e["v"], p) == 1),
+        lambda p: F.struct(e["g"].alias("g"), e["i"].alias("i"), p.alias("p")))))
+    rows = df.select(F.monotonically_increasing_id().alias("_id"), _tags(groups).alias("_tags"))
+    maps = (rows.select("_id", F.inline(bits))
+            .groupBy("g", "i", "p", F.bitmap_bucket_number("_id").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("m")))
+    # one row a bucket and dimension holds at most 32 bitmaps of 4 KB a label
+    one = maps.groupBy("g", "bucket").agg(F.array_sort(F.collect_list(F.struct("i", "p", "m"))).alias("ms"))
+    two = F.transform("ms", lambda a: F.transform(F.filter("ms", lambda b: (b["i"] > a["i"]) | ((b["i"] == a["i"]) & (b["p"] >= a["p"]))),
+                                                  lambda b: F.struct(a["i"].alias("i"), a["p"].alias("p"), b["i"].alias("j"), b["p"].alias("q"),
+                                                                     F.array(a["m"], b["m"]).alias("pair"))))
+    pairs = one.select("g", "bucket", F.explode(two).alias("_of")).select("g", "bucket", F.inline("_of"))
+    met = (pairs.select("g", "bucket", "i", "p", "j", "q", F.explode("pair").alias("m"))
+           .groupBy("g", "bucket", "i", "p", "j", "q").agg(F.bitmap_count(F.bitmap_and_agg("m")).alias("c")))
+
+    def weight(p: str) -> Column:
+        return F.when(F.col(p) == INT_BITS - 1, F.lit(-1)).otherwise(F.lit(1)) * F.expr(f"shiftleft(1L, {p})")
+
+    once = (F.col("i") != F.col("j")) | (F.col("p") == F.col("q"))  # two bits of one label stand for (p, q) and (q, p)
+    share = F.col("c").cast("decimal(19,0)") * (weight("p") * weight("q")) * F.when(once, 1).otherwise(2)  # parts may exceed a long
+    half = met.groupBy("g", "i", "j").agg(F.sum(share).cast("long").alias("n"))
+    both = half.select("g", F.inline(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j", "n"))).otherwise(
+        F.array(F.struct("i", "j", "n"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("n"))))))
+    return _label_grid(df.sparkSession, groups, both)
 
 
 def method_application_matrix(df: DataFrame, methods: Sequence[str], applications: Sequence[str],
@@ -214,24 +261,30 @@ def category_counts_by_source(df: DataFrame, labels: Labels, sources: Sequence[s
     ``total`` only. Without a source column: one row per label with a null
     source and n = total."""
     require(df, _all_labels(labels), "Label columns")
-    pairs = [(d, l) for d, ls in _groups(labels) for l in ls]
-    sources = list(sources) if "source" in df.columns else [None]
-    aggs = []
-    for i, (_, l) in enumerate(pairs):
-        aggs.append(sum0(lc(l)).alias(f"_t{i}"))
-        aggs += [sum0(lc(l) if s is None else F.when(F.col("source") == s, lc(l))).alias(f"_s{i}_{j}") for j, s in enumerate(sources)]
-
-    def rank(i: int) -> Column:
-        d, l = pairs[i]
-        ahead = [((F.col(f"_t{k}") < F.col(f"_t{i}")) | ((F.col(f"_t{k}") == F.col(f"_t{i}")) & F.lit(o < l))).cast("int")
-                 for k, (e, o) in enumerate(pairs) if e == d and k != i]
-        return sum(ahead, F.lit(0))
-
-    out = _long(df.agg(*aggs), [
-        F.struct(*_dim(d), F.lit(l).alias("label"), rank(i).alias("label_rank"), F.col(f"_t{i}").alias("total"),
-                 F.lit(s).cast("string").alias("source"), F.lit(None if s is None else j).cast("int").alias("source_ordinal"),
-                 F.col(f"_s{i}_{j}").alias("n"))
-        for i, (d, l) in enumerate(pairs) for j, s in enumerate(sources)
+    groups = _groups(labels)
+    names = [(g, d, l) for g, (d, ls) in enumerate(groups) for l in ls]
+    known = "source" in df.columns
+    ordinal = F.coalesce(*[F.when(F.col("source") == s, F.lit(j)) for j, s in enumerate(sources)]) if known and sources else F.lit(None).cast("int")
+    # one row for each listed source and one for all others; then one row of them
+    by = df.groupBy(ordinal.alias("_o")).agg(F.array(*[sum0(lc(l)) for _, _, l in names]).alias("_n"))
+    row = by.agg(F.collect_list(F.struct("_o", "_n")).alias("_by"))
+
+    def count(i: int, j: int | None) -> Column:
+        """Sum of label ``i`` in source ``j``, or in all rows."""
+        return F.aggregate("_by", F.lit(0).cast("long"), lambda a, x: a + (
+            x["_n"][i] if j is None else F.when(x["_o"] == j, x["_n"][i]).otherwise(F.lit(0))))
+
+    row = row.select("_by", *[count(i, None).alias(f"_t{i}") for i in range(len(names))])
+    places = [F.array_sort(F.array(*[F.struct(F.col(f"_t{i}").alias("t"), F.lit(l).alias("l")) for i, (h, _, l) in enumerate(names) if h == g])).alias(f"_r{g}")
+              for g in range(len(groups))]
+    listed = list(enumerate(sources)) if known else [(None, None)]
+
+    out = _long(row.select("*", *places), [
+        F.struct(*_dim(d), F.lit(l).alias("label"),
+                 (F.array_position(f"_r{g}", F.struct(F.col(f"_t{i}").alias("t"), F.lit(l).alias("l"))) - 1).cast("int").alias("label_rank"),
+                 F.col(f"_t{i}").alias("total"), F.lit(s).cast("string").alias("source"), F.lit(j).cast("int").alias("source_ordinal"),
+                 count(i, j).alias("n"))
+        for i, (g, d, l) in enumerate(names) for j, s in listed
     ])
     return _sorted_small(out, *(["dimension"] if isinstance(labels, dict) else []), "label_rank", "source_ordinal")
 
@@ -263,38 +316,85 @@ def any_label_counts(df: DataFrame, labels: Labels) -> DataFrame:
     return _long(row, [F.struct(*_dim(d), F.col(f"_a{g}").alias("n")) for g, (d, _) in enumerate(groups)])
 
 
-def venn_regions(df: DataFrame, labels: Sequence[str], null_as_true: bool = True, strict: bool = True) -> DataFrame:
+def _region(labels: Sequence[str], null_as_true: bool) -> Column:
+    """A row's region: one 0/1 character a label, in label order."""
+    return F.concat(*[F.when(truthy(lc(l), null_as_true), "1").otherwise("0") for l in labels])
+
+
+def _members(region: Column, labels: Sequence[str]) -> Column:
+    names = F.array(*[F.lit(l) for l in labels])
+    return F.array_join(F.filter(names, lambda l, i: F.substring(region, i + 1, F.lit(1)) == "1"), " & ")
+
+
+LISTED_LABELS = 24  # of more labels the regions are too many to list
+
+
+def venn_regions(df: DataFrame, labels: Sequence[str], null_as_true: bool = True, strict: bool = True,
+                 occurring: bool = False) -> DataFrame:
     """AGG-15: the 2^k - 1 exclusive overlap regions of k labels under
     ``astype(bool)`` (null counts as True). ``region`` is a 0/1 string in label
     order, ``members`` the included labels; ``total`` excludes rows in no
     label. ``strict`` keeps the three-label contract.
 
-    Rows are counted by their bit mask (partial aggregation, at most 2^k
-    groups); the list of regions is made in Spark from the k labels and takes
-    its counts from a map of the masks that occur. Order: number of labels,
-    then label order."""
+    Rows are counted by their region (partial aggregation). The list of all
+    regions is generated as rows, one each, and joined with the counts; a
+    region's ``ordinal`` (number of labels, then label order) is computed from
+    its own bits, so nothing is sorted. With ``occurring`` only the regions that
+    some row is in are given, for any number of labels: ``(n_labels, region,
+    members, n, total)``."""
     if strict and len(labels) != 3:
         raise ValueError(f"three labels are needed, not {len(labels)}; pass strict=False for another number")
+    if len(labels) > LISTED_LABELS and not occurring:
+        raise ValueError(f"{len(labels)} labels have 2^{len(labels)} - 1 regions; pass occurring=True for those that occur")
+    require(df, labels)
+    k = len(labels)
+    counted = df.groupBy(_region(labels, null_as_true).alias("region")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.filter(F.col("region").contains("1"))
+    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total")).scalar()
+    if occurring:
+        return counted.select(F.length(F.replace("region", F.lit("0"), F.lit(""))).alias("n_labels"), "region",
+                              _members(F.col("region"), labels).alias("members"), F.col("_n").cast("long").alias("n"), total.alias("total"))
+    listed = df.sparkSession.range(1, 1 << k).select(F.reverse(F.lpad(F.bin("id"), k, "0")).alias("region"), F.bit_count("id").alias("_b"), "id")
+    # regions with fewer labels come first; among equals, those whose first difference is a 1
+    ahead = F.element_at(F.array(*[F.lit(sum(math.comb(k, c) for c in range(1, b))).cast("long") for b in range(1, k + 1)]), F.col("_b"))
+    for i in range(k):
+        before = F.bit_count(F.col("id").bitwiseAND(F.lit((1 << i) - 1)))
+        skipped = F.array(*[F.lit(math.comb(k - 1 - i, r - 1) if r else 0).cast("long") for r in range(k + 1)])
+        ahead = ahead + F.when(F.getbit("id", F.lit(i)) == 0, F.element_at(skipped, F.col("_b") - before + 1)).otherwise(F.lit(0))
+    return listed.join(counted, "region", "left").select(
+        ahead.cast("int").alias("ordinal"), "region", _members(F.col("region"), labels).alias("members"),
+        F.coalesce("_n", F.lit(0)).cast("long").alias("n"), total.alias("total"))
+
+
+LATTICE_LABELS = 8  # labels that one step of the lattice transform folds
+
+
+def inclusive_overlaps(df: DataFrame, labels: Sequence[str], order: int | None = None, null_as_true: bool = True) -> DataFrame:
+    """AGG-15, inclusive: rows that have *at least* the labels of a set, for every
+    set of up to ``order`` labels (all sizes by default) with such a row:
+    ``(n_labels, region, members, n)``. Any number of labels.
+
+    The sums run up the lattice of label sets: in steps of ``LATTICE_LABELS``
+    labels, each region hands its count to itself and to every region with some
+    of these labels taken out, and equal regions are added before the next step
+    (partial aggregation). Sets with more than ``order`` labels in the folded part
+    leave at once, so the tables stay near the number of answers."""
     require(df, labels)
     k = len(labels)
-    mask = sum((F.when(truthy(lc(l), null_as_true), F.lit(1 << i)).otherwise(0) for i, l in enumerate(labels)), F.lit(0))
-    counted = df.groupBy(mask.cast("int").alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
-    row = counted.agg(F.map_from_entries(F.collect_list(F.struct("_m", "_n"))).alias("_by"),
-                      F.coalesce(F.sum(F.when(F.col("_m") > 0, F.col("_n"))), F.lit(0)).alias("total"))
-
-    def bit(m: Column, i: int) -> Column:
-        return F.shiftright(m, i).bitwiseAND(F.lit(1))
-
-    def region(m: Column) -> Column:
-        return F.concat(*[bit(m, i).cast("string") for i in range(k)])
-
-    order = F.array_sort(F.transform(F.sequence(F.lit(1), F.lit((1 << k) - 1)), lambda m: F.struct(
-        F.bit_count(m).alias("b"), F.translate(region(m), "01", "10").alias("r"), m.alias("m"))))
-    out = row.select("_by", "total", F.posexplode(order).alias("ordinal", "_o"))
-    m = F.col("_o.m")
-    members = F.concat_ws(" & ", *[F.when(bit(m, i) == 1, F.lit(l)) for i, l in enumerate(labels)])
-    return out.select("ordinal", region(m).alias("region"), members.alias("members"),
-                      F.coalesce(F.try_element_at("_by", m), F.lit(0)).cast("long").alias("n"), F.col("total").cast("long").alias("total"))
+    top = k if order is None else order
+    now = df.groupBy(_region(labels, null_as_true).alias("region")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("region").contains("1"))
+    for start in range(0, k, LATTICE_LABELS):
+        width = min(LATTICE_LABELS, k - start)
+        block = F.conv(F.substring("region", start + 1, width), 2, 10).cast("int")
+        below = F.filter(F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda m: m.bitwiseAND(F.col("_block")) == m)
+        parts = now.withColumn("_block", block).select("region", "n", F.explode(below).alias("_m"))
+        folded = F.concat(F.substring("region", 1, start), F.lpad(F.bin("_m"), width, "0"))
+        ones = F.length(F.replace(folded, F.lit("0"), F.lit("")))
+        now = (parts.filter(ones <= top).groupBy(F.concat(folded, F.substring("region", start + width + 1, k)).alias("region"))
+               .agg(F.sum("n").alias("n")))
+    now = now.filter(F.col("region").contains("1"))
+    return now.select(F.length(F.replace("region", F.lit("0"), F.lit(""))).alias("n_labels"), "region",
+                      _members(F.col("region"), labels).alias("members"), "n")
 
 
 def multi_value_counts(df: DataFrame, column: str) -> DataFrame:

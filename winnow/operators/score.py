@@ -8,8 +8,8 @@ Two scorers are plain Column expressions and stay inside whole-stage codegen:
   vector per label (a small table).
 
 A user model (for example a zero-shot classifier) goes through
-``model_scores``: ``mapInPandas`` with Arrow batches, the model built once per
-Python worker, called on ``batch_size`` texts at a time. Every label gets an
+``model_scores``: ``mapInArrow``, the model built once per Python worker, called
+on ``batch_size`` texts at a time. Every label gets an
 independent score per text, so methods and applications can be scored in one
 pass; ``merge_dimensions`` still joins separately scored sets.
 """
@@ -20,9 +20,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import hashlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,12 +55,21 @@ def lexical_scores(words: Column | str, labels: Sequence[str]) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(l) for l in labels]), F.array(*scores))
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``columns`` as generated ones: made by ``inline`` of one struct.
+    The optimiser copies the expression of a plain column into every filter and
+    projection above it; it moves nothing through a generator, so costly columns
+    (scores) are evaluated once a row, however often they are named later."""
+    kept = [lc(c) for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def with_lexical_scores(df: DataFrame, text_col: str, labels: Sequence[str], out: str = "scores",
                         normalised: bool = False) -> DataFrame:
     """Adds ``out``; the text is split once into a word array that every
-    label reuses (kept as its own projection, not re-derived per label)."""
-    return (df.withColumn("_words", title_words(text_col, normalised))
-            .withColumn(out, lexical_scores("_words", labels)).drop("_words"))
+    label reuses, and the scores are generated once (``computed_once``)."""
+    words = df.withColumn("_words", title_words(text_col, normalised))
+    return computed_once(words, {out: lexical_scores("_words", labels)}).drop("_words")
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -87,7 +96,7 @@ def cosine_scores(df: DataFrame, vec_col: str, vectors: DataFrame, out: str = "s
     rows = rows.withColumn("_norm", F.sqrt(_dot(F.col("_v"), F.col("_v"))))
     scored = F.transform("_refs", lambda r: F.struct(
         r["label"], F.try_divide(_dot(F.col("_v"), r["vec"]), F.col("_norm") * r["norm"])))
-    return rows.withColumn(out, F.map_from_entries(scored)).drop("_v", "_refs", "_norm")
+    return computed_once(rows, {out: F.map_from_entries(scored)}).drop("_v", "_refs", "_norm")
 
 
 def map_scores_long(scored: DataFrame, id_cols: Sequence[str], scores: str = "scores",
@@ -98,6 +107,7 @@ def map_scores_long(scored: DataFrame, id_cols: Sequence[str], scores: str = "sc
 
 
 _MODELS: dict[str, object] = {}  # of this Python worker
+OUT_ROWS = 4096  # scored rows handed back at a time
 
 
 def model_scores(df: DataFrame, text_col: str, labels: Sequence[str], factory: Callable[[], Callable],
@@ -107,40 +117,72 @@ def model_scores(df: DataFrame, text_col: str, labels: Sequence[str], factory: C
     ``{'labels': [...], 'scores': [...]}`` per text. Gives ``id_cols`` and a
     ``scores`` map; only these columns and the text go through Arrow.
 
-    Runs in ``mapInPandas``: ``batch_size`` texts per call, the model built once
-    per Python worker. The cache lives in this module as the worker imports
-    it (a closure's own dictionary would be new in every task), so the package
-    must be importable there. Empty partitions yield nothing."""
+    Runs in ``mapInArrow``: the rows of a partition are batched anew across
+    Arrow's batches, so every call but a partition's last gets ``batch_size`` texts
+    and a partition of n rows makes ``ceil(n / batch_size)`` calls (``model_calls``).
+    The model is built once per Python worker. The cache lives in this module as the
+    worker imports it (a closure's own dictionary would be new in every task), so the
+    package must be importable there. Empty partitions yield nothing."""
     labels = list(labels)
     # the factory's pickled bytes identify it: two closures with the same
     # name but different captured settings (model name, device) get two models
     key = cache_key or hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
     ship_package(df.sparkSession)
-    rows = df.select(*[lc(c) for c in id_cols], lc(text_col).alias("_text"))
+    rows = df.select(*[lc(c) for c in id_cols], lc(text_col).cast("string").alias("_text"))
     schema = T.StructType([*rows.drop("_text").schema.fields, T.StructField("_labels", T.ArrayType(T.StringType())),
                            T.StructField("_scores", T.ArrayType(T.DoubleType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from winnow.operators import score as own
 
         model = own._MODELS.get(key)
         if model is None:
             model = own._MODELS[key] = factory()
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            texts = ["" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v) for v in pdf["_text"]]
-            out_l, out_s = [], []
-            for i in range(0, len(texts), batch_size):
-                for r in model(texts[i:i + batch_size], labels):
-                    out_l.append([str(x) for x in r["labels"]])
-                    out_s.append([float(x) for x in r["scores"]])
-            yield pdf.drop(columns="_text").assign(_labels=out_l, _scores=out_s)
-
-    out = rows.mapInPandas(run, schema)
+        held: list[pa.RecordBatch] = []  # rows that are read and not handed back yet
+        texts: list[str] = []  # of the held rows that are not scored yet
+        out_l: list[list[str]] = []
+        out_s: list[list[float]] = []
+
+        def call() -> None:
+            for r in model(texts[:batch_size], labels):
+                out_l.append([str(x) for x in r["labels"]])
+                out_s.append([float(x) for x in r["scores"]])
+            del texts[:batch_size]
+
+        def scored() -> Iterator[pa.RecordBatch]:
+            """The held rows that have scores."""
+            n = len(out_l)
+            table = pa.Table.from_batches(held)
+            done = table.slice(0, n).combine_chunks()
+            held[:] = table.slice(n).to_batches()
+            columns = [*done.columns, pa.array(out_l, pa.list_(pa.string())), pa.array(out_s, pa.list_(pa.float64()))]
+            yield from pa.table(columns, names=[*done.column_names, "_labels", "_scores"]).to_batches()
+            out_l.clear()
+            out_s.clear()
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch.drop_columns(["_text"]))
+                texts += [t or "" for t in batch.column("_text").to_pylist()]
+                while len(texts) >= batch_size:
+                    call()
+                if len(out_l) >= OUT_ROWS:
+                    yield from scored()
+        if texts:
+            call()
+        if out_l:
+            yield from scored()
+
+    out = rows.mapInArrow(run, schema)
     return out.withColumn("scores", F.map_from_arrays("_labels", "_scores")).drop("_labels", "_scores")
 
 
+def model_calls(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
+    """AGG-20 as ``model_scores`` runs: calls by partition, added up, ``(batches)``."""
+    parts = df.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    return parts.agg(F.coalesce(F.sum(F.ceil(F.col("_n") / F.lit(batch_size))), F.lit(0)).cast("long").alias("batches"))
+
+
 def round_score(c: Column | str, decimals: int = SCORE_DECIMALS) -> Column:
     """TXT-10: round half up to ``decimals`` places; ``+ 0.0`` turns a
     rounded -0.0 into 0.0 so equal scores hash equally."""
@@ -186,8 +228,8 @@ def tag_dimensions(scored: DataFrame, dimensions: Sequence[tuple[float, Sequence
 
 
 def inference_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
-    """AGG-20: number of model calls, ``ceil(rows / batch_size)`` (informational;
-    with ``model_scores`` each partition is batched on its own)."""
+    """AGG-20: number of batches of all rows in one sequence, ``ceil(rows /
+    batch_size)``; ``model_calls`` counts those of the partitions."""
     return df.agg(F.ceil(F.count(F.lit(1)) / F.lit(batch_size)).cast("long").alias("batches"))
 
 
@@ -202,6 +244,48 @@ def top_labels(scored: DataFrame, id_cols: Sequence[str], k: int = 3, scores: st
         (-F.col("e.neg")).alias("score"))
 
 
+def label_index(labels: DataFrame, label_col: str = "label") -> DataFrame:
+    """``(word, label, size)``: every word of every label with the label's number
+    of words; a label without words has one row with a null word."""
+    words = labels.select(lc(label_col).alias("label")).distinct().withColumn("_w", title_words("label"))
+    return words.select("label", F.size("_w").alias("size"), F.explode_outer("_w").alias("word"))
+
+
+def indexed_scores(df: DataFrame, id_cols: Sequence[str], text_col: str, index: DataFrame, normalised: bool = False) -> DataFrame:
+    """SCO-2 for thousands of labels: the lexical scores above zero, ``(id..., label,
+    score)``. The words of titles meet the words of labels in an inverted index
+    (``label_index``), so a title touches only labels that it has a word of; no
+    table of titles x labels is made. A title without a hit has one row with a
+    null label. A word in a third of all titles is a skewed left side, which
+    adaptive execution splits."""
+    ids = [lc(c) for c in id_cols]
+    words = df.select(*ids, F.explode_outer(title_words(text_col, normalised)).alias("word"))
+    met = words.join(index.filter(F.col("word").isNotNull()), "word", "left")
+    return met.groupBy(*ids, "label").agg((F.count("size") / F.max("size")).alias("score"))
+
+
+def top_labels_indexed(df: DataFrame, id_cols: Sequence[str], text_col: str, labels: DataFrame, k: int = 3,
+                       normalised: bool = False) -> DataFrame:
+    """SRT-4 by the inverted index, the same rows as ``top_labels`` of the score
+    map: ``(id..., rank, label, score)``, ties by label. ``labels`` is a table with a
+    ``label`` column. A title keeps its ``k`` best hits (bounded before the shuffle);
+    one with fewer is filled up with the first labels that it does not hit, which
+    are among the first 2k of all."""
+    index = label_index(labels)
+    hits = indexed_scores(df, id_cols, text_col, index, normalised)
+    place = Window.partitionBy(*[lc(c) for c in id_cols]).orderBy(F.desc_nulls_last("score"), "label")
+    best = hits.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    entry = F.when(F.col("label").isNotNull(), F.struct("rank", "label", "score"))
+    found = best.groupBy(*[lc(c) for c in id_cols]).agg(F.array_sort(F.collect_list(entry)).alias("_found"))
+    first = (labels.select("label").distinct().orderBy("label").limit(2 * k)
+             .agg(F.array_sort(F.collect_list("label")).alias("first"))).scalar()
+    rows = found.withColumn("_first", first)
+    known = F.transform("_found", lambda e: F.struct(e["label"].alias("label"), e["score"].alias("score")))
+    rest = F.transform(F.array_except("_first", F.transform("_found", lambda e: e["label"])), lambda l: F.struct(l.alias("label"), F.lit(0.0).alias("score")))
+    return rows.select(*[lc(c) for c in id_cols], F.posexplode(F.slice(F.concat(known, rest), 1, k)).alias("_p", "_e")).select(
+        *[lc(c) for c in id_cols], (F.col("_p") + 1).alias("rank"), F.col("_e.label").alias("label"), F.col("_e.score").alias("score"))
+
+
 def merge_dimensions(left: DataFrame, right: DataFrame, right_labels: Sequence[str], key: str = "dedup_key",
                      suffix: str = "_app") -> DataFrame:
     """JON-1: left join of two scored sets on ``key``; the right side is

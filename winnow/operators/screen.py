@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import (BORDERLINE_LOW, CANCER_TYPE, NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE,
+from ..functions.constants import (BORDERLINE_LOW, CANCER_TYPE, NOT_RELEVANT, READER_COLUMNS, SAMPLE_SEED, SAMPLE_SIZE,
                                    SCREEN_THRESHOLD)
 from ..functions.nulls import any_is_one, count_if, not_one
 from .report import lc, require
@@ -19,7 +19,7 @@ TEMPLATE_RECORD_COLUMNS = ("row_id", "dedup_key", "title", "authors", "year", "d
 EXPORT_RECORD_COLUMNS = ("title", "authors", "year", "doi", "source")
 
 
-def drop_reviews(flagged: DataFrame) -> DataFrame:
+def drop_secondary(flagged: DataFrame) -> DataFrame:
     """FLT-1."""
     return flagged.filter(~F.col("flag_review_conf"))
 
@@ -40,8 +40,8 @@ def keep_first(df: DataFrame, key: str = "dedup_key", order: str = "row_id", whe
 
 
 def survivors(flagged: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """SCO-1 / template rows: reviews removed *before* keep-first, so a key
-    whose first row is a review survives through a later clean row."""
+    """SCO-1 / template rows: secondary papers removed *before* keep-first, so a key
+    whose first row is one survives through a later clean row."""
     out = keep_first(flagged, where=~F.col("flag_review_conf"))
     return out if columns is None else out.select(*[lc(c) for c in columns])
 
@@ -117,22 +117,23 @@ def score_bands(excluded: DataFrame, low: float = BORDERLINE_LOW, high: float |
     return excluded.withColumn("band", F.when(border, "borderline").when(m < F.lit(low), "deep"))
 
 
-def review_sheet(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """SNK-6: columns for a reviewer plus blank decision columns."""
-    return df.select(*[lc(c) for c in cols], F.lit("").alias("Your_Decision"), F.lit("").alias("Notes"))
+def reader_sheet(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """SNK-6: columns for a reader plus blank decision columns."""
+    return df.select(*[lc(c) for c in cols], *[F.lit("").alias(c) for c in READER_COLUMNS])
 
 
 def borderline_sheet(excluded: DataFrame, cols: Sequence[str], low: float = BORDERLINE_LOW, high: float | None = None) -> DataFrame:
-    """SNK-6 / FLT-6: the borderline rows for a reviewer, highest maximum first."""
+    """SNK-6 / FLT-6: the borderline rows for a reader, highest maximum first."""
     rows = score_bands(excluded, low, high).filter(F.col("band") == "borderline")
-    return review_sheet(rows, cols).orderBy(F.desc("max_score"), "row_id")
+    # a range sort reads its input twice (bounds, then rows): the second time from this exchange, not from the scores' input
+    return reader_sheet(rows, cols).repartition("row_id").orderBy(F.desc("max_score"), "row_id")
 
 
 def sample_sheet(excluded: DataFrame, cols: Sequence[str], low: float = BORDERLINE_LOW, n: int = SAMPLE_SIZE,
                  seed: int = SAMPLE_SEED) -> DataFrame:
     """SNK-6 / SRT-3: the seeded sample of the rows under the band, highest maximum first."""
     rows = seeded_sample(excluded.filter(F.col("max_score") < F.lit(low)), n, seed)
-    return review_sheet(rows, cols).orderBy(F.desc("max_score"), "row_id")
+    return reader_sheet(rows, cols).orderBy(F.desc("max_score"), "row_id")
 
 
 def seeded_sample(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED, id_col: str = "row_id") -> DataFrame:

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import (APPLICATION_LABELS, CANCER_TYPE, DIMENSION_TAG_THRESHOLD, METHOD_LABELS,
                                    NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE, SCREEN_THRESHOLD, TAG_THRESHOLD)
-from ..functions.text import extract_year, is_review_title, norm_doi, norm_text, norm_title
+from ..functions.text import extract_year, is_secondary_title, norm_doi, norm_text, norm_title
 from ..operators import identify as ident
 from ..operators import report, score, screen
-from ..sources import exports, fixture
+from ..session import scratch
+from ..sources import exports, fixture, tables
+from ..sources.score_store import ScoreStore
+from . import workflow
+from .increments import Increments
 
 # Lexical labels for the fixture: common words of the generated titles, so
 # scores spread over 0, 1/3, 2/3 and 1.
@@ -54,7 +58,7 @@ def _screened(spark, d):
 
 
 def _candidates(spark, d):
-    """SCO-1: reviews removed, first row per key."""
+    """SCO-1: secondary papers removed, first row per key."""
     cols = ["row_id", "dedup_key", "title", "authors", "year", "doi", "source", "title_norm"]
     return screen.survivors(_keyed(spark, d), cols).select(*cols)
 
@@ -89,8 +93,8 @@ def q_extract_year(spark, d):
     return _records(spark, d).select("row_id", extract_year("year").alias("year"))
 
 
-def q_review_flag(spark, d):
-    return _records(spark, d).select("row_id", is_review_title(norm_title("title")).alias("flag_review_conf"))
+def q_secondary_flag(spark, d):
+    return _records(spark, d).select("row_id", is_secondary_title(norm_title("title")).alias("flag_review_conf"))
 
 
 # --- identification ---------------------------------------------------------
@@ -140,6 +144,10 @@ def q_cooccurrence(spark, d):
     return report.cooccurrence(_annotated(spark, d), DIMENSIONS)
 
 
+def q_cooccurrence_bitmaps(spark, d):
+    return report.cooccurrence_bitmaps(_annotated(spark, d), DIMENSIONS)
+
+
 def q_method_application_matrix(spark, d):
     return report.method_application_matrix(_annotated(spark, d), METHOD_LABELS, APPLICATION_LABELS, SHORT)
 
@@ -176,6 +184,14 @@ def q_venn_regions_all(spark, d):
     return report.venn_regions(_screened(spark, d), LABELS, strict=False)
 
 
+def q_venn_occurring(spark, d):
+    return report.venn_regions(_screened(spark, d), LABELS, strict=False, occurring=True)
+
+
+def q_inclusive_overlaps(spark, d):
+    return report.inclusive_overlaps(_screened(spark, d), LABELS)
+
+
 def q_prisma_flow(spark, d):
     return report.prisma_flow(_keyed(spark, d), _annotated(spark, d), METHOD_LABELS, NOT_RELEVANT)
 
@@ -263,7 +279,7 @@ def q_max_score_bands(spark, d):
 def q_excluded_sample(spark, d):
     deep = _excluded(spark, d).filter(F.col("max_score") < F.lit(BAND_LOW))
     picked = screen.seeded_sample(deep, SAMPLE_SIZE, SAMPLE_SEED)
-    return screen.review_sheet(picked, SHEET_COLS)
+    return screen.reader_sheet(picked, SHEET_COLS)
 
 
 SHEET_COLS = ["row_id", "title", "authors", "year", "doi", "source", *METHOD_SCORE_COLS, "max_score"]
@@ -283,6 +299,64 @@ def q_score_labels_cosine(spark, d):
     return score.map_scores_long(score.cosine_scores(emb, "embedding", vecs), ["vec_id"])
 
 
+# --- written and read again --------------------------------------------------
+
+def _exports(spark, d) -> tuple[str, dict[str, str]]:
+    """A new folder with the records as three CSV exports, in row order."""
+    out = scratch(spark, "exports")
+    parts = dict(zip(("pubmed", "scopus", "ieee"), exports.split_by_source(_records(spark, d))))
+    for name, df in parts.items():
+        tables.write_csv(df.orderBy("row_id").drop("row_id"), f"{out}/{name}", headers=False)
+    return out, {name: f"{out}/{name}" for name in parts}
+
+
+IDENTIFIED = ["row_id", "source", "doi_norm", "title_norm", "year", "dedup_key", "dup_group_size", "flag_duplicate", "flag_review_conf"]
+
+
+def q_stored_identification(spark, d):
+    """PIP-1, SRC-1, SRC-8, SNK-1: exports written, read, identified, stored."""
+    out, paths = _exports(spark, d)
+    return workflow.identification(spark, **paths, out_dir=f"{out}/run").select(*IDENTIFIED)
+
+
+def q_identification_in_batches(spark, d):
+    """SRC-8, DED-2: the exports arrive one after the other."""
+    out, paths = _exports(spark, d)
+    state = Increments(spark, f"{out}/state", state_buckets=8)
+    for name in ("scopus", "pubmed", "ieee"):
+        state.ingest(**{name: paths[name]})
+    return state.flagged().select(*IDENTIFIED)
+
+
+def q_stored_annotations(spark, d):
+    """SRC-6, SRC-7, SNK-3: annotated rows written as CSV, found, read with lenient tags, screened."""
+    out = scratch(spark, "annotated")
+    tables.write_csv(_annotated(spark, d), f"{out}/annotated_1")
+    path = tables.resolve_first(spark, f"{out}/annotated*", "")
+    back = tables.read_annotated(spark, path, [*LABELS, NOT_RELEVANT])
+    rows = screen.manual_screen(back, METHOD_LABELS)
+    return rows.select(F.col("row_id").cast("long").alias("row_id"), *[report.lc(c) for c in screen.EXPORT_RECORD_COLUMNS],
+                       *[report.lc(l).cast("int").alias(l) for l in LABELS])
+
+
+def q_stored_scores(spark, d):
+    """SRC-9, SNK-7: candidates of one source are scored and stored, then only what the others add."""
+    def scorer(rows, labels):
+        return score.with_lexical_scores(rows, "title", labels).select("row_id", "scores")
+
+    store, every = ScoreStore(spark, scratch(spark, "scores")), _candidates(spark, d).drop("title_norm")
+    for rows in (every.filter("source = 'PubMed'"), every):
+        store.update(rows, LEX_LABELS, scorer)
+    return score.scores_long(store.attach(every, LEX_LABELS), ["row_id"], LEX_LABELS)
+
+
+def q_top_labels_indexed(spark, d):
+    """SRT-4 by the inverted index of label words."""
+    labels = spark.createDataFrame([(l,) for l in LEX_LABELS], "label string")
+    t = score.top_labels_indexed(_candidates(spark, d), ["row_id"], "title_norm", labels, k=3, normalised=True)
+    return t.withColumn("score", score.round_score("score", 4))
+
+
 QUERIES: dict[str, Query] = {
     "harmonise_sources": q_harmonise_sources,
     "missing_tokens": q_missing_tokens,
@@ -293,7 +367,7 @@ QUERIES: dict[str, Query] = {
     "dedup_key": q_dedup_key,
     "flag_duplicates": q_flag_duplicates,
     "keep_first": q_keep_first,
-    "review_flag": q_review_flag,
+    "secondary_flag": q_secondary_flag,
     "qa_missing": q_qa_missing,
     "source_counts": q_source_counts,
     "identification_summary": q_identification_summary,
@@ -301,6 +375,7 @@ QUERIES: dict[str, Query] = {
     "manual_screen": q_manual_screen,
     "manual_screen_counts": q_manual_screen_counts,
     "cooccurrence": q_cooccurrence,
+    "cooccurrence_bitmaps": q_cooccurrence_bitmaps,
     "method_application_matrix": q_method_application_matrix,
     "temporal_trends": q_temporal_trends,
     "category_counts": q_category_counts,
@@ -310,6 +385,8 @@ QUERIES: dict[str, Query] = {
     "any_label_count": q_any_label_count,
     "venn_regions": q_venn_regions,
     "venn_regions_all": q_venn_regions_all,
+    "venn_occurring": q_venn_occurring,
+    "inclusive_overlaps": q_inclusive_overlaps,
     "prisma_flow": q_prisma_flow,
     "multi_value_counts": q_multi_value_counts,
     "value_coverage": q_value_coverage,
@@ -325,6 +402,11 @@ QUERIES: dict[str, Query] = {
     "borderline_sheet": q_borderline_sheet,
     "sample_sheet": q_sample_sheet,
     "score_labels_cosine": q_score_labels_cosine,
+    "stored_identification": q_stored_identification,
+    "identification_in_batches": q_identification_in_batches,
+    "stored_annotations": q_stored_annotations,
+    "stored_scores": q_stored_scores,
+    "top_labels_indexed": q_top_labels_indexed,
 }
 
 

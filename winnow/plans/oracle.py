@@ -7,7 +7,7 @@ Views ``documents``, ``labels``, ``embeddings`` are registered by the caller.
 
 from __future__ import annotations
 
-from ..functions.constants import APPLICATION_LABELS, METHOD_LABELS, NA_TOKENS, REVIEW_PHRASES
+from ..functions.constants import APPLICATION_LABELS, METHOD_LABELS, NA_TOKENS, SECONDARY_PHRASES, SECONDARY_WORD
 from ..sources.fixture import FIXTURE_TAGS, MISSING_CELL_SQL, RECORDS_SQL
 from .catalog import BAND_LOW, LEX_APPLICATIONS, LEX_LABELS, LEX_METHODS, SHORT
 
@@ -50,9 +50,9 @@ def year(e: str) -> str:
     return rf"regexp_extract(coalesce({e}, ''), '(\p{{Nd}}{{4}})', 1)"
 
 
-def review(t: str) -> str:
-    parts = [f"contains({t}, {q(p)})" for p in REVIEW_PHRASES]
-    parts.append(f"regexp_matches({t}, '(^|{NW})review({NW}|$)')")
+def secondary(t: str) -> str:
+    parts = [f"contains({t}, {q(p)})" for p in SECONDARY_PHRASES]
+    parts.append(f"regexp_matches({t}, '(^|{NW}){SECONDARY_WORD}({NW}|$)')")
     return "(" + " or ".join(parts) + ")"
 
 
@@ -75,7 +75,7 @@ KEYED = f"""keyed as (
          when title_norm <> '' and year <> '' then 'TY:' || title_norm || '|Y:' || year
          when title_norm <> '' then 'T:' || title_norm
          else 'ROW:' || cast(row_id as varchar) end as dedup_key,
-    {review('title_norm')} as flag_review_conf
+    {secondary('title_norm')} as flag_review_conf
   from normed)"""
 SURV = """surv as (
   select row_id, dedup_key, title, authors, year, doi, source from (
@@ -91,6 +91,12 @@ def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
+# as three exports read one after the other number them
+RENUMBERED = f"""raw_records as ({RECORDS_SQL}),
+records as (select cast(row_number() over (
+  order by case source when 'PubMed' then 0 when 'Scopus' then 1 else 2 end, row_id) - 1 as bigint) as row_id,
+  title, authors, year_raw, doi, source from raw_records)"""
+
 BASE = with_(RECORDS, NORMED, KEYED)
 REPORT = with_(RECORDS, ANNOT)
 SCREEN = with_(RECORDS, ANNOT, SCREENED)
@@ -98,8 +104,8 @@ SCREEN = with_(RECORDS, ANNOT, SCREENED)
 
 def key_summary() -> str:
     return BASE + """, k as (
-  select dedup_key, count(*) as n, max(cast(flag_review_conf as int)) as any_review,
-         min(cast(flag_review_conf as int)) as all_review,
+  select dedup_key, count(*) as n, max(cast(flag_review_conf as int)) as any_flagged,
+         min(cast(flag_review_conf as int)) as all_flagged,
          count(*) filter (where source = 'PubMed') as n_pubmed,
          count(*) filter (where source = 'Scopus') as n_scopus,
          count(*) filter (where source = 'IEEE') as n_ieee,
@@ -111,8 +117,8 @@ s as (
   select cast(sum(n_pubmed) as bigint) as pubmed, cast(sum(n_scopus) as bigint) as scopus,
          cast(sum(n_ieee) as bigint) as ieee, cast(sum(n) as bigint) as total_raw,
          cast(count(*) as bigint) as dedup_papers,
-         cast(count(*) filter (where any_review = 1) as bigint) as excluded_rev_conf,
-         cast(count(*) filter (where all_review = 0) as bigint) as template_rows,
+         cast(count(*) filter (where any_flagged = 1) as bigint) as excluded_rev_conf,
+         cast(count(*) filter (where all_flagged = 0) as bigint) as template_rows,
          cast(coalesce(sum(n) filter (where n > 1), 0) as bigint) as duplicate_rows,
          cast(sum(m_doi) as bigint) as missing_doi, cast(sum(m_title) as bigint) as missing_title,
          cast(sum(m_year) as bigint) as missing_year
@@ -169,17 +175,25 @@ def _venn() -> str:
         "cast(n as bigint) as n, cast(sum(n) over () as bigint) as total from r"
 
 
-def _venn_all() -> str:
+def _masks(condition: str, over: str) -> str:
+    """Regions of all labels with the rows of ``screened`` that ``condition`` ties to them."""
     mask = " + ".join(f"case when coalesce({ident(l)} <> 0, true) then {1 << i} else 0 end" for i, l in enumerate(LABELS))
     k = len(LABELS)
     bits = " || ".join(f"cast((m >> {i}) & 1 as varchar)" for i in range(k))
     members = "array_to_string(list_filter([" + ", ".join(
         f"case when (m >> {i}) & 1 = 1 then {q(l)} end" for i, l in enumerate(LABELS)) + "], lambda x: x is not null), ' & ')"
-    return SCREEN + f""", c as (select {mask} as m, count(*) as n from screened group by 1),
+    return SCREEN + f""", c as (select {mask} as held, count(*) as n from screened group by 1),
 r as (select cast(i as int) as m from range(1, {1 << k}) t(i)),
-s as (select {bits} as region, {members} as members, bit_count(m) as b, coalesce(c.n, 0) as n from r left join c using (m))
-select cast(row_number() over (order by b, region desc) - 1 as int) as ordinal, region, members,
-  cast(n as bigint) as n, cast(sum(n) over () as bigint) as total from s"""
+s as (select {bits} as region, {members} as members, bit_count(m) as b, coalesce(c.n, 0) as n
+      from (select m, sum(n) as n from r left join c on {condition} group by m) c)
+{over}"""
+
+
+VENN_ALL = _masks("held = m", """select cast(row_number() over (order by b, region desc) - 1 as int) as ordinal, region, members,
+  cast(n as bigint) as n, cast(sum(n) over () as bigint) as total from s""")
+VENN_OCCURRING = _masks("held = m", """select cast(b as int) as n_labels, region, members, cast(n as bigint) as n,
+  cast(sum(n) over () as bigint) as total from s where n > 0""")
+OVERLAPS = _masks("held & m = m", "select cast(b as int) as n_labels, region, members, cast(n as bigint) as n from s where n > 0")
 
 
 def _by_source() -> str:
@@ -260,7 +274,7 @@ ORACLE_SQL: dict[str, str] = {
     "norm_title": with_(RECORDS) + f"select row_id, {norm_title('title')} as title_norm from records",
     "norm_doi": with_(RECORDS) + f"select row_id, {norm_doi('doi')} as doi_norm from records",
     "extract_year": with_(RECORDS) + f"select row_id, {year('year_raw')} as year from records",
-    "review_flag": with_(RECORDS) + f"select row_id, {review(norm_title('title'))} as flag_review_conf from records",
+    "secondary_flag": with_(RECORDS) + f"select row_id, {secondary(norm_title('title'))} as flag_review_conf from records",
     "dedup_key": BASE + "select row_id, dedup_key from keyed",
     "flag_duplicates": BASE + """select row_id, dedup_key, count(*) over (partition by dedup_key) as dup_group_size,
     count(*) over (partition by dedup_key) > 1 as flag_duplicate from keyed""",
@@ -312,7 +326,9 @@ ORACLE_SQL: dict[str, str] = {
         + " or ".join(f"coalesce({ident(l)} <> 0, false)" for l in labels) + ") as bigint) as n from screened"
         for dim, labels in (("methods", METHOD_LABELS), ("applications", APPLICATION_LABELS))),
     "venn_regions": _venn(),
-    "venn_regions_all": _venn_all(),
+    "venn_regions_all": VENN_ALL,
+    "venn_occurring": VENN_OCCURRING,
+    "inclusive_overlaps": OVERLAPS,
     "prisma_flow": _prisma(),
     "multi_value_counts": _multi_value(),
     "value_coverage": SCREEN + f"""select cast(count(*) filter (where coalesce({strip(f'cast({CT} as varchar)')} <> '', false)) as bigint)
@@ -339,3 +355,11 @@ ORACLE_SQL: dict[str, str] = {
     from ex where max_score < {BAND_LOW} order by md5('42:' || cast(row_id as varchar)), row_id limit 30""",
     "score_labels_cosine": _cosine(),
 }
+ORACLE_SQL["cooccurrence_bitmaps"] = ORACLE_SQL["cooccurrence"]
+ORACLE_SQL["stored_identification"] = with_(RENUMBERED, NORMED, KEYED) + """select row_id, source, doi_norm, title_norm, year, dedup_key,
+  count(*) over (partition by dedup_key) as dup_group_size, count(*) over (partition by dedup_key) > 1 as flag_duplicate, flag_review_conf from keyed"""
+ORACLE_SQL["identification_in_batches"] = ORACLE_SQL["stored_identification"]
+_READ = ", ".join(f"case when {c} in ({', '.join(q(t) for t in NA_TOKENS)}) then null else {c} end as {c}" for c in ("title", "authors", "year", "doi", "source"))
+ORACLE_SQL["stored_annotations"] = SCREEN + f"select row_id, {_READ}, {', '.join(ident(l) for l in LABELS)} from screened"
+ORACLE_SQL["stored_scores"] = ORACLE_SQL["score_labels_lexical"]
+ORACLE_SQL["top_labels_indexed"] = ORACLE_SQL["top_labels"]

@@ -18,31 +18,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import (APPLICATION_LABELS, BORDERLINE_LOW, CANCER_TYPE, DIMENSION_TAG_THRESHOLD, METHOD_LABELS,
-                                   NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE, SCREEN_THRESHOLD)
+                                   NOT_RELEVANT, SAMPLE_SEED, SAMPLE_SIZE, SCREEN_THRESHOLD, SOURCES)
 from ..functions.nulls import count_if
 from ..operators import identify as ident
 from ..operators import report as rep
 from ..operators import score, screen
-from ..sources import exports, tables
+from ..operators.skew import key_digest
+from ..sources import buckets, exports, tables
+from ..sources.score_store import ScoreStore
 
 
 def load_exports(spark: SparkSession, pubmed: str | Sequence[str], scopus: str | Sequence[str],
-                 ieee: str | Sequence[str]) -> DataFrame:
-    """SRC-1..5 + SET-1 + DED-4: three CSV exports to one record table."""
-    return exports.harmonise(exports.read_export(spark, pubmed), exports.read_export(spark, scopus),
-                             exports.read_export(spark, ieee))
+                 ieee: str | Sequence[str], quarantine: str | None = None) -> DataFrame:
+    """SRC-1..5 + SET-1 + DED-4: three CSV exports to one record table. A row with
+    surplus cells is an error; with ``quarantine`` such rows are written there
+    instead, with source, file and text."""
+    paths = dict(zip(SOURCES, (pubmed, scopus, ieee)))
+    if quarantine is None:
+        return exports.harmonise(*[exports.read_export(spark, p) for p in paths.values()])
+    parts = {s: exports.read_export_parts(spark, p) for s, p in paths.items()}
+    bad = [b.withColumn("source", F.lit(s)) for s, (_, b) in parts.items()]
+    tables.write_table(bad[0].unionByName(bad[1]).unionByName(bad[2]), quarantine)
+    return exports.harmonise(*[good for good, _ in parts.values()])
 
 
 def identification(spark: SparkSession, pubmed: str | Sequence[str], scopus: str | Sequence[str],
-                   ieee: str | Sequence[str], out_dir: str, csv: bool = False) -> DataFrame:
+                   ieee: str | Sequence[str], out_dir: str, csv: bool = False, quarantine: bool = False) -> DataFrame:
     """PIP-1: flagged table, written to ``out_dir/flagged`` (Parquet) and read
-    back, so later steps start from the stored table (SRC-8)."""
+    back, so later steps start from the stored table (SRC-8). ``quarantine`` sets
+    rows with surplus cells aside in ``out_dir/quarantine``, in a folder for the
+    inputs as the flagged table has one."""
     key = tables.input_fingerprint(spark, pubmed, scopus, ieee)
-    path = f"{out_dir.rstrip('/')}/flagged"
+    out = out_dir.rstrip("/")
+    aside = f"{out}/quarantine/fp={key}" if quarantine else None
     flagged = tables.read_or_build(
-        spark, path, lambda: ident.identify(load_exports(spark, pubmed, scopus, ieee)), key=key)
+        spark, f"{out}/flagged", lambda: ident.identify(load_exports(spark, pubmed, scopus, ieee, aside)),
+        key=tables.fingerprint(key, "quarantine") if quarantine else key)
     if csv:
-        tables.write_csv(flagged, f"{out_dir.rstrip('/')}/flagged_csv")  # row_id kept: keep-first order
+        tables.write_csv(flagged, f"{out}/flagged_csv")  # row_id kept: keep-first order
     return flagged
 
 
@@ -108,24 +121,22 @@ CANDIDATE_COLUMNS = ("row_id", "dedup_key", "title", "authors", "year", "doi", "
 
 def score_screen(flagged: DataFrame, scorer: Callable[[DataFrame, Sequence[str]], DataFrame], out_dir: str,
                  method_labels: Sequence[str] = METHOD_LABELS, application_labels: Sequence[str] = APPLICATION_LABELS,
-                 tag_threshold: float = DIMENSION_TAG_THRESHOLD, screen_threshold: float = SCREEN_THRESHOLD) -> dict[str, DataFrame]:
+                 tag_threshold: float = DIMENSION_TAG_THRESHOLD, screen_threshold: float = SCREEN_THRESHOLD,
+                 version: str = "1") -> dict[str, DataFrame]:
     """SCO-1..4, SNK-5, SNK-7, SRC-9: candidates, scores, tags, screen.
 
     ``scorer(candidates, labels)`` gives ``row_id`` and a ``scores`` map (for
-    example ``score.model_scores`` with a user model). Scores are stored once
-    under ``out_dir/scores``, a column for each label; a later run reads them
-    back, and labels they lack raise. Tags of both dimensions come from the one
-    scoring pass. Written: ``merged_tags``, ``screened`` and ``screen_counts``."""
+    example ``score.model_scores`` with a user model). Scores are kept under
+    ``out_dir/scores`` by scorer version and candidate: a later run scores only
+    candidates that are new, and labels without stored scores raise. Tags of both
+    dimensions come from the one scoring pass. Written: ``merged_tags``,
+    ``screened`` and ``screen_counts``."""
     spark, out = flagged.sparkSession, out_dir.rstrip("/")
     labels = [*method_labels, *application_labels]
     candidates = screen.survivors(flagged, CANDIDATE_COLUMNS)
-    path = f"{out}/scores"
-    if not tables.table_exists(spark, path):
-        scored = scorer(candidates, labels)
-        tables.write_scores(scored.select("row_id", *[score.score_of("scores", l).alias(l) for l in labels]), path)
-    stored = tables.read_scores(spark, path, labels)
-    as_map = F.create_map(*[x for l in labels for x in (F.lit(l), F.col(f"`{l}`"))])
-    rows = candidates.join(stored.select("row_id", as_map.alias("scores")), "row_id", "left")
+    store = ScoreStore(spark, f"{out}/scores", version)
+    store.update(candidates, labels, scorer)
+    rows = store.attach(candidates, labels)
     tagged = score.tag_dimensions(rows, [(tag_threshold, method_labels), (tag_threshold, application_labels)])
     tables.write_table(screen.score_screen(tagged, [f"{l}_score" for l in method_labels], screen_threshold), f"{out}/merged_tags")
     merged = spark.read.parquet(f"{out}/merged_tags")
@@ -140,7 +151,7 @@ def score_screen(flagged: DataFrame, scorer: Callable[[DataFrame, Sequence[str]]
 
 def validation(merged: DataFrame, out_dir: str, method_labels: Sequence[str] = METHOD_LABELS, low: float = BORDERLINE_LOW,
                n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> dict[str, DataFrame]:
-    """SNK-6, FLT-6, SRT-1, SRT-3: the two sheets for a reviewer from
+    """SNK-6, FLT-6, SRT-1, SRT-3: the two sheets for a reader from
     ``merged_tags``, highest maximum first, written as CSV."""
     scores = [f"{l}_score" for l in method_labels]
     excluded = screen.excluded_with_max(merged, scores)
@@ -159,3 +170,23 @@ def join_annotations(template_rows: DataFrame, annotations: DataFrame, labels: S
     keep = ["dedup_key", *[c for c in [*labels, *extra] if c in annotations.columns]]
     return template_rows.drop(*[c for c in keep if c != "dedup_key"]).join(
         annotations.select(*[F.col(f"`{c}`") for c in keep]), "dedup_key", "left")
+
+
+def store_survivors(flagged: DataFrame, path: str, n: int = buckets.BUCKETS) -> None:
+    """The template's rows bucketed by key digest, for joins without a shuffle."""
+    rows = screen.survivors(flagged, CANDIDATE_COLUMNS)
+    buckets.write(rows.withColumn(buckets.KEY, key_digest("dedup_key")), path, buckets=n)
+
+
+def store_annotations(annotations: DataFrame, path: str, n: int = buckets.BUCKETS) -> None:
+    """A person's tags (one row a ``dedup_key``) in the same buckets."""
+    buckets.write(annotations.withColumn(buckets.KEY, key_digest("dedup_key")), path, buckets=n)
+
+
+def annotated_survivors(spark: SparkSession, survivors: str, annotations: str, labels: Sequence[str],
+                        extra: Sequence[str] = (NOT_RELEVANT, CANCER_TYPE)) -> DataFrame:
+    """``join_annotations`` of the two stored tables, bucket by bucket."""
+    tags = buckets.read(spark, annotations)
+    keep = [c for c in [*labels, *extra] if c in tags.columns]
+    rows = buckets.read(spark, survivors).join(tags.select(buckets.KEY, *[F.col(f"`{c}`") for c in keep]), buckets.KEY, "left")
+    return rows.drop(buckets.KEY)

@@ -62,6 +62,16 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below ``shared_dir`` that goes when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm_path)
+    fs.deleteOnExit(jvm_path)
+    return path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session, set below ``shared_dir`` if unset."""
     sc = spark.sparkContext

@@ -17,6 +17,7 @@ RECORD_COLUMNS = ("row_id", "title", "authors", "year", "doi", "source")
 
 
 _BAD = "_bad_record"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_export(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
@@ -27,20 +28,36 @@ def read_export(spark: SparkSession, paths: str | Sequence[str], multi_line: boo
     read by its own and the results are united by column name (a column that a
     path lacks is null there). Files below one path (a folder, a glob) must have
     one header; another one is an error. A short row ends in nulls; a row with
-    more cells than the header is an error.
+    more cells than the header is an error (``read_export_parts`` sets such rows
+    aside instead).
 
     ``multiLine`` keeps quoted newlines inside one record (each file is then
     read by one task; exports are many moderate files, so the scan still
-    spreads over the cluster). Cells equal to a missing-value token become null.
+    spreads over the cluster). Cells equal to a missing-value token become null;
+    a byte-order mark is taken off.
     """
+    return na_to_null(_united(spark, paths, multi_line, _checked), na_tokens)
+
+
+def read_export_parts(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
+                      na_tokens: Sequence[str] = NA_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """``read_export`` in two tables: the rows that fit their header, and ``(file,
+    cells, text)`` of the rows with surplus cells, as they stand in the file. Every
+    row is in one of them."""
+    bad = _united(spark, paths, multi_line, _set_aside)
+    good = _united(spark, paths, multi_line, _fitting)
+    return na_to_null(good, na_tokens), bad
+
+
+def _united(spark: SparkSession, paths: str | Sequence[str], multi_line: bool, read) -> DataFrame:
     listed = [paths] if isinstance(paths, str) else sorted(paths)
     headers = [_reader(spark, multi_line).csv(p).columns for p in listed]
     if all(h == headers[0] for h in headers):
-        return na_to_null(_checked(spark, listed, headers[0], multi_line), na_tokens)
-    df = _checked(spark, listed[:1], headers[0], multi_line)
+        return read(spark, listed, headers[0], multi_line)
+    df = read(spark, listed[:1], headers[0], multi_line)
     for p, h in zip(listed[1:], headers[1:]):
-        df = df.unionByName(_checked(spark, [p], h, multi_line), allowMissingColumns=True)
-    return na_to_null(df, na_tokens)
+        df = df.unionByName(read(spark, [p], h, multi_line), allowMissingColumns=True)
+    return df
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -48,17 +65,38 @@ def _reader(spark: SparkSession, multi_line: bool):
             .option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
 
 
-def _checked(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> DataFrame:
-    """Files of one header; a surplus cell raises when its row is read."""
+def _scan(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> tuple[DataFrame, Column]:
+    """Files of one header with their raw text where a row doesn't fit it, and
+    whether the row has surplus cells (a short row has not)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
     df = (_reader(spark, multi_line).schema(schema).option("enforceSchema", False)
           .option("columnNameOfCorruptRecord", _BAD).csv(paths))
     wider = ", ".join(f"_{i} string" for i in range(len(columns) + 1))
-    surplus = F.from_csv(F.col(_BAD), wider, {"escape": '"', "multiLine": "true"})[f"_{len(columns)}"]
+    return df, F.from_csv(F.col(_BAD), wider, {"escape": '"', "multiLine": "true"})[f"_{len(columns)}"].isNotNull()
+
+
+def _named(columns: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`").alias(c.removeprefix(BYTE_ORDER_MARK)) for c in columns]
+
+
+def _checked(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> DataFrame:
+    """A surplus cell raises when its row is read."""
+    df, surplus = _scan(spark, paths, columns, multi_line)
     message = F.concat(F.lit(f"more than {len(columns)} cells in a row: "), F.col(_BAD))
     first, *rest = columns
-    kept = F.when(surplus.isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col(f"`{first}`"))
-    return df.select(kept.alias(first), *[F.col(f"`{c}`") for c in rest])
+    kept = F.when(surplus, F.raise_error(message).cast("string")).otherwise(F.col(f"`{first}`"))
+    return df.select(kept.alias(first.removeprefix(BYTE_ORDER_MARK)), *_named(rest))
+
+
+def _fitting(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> DataFrame:
+    df, surplus = _scan(spark, paths, columns, multi_line)
+    return df.filter(~F.coalesce(surplus, F.lit(False))).select(*_named(columns))
+
+
+def _set_aside(spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool) -> DataFrame:
+    df, surplus = _scan(spark, paths, columns, multi_line)
+    return df.filter(surplus).select(F.col("_metadata.file_path").alias("file"), F.lit(len(columns)).alias("cells"),
+                                      F.coalesce(_BAD, F.col(f"`{columns[0]}`")).alias("text"))  # a scan of the raw text alone is not allowed
 
 
 def na_to_null(df: DataFrame, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:

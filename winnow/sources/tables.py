@@ -3,8 +3,9 @@
 
 Parquet is the primary format (typed, column-pruned, predicate-pushdown).
 CSV exports are written as a folder of part files by all tasks in parallel;
-nothing is funnelled through one task or the driver. Spark's CSV writer has
-no byte-order-mark option, so exports carry none.
+nothing is funnelled through one task or the driver. Every part file begins with
+a byte-order mark (the first header name carries it), as spreadsheets expect; the
+readers here take it off.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FLAGGED_HEADERS, RECORD_HEADERS
 from ..functions.nulls import lenient_double
-from .exports import read_export
+from .exports import BYTE_ORDER_MARK, read_export
 
 # FIXED VALUE: run-folder stamp format.
 RUN_STAMP = "run_%b-%d-%Y_%Hh%M"
@@ -59,6 +60,13 @@ def read_flagged_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     return df.withColumns({k: v for k, v in typed.items() if k in df.columns})
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write of a table to ``path`` has succeeded (its mark is there): a
+    folder that a failed write left is no table."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a table at ``path``; any trouble but a missing path is raised."""
     try:
@@ -94,7 +102,7 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     """SRC-8: compute once, reload later. With ``key`` (see ``fingerprint``)
     the table lives under ``path/fp=<key>``, so changed inputs rebuild."""
     target = f"{path.rstrip('/')}/fp={key}" if key else path
-    if not table_exists(spark, target):
+    if not committed(spark, target):
         build().write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
@@ -135,11 +143,14 @@ def from_export_headers(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", headers: bool = True) -> None:
-    """SNK-1 / SNK-3 / SNK-6: CSV folder with a header row, UTF-8."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", headers: bool = True, mark: bool = True) -> None:
+    """SNK-1 / SNK-3 / SNK-6: CSV folder with a header row, UTF-8, by default with
+    a byte-order mark at the start of each file."""
     out = with_export_headers(df) if headers else df
+    if mark and out.columns:
+        out = out.toDF(BYTE_ORDER_MARK + out.columns[0], *out.columns[1:])
     (out.write.mode(mode).option("header", True).option("escape", '"').option("encoding", "UTF-8")
-     .csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def run_folder(base: str, now: datetime | None = None) -> str:

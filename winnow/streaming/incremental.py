@@ -1,7 +1,7 @@
 """Row-local identification on a streaming DataFrame.
 
 There is no stream in the screening rules themselves; what carries over is
-that normalisation, the tiered key and the review flag are plain Column
+that normalisation, the tiered key and the flag of secondary papers are plain Column
 expressions, so newly arriving records can be keyed as they land. Group sizes
 and keep-first need all rows of a key and stay batch jobs over the keyed
 output table.
