@@ -49,10 +49,11 @@ def result(df):
     return len(rows), {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows}
 
 
-@pytest.mark.parametrize("rounds, cell", [(2, 5), (0, 4096)])
-def test_matches_brute_force(spark, monkeypatch, rounds, cell):
+@pytest.mark.parametrize("rounds, cell, block", [(2, 5, 1000), (0, 512, 1 << 18), (0, 512, 700)])
+def test_matches_brute_force(spark, monkeypatch, rounds, cell, block):
     monkeypatch.setattr(H, "ROUNDS", rounds)
     monkeypatch.setattr(H, "CELL", cell)
+    monkeypatch.setattr(H, "BLOCK", block)
     texts = make_texts()
     assert result(H.near_duplicates(documents(spark, texts))) == (len(texts), groups(texts))
 
@@ -93,6 +94,36 @@ def test_a_key_that_many_classes_of_a_batch_share_loses_none(spark, monkeypatch)
     assert all(len(set(v)) == len(v) for v in got.values())
 
 
+def test_cell_links_count_common_shingles(monkeypatch):
+    monkeypatch.setattr(H, "COLUMNS", 16)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 300, 60)
+    sets = [(i, i % 3, np.unique(np.where(rng.random(60) < rng.choice([0.02, 0.1, 0.3]), rng.integers(0, 300, 60), base)).astype(np.uint64))
+            for i in range(50)]
+    got = H._cell_links(sets[:20], sets[20:], 80)
+    want = {(a[0], b[1]) for a in sets[:20] for b in sets[20:] if a[1] != b[1] and
+            100 * len(np.intersect1d(a[2], b[2])) >= 80 * len(np.union1d(a[2], b[2]))}
+    assert {(u, sets[v][1]) for u, v in got} == want and len(got) == len(want) > 5
+    assert H._cell_links([(1, 1, np.array([5], np.uint64))], [(2, 2, np.array([6], np.uint64))], 80) == []
+
+
+def test_templates_short_of_a_link_list_no_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    base = words(5, 200).split()
+    texts = []
+    for i in range(400):  # any two share about 0.7 of their shingles
+        w = list(base)
+        for k in rng.sample(range(100), 9):
+            w[2 * k] = f"x{i}y{k}"
+        texts.append(" ".join(w))
+    seen = []
+    monkeypatch.setattr(H, "confirmed", lambda pairs, *a, f=H.confirmed: (seen.append(pairs.count()), f(pairs, *a))[1])
+    rows = H.near_duplicates(documents(spark, texts)).collect()
+    want = groups(texts)
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: w[1] for i, w in want.items()} and sum(w[2] for w in want.values()) > 200
+    assert sum(seen) <= 2 * len(texts)  # contraction only: a hub for each text, twice
+
+
 def test_edges(spark):
     rows = [(None, words(1, 30)), (5, words(1, 30)), (5, words(1, 30)), (None, None), (7, words(2, 30)), (7, words(3, 30)),
             (8, words(3, 30)), (9, ""), (None, words(4, 30))]

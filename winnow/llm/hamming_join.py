@@ -18,8 +18,11 @@ under the distance meets under a key, with no odds in this step.
    of copies shares does not fill one range.
 3. *Contraction*: in each key, classes are confirmed against the most central one;
    those already connected need no more. Work is linear in the key's classes.
-4. *Exhaustion*: pairs of different components that still share a key and are
-   within ``DISTANCE`` are all confirmed. No cap anywhere.
+4. *Exhaustion*: where classes of different components still share a key, they form the
+   group of that key's most central class. A group's sets outside its main
+   component are held against all its sets in blocks of ``BLOCK`` shingles, a matrix of
+   common shingles a cell; only links leave a task. So families of one template whose
+   texts are all just short of a link cost cells, never lists of pairs. No cap anywhere.
 
 Every link is confirmed on the full sets (48 bits a shingle: a mistake has odds of
 about 1e-9 a pair of usual length). Only texts of classes with postings are read
@@ -52,7 +55,9 @@ assert DISTANCE // CHUNKS == 1  # one symbol left out covers the errors of the b
 LEAST = 4  # fewer shingles: no different set is as similar as 0.8
 LOCAL = 4  # classes of a batch that travel under one key
 RANGE_KEYS, LEAST_RANGES = 3_000_000, 16  # keys that one range sorts; ranges of a small table
-CELL = 4096  # sets confirmed against one other in one task
+CELL = 512  # sets confirmed against one other in one task
+BLOCK = 1 << 18  # shingles of a side of a cell, about
+COLUMNS = 4096  # shingles of one matrix product
 ROUNDS = 2  # of contraction
 SLICE = 1 << 15  # shingles hashed at once: they stay in the cache
 
@@ -273,6 +278,81 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(rows.sortWithinPartitions("b", "salt", "kind").mapInPandas(_confirm(percent), "u long, v long"), "hamming-links")
 
 
+def _cell_links(one: list, two: list, percent: int) -> list[tuple[int, int]]:
+    """Links between the sets (sid, comp, tokens) of two sides in different
+    components, one for each set of the first side and component of the other."""
+    token = np.concatenate([x[2] for x in one])
+    of = np.repeat(np.arange(len(one)), [len(x[2]) for x in one])
+    other = np.concatenate([x[2] for x in two])
+    by = np.repeat(np.arange(len(two)), [len(x[2]) for x in two])
+    known = np.unique(token)
+    at = np.minimum(np.searchsorted(known, other), len(known) - 1)
+    met = known[at] == other
+    at, by = at[met], by[met]
+    used, col = np.unique(at, return_inverse=True)  # shingles of both sides
+    mine = np.searchsorted(known, token)
+    place = np.minimum(np.searchsorted(used, mine), max(len(used) - 1, 0))
+    both = used[place] == mine if len(used) else np.zeros(len(mine), bool)
+    of, place = of[both], place[both]
+    order, turn = np.argsort(place, kind="stable"), np.argsort(col, kind="stable")
+    of, place, by, col = of[order], place[order], by[turn], col[turn]
+    common = np.zeros((len(one), len(two)), np.float32)
+    for start in range(0, len(used), COLUMNS):
+        a, b = np.searchsorted(place, [start, start + COLUMNS])
+        c, d = np.searchsorted(col, [start, start + COLUMNS])
+        left, right = np.zeros((len(one), COLUMNS), np.float32), np.zeros((COLUMNS, len(two)), np.float32)
+        left[of[a:b], place[a:b] - start] = 1
+        right[col[c:d] - start, by[c:d]] = 1
+        common += left @ right
+    n, m = (np.array([len(x[2]) for x in side]) for side in (one, two))
+    comp = [np.array([x[1] for x in side], np.int64) for side in (one, two)]
+    count = np.rint(common).astype(np.int64)
+    link = (100 * count >= percent * (n[:, None] + m - count)) & (comp[0][:, None] != comp[1])
+    i, j = np.nonzero(link)
+    _, first = np.unique(np.stack([i, comp[1][j]]), axis=1, return_index=True)
+    return [(one[i[k]][0], two[j[k]][0]) for k in first]
+
+
+def _confirm_cells(percent: int):
+    """Links (u, v) from rows in order of cell, the first side before the second."""
+
+    def run(frames):
+        cell, sides = None, ([], [])
+        for frame in frames:
+            out = []
+            for hub, i, j, side, sid, comp, raw in zip(*[frame[c] for c in ("hub", "i", "j", "side", "sid", "comp", "tokens")]):
+                if (hub, i, j) != cell:
+                    if sides[0] and sides[1]:
+                        out += _cell_links(*sides, percent)
+                    cell, sides = (hub, i, j), ([], [])
+                sides[side].append((sid, comp, _tokens(raw)))
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+        if sides[0] and sides[1]:
+            yield pd.DataFrame(_cell_links(*sides, percent), columns=["u", "v"], dtype="int64")
+
+    return run
+
+
+def confirmed_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between different components of each group (hub, sid, n, comp)."""
+    groups = stage(groups, "hamming-groups")
+    sizes = groups.groupBy("hub", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("t"))
+    cut = (sizes.groupBy("hub").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("t").alias("_all"),
+                                    F.max_by("t", F.struct("c", "comp")).alias("_main")))
+    cut = cut.select("hub", "main", F.ceil(F.col("_all") / BLOCK).alias("_nj"), F.ceil((F.col("_all") - F.col("_main")) / BLOCK).alias("_ni"))
+    rows = groups.join(cut, "hub")
+
+    def dealt(side: int, own: str, own_blocks: str, other: str, other_blocks: str) -> DataFrame:
+        some = rows.filter("comp <> main") if side == 0 else rows
+        return some.select("hub", F.pmod(F.xxhash64("sid"), F.col(own_blocks)).alias(own), "sid", "comp",
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_blocks) - 1)).alias(other)).select(
+            "hub", "i", "j", F.lit(side).alias("side"), "sid", "comp")
+
+    cells = dealt(0, "i", "_ni", "j", "_nj").unionAll(dealt(1, "j", "_nj", "i", "_ni"))
+    full = cells.join(sets, "sid").repartition(shuffle_parts(groups.sparkSession), "hub", "i", "j")
+    return stage(full.sortWithinPartitions("hub", "i", "j", "side").mapInPandas(_confirm_cells(percent), "u long, v long"), "hamming-links")
+
+
 # ---------------------------------------------------------------------------
 # Components
 # ---------------------------------------------------------------------------
@@ -302,27 +382,25 @@ def class_components(posts: DataFrame, classes: DataFrame, sets: DataFrame, perc
     weights = posts.groupBy("sid").agg(F.sum("weight").alias("central"))
     comps = stage(weights.join(classes.select("sid", "n"), "sid").select("sid", "n", "central", F.col("sid").alias("comp")), "hamming-comps")
     posts, sigs = posts.select("key", "sid"), classes.select("sid", "sig")
-    for turn in range(ROUNDS):
+    def mixed_keys(turn: int) -> tuple[DataFrame, DataFrame]:
+        """Postings with their classes, and the most central class of each key that
+        several components share (in later rounds with some chance for others)."""
         rows = posts.join(comps, "sid")
-        # the most central class, in later rounds with some chance for others
         chance = 1 + turn * F.pmod(F.xxhash64(F.lit(turn), "sid"), F.lit(1 << 20)) / (1 << 20)
         rank = F.struct((F.col("central") * chance).alias("c"), "sid")
-        hubs = (rows.groupBy("key").agg(F.max_by(F.struct("sid", "n", "comp"), rank).alias("hub"), F.min("comp").alias("_low"), F.max("comp").alias("_high"))
-                .filter("_low <> _high").select("key", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp")))
+        hubs = rows.groupBy("key").agg(F.max_by(F.struct("sid", "n", "comp"), rank).alias("hub"), F.min("comp").alias("_low"), F.max("comp").alias("_high"))
+        return rows, hubs.filter("_low <> _high").select("key", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.comp").alias("hub_comp"))
+
+    for turn in range(ROUNDS):
+        rows, hubs = mixed_keys(turn)
         met = rows.join(hubs, "key").filter((F.col("comp") != F.col("hub_comp")) & _similar_size(percent, "n", "hub_n"))
         votes = met.groupBy("sid", "hub").agg(F.count(F.lit(1)).alias("c"))
         best = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), "hub"))
         pairs = votes.withColumn("_r", best).filter("_r = 1").select(F.col("sid").alias("a"), F.col("hub").alias("b"))
         comps = _merged(comps, confirmed(_near(pairs, sigs), sets, percent))
-    rows = posts.join(comps, "sid").select("key", "sid", "n", "comp")
-    sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    mixed = (sizes.groupBy("key").agg(F.max_by("comp", "c").alias("main"), F.count(F.lit(1)).alias("k"))
-             .filter("k > 1").select("key", "main"))
-    left = stage(rows.join(mixed, "key"), "hamming-open")
-    minor = left.filter("comp <> main").select("key", F.col("sid").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
-    pairs = (left.join(minor, "key").filter((F.col("comp") != F.col("xc")) & _similar_size(percent, "n", "xn"))
-             .select(F.greatest("sid", "x").alias("a"), F.least("sid", "x").alias("b")).distinct())
-    return _merged(comps, confirmed(_near(pairs, sigs), sets, percent)).select("sid", "comp")
+    rows, hubs = mixed_keys(0)
+    groups = rows.join(hubs.select("key", "hub"), "key").select("hub", "sid", "n", "comp").distinct()
+    return _merged(comps, confirmed_groups(groups, sets, percent)).select("sid", "comp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
