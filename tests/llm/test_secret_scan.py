@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 
 from cases import documents, edge_texts, empty, words
 
@@ -17,15 +18,32 @@ def base(text):
     return [(a, b, k) for a, _, b, k in sorted(found)]
 
 
-def entropy_span(s, least):
-    """First and last hot window of a string, each window counted afresh."""
-    hot = []
+def entropy_spans(s, least):
+    """Stretches of a string that hot windows cover, each window counted afresh."""
+    spans = []
     for i in range(len(s) - secret_scan.WINDOW + 1):
         w = s[i : i + secret_scan.WINDOW]
-        h = -sum(w.count(c) / len(w) * math.log2(w.count(c) / len(w)) for c in set(w))
-        if h >= least:
-            hot.append(i)
-    return (hot[0], hot[-1] + secret_scan.WINDOW) if hot else None
+        if " " in w or -sum(w.count(c) / len(w) * math.log2(w.count(c) / len(w)) for c in set(w)) < least:
+            continue
+        if spans and spans[-1][1] >= i:
+            spans[-1] = (spans[-1][0], i + len(w))
+        else:
+            spans.append((i, i + len(w)))
+    return spans
+
+
+def method_spans(text):
+    """Every span of the method, by the rules as the module states them."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+        allow = [p.replace(r"\z", r"\Z") for p in secret_scan.ALLOW]
+        if any(re.fullmatch(p, m[0]) for p in allow):
+            continue
+        parts = re.split(r"([/=_-])", m[0])
+        left = "".join(" " * len(x) if any(re.search(p, x) for p in allow if not p.startswith(r"\A")) else x for x in parts)
+        least = next(t for _, p, t in secret_scan.CLASSES if re.search(p.replace(r"\z", r"\Z"), m[0]))
+        out += [(m.start() + a, m.start() + b) for a, b in entropy_spans(left, least)]
+    return out
 
 
 HEX, KEY = "d48fd8e940a86f41832370bc4dd81bc9d95bf72b", "wJalrXUtnFEMI7K0MDENGbPxRfiCYzQ8d3k2LpA1"
@@ -44,16 +62,30 @@ def test_base_spans_match_the_patterns(spark):
         assert {tuple(s) for s in r["base"]} <= {tuple(s) for s in r["spans"]}
 
 
+def noise(seed, n, alphabet):
+    x, out = seed, []
+    for _ in range(n):
+        x = (x * 1103515245 + 12345) % 2**31
+        out.append(alphabet[(x >> 8) % len(alphabet)])
+    return "".join(out)
+
+
 def test_entropy_spans_match_windows_counted_afresh(spark):
-    for r in secret_scan.scan(documents(spark, TEXTS)).collect():
-        want = []
-        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", TEXTS[r["doc_id"]] or ""):
-            least = next((t for _, p, t in secret_scan.CLASSES if re.search(p.replace(r"\z", r"\Z"), m[0])), None)
-            if least is None or any(re.search(p.replace(r"\z", r"\Z"), m[0]) for p in secret_scan.ALLOW):
-                continue
-            if span := entropy_span(m[0], least):
-                want.append((m.start() + span[0], m.start() + span[1]))
-        assert [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "entropy"] == want
+    texts = TEXTS + [f"{KEY}/example-placeholder-sample/{KEY}", f"key={KEY}/22/{KEY} x", f"{KEY}{'a' * 60}{KEY}", f"é {KEY}/{'ab' * 30}/{HEX}"]
+    texts += [noise(i, 300, secret_scan.ALPHABET[: 8 + 3 * i]) + " " + noise(i + 50, 200, "abc" * i + secret_scan.ALPHABET) for i in range(19)]
+    for r in secret_scan.scan(documents(spark, texts)).collect():
+        assert [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "entropy"] == method_spans(texts[r["doc_id"]]), texts[r["doc_id"]]
+    assert len(method_spans(texts[len(TEXTS)])) == 2 and len(method_spans(texts[len(TEXTS) + 1])) == 1
+
+
+def test_cost_grows_with_the_length_of_a_candidate(spark):
+    long = noise(7, 100_000, secret_scan.ALPHABET)
+    docs = documents(spark, [long], clash=False)
+    secret_scan.scan(docs).collect()
+    begin = time.perf_counter()
+    (row,) = secret_scan.scan(docs).collect()
+    assert time.perf_counter() - begin < 5
+    assert [(s["start"], s["end"]) for s in row["spans"] if s["kind"] == "entropy"][:1] and row["spans"][0]["start"] == 0
 
 
 def test_allow_list_suppresses_only_the_method(spark):

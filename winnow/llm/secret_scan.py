@@ -1,16 +1,17 @@
-"""Secret scans (operator 2), DataFrame functions only.
+r"""Secret scans (operator 2), DataFrame functions only.
 
 Base kinds are patterns: ``assign`` (a keyword, a sign and a value), ``access``
 (an access key id) and ``hex`` (a long hexadecimal run). The method adds kind
 ``entropy``: over every candidate string (a long run of key characters) slides
 a window whose character counts are updated by the entering and the leaving
 character only; a window is hot when its Shannon entropy reaches the threshold
-of the candidate's character class; the last class fits every candidate. The span
-runs from the first hot window to the end of the last. A candidate that is on the
-allow-list as a whole (ids in the 8-4-4-4-12 form, single repeated characters) is
-suppressed; of others the parts between ``/ = _ -`` that the list matches (alphabet
-and digit sequences, words of examples, what the caller adds) are in no window.
-Base spans are never suppressed.
+of the candidate's character class; the last class fits every candidate. Spans are
+the stretches that hot windows cover; every step costs the same, so a candidate of any
+length costs in proportion to it. A candidate that is on the allow-list as a whole (ids
+in the 8-4-4-4-12 form, single repeated characters) is suppressed; of others the parts
+between ``/ = _ -`` in which a pattern of the list occurs (alphabet and digit sequences,
+words of examples, what the caller adds; not those that begin with ``\A``, which are
+for whole candidates) are in no window. Base spans are never suppressed.
 
 Offsets are code points, end exclusive. Positions come from splitting the text
 by the pattern: pieces and matches alternate, so running lengths are offsets.
@@ -22,7 +23,10 @@ scanned whole; other columns are ignored by ``scan`` and kept by ``redact``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +64,8 @@ ALLOW = (
 
 SEPARATOR = "(?<=[/=_-])|(?=[/=_-])"
 
+ZERO, UNIT = "0", float(1 << 40)  # the character of a count of none; the unit of sums of n*log2(n)
+RUNS = "array<struct<first:int,last:int>>"
 SPANS = "array<struct<start:int,ord:int,end:int,kind:string>>"
 
 
@@ -81,66 +87,91 @@ def _offsets(text: str, pattern: str, kind: str, order: int, group: int, least:
                   F.coalesce(F.aggregate(pieces, zero, step)["spans"], F.array().cast(SPANS))).otherwise(F.array().cast(SPANS))
 
 
-def _plogp(n: Column) -> Column:
-    return F.when(n > 0, n * F.log2(n)).otherwise(F.lit(0.0))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _hot(s: Column, least: Column) -> Column:
-    """(first, last) of the hot windows of string ``s``: offset of the first
-    one's start and of the last one's end; nulls when none is hot. The counts
-    and their sum of n*log2(n) change by the two moved characters only."""
-    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("blank"),
-                    F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+def _runs(codes: Column, least: Column) -> Column:
+    """Array of (first, last): the stretches covered by hot windows of a string given
+    as places in ``ALPHABET`` (0: in no window). Counts are characters of a string, changed
+    at the entering and the leaving character only; sums of n*log2(n) are whole
+    numbers, so they do not depend on the way."""
+    zero = F.struct(F.lit(0).alias("i"), F.lit(ZERO * len(ALPHABET)).alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(0).alias("blank"),
+                    F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), F.array().cast(RUNS).alias("done"))
+    ways = F.array(*[F.lit(int(n * math.log2(n) * UNIT) if n else 0).cast("long") for n in range(WINDOW + 2)])
+    pairs = F.arrays_zip(codes.alias("a"), F.slice(F.concat(F.array_repeat(F.lit(0), WINDOW), codes), F.lit(1), F.size(codes)).alias("b"))
 
-    def step(acc: Column, i: Column) -> Column:
-        enter = F.instr(F.lit(ALPHABET), F.substring(s, i, F.lit(1)))
-        leave = F.when(i > WINDOW, F.instr(F.lit(ALPHABET), F.substring(s, i - WINDOW, F.lit(1)))).otherwise(F.lit(0))
-        return _moved(acc, i, enter, leave, least)
+    def step(acc: Column, x: Column) -> Column:
+        enter, leave = x["a"], x["b"]
+        n_in, n_out = (F.ascii(F.substring(acc["counts"], p, F.lit(1))) - ord(ZERO) for p in (enter, leave))
+        comes, goes = (enter > 0) & (enter != leave), (leave > 0) & (enter != leave)
+        less = F.when(goes, F.overlay(acc["counts"], F.char(n_out + (ord(ZERO) - 1)), leave, F.lit(1))).otherwise(acc["counts"])
+        counts = F.when(comes, F.overlay(less, F.char(n_in + (ord(ZERO) + 1)), enter, F.lit(1))).otherwise(less)
+        total = (acc["sum"] + F.when(comes, F.element_at(ways, n_in + 2) - F.element_at(ways, n_in + 1)).otherwise(F.lit(0))
+                 + F.when(goes, F.element_at(ways, n_out) - F.element_at(ways, n_out + 1)).otherwise(F.lit(0)))
+        blank = F.when(enter > 0, acc["blank"]).otherwise(acc["i"] + 1)  # the last character in no window
+        return F.struct((acc["i"] + 1).alias("i"), counts.alias("counts"), total.alias("sum"), blank.alias("blank"),
+                        acc["first"].alias("first"), acc["last"].alias("last"), acc["done"].alias("done"))
+
+    def judged(acc: Column, x: Column) -> Column:
+        return _let(step(acc, x), lambda now: F.when(
+            (now["i"] - now["blank"] >= WINDOW) & (now["sum"] <= (math.log2(WINDOW) - least) * (WINDOW * UNIT)),
+            F.struct(now["i"].alias("i"), now["counts"].alias("counts"), now["sum"].alias("sum"), now["blank"].alias("blank"),
+                     F.when(now["last"] >= now["i"] - WINDOW, now["first"]).otherwise(now["i"] - WINDOW).alias("first"), now["i"].alias("last"),
+                     F.when(now["last"] < now["i"] - WINDOW, F.concat(now["done"], _run(now))).otherwise(now["done"]).alias("done"))).otherwise(now))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(s)), zero, step)
+    return F.aggregate(pairs, zero, judged, lambda acc: F.when(acc["last"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], _run(acc))))
 
 
-def _moved(acc: Column, i: Column, enter: Column, leave: Column, least: Column) -> Column:
-    # index 0 of ``counts`` stands for "no character"
-    n_in, n_out = F.element_at(acc["counts"], enter + 1), F.element_at(acc["counts"], leave + 1)
-    same = enter == leave
-    change = F.when(same, F.lit(0.0)).otherwise(
-        F.when(enter > 0, _plogp(n_in + 1) - _plogp(n_in)).otherwise(F.lit(0.0)) + F.when(leave > 0, _plogp(n_out - 1) - _plogp(n_out)).otherwise(F.lit(0.0)))
-    total = acc["sum"] + change
-    counts = F.transform(acc["counts"], lambda n, k: n + ((k == enter) & (enter > 0)).cast("int") - ((k == leave) & (leave > 0)).cast("int"))
-    blank = F.when(enter > 0, acc["blank"]).otherwise(i)  # the last character outside ALPHABET
-    hot = (i - blank >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= least)
-    return F.struct(counts.alias("counts"), total.alias("sum"), blank.alias("blank"),
-                    F.coalesce(acc["first"], F.when(hot, i - WINDOW)).alias("first"),
-                    F.when(hot, i).otherwise(acc["last"]).alias("last"))
+def _run(acc: Column) -> Column:
+    return F.array(F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
 def _blanked(s: Column, allow: Sequence[str]) -> Column:
-    """``s`` with blanks for the parts between separators that the allow-list matches."""
+    """``s`` with blanks for the parts between separators in which a pattern of the allow-list occurs."""
 
     def part(x: Column) -> Column:
-        hit = F.lit(False)
-        for p in allow:
-            hit = hit | ((F.length(x) > 1) & x.rlike(p))
+        hit = reduce(or_, [x.rlike(p) for p in allow], F.lit(False))
         return F.when(hit, F.repeat(F.lit(" "), F.length(x))).otherwise(x)
 
     return F.array_join(F.transform(F.split(s, SEPARATOR), part), "")
 
 
+def _candidates(text: str) -> Column:
+    """Array of (start, s): the candidate strings of a text."""
+    pieces = F.arrays_zip(F.split(F.col(text), CANDIDATE, -1).alias("p"), F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0)).alias("m"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,s:string>>").alias("found"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["p"])
+        return F.when(x["m"].isNull(), acc).otherwise(F.struct(
+            (start + F.length(x["m"])).alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), x["m"].alias("s")))).alias("found")))
+
+    return F.aggregate(pieces, zero, step, lambda acc: acc["found"])
+
+
 def _entropy(text: str, allow: Sequence[str]) -> Column:
-    runs = _offsets(text, CANDIDATE, "entropy", len(BASE), 0, WINDOW)
+    inside = [p for p in allow if not p.startswith(r"\A")]
 
-    def narrowed(x: Column) -> Column:
-        s = F.substring(F.col(text), x["start"] + 1, x["end"] - x["start"])
+    def measured(x: Column) -> Column:
+        s = x["s"]
         least = F.coalesce(*[F.when(s.rlike(p), F.lit(t)) for _, p, t in CLASSES])
-        whole, some = F.lit(False), F.lit(False)
-        for p in allow:
-            whole, some = whole | s.rlike(rf"\A(?:{p})\z"), some | s.rlike(p)
-        hot = F.when(~whole, _hot(F.when(some, _blanked(s, allow)).otherwise(s), least))
-        return F.struct((x["start"] + hot["first"]).alias("start"), x["ord"].alias("ord"),
-                        (x["start"] + hot["last"]).alias("end"), x["kind"].alias("kind"))
-
-    return F.filter(F.transform(runs, narrowed), lambda x: x["start"].isNotNull())
+        whole = reduce(or_, [s.rlike(rf"\A(?:{p})\z") for p in allow], F.lit(False))
+        some = reduce(or_, [s.rlike(p) for p in inside], F.lit(False))
+        left = F.when(some, _blanked(s, inside)).otherwise(s)
+        codes = F.transform(F.split(left, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+        facts = F.struct(F.when(~whole, least).alias("least"), F.when(~whole, codes).alias("codes"))
+
+        def spans(v: Column) -> Column:
+            # a window of k different characters has at most log2(k) bits
+            can = F.log2(F.size(F.array_distinct(v["codes"])).cast("double")) >= v["least"]
+            return F.when(can, F.transform(_runs(v["codes"], v["least"]), lambda r: F.struct(
+                (x["start"] + r["first"]).alias("start"), F.lit(len(BASE)).alias("ord"), (x["start"] + r["last"]).alias("end"), F.lit("entropy").alias("kind"))))
+
+        return F.coalesce(_let(facts, spans), F.array().cast(SPANS))
+
+    return F.when(F.col(text).rlike(CANDIDATE), F.flatten(F.transform(_candidates(text), measured))).otherwise(F.array().cast(SPANS))
 
 
 def _joined(spans: Column) -> Column:
