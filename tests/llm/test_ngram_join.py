@@ -81,11 +81,36 @@ def test_keep_one(spark):
     assert {r["doc_id"] for r in kept.collect()} == want and kept.columns == docs.columns
 
 
+def test_templates_short_of_a_link_list_no_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    base = words(5, 300).split()
+    texts = []
+    for i in range(2000):  # any two share about 0.7 of their shingles
+        w = list(base)
+        for k in rng.sample(range(60), 5):
+            w[5 * k] = f"x{i}y{k}"
+        texts.append(" ".join(w))
+    seen = []
+    monkeypatch.setattr(J, "verified", lambda pairs, *a, f=J.verified: (seen.append(pairs.count()), f(pairs, *a))[1])
+    rows = J.similar_groups(documents(spark, texts, clash=False)).collect()
+    comps = {r["doc_id"]: r["component_id"] for r in rows}
+    few = groups(texts[:300])
+    assert len(rows) == 2000 and sum(seen) <= 2 * len(texts)  # contraction only: a hub for each text, twice
+    assert all(comps[i] == comps[r] for i, (_, r) in few.items()) and len(set(comps.values())) > 1000
+
+
 def test_edges(spark):
     rows = [(None, words(1, 30)), (5, words(1, 30)), (5, words(1, 30)), (None, None), (7, words(2, 30))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r["doc_id"], r["component_id"]) for r in J.similar_groups(docs).collect()), key=str)
     assert got == sorted([(5, 5), (5, 5), (7, 7), (None, 5), (None, None)], key=str)
+    near = words(9, 60)
+    other = near.replace(words(9, 60).split()[-1], "zz")
+    same_id = [(3, words(3, 30)), (3, words(4, 30)), (4, words(4, 30)), (6, near), (6, other), (6, near), (2, words(3, 30)), (6, ""), (6, " ")]
+    got = sorted((r["doc_id"], r["text"]) for r in J.keep_one(spark.createDataFrame(same_id, "doc_id long, text string").repartition(3)).collect())
+    six = [g for g in got if g[0] == 6 and g[1].strip()]
+    assert len(six) == 1 and six[0][1] in (near, other)
+    assert [g for g in got if g not in six] == [(2, words(3, 30)), (3, words(4, 30)), (6, ""), (6, " ")]
     assert sorted(((r["doc_id"], r["text"]) for r in J.keep_one(docs).collect()), key=str) == sorted(
         [(None, words(1, 30)), (5, words(1, 30)), (None, None), (7, words(2, 30))], key=str)
     assert J.similar_groups(empty(spark)).count() == 0 and J.keep_one(empty(spark)).count() == 0

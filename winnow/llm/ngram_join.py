@@ -16,12 +16,14 @@ are verified with shared partial overlaps and pruned by remaining length.
    first scan) don't travel: their place in the order is last, and every set
    knows that they are shared. A set whose shared tokens are fewer than 0.8 n
    has no link and leaves.
-3. *Contraction*: in every prefix-token group, members are verified against a
-   few hubs, the most central sets first, in a fixed number of rounds; sets
+3. *Contraction*: in every prefix-token group, members are verified against the
+   hub, the most central set first, in a fixed number of rounds; sets
    already connected need no more tests. Work is linear in the group's size.
-4. *Exhaustion*: whatever pairs of different components still meet in a token
-   group are all verified. So no link between components is lost, and none but
-   such pairs, which are few, are ever listed.
+4. *Exhaustion*: where sets of different components still share a prefix token, they
+   form the group of that token's most central set. The group's sets are kept in prefix
+   trees of up to ``CELL``, and every set outside the group's main component is
+   searched for in each tree, all of a cell's probes in the one tree. Only links
+   leave a task: pairs that are just short of a link are never listed.
 
 Nothing is capped: hub rounds only spare work. A hub's members are dealt to
 cells of ``CELL`` sets, each with its own tree. Memory is bounded by a batch, a
@@ -33,7 +35,7 @@ Edge cases: null, empty and blank texts have the empty set, are linked with
 nothing and are their own component; texts of one to four words have one
 shingle; repeated rows and rows with equal sets share a component; a null
 doc_id is kept and is nobody's representative; an empty table gives no rows;
-other columns are ignored.
+other columns are ignored. ``keep_one`` states what happens to an id with several texts.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ SHINGLE, PERCENT = 5, 80
 HEAVY = 0.002  # a token in more than this share of rows is very frequent
 RANGE_TOKENS, LEAST_RANGES = 3_000_000, 16  # tokens that one range counts at a time; ranges of a small table
 CELL = 512  # sets in one tree
-HUBS, ROUNDS = 3, 2  # hubs that a set is tested against in a round; rounds before exhaustion
+HUBS, ROUNDS = 1, 2  # hubs that a set is tested against in a round; rounds before exhaustion
 LOW = np.uint64((1 << 48) - 1)
 MAX_DF = (1 << 14) - 1
 
@@ -274,6 +276,57 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.sortWithinPartitions("b", "salt", "kind").mapInPandas(_verify_cells(percent), "u long, v long")
 
 
+def _verify_groups(percent: int):
+    """Links (u, v) of the cells of a partition: rows in order of cell, the probes
+    (side 0) before the sets of the tree. One link for each probe and component."""
+
+    def links(probes, members):
+        if not probes or not members:
+            return []
+        sets = [np.frombuffer(m[3], np.int64) for m in members]
+        tests = [np.frombuffer(p[3], np.int64) for p in probes]
+        known = np.unique(np.concatenate([*sets, *tests]))
+        ranks = [len(known) - 1 - np.searchsorted(known, s)[::-1] for s in sets]  # frequent first
+        tree, out = PrefixTree(ranks, np.array([m[1] for m in members])), {}
+        for (sid, n, comp, _), keys in zip(probes, tests):
+            for i, _ in tree.search(len(known) - 1 - np.searchsorted(known, keys)[::-1], n, percent, len(known)):
+                if members[i][2] != comp:
+                    out.setdefault((sid, members[i][2]), members[i][0])
+        return [(sid, other) for (sid, _), other in out.items()]
+
+    def run(frames):
+        cell, sides = None, ([], [])
+        for frame in frames:
+            out = []
+            for hub, i, j, side, sid, n, comp, keys in frame[["hub", "i", "j", "side", "sid", "n", "comp", "keys"]].itertuples(index=False):
+                if (hub, i, j) != cell:
+                    out += links(*sides)
+                    cell, sides = (hub, i, j), ([], [])
+                sides[side].append((sid, n, comp, keys))
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+        yield pd.DataFrame(links(*sides), columns=["u", "v"], dtype="int64")
+
+    return run
+
+
+def verified_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between different components of every group (hub, sid, comp)."""
+    groups = stage(groups, "ngram-groups")
+    sizes = groups.groupBy("hub", "comp").agg(F.count(F.lit(1)).alias("c"))
+    cut = sizes.groupBy("hub").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("_all"), F.max("c").alias("_main"))
+    cut = cut.select("hub", "main", F.ceil(F.col("_all") / CELL).alias("_nj"), F.ceil((F.col("_all") - F.col("_main")) / CELL).alias("_ni"))
+    rows = groups.join(cut, "hub")
+
+    def dealt(some: DataFrame, side: int, own: str, other: str) -> DataFrame:
+        return some.select("hub", F.pmod(F.xxhash64("sid"), F.col(f"_n{own}")).alias(own), "sid", "comp",
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_n{other}") - 1)).alias(other)).select(
+            "hub", "i", "j", F.lit(side).alias("side"), "sid", "comp")
+
+    cells = dealt(rows.filter("comp <> main"), 0, "i", "j").unionAll(dealt(rows, 1, "j", "i"))
+    full = cells.join(sets.select("sid", "n", "keys"), "sid").repartition(shuffle_parts(groups.sparkSession), "hub", "i", "j")
+    return full.sortWithinPartitions("hub", "i", "j", "side").mapInPandas(_verify_groups(percent), "u long, v long")
+
+
 def connect(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each component of the edges (u, v), by
     alternating large-star and small-star steps over written tables."""
@@ -313,37 +366,39 @@ def set_components(sets: DataFrame, percent: int) -> DataFrame:
                   .mapInPandas(_postings, "token long, sid long, n long, central double, pos long"),
                   "ngram-postings")
     comps = stage(posts.select("sid").distinct().withColumn("comp", F.col("sid")), "ngram-comps")
-    for turn in range(ROUNDS):
+    def mixed_tokens(turn: int) -> tuple[DataFrame, DataFrame]:
+        """Postings with their components, and the hub of each token that several
+        components share: the most central set, in later rounds with some chance for others."""
         rows = posts.join(comps, "sid")
-        # the most central set, in later rounds with some chance for others
         chance = F.pmod(F.xxhash64(F.lit(turn), "sid"), F.lit(1 << 20)) / (1 << 20)
         h = F.struct((chance * turn - F.col("central")).alias("rank"), "sid")
         hubs = (rows.groupBy("token")
                 .agg(F.min_by("sid", h).alias("hub"), F.min_by("n", h).alias("hub_n"), F.min_by("comp", h).alias("hub_comp"),
                      F.min("comp").alias("_low"), F.max("comp").alias("_high"))
                 .filter("_low <> _high").drop("_low", "_high"))
+        return rows, hubs
+
+    for turn in range(ROUNDS):
+        rows, hubs = mixed_tokens(turn)
         near = rows.join(hubs, "token").filter((F.col("comp") != F.col("hub_comp")) & _similar_size(percent, "n", "hub_n"))
         votes = near.groupBy("sid", "hub").agg(F.count(F.lit(1)).alias("c"))
         best = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), "hub"))
         pairs = votes.withColumn("_r", best).filter(F.col("_r") <= HUBS).select(F.col("sid").alias("a"), F.col("hub").alias("b"))
         comps = _merge(comps, stage(verified(pairs, sets, percent), "ngram-links"))
-    rows = posts.join(comps, "sid")
-    sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
-    mixed = (sizes.groupBy("token").agg(F.max_by("comp", "c").alias("main"), F.count(F.lit(1)).alias("k"))
-             .filter("k > 1").select("token", "main"))
-    open_rows = stage(rows.join(mixed, "token"), "ngram-open")
-    minor = open_rows.filter("comp <> main").select(
-        "token", F.col("sid").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("comp").alias("xc"))
-    bound = F.least(F.col("n") - F.col("pos"), F.col("xn") - F.col("xpos"))
-    pairs = (open_rows.join(minor, "token").filter((F.col("comp") != F.col("xc")) & _similar_size(percent, "n", "xn"))
-             .filter(bound * (100 + percent) >= (F.col("n") + F.col("xn")) * percent)
-             .select(F.greatest("sid", "x").alias("a"), F.least("sid", "x").alias("b")).distinct())
-    return _merge(comps, stage(verified(pairs, sets, percent), "ngram-links"))
+    rows, hubs = mixed_tokens(0)
+    groups = rows.join(hubs.select("token", "hub"), "token").select("hub", "sid", "comp").distinct()
+    return _merge(comps, stage(verified_groups(groups, sets, percent), "ngram-links"))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SHINGLE,
                    percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
+    return _grouped(docs, id_col, text, n, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least.id", "doc_id").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text: str, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n, sid and ``least``, the (id, sid) of its component's first row, of every row."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text"))
@@ -366,20 +421,49 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     comps = set_components(sets, percent)
     of_set = first.join(comps, "sid", "left").select("sid", "_first", F.coalesce("comp", "sid").alias("_comp"))
     of_set = stage(of_set, "ngram-comps")
-    of_comp = of_set.groupBy("_comp").agg(F.min("_first").alias("_least"))
-    label = of_set.join(of_comp, "_comp").select("sid", "_least")
-    return (members.join(label, "sid", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_least", "doc_id").alias("component_id")))
+    of_comp = of_set.groupBy("_comp").agg(
+        F.min(F.when(F.col("_first").isNotNull(), F.struct(F.col("_first").alias("id"), "sid"))).alias("least"))
+    label = of_set.join(of_comp, "_comp").select("sid", "least")
+    return members.join(label, "sid", "left").select("doc_id", "n", "sid", "least")
+
+
+def _with_set(batches):
+    """The rows with ``_sid``, the id of their set."""
+    for part in batch_slices(batches, "_text"):
+        sets = token_sets(part.column("_text").to_pylist())
+        sid = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays([*part.columns, sid], [*part.schema.names, "_sid"])
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, one of each group: that of the least id. Rows with
-    the empty set and with a null id all stay."""
-    groups = stage(similar_groups(docs, id_col, text), "ngram-groups")
-    drop = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    out = docs.join(maybe_broadcast(drop, drop.count(), 16), id_col, "left_anti").select(docs.columns)
-    twice = groups.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-    return out.dropDuplicates([id_col, text]) if twice.limit(1).count() else out
+    """The rows of ``docs``, one of each group: that of the least id (of different
+    texts under this id, that of the least set id). Rows go by id and set: of an id
+    that occurs with several texts each is judged by its own. Rows with the empty
+    set and with a null id all stay."""
+    spark = docs.sparkSession
+    rows = stage(_grouped(docs, id_col, text), "ngram-rows").filter("doc_id is not null")
+    rows = rows.withColumn("keep", F.col("n").eqNullSafe(0) | ((F.col("doc_id") == F.col("least.id")) & (F.col("sid") == F.col("least.sid"))))
+    by_id = rows.groupBy("doc_id").agg(F.bool_or("keep").alias("some"), F.bool_and("keep").alias("every"), F.count_if(F.col("n") > 0).alias("c"))
+    by_id = stage(by_id.filter("not every or c > 1").select(F.col("doc_id").alias("_id"), "some"), "ngram-ids")
+    gone, mixed = by_id.filter("not some").select("_id"), by_id.filter("some").select("_id")
+    here = F.col(f"`{id_col}`") == F.col("_id")
+    out = docs.join(maybe_broadcast(gone, gone.count(), 16), here, "left_anti")
+    many = mixed.count()
+    if not many:  # no id occurs twice
+        return out.select(docs.columns)
+    # rows of ids that occur more than once and of which some stay: by set, and one of equal ones
+    mixed = maybe_broadcast(mixed, many, 16)
+    ship_package(spark)
+    named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    several = out.join(mixed, here, "left_semi").select(*named, F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in several.schema)
+    several = several.mapInArrow(_with_set, f"{schema}, _sid long")
+    stays = rows.filter("keep and n > 0").select(F.col("doc_id").alias("_id"), F.col("sid").alias("_sid")).distinct()
+    empty = several.filter("_sid is null")
+    one = several.filter("_sid is not null").join(stays, ["_id", "_sid"], "left_semi").dropDuplicates(["_id", "_sid"])
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    rest = out.join(mixed, here, "left_anti").select(docs.columns)
+    return rest.unionAll(empty.select(*back)).unionAll(one.select(*back))
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
