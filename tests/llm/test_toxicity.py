@@ -61,6 +61,17 @@ def test_clauses_are_scored_by_their_path():
     assert paths('the word "moron" is old') == {"insult reported": 1.0}
     assert paths("you we kill") == {"threat aimed": 1.0}
     assert paths("zorbing zorb") == {"insult": 3.0}
+    assert paths("I will kill them") == {"threat aimed": 1.0}
+    assert paths("I will not kill you") == {"threat denied": 1.0}
+    assert paths("will kill") == {"threat meant": 1.0}
+    assert paths("you don't look like an idiot") == paths("you don’t look like an idiot") == {"insult denied": 2.0}
+    assert paths("nobody is an idiot") == {"insult denied": 2.0}
+    assert paths("he wrote that he will hurt us") == {"threat reported": 1.0}
+    assert paths("kill the lights") == {} and paths("we burn it and kill you") == {"threat aimed": 1.0}
+    assert paths("what a waste of space you are") == {"insult aimed": T.PHRASE} and paths("a piece of a piece of trash") == {"insult": T.PHRASE}
+    assert paths("not a waste of space") == {"insult denied": T.PHRASE} and paths("a waste of time and space") == {}
+    assert paths("we will come for you") == {"threat aimed": 1.0}
+    assert paths("idiot and will kill, you") == {"insult": 2.0, "threat aimed": 1.0}
     texts = ["Fine. You idiot! Fine", "fine", None, "", "IDIOT\nnot a moron; x", "zorbery"]
     x = g.features(texts)
     assert x[0].any() and not x[1].any() and not x[2].any() and x[4].sum() > x[0].sum() and x[5].any()
@@ -69,14 +80,29 @@ def test_clauses_are_scored_by_their_path():
 def test_composition_is_the_cascade():
     import random
     rng, arcs = random.Random(1), T.compose()
-    for _ in range(200):
-        a, b, c, whole = 0, 0, 0, (0, 0, 0)
+    for _ in range(300):
+        states, whole = [0] * len(T.CASCADE), (0,) * len(T.CASCADE)
         for s in rng.choices(T.INPUTS, k=12):
             whole, out = arcs[whole, s]
-            a, s = T.negation(a, s)
-            b, s = T.report(b, s)
-            c, s = T.target(c, s)
-            assert (whole, out) == ((a, b, c), s)
+            for i, (step, n) in enumerate(T.CASCADE):
+                states[i], s = step(states[i], s)
+                assert 0 <= states[i] < n
+            assert (whole, out) == (tuple(states), s)
+
+
+def test_fast_features_equal_the_score_of_every_clause():
+    """The clauses that the vectorised search skips have no weight."""
+    import random
+    import re
+    rng = random.Random(7)
+    g = T.Grammar({"idiot": 2.0, "moron": 1.0, "élan": 1.5}, {"zorb": 3.0}, 0.0, [1.0] * len(T.PATHS))
+    pool = [*T.INSULT_PHRASES, *T.THREAT_PHRASES, *T.THREATS, *T.TARGETS, *T.INTENT, *T.NEGATIONS, *T.REPORTS, "idiot", "moron", "Élan", "zorbing", "zorb",
+            "zorbä", "don't", "plain", "word", "of", "a", "space", '"', "123", "x_y", "up"]
+    texts = [" ".join(rng.choice([x, x.upper(), x]) + rng.choice(["", "", "", ".", "!", ";", "\n", ","]) for x in rng.choices(pool, k=40)) for _ in range(300)]
+    texts += [None, "", "...", "idiot", "a.idiot!b"]
+    want = np.array([sum((g.clause(c) for c in re.split(r"[.!?;\n]", t or "")), np.zeros(len(T.PATHS))) for t in texts])
+    assert np.allclose(g.features(texts), np.log1p(np.maximum(want, 0)))
+    assert (want != 0).any(0).all()
 
 
 def test_no_labels_and_empty(spark):
@@ -86,3 +112,12 @@ def test_no_labels_and_empty(spark):
     assert got[0] > got[1] and len(got) == 2 + len(edge_texts())
     assert T.score(empty(spark), grammar).count() == 0 and T.reject(empty(spark), grammar).count() == 0
     assert T.fit(empty(spark), labels(spark, [(1, 1)])).bias == grammar.bias
+
+
+def test_paths_without_labels_keep_their_prior():
+    rng = np.random.default_rng(1)
+    x = np.c_[np.ones(400), rng.integers(0, 2, 400) * 2.0, np.zeros(400)]
+    w = T.logistic(x, x[:, 1] > 0, np.array([0.0, 2.0, 3.0]))
+    assert abs(w[2] - 3.0) < 1e-6 and w[1] > 2 and w[0] < -1
+    low = T.logistic(x, x[:, 1] == 0, np.array([0.0, 2.0, 3.0]))
+    assert low[1] == 0.0 and abs(low[2] - 3.0) < 1e-6

@@ -1,16 +1,18 @@
 """Toxicity (operator 10): a weighted finite-state pattern grammar over clauses.
 
-A text is cut into clauses at ``. ! ? ;`` and line ends. Words become symbols:
-insult, threat verb, intent, target, negation, report, other. Three sequential
-transducers run in cascade over a clause: *negation* marks insults shortly
-after a negation, *report* marks what follows a verb of saying or stands in
-quotation marks, *target* marks insults and threats near a person addressed.
-Their composition is tabulated once; each clause it matches adds its weight to
-the class of its path, so the same word counts differently when denied,
-reported or aimed at somebody.
-
-The insult transducer is a set of whole words and word beginnings. A short
-public list seeds it; the rest, with all weights, is learnt from labelled rows:
+A text is cut into clauses at ``. ! ? ;`` and line ends. A first transducer reads
+words and writes symbols: insult, threat, intent, target, negation, report, other. It
+knows single words, word beginnings and phrases (a trie with failure arcs; a phrase
+writes its symbol at its last word). Four sequential transducers follow in cascade:
+*negation* marks insults and threats shortly after a negation, *purpose* marks threats
+shortly after an intent, *report* marks what follows a verb of saying or stands in
+quotation marks, *target* marks insults and threats near a person addressed, before or
+after them. Their composition is tabulated once; each clause it matches adds its
+weight to the class of its path, so the same word counts differently when denied,
+meant, reported or aimed at somebody.
+
+Short public lists seed insults and threats; more insults, and all weights, are
+learnt from labelled rows:
 patterns whose share in toxic rows is far above that in clean ones (copies
 count once), then a logistic regression over the clause classes. The fit uses
 at most ``MAX_LABELLED`` labelled rows, those of smallest hash; everything else
@@ -39,7 +41,6 @@ from . import words as W
 from .common import batch_slices, ship_package, stage, table, text_chunks
 
 MAX_LABELLED = 20_000  # labelled rows that the fit uses at most
-MAX_PATTERNS = 50_000  # candidate patterns looked at, those of most toxic rows first
 MIN_TOXIC = 4  # different toxic rows that a learnt pattern needs
 MIN_WORDS = 4  # different words that a learnt beginning needs
 PREFIXES = (4, 5, 6, 7, 8)  # bytes of a word beginning
@@ -47,30 +48,72 @@ PREFIXES = (4, 5, 6, 7, 8)  # bytes of a word beginning
 # Seed words, all lower case.
 INSULTS = ("asshole", "bastard", "bitch", "clown", "disgusting", "dumb", "fool", "idiot", "imbecile", "jerk", "loser",
            "moron", "pathetic", "scum", "stupid", "trash", "vermin", "worthless")
+INSULT_PHRASES = ("piece of trash", "piece of garbage", "waste of space", "waste of air", "go to hell", "shut up", "get lost", "drop dead",
+                  "no one likes you", "sack of garbage", "good for nothing", "lowest of the low")
 THREATS = ("kill", "hurt", "destroy", "shoot", "stab", "burn", "hang", "beat", "töten", "tuer", "matar")
 INTENT = ("will", "gonna", "shall", "must", "should", "werde", "vais", "voy")
 TARGETS = ("you", "your", "yours", "u", "he", "she", "him", "her", "they", "them", "du", "dich", "ihr", "tu", "toi",
            "vous", "tú", "usted", "ustedes", "ellos")
-NEGATIONS = ("not", "never", "no", "isn", "aren", "wasn", "nicht", "kein", "nie", "pas", "jamais", "nunca", "ni")
+THREAT_PHRASES = ("come for", "going to get", "gonna get", "beat up", "watch your back", "make you pay", "make them pay", "hunt down",
+                  "wipe out", "cut your throat", "break your neck")
+NEGATIONS = ("not", "never", "no", "isn", "aren", "wasn", "nicht", "kein", "nie", "pas", "jamais", "nunca", "ni", "nobody", "none",
+             "nothing", "neither", "nor", "without", "hardly", "niemand", "keiner", "keine", "personne", "nadie")
 REPORTS = ("said", "says", "say", "wrote", "writes", "called", "calls", "claimed", "quoted", "reported", "sagte",
            "dit", "dijo")
 SYMBOLS = {"threat": THREATS, "intent": INTENT, "target": TARGETS, "negation": NEGATIONS, "report": REPORTS}
 WORD_SYMBOL = {w: s for s, ws in SYMBOLS.items() for w in ws}
 
 CLAUSE_END = re.compile(rb"[.!?;\n]")
-TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»]")
-REACH = 4  # words over which a negation or a target works
-PATHS = ("insult", "insult aimed", "insult denied", "insult reported", "threat aimed", "threat reported")
+TOKEN = re.compile(r"[^\W\d_]+n['’]t\b|[^\W\d_]+|[\"“”«»]")
+CONTRACTED = ("n't", "n’t")  # a word that ends so is a negation
+PHRASE = 2.0  # weight of an insult that is a phrase
+REACH = 4  # words over which a negation, an intent or a target works
+PATHS = ("insult", "insult aimed", "insult denied", "insult reported", "threat meant", "threat aimed", "threat denied", "threat reported")
+# weights of the paths before any label is seen; the fit is drawn to them where labels say nothing
+PRIOR = (2.0, 3.0, 0.5, 0.5, 1.0, 3.0, 0.2, 0.5)
 
 
 # --- transducers: (state, symbol) -> (state, output symbol) ---------------------------------------------------------
 
+def phrases() -> tuple[dict[tuple[int, str], int], list[int], list[str | None]]:
+    """The first transducer's phrases: arcs of their trie, for each state the longest
+    other beginning that it ends with, and what the state writes."""
+    arcs, back, out = {}, [0], [None]
+    for symbol, known in (("insult", INSULT_PHRASES), ("threat", THREAT_PHRASES)):
+        for phrase in known:
+            at = 0
+            for word in phrase.split():
+                if (at, word) not in arcs:
+                    arcs[at, word] = len(out)
+                    back.append(0)
+                    out.append(None)
+                at = arcs[at, word]
+            out[at] = symbol
+    for (state, word), after in sorted(arcs.items(), key=lambda x: x[1]):  # beginnings before what they lead to
+        if state:
+            fall = back[state]
+            while fall and (fall, word) not in arcs:
+                fall = back[fall]
+            back[after] = arcs.get((fall, word), 0)
+            out[after] = out[after] or out[back[after]]
+    return arcs, back, out
+
+
 def negation(state: int, symbol: str) -> tuple[int, str]:
     """State: words for which a negation still works."""
     if symbol == "negation":
         return REACH, symbol
-    if symbol == "insult" and state:
-        return state - 1, "insult denied"
+    if symbol in ("insult", "threat") and state:
+        return state - 1, symbol + " denied"
+    return max(0, state - 1), symbol
+
+
+def purpose(state: int, symbol: str) -> tuple[int, str]:
+    """State: words for which an intent still works."""
+    if symbol == "intent":
+        return REACH, "other"
+    if symbol == "threat" and state:
+        return state - 1, "threat meant"
     return max(0, state - 1), symbol
 
 
@@ -80,38 +123,37 @@ def report(state: int, symbol: str) -> tuple[int, str]:
         return (0 if state == 2 else 2), "other"
     if symbol == "report":
         return max(state, 1), symbol
-    if state and symbol in ("insult", "threat"):
-        return state, symbol + " reported"
+    if state and symbol in ("insult", "threat", "threat meant"):
+        return state, symbol.split()[0] + " reported"
     return state, symbol
 
 
 def target(state: int, symbol: str) -> tuple[int, str]:
-    """States 0 to REACH: words for which a target or an intent still works;
-    REACH + 1 and on: the same after an unaimed insult or threat."""
-    aim = min(state, REACH) if state <= REACH else 0
-    wait = state - REACH if state > REACH else 0
+    """States 0 to REACH: words for which a target still works; the next REACH: the
+    same after an unaimed insult, the last REACH: after an unaimed threat."""
+    kind, left = (0, state) if state <= REACH else ((state - 1) // REACH, (state - 1) % REACH + 1)
     if symbol == "target":
-        return REACH, "aimed later" if wait else "other"
-    if symbol in ("insult", "threat"):
-        if aim:
-            return aim - 1, symbol + " aimed"
-        return 2 * REACH, symbol
-    if wait:
-        return (state - 1 if wait > 1 else 0), symbol
-    return max(0, aim - 1), symbol
+        return REACH, ("other", "insult aimed later", "threat aimed later")[kind]
+    if symbol in ("insult", "threat", "threat meant"):
+        if not kind and left:
+            return left - 1, symbol.split()[0] + " aimed"
+        return (2 if symbol == "insult" else 3) * REACH, symbol
+    return (kind * REACH + left - 1 if left > 1 else 0), symbol
 
 
 INPUTS = ("insult", "threat", "intent", "target", "negation", "report", "quote", "other")
+CASCADE = ((negation, REACH + 1), (purpose, REACH + 1), (report, 3), (target, 3 * REACH + 1))  # transducers and their numbers of states
 
 
-def compose() -> dict[tuple[tuple[int, int, int], str], tuple[tuple[int, int, int], str]]:
-    """The cascade negation, report, target as one table over its product states."""
+def compose() -> dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], str]]:
+    """The cascade as one table over its product states."""
     arcs = {}
-    for a, b, c, s in product(range(REACH + 1), range(3), range(2 * REACH + 1), INPUTS):
-        a2, s1 = negation(a, s)
-        b2, s2 = report(b, s1)
-        c2, s3 = target(c, s2)
-        arcs[(a, b, c), s] = (a2, b2, c2), s3
+    for *states, symbol in product(*[range(n) for _, n in CASCADE], INPUTS):
+        now, after = symbol, []
+        for (step, _), state in zip(CASCADE, states):
+            state, now = step(state, now)
+            after.append(state)
+        arcs[tuple(states), symbol] = tuple(after), now
     return arcs
 
 
@@ -121,9 +163,9 @@ class Grammar:
     def __init__(self, whole: dict[str, float], begin: dict[str, float], bias: float, path: list[float]):
         self.bias, self.path = bias, np.array(path)
         self.arcs = compose()
-        self.whole, self.begin = whole, begin
-        pairs = [(w, v) for w, v in whole.items()] + [(w, 1.0) for w in THREATS if w not in whole]
-        self.whole_keys = np.sort(_hashes([w for w, _ in pairs]))
+        self.whole, self.begin, self.phrase = whole, begin, phrases()
+        last = {p.split()[-1] for p in (*INSULT_PHRASES, *THREAT_PHRASES)}
+        self.whole_keys = np.unique(_hashes([*whole, *THREATS, *last]))
         self.begin_keys = {n: np.sort(_hashes([w for w in begin if len(w.encode()) == n])) for n in PREFIXES}
 
     def weight(self, word: str) -> float:
@@ -134,20 +176,36 @@ class Grammar:
 
     def clause(self, text: str) -> np.ndarray:
         """Weight of every path in one clause."""
-        out, state, last = np.zeros(len(PATHS)), (0, 0, 0), 0.0
+        arcs, back, writes = self.phrase
+        out, state, place = np.zeros(len(PATHS)), (0,) * len(CASCADE), 0
+        waiting: dict[str, tuple[str | None, float]] = {}  # path and weight of the last unaimed insult and threat
         for token in TOKEN.findall(text.lower()):
+            while place and (place, token) not in arcs:
+                place = back[place]
+            place = arcs.get((place, token), 0)
             weight = self.weight(token)
-            symbol = "insult" if weight else WORD_SYMBOL.get(token, "other" if token[0].isalpha() else "quote")
+            if weight:
+                symbol = "insult"
+            elif writes[place]:
+                symbol, weight = writes[place], PHRASE
+            elif token.endswith(CONTRACTED):
+                symbol = "negation"
+            else:
+                symbol = WORD_SYMBOL.get(token, "other" if token[0].isalpha() else "quote")
+            weight = 1.0 if symbol == "threat" else weight
             state, got = self.arcs[state, symbol]
-            if got in ("insult", "insult aimed", "insult denied", "insult reported"):
-                out[PATHS.index(got)] += weight
-                last = weight
-            elif got in ("threat aimed", "threat reported"):
-                out[PATHS.index(got)] += 1.0
-            elif got == "aimed later" and last:
-                out[0] -= last
-                out[1] += last
-                last = 0.0
+            if got.endswith(" later"):
+                kind = got.split()[0]
+                path, waits = waiting.pop(kind, (None, 0.0))
+                if path:
+                    out[PATHS.index(path)] -= waits
+                out[PATHS.index(f"{kind} aimed")] += waits
+            elif got in PATHS or got == "threat":
+                path = got if got in PATHS else None  # a threat that is neither meant nor aimed counts only if it is aimed later
+                if path:
+                    out[PATHS.index(path)] += weight
+                if got in ("insult", "threat", "threat meant"):
+                    waiting[got.split()[0]] = path, weight
         return out
 
     def features(self, texts: list) -> np.ndarray:
@@ -273,12 +331,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     rows = stage(labelled(docs, labels, id_col, text, limit), "toxic-labelled")
     toxic, clean = rows.filter("_toxic = 1").select("_text"), rows.filter("_toxic <> 1").select("_text")
     n_toxic, n_clean = toxic.count(), clean.count()
-    seeds = Grammar({w: 3.0 for w in INSULTS}, {}, -2.0, [1.0] * len(PATHS))
+    seeds = Grammar({w: 3.0 for w in INSULTS}, {}, -3.0, list(PRIOR))
     if not n_toxic or not n_clean:
         return seeds
     found = (toxic.mapInPandas(_patterns, "pattern string, kind int, word string, copy long")
              .groupBy("pattern", "kind").agg(F.count_distinct("copy").alias("n"), F.count_distinct("word").alias("words"))
-             .filter((F.col("n") >= MIN_TOXIC) & ((F.col("kind") == 0) | (F.col("words") >= MIN_WORDS))).orderBy(F.desc("n"), "kind", "pattern").limit(MAX_PATTERNS).collect())
+             .filter((F.col("n") >= MIN_TOXIC) & ((F.col("kind") == 0) | (F.col("words") >= MIN_WORDS)))
+             .orderBy(F.desc("n"), "kind", "pattern").collect())  # of at most ``limit`` rows: the sample bounds them
     keys = {k: _hashes([r["pattern"] for r in found if r["kind"] == k]) for k in {r["kind"] for r in found}}
     counted = {(r["key"] % 2**64, r["kind"]): r["n"] for r in
                clean.mapInPandas(_counts({k: np.sort(v) for k, v in keys.items()}), "key long, kind int, n long")
@@ -292,10 +351,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
                 (begin if kind else whole)[r["pattern"]] = odds
     for w in INSULTS:
         whole.setdefault(w, 3.0)
-    grammar = Grammar(whole, begin, -2.0, [1.0] * len(PATHS))
+    grammar = Grammar(whole, begin, -3.0, list(PRIOR))
     got = rows.mapInPandas(_features(grammar), "x array<double>, toxic int").toPandas()
     x = np.array(got["x"].tolist()).reshape(-1, len(PATHS))
-    weights = logistic(np.c_[np.ones(len(x)), x], got["toxic"].to_numpy() == 1)
+    weights = logistic(np.c_[np.ones(len(x)), x], got["toxic"].to_numpy() == 1, np.array([0.0, *PRIOR]))
     return Grammar(whole, begin, weights[0], list(weights[1:]))
 
 
@@ -315,24 +374,36 @@ def _wilson(k: int, n: int, z: float = 1.64) -> float:
     return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; column 0 is the constant. No
-    path weight is negative: a match never makes a text cleaner."""
-    w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), ridge)
+def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
+    """Logistic regression with a ridge around ``prior`` by Newton steps; column 0
+    is the constant. No path weight is negative: a match never makes a text cleaner."""
+    penalty = np.full(x.shape[1], ridge)
     penalty[0] = 1e-6
-    free = np.ones(len(w), bool)
+    bound = np.arange(x.shape[1]) > 0
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - z[y].sum() + (penalty * (w - prior) ** 2).sum() / 2)
+
+    w = prior.copy()
+    now = loss(w)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + penalty * w
+        g = x.T @ (p - y) + penalty * (w - prior)
         h = (x.T * (p * (1 - p))) @ x + np.diag(penalty + 1e-9)
+        free = ~(bound & (w <= 0) & (g > 0))
         move = np.zeros(len(w))
         move[free] = np.linalg.solve(h[np.ix_(free, free)], g[free])
-        w = w - move
-        low = (w < 0) & (np.arange(len(w)) > 0)
-        w[low] = 0.0
-        free &= ~low
-        if np.abs(move).max() < 1e-8:
+        size = 1.0
+        while True:  # shorter steps until the loss falls
+            new = np.where(bound, np.maximum(w - size * move, 0.0), w - size * move)
+            after = loss(new)
+            if after <= now or size < 1e-6:
+                break
+            size /= 2
+        done = np.abs(new - w).max() < 1e-8 or size < 1e-6
+        w, now = (new, after) if after <= now else (w, now)
+        if done:
             break
     return w
 
