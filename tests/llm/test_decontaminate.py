@@ -61,3 +61,11 @@ def test_items_of_numbers_and_names(spark):
     texts += [texts[0].replace("34", "35"), texts[1].replace("Smith", "Brown"), " ".join(str(i * i) for i in range(25))]
     got = {(r["doc_id"], r["item_id"], r["kind"]) for r in D.leaks(documents(spark, texts), bench(spark, items)).collect()}
     assert got == {(i, i, "same") for i in range(3)}
+
+
+def test_item_ids_of_text_and_accented_names(spark):
+    items = spark.createDataFrame([("q-1", QUESTION), ("q-é", "In the old house Émile gave 3 red apples to his friend Óscar before the long walk home")], "item_id string, text string")
+    renamed = "In the old house Álvaro gave 5 red apples to his friend Zoë before the long walk home"
+    got = {(r["doc_id"], r["item_id"], r["kind"]) for r in D.leaks(documents(spark, [CHANGED, renamed, words(3, 40)]), items).collect()}
+    assert got == {(0, "q-1", "changed"), (1, "q-é", "changed")}
+    assert {r["doc_id"] for r in D.clean(documents(spark, [CHANGED, renamed, words(3, 40)]), items).collect()} == {2}

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words as W
 from .common import batch_slices, ship_package, table
@@ -93,7 +94,10 @@ def templates(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     opens = np.zeros(len(start), bool)
     opens[first[:-1][first[:-1] < len(start)]] = True
     opens[1:] |= inside(_STOP, end[:-1], start[1:]) > 0
-    capital = (_CAPITAL[buf[start]] == 1) & (inside(_CAPITAL, start, end) == 1) & (end - start > 1)
+    large = _CAPITAL[buf]
+    large[:-1] |= (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)  # U+00C0 to U+00DE
+    capitals = np.concatenate([[0], np.cumsum(large)])
+    capital = (large[start] == 1) & (capitals[end] - capitals[start] == 1) & (end - start > 1)
     code[capital & ~opens] = NAME
     code[before & ~opens & np.isin(value, UNIT_KEYS)] = UNIT
     code[number] = NUM
@@ -234,6 +238,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     kinds = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_windows long, covered double, n_slots long, consistent double, kind string"
     names = ["doc_id", "item_id", "n_windows", "covered", "n_slots", "consistent", "kind"]
+    id_type = to_arrow_type(benchmark.schema[item_id].dataType)
     out = None
     for index in _indexes(benchmark, item_id, item_text):
         shared = spark.sparkContext.broadcast(index)
@@ -244,7 +249,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
                 got = index.leaks(part.column("_text").to_pylist())
                 cols = list(zip(*got)) or [()] * 7
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array([index.ids[i] for i in cols[1]], pa.int64()),
+                    [part.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array([index.ids[i] for i in cols[1]], id_type),
                      pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.int64()),
                      pa.array(cols[5], pa.float64()), pa.array(cols[6], pa.string())], names)
 
