@@ -81,7 +81,14 @@ SCALE_NOTES = """
   semi-join on the unique `row_id`. No sort aggregate, no long text key in a
   shuffle or sort. The records are scanned twice.
 * Report tables: one partial aggregate per map task and a single final row;
-  `venn_regions` groups by the bit mask (at most 2^k groups);
+  `venn_regions` groups by the region (at most 2^k groups) and joins the list of
+  all regions, one row each, with an ordinal computed from its own bits;
+  `inclusive_overlaps` folds eight labels a step, one exchange each;
+  `category_counts_by_source` has one group for each listed source and ranks
+  labels by their place in one sorted array.
+* `cooccurrence` reads the table once for all dimensions and counts the pairs that
+  rows hold. `cooccurrence_bitmaps` shuffles bitmaps (4 KB a label and 32,768
+  rows at most), intersects them where a bucket's row is, and shuffles counts;
   `temporal_trends` groups by a handful of years. `multi_value_counts` ends
   in a range sort, for its values are free text.
 * `prisma_flow`: two one-row aggregates meet in one row, from which all boxes
@@ -90,6 +97,16 @@ SCALE_NOTES = """
   ids, cells are counted from two narrow columns. Nothing runs while the query
   is built. CSV exports use file order: one checkpoint and a table of one row
   a file and split, with offsets in two levels.
+* Scoring family (`two_dimension_tags`, `score_screen`, `max_score_bands`, sheets):
+  scores leave a generator (`computed_once`), through which no filter is pushed, so
+  each holds seven intersections and the normalisation of `keep_first`. The range sort of
+  `borderline_sheet` reads an exchange of its rows for both passes.
+* `stored_scores`: the store is bucketed by candidate digest; candidates are shuffled
+  once to its buckets, the store is not. `identification_in_batches`: the key table is
+  bucketed; a batch's keys are shuffled to it, and known keys are written where they are.
+  Records join it by digest with skew splitting.
+* `top_labels_indexed`: title words meet label words by hash join (a frequent word is a
+  skewed left side); the best k of a title are cut before and after the exchange by id.
 * `excluded_sample`, `sample_sheet`: a per-task top-30 merged on the driver.
   `score_labels_cosine` takes its label table as a scalar subquery.
 """
