@@ -55,3 +55,26 @@ def test_few_and_none(spark):
     assert got == [(0, 1, 20, 1.0), (0, 2, 3, 0.5), (20, 1, 0, 1.0), (20, 2, 3, 0.5)]
     assert N.nearest(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
     assert N.nearest(frame(spark, [(0, None)]), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_repeated_ids_have_a_defined_result(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(60)]
+    rows += [(i % 7, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(40)] + rows[:10] * 30  # ids with several vectors, repeated rows
+    rows = [r for r in rows if any(r[1])]
+    df = frame(spark, rows)
+    got = {}
+    for r in N.nearest(df.repartition(5), F.col("vec_id") % 5 == 0, k=30).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    asks = {}
+    for i, v in rows:
+        if i % 5 == 0:
+            asks[i] = min(asks.get(i, v), v)
+    assert set(got) == set(asks)
+    for q, v in asks.items():
+        best = {}
+        for i, x in rows:
+            if i != q:
+                best[i] = max(best.get(i, -1e9), float(np.dot(v, x)))
+        want = sorted(best.items(), key=lambda b: (-b[1], b[0]))[:30]
+        assert [(i, s) for _, i, s in sorted(got[q])] == want

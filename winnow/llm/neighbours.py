@@ -21,9 +21,9 @@ The given vectors have little structure, so the search share sets the recall:
 README states the recall measured against brute force. Rows whose vector is
 null, zero, or holds a null or a non-finite component take no part; so do those
 whose number of components differs from the most common one. Fewer than ``k``
-candidates are returned as they are; repeated ids are candidates each, and a
-query's own id is no candidate; an empty table gives no rows; other columns are
-ignored.
+candidates are returned as they are; an id that several rows have is one candidate, with its
+best score, and asks with the least of its vectors; a query's own id is no
+candidate; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def valid(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
 
 def entries(rows: DataFrame, k: int) -> DataFrame:
     """key, v and the ``k`` + 1 least ids of every different vector."""
-    rows = rows.withColumn("key", F.xxhash64("v")).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
+    rows = rows.withColumn("key", F.xxhash64("v")).dropDuplicates(["key", "vec_id"])  # repeated rows take no place of other ids
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
     near = F.row_number().over(Window.partitionBy("key", "salt").orderBy("vec_id"))
     few = rows.withColumn("_r", near).filter(F.col("_r") <= k + 1)
     return (few.groupBy("key").agg(F.first("v").alias("v"), F.slice(F.array_sort(F.collect_list("vec_id")), 1, k + 1).alias("ids")))
@@ -146,11 +147,13 @@ def _matrix(frame: pd.DataFrame, longest: float) -> np.ndarray:
 
 
 def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
-    """The best ``k`` different ids of every query."""
-    order = np.lexsort((ids, -score, query))
+    """The best ``k`` different ids of every query, each with its best score."""
+    order = np.lexsort((-score, ids, query))
     query, ids, score = query[order], ids[order], score[order]
     new = np.r_[True, (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])]
     query, ids, score = query[new], ids[new], score[new]
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
     start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
     rank = np.arange(len(query)) - np.repeat(start, np.diff(np.r_[start, len(query)]))
     keep = rank < k
@@ -172,15 +175,23 @@ def _rank_cells(k: int):
             many = np.array([len(n) for n in names])
             flat, lead = np.concatenate(names), np.cumsum(many) - many
             near = q @ x.T
-            # the k + 1 best entries of each query, with all that rounding can't tell from the last
-            kth = np.partition(near, len(rows) - k - 1, axis=1)[:, len(rows) - k - 1] if len(rows) > k + 1 else np.full(len(q), -np.inf)
-            who, entry = np.nonzero(near >= (kth - 1e-9 * (1 + np.abs(kth)))[:, None]) if len(rows) > k + 1 else np.nonzero(near == near)
-            exact = np.einsum("ij,ij->i", q[who], x[entry])
-            n = many[entry]
-            at = np.repeat(lead[entry] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            ids, query, value = flat[at], np.repeat(own[who], n), np.repeat(exact, n)
-            other = ids != query
-            waiting.append((query[other], ids[other], value[other]))
+            take, once = k + 1, len(np.unique(flat)) == len(flat)
+            while True:
+                # the best entries of each query, with all that rounding can't tell from the last
+                all_of = take >= len(rows)
+                kth = np.full(len(q), -np.inf) if all_of else np.partition(near, len(rows) - take, axis=1)[:, len(rows) - take]
+                who, entry = np.nonzero(near >= (np.where(all_of, kth, kth - 1e-9 * (1 + np.abs(kth))))[:, None])
+                exact = np.einsum("ij,ij->i", q[who], x[entry])
+                n = many[entry]
+                at = np.repeat(lead[entry] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                ids, asker, value = flat[at], np.repeat(who, n), np.repeat(exact, n)
+                other = ids != own[asker]
+                ids, asker, value = ids[other], asker[other], value[other]
+                # an id may have several entries: more of them until every query has k ids
+                if all_of or once or np.bincount(np.unique(np.stack([asker, ids]), axis=1)[0], minlength=len(q)).min() >= k:
+                    break
+                take *= 2
+            waiting.append((own[asker], ids, value))
             if sum(len(w[0]) for w in waiting) > 500_000:
                 settle()
 
@@ -276,10 +287,10 @@ def nearest(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", ve
 
     cells = "tree int, leaf long, block int, ids array<long>, v array<double>"
     members = placed.mapInPandas(blocked, cells).withColumn("kind", F.lit(0))
-    queries = rows.filter(is_query).dropDuplicates(["vec_id"]).repartition(shuffle_parts(spark), "vec_id").mapInPandas(look, cells).withColumn("kind", F.lit(1))
+    queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(shuffle_parts(spark), "vec_id").mapInPandas(look, cells).withColumn("kind", F.lit(1))
     cell = ["tree", "leaf", "block"]
     dealt = members.unionByName(queries).repartition(2 * shuffle_parts(spark), *cell).sortWithinPartitions(*cell, "kind")
-    found = dealt.mapInPandas(_rank_cells(k), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
+    found = dealt.mapInPandas(_rank_cells(k), "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
