@@ -85,12 +85,13 @@ class Increments:
             listed = listed.unionByName(x)
         old = self.manifest().select("source_ordinal", "path", F.col("length").alias("_l"), F.col("changed").alias("_c"))
         files = checkpoint(listed.join(old, ["source_ordinal", "path"], "left"))
-        changed = files.filter((F.col("length") != F.col("_l")) | (F.col("changed") != F.col("_c"))).select("path").limit(3).collect()
-        if changed:
-            raise RuntimeError(f"files changed since they were read: {[r['path'] for r in changed]}")
-        new = files.filter(F.col("_l").isNull()).drop("_l", "_c")
+        changed = (F.col("length") != F.col("_l")) | (F.col("changed") != F.col("_c"))
         # names of this batch's files alone pass the driver; the reader takes a list of paths
-        todo = {s: sorted(r["path"] for r in new.filter(F.col("source_ordinal") == i).select("path").collect()) for i, s in enumerate(SOURCES)}
+        open_files = files.filter(F.col("_l").isNull() | changed).select("source_ordinal", "path", F.col("_l").isNotNull().alias("known")).collect()
+        if bad := [r["path"] for r in open_files if r["known"]]:
+            raise RuntimeError(f"files changed since they were read: {bad[:3]}")
+        new = files.filter(F.col("_l").isNull()).drop("_l", "_c")
+        todo = {s: sorted(r["path"] for r in open_files if r["source_ordinal"] == i) for i, s in enumerate(SOURCES)}
         count = sum(map(len, todo.values()))
         if count:
             self._commit(self.batches() + 1, todo, new)
