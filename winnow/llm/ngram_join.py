@@ -268,9 +268,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = stage(pairs.select("a", "b"), "ngram-pairs")
     cells = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("_k"))
     dealt = pairs.join(cells, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("_k")).alias("salt"))
+    dealt = maybe_broadcast(dealt, pairs.count(), 40)  # else the sets, far wider, would move to meet them
     members = dealt.join(sets.withColumnRenamed("sid", "a"), "a").select(
         "b", "salt", F.lit(1).alias("kind"), F.col("a").alias("sid"), "n", "keys")
-    hubs = dealt.select("b", "salt").distinct().join(sets.withColumnRenamed("sid", "b"), "b").select(
+    heads = dealt.select("b", "salt").distinct()
+    hubs = maybe_broadcast(heads, pairs.count(), 32).join(sets.withColumnRenamed("sid", "b"), "b").select(
         "b", "salt", F.lit(0).alias("kind"), F.col("b").alias("sid"), "n", "keys")
     rows = members.unionByName(hubs).repartition(shuffle_parts(pairs.sparkSession), "b", "salt")
     return rows.sortWithinPartitions("b", "salt", "kind").mapInPandas(_verify_cells(percent), "u long, v long")
@@ -323,7 +325,9 @@ def verified_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFra
             "hub", "i", "j", F.lit(side).alias("side"), "sid", "comp")
 
     cells = dealt(rows.filter("comp <> main"), 0, "i", "j").unionAll(dealt(rows, 1, "j", "i"))
-    full = cells.join(sets.select("sid", "n", "keys"), "sid").repartition(shuffle_parts(groups.sparkSession), "hub", "i", "j")
+    cells = stage(cells, "ngram-cells")
+    full = maybe_broadcast(cells, cells.count(), 56).join(sets.select("sid", "n", "keys"), "sid")
+    full = full.repartition(shuffle_parts(groups.sparkSession), "hub", "i", "j")
     return full.sortWithinPartitions("hub", "i", "j", "side").mapInPandas(_verify_groups(percent), "u long, v long")
 
 
