@@ -2,8 +2,14 @@
 
 Each stage reads all that its predecessor kept, and its decisions take effect:
 ``run`` writes a stage's rows as Parquet in the shared folder and rereads them
-as the next one's documents. Null, empty and repeated rows, clashing columns and
-empty tables go through every stage as the operators' docstrings state.
+as the next one's documents.
+
+Edge cases: null and empty texts pass every filter (they score clean, link with
+nothing, hold no item and no secret) and are packed as one id; of repeated rows
+and of near copies one stays, that of the least id, judged by id and text where an
+id occurs with several texts; rows with a null id all stay. Further columns,
+whatever their names, go through all stages but the last; ``n_chars``, where there
+is one, follows the text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
     out = secret_scan.redact(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumns({f.name: F.length("text").cast(f.dataType) for f in docs.schema if f.name == "n_chars"})
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
