@@ -448,9 +448,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     rows = stage(_grouped(docs, id_col, text), "ngram-rows").filter("doc_id is not null")
     rows = rows.withColumn("keep", F.col("n").eqNullSafe(0) | ((F.col("doc_id") == F.col("least.id")) & (F.col("sid") == F.col("least.sid"))))
     by_id = rows.groupBy("doc_id").agg(F.bool_or("keep").alias("some"), F.bool_and("keep").alias("every"), F.count_if(F.col("n") > 0).alias("c"))
-    by_id = stage(by_id.filter("not every or c > 1").select(F.col("doc_id").alias("_id"), "some"), "ngram-ids")
-    gone, mixed = by_id.filter("not some").select("_id"), by_id.filter("some").select("_id")
-    here = F.col(f"`{id_col}`") == F.col("_id")
+    own = "_" * (1 + max(map(len, docs.columns)))  # no column of ``docs``
+    by_id = stage(by_id.filter("not every or c > 1").select(F.col("doc_id").alias(own), "some"), "ngram-ids")
+    gone, mixed = by_id.filter("not some").select(own), by_id.filter("some").select(own)
+    here = F.col(f"`{id_col}`") == F.col(own)
     out = docs.join(maybe_broadcast(gone, gone.count(), 16), here, "left_anti")
     many = mixed.count()
     if not many:  # no id occurs twice
@@ -459,12 +460,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     mixed = maybe_broadcast(mixed, many, 16)
     ship_package(spark)
     named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    several = out.join(mixed, here, "left_semi").select(*named, F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    several = out.join(mixed, here, "left_semi").select(*named, F.col(id_col).alias("_of_id"), F.col(text).alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in several.schema)
     several = several.mapInArrow(_with_set, f"{schema}, _sid long")
-    stays = rows.filter("keep and n > 0").select(F.col("doc_id").alias("_id"), F.col("sid").alias("_sid")).distinct()
+    stays = rows.filter("keep and n > 0").select(F.col("doc_id").alias("_of_id"), F.col("sid").alias("_sid")).distinct()
     empty = several.filter("_sid is null")
-    one = several.filter("_sid is not null").join(stays, ["_id", "_sid"], "left_semi").dropDuplicates(["_id", "_sid"])
+    one = several.filter("_sid is not null").join(stays, ["_of_id", "_sid"], "left_semi").dropDuplicates(["_of_id", "_sid"])
     back = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
     rest = out.join(mixed, here, "left_anti").select(docs.columns)
     return rest.unionAll(empty.select(*back)).unionAll(one.select(*back))
