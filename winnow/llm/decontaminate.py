@@ -46,6 +46,7 @@ COVER, CONSISTENT = 0.4, 0.8
 RAW = 10  # words of a window of an item without template windows
 FULL = 0.8  # share of an item's windows that needs no one-to-one numbers
 BLOCK_WINDOWS = 2_000_000
+SLICE = 3 << 20  # bytes of text judged at once
 
 # Units, in lower case.
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "yard", "yards", "mile", "miles", "mg", "g", "kg",
@@ -58,12 +59,10 @@ SALT = np.uint64(0x5BF03635)
 NUM, NAME, UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
 _GAP = W.NOT_LETTER.copy()
 _GAP[48:58] = False
-_STOP = np.zeros(256, np.int64)
+_STOP = np.zeros(256, np.int8)
 _STOP[[10, 33, 34, 46, 58, 63]] = 1
-_DIGIT = np.zeros(256, np.int64)
+_DIGIT = np.zeros(256, np.int8)
 _DIGIT[48:58] = 1
-_CAPITAL = np.zeros(256, np.int64)
-_CAPITAL[65:91] = 1
 
 
 def _unit_keys() -> np.ndarray:
@@ -85,7 +84,8 @@ def templates(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return value, value, first
 
     def inside(mark: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(mark[buf])])
+        total = np.zeros(len(buf) + 1, np.int32)
+        np.cumsum(mark[buf], out=total[1:])
         return total[b] - total[a]
 
     code = value.copy()
@@ -94,10 +94,11 @@ def templates(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     opens = np.zeros(len(start), bool)
     opens[first[:-1][first[:-1] < len(start)]] = True
     opens[1:] |= inside(_STOP, end[:-1], start[1:]) > 0
-    large = _CAPITAL[buf]
+    large = (buf >= 65) & (buf <= 90)
     large[:-1] |= (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)  # U+00C0 to U+00DE
-    capitals = np.concatenate([[0], np.cumsum(large)])
-    capital = (large[start] == 1) & (capitals[end] - capitals[start] == 1) & (end - start > 1)
+    capitals = np.zeros(len(buf) + 1, np.int32)
+    np.cumsum(large, out=capitals[1:])
+    capital = large[start] & (capitals[end] - capitals[start] == 1) & (end - start > 1)
     code[capital & ~opens] = NAME
     code[before & ~opens & np.isin(value, UNIT_KEYS)] = UNIT
     code[number] = NUM
@@ -245,7 +246,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
 
         def run(batches, shared=shared):
             index = shared.value
-            for part in batch_slices(batches, "_text"):
+            for part in batch_slices(batches, "_text", SLICE):
                 got = index.leaks(part.column("_text").to_pylist())
                 cols = list(zip(*got)) or [()] * 7
                 yield pa.RecordBatch.from_arrays(
@@ -266,7 +267,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
-            for part in batch_slices(batches, text):
+            for part in batch_slices(batches, text, SLICE):
                 keep = np.ones(part.num_rows, bool)
                 keep[[r[0] for r in shared.value.leaks(part.column(text).to_pylist())]] = False
                 yield part.filter(pa.array(keep))

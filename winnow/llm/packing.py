@@ -136,7 +136,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", capacity
         from winnow.llm.packing import encoder  # the worker's own, loaded once
 
         code = encoder(vocabulary)
-        for part in batch_slices(batches, "_text", 12 << 20):
+        for part in batch_slices(batches, "_text", 4 << 20):
             ids, last = code.encode(part.column("_text").to_pylist())
             out, at = [[] for _ in range(6)], 0
             for row, end in enumerate(last.tolist()):

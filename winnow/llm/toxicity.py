@@ -41,6 +41,7 @@ from . import words as W
 from .common import batch_slices, ship_package, stage, table, text_chunks
 
 MAX_LABELLED = 20_000  # labelled rows that the fit uses at most
+SLICE = 3 << 20  # bytes of text scored at once
 MIN_TOXIC = 4  # different toxic rows that a learnt pattern needs
 MIN_WORDS = 4  # different words that a learnt beginning needs
 PREFIXES = (4, 5, 6, 7, 8)  # bytes of a word beginning
@@ -415,7 +416,7 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text: str =
     ship_package(docs.sparkSession)
 
     def run(batches):
-        for part in batch_slices(batches, "_text"):
+        for part in batch_slices(batches, "_text", SLICE):
             got = pa.array(grammar.scores(part.column("_text").to_pylist()))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), got], ["doc_id", "score"])
 
@@ -428,7 +429,7 @@ def reject(docs: DataFrame, grammar: Grammar, text: str = "text", least: float =
     ship_package(docs.sparkSession)
 
     def run(batches):
-        for part in batch_slices(batches, text):
+        for part in batch_slices(batches, text, SLICE):
             yield part.filter(pa.array(grammar.scores(part.column(text).to_pylist()) < least))
 
     return docs.mapInArrow(run, docs.schema)
