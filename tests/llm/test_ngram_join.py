@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from cases import documents, edge_texts, empty, words
 from test_words import plain
@@ -126,3 +128,32 @@ def test_prefix_tree_search():
         want = {(i, len(np.intersect1d(probe, s))) for i, s in enumerate(sets)
                 if len(np.intersect1d(probe, s)) >= needed(len(probe), len(s), 80)}
         assert set(tree.search(probe, len(probe), 80, 300)) == want
+
+
+def test_a_range_is_counted_in_bounded_memory():
+    """A million tokens of one range: what counting them takes beyond the input, and what it finds."""
+    rng = np.random.default_rng(8)
+    rows, want, owners = [], {}, np.arange(4000)
+    for _ in range(8):  # blocks of batches; a set of two batches counts once
+        sids = np.sort(rng.choice(owners, 500, replace=False))
+        token = rng.integers(0, 1 << 24, (500, 250)).astype(np.uint64) * np.uint64(0x9E3779B1)
+        for s, own in zip(sids, token):
+            for t in own.tolist():
+                want.setdefault(t, set()).add(int(s))
+        raw = token.reshape(-1, 1).view(np.uint8)[:, :6]
+        rows.append((3, J.PLAIN, sids.astype(np.int64).tobytes(), np.full(500, 250, np.int32).tobytes(), np.ascontiguousarray(raw).tobytes()))
+    group = pd.DataFrame(rows, columns=["range", "kind", "sids", "counts", "tokens"])
+    run = J._shared(16, np.empty(0, np.uint64), np.empty(0, np.int64))
+    tracemalloc.start()
+    got = run(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * 10**6, peak
+    found = {}
+    for bucket, sids, counts, keys in zip(got["bucket"], got["sids"], got["counts"], got["keys"]):
+        own = np.repeat(np.frombuffer(sids, np.int64), np.frombuffer(counts, np.int32)).tolist()
+        assert all(s % 16 == bucket for s in own)
+        for s, key in zip(own, np.frombuffer(keys, np.int64).tolist()):
+            found.setdefault(key, set()).add(s)
+    assert sorted(map(sorted, found.values())) == sorted(sorted(s) for s in want.values() if len(s) > 1)
+    assert all(key >> 49 == len(s) for key, s in found.items())

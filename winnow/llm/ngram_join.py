@@ -55,6 +55,8 @@ from .prefix_tree import PrefixTree
 SHINGLE, PERCENT = 5, 80
 HEAVY = 0.002  # a token in more than this share of rows is very frequent
 RANGE_TOKENS, LEAST_RANGES = 3_000_000, 16  # tokens that one range counts at a time; ranges of a small table
+SLICE = 2 << 20  # bytes of text whose sets are made at once; twice that when their tokens are packed
+PARTS = 16  # parts of a range's tokens that are sorted one after another
 CELL = 512  # sets in one tree
 HUBS, ROUNDS = 1, 2  # hubs that a set is tested against in a round; rounds before exhaustion
 LOW = np.uint64((1 << 48) - 1)
@@ -75,7 +77,7 @@ def _members(n: int):
     """Rows (doc_id, n, sid) and, for frequent tokens of a batch, (token, count)."""
 
     def run(batches):
-        for part in batch_slices(batches, "_text"):
+        for part in batch_slices(batches, "_text", SLICE):
             sets = token_sets(part.column("_text").to_pylist(), n)
             size = pa.array([len(s) for s in sets], pa.int64())
             sid = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
@@ -110,7 +112,7 @@ def _blocks(n: int, ranges: int, heavy: np.ndarray):
     names = ["range", "kind", "sids", "counts", "tokens"]
 
     def run(batches):
-        for part in batch_slices(batches, "_text"):
+        for part in batch_slices(batches, "_text", 2 * SLICE):
             sets = {set_id(s): s for s in token_sets(part.column("_text").to_pylist(), n) if len(s)}
             if not sets:
                 continue
@@ -163,21 +165,27 @@ def _shared(ranges: int, heavy: np.ndarray, heavy_df: np.ndarray):
         if len(rest):
             sid = np.concatenate([np.frombuffer(x, np.int64) for x in rest["sids"]])
             count = np.concatenate([np.frombuffer(x, np.int32) for x in rest["counts"]])
-            wide = np.zeros((int(count.sum()), 8), np.uint8)
-            wide[:, :6] = np.frombuffer(b"".join(rest["tokens"]), np.uint8).reshape(-1, 6)
-            token = wide.view(np.uint64).ravel()
+            raw = np.frombuffer(b"".join(rest["tokens"]), np.uint8).reshape(-1, 6)
             ids, number = np.unique(sid, return_inverse=True)  # a set seen in several batches counts once
-            own = np.repeat(number.astype(np.int32), count)
-            order = np.lexsort((own, token))
-            token, own = token[order], own[order]
-            new = np.r_[True, (token[1:] != token[:-1]) | (own[1:] != own[:-1])]
-            token, own = token[new], own[new]
-            start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            df = np.diff(np.r_[start, len(token)])
-            df = np.repeat(df, df)
-            token, own, df = token[df > 1], own[df > 1], df[df > 1]
+            everyone = np.repeat(number.astype(np.int32), count)
             salt = W.mix64(np.array([r % (1 << 15)], np.uint64))[0] & ~LOW
-            key, bucket = _key(df, token ^ salt), ids[own] % ranges
+            keys, owners = [], []
+            for part in range(PARTS):  # the low bits of a token: what is sorted at once is a part of the range
+                mine = np.flatnonzero(raw[:, 0] % PARTS == part)
+                wide = np.zeros((len(mine), 8), np.uint8)
+                wide[:, :6] = raw[mine]
+                token, own = wide.view(np.uint64).ravel(), everyone[mine]
+                order = np.lexsort((own, token))
+                token, own = token[order], own[order]
+                new = np.r_[True, (token[1:] != token[:-1]) | (own[1:] != own[:-1])][: len(token)]
+                token, own = token[new], own[new]
+                start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+                df = np.diff(np.r_[start, len(token)])
+                df = np.repeat(df, df)
+                keys.append(_key(df[df > 1], token[df > 1] ^ salt))
+                owners.append(own[df > 1])
+            key, own = np.concatenate(keys), np.concatenate(owners)
+            bucket = ids[own] % ranges
             order = np.lexsort((own, bucket))
             key, own, bucket = key[order], own[order], bucket[order]
             for a, b in _cuts(bucket):
@@ -221,12 +229,17 @@ def _survivors(percent: int):
 
 def _postings(frames):
     for frame in frames:
-        for sid, n, prefix, central, raw in zip(frame["sid"], frame["n"], frame["prefix"], frame["central"], frame["keys"]):
-            if prefix:
-                keys = np.frombuffer(raw, np.int64)
-                unique = n - len(keys)
-                yield pd.DataFrame({"token": keys[:prefix], "sid": sid, "n": n, "central": central,
-                                    "pos": np.arange(unique, unique + prefix, dtype=np.int64)})
+        frame = frame[frame["prefix"] > 0]
+        for at in range(0, len(frame), 1024):
+            some = frame.iloc[at : at + 1024]
+            prefix = some["prefix"].to_numpy()
+            first = np.repeat(np.cumsum(prefix) - prefix, prefix)
+            unique = some["n"].to_numpy() - some["keys"].map(len).to_numpy() // 8
+            yield pd.DataFrame({
+                "token": np.concatenate([np.frombuffer(raw, np.int64, p) for raw, p in zip(some["keys"], prefix)]),
+                "sid": np.repeat(some["sid"].to_numpy(), prefix), "n": np.repeat(some["n"].to_numpy(), prefix),
+                "central": np.repeat(some["central"].to_numpy(), prefix),
+                "pos": np.repeat(unique, prefix) + np.arange(len(first)) - first})
 
 
 def _verify_cells(percent: int):
